@@ -61,3 +61,11 @@ def cluster_stats(df: DataFrame, cols: Sequence[str], prediction: str = "predict
     j = df.select(prediction, *cols).join(centers, prediction)
     d2 = sum((F.col(c) - F.col(f"_c_{c}")) * (F.col(c) - F.col(f"_c_{c}")) for c in cols)
     return j.groupBy(prediction).agg(F.count(F.lit(1)).alias("size"), F.sum(d2).alias("within_ss"))
+
+
+def cluster_stats_array(df: DataFrame, arr: str, centers: DataFrame, prediction: str = "prediction") -> DataFrame:
+    """``cluster_stats`` for an array column: squared distance with built-in higher-order
+    functions (JVM side); ``centers`` holds (prediction, center array) — k rows."""
+    j = df.select(prediction, arr).join(centers, prediction)
+    d2 = F.aggregate(F.zip_with(arr, "center", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x)
+    return j.groupBy(prediction).agg(F.count(F.lit(1)).alias("size"), F.sum(d2).alias("within_ss"))

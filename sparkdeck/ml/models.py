@@ -31,23 +31,30 @@ def features(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
 
 # ---------------------------------------------------------------- clustering
 
-def kmeans(df: DataFrame, cols: Sequence[str], k: int = 3, seed: int = 1, standardize: bool = False,
+def kmeans(df: DataFrame, cols: Sequence[str] | str, k: int = 3, seed: int = 1, standardize: bool = False,
            max_iter: int = 20):
     """k-means (k-means|| start).  ``standardize`` scales to unit variance around the
     mean first, as H2O does by default; centres are reported in the original units.
     Returns (pipeline model, centres frame)."""
     spark = df.sparkSession
-    stages = [VectorAssembler(inputCols=list(cols), outputCol="_raw", handleInvalid="skip")]
-    feat = "_raw"
+    if isinstance(cols, str):            # already a vector column
+        stages, feat = [], cols
+        names = None
+    else:
+        stages = [VectorAssembler(inputCols=list(cols), outputCol="_raw", handleInvalid="skip")]
+        feat, names = "_raw", list(cols)
     if standardize:
-        stages.append(StandardScaler(inputCol="_raw", outputCol="_std", withMean=True, withStd=True))
+        stages.append(StandardScaler(inputCol=feat, outputCol="_std", withMean=True, withStd=True))
         feat = "_std"
     stages.append(KMeans(featuresCol=feat, k=k, seed=seed, maxIter=max_iter, predictionCol="prediction"))
     model = Pipeline(stages=stages).fit(df)
     centers = np.array(model.stages[-1].clusterCenters())
     if standardize:
-        sc = model.stages[1]
+        sc = model.stages[-2]
         centers = centers * np.array(sc.std.toArray()) + np.array(sc.mean.toArray())
+    if names is None:
+        return model, spark.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(centers)],
+                                            "prediction int, center array<double>")
     rows = [(i, *[float(v) for v in c]) for i, c in enumerate(centers)]
     schema = T.StructType([T.StructField("prediction", T.IntegerType())] +
                           [T.StructField(c, T.DoubleType()) for c in cols])
@@ -140,7 +147,7 @@ def glm_path(train: DataFrame, y: str, xs: Sequence[str], alpha: float = 0.5, n_
 
 # ---------------------------------------------------------------- PCA
 
-def pca(df: DataFrame, cols: Sequence[str], k: int | None = None, center: bool = True) -> DataFrame:
+def pca(df: DataFrame, cols: Sequence[str] | str, k: int | None = None, center: bool = True) -> DataFrame:
     """Principal components and explained variance.
 
     Centred: Spark's ``PCA`` (note its ``transform`` does not centre).  Uncentred
@@ -149,19 +156,23 @@ def pca(df: DataFrame, cols: Sequence[str], k: int | None = None, center: bool =
     Output: component, explained (share), std_dev, loadings.
     """
     spark = df.sparkSession
-    cols = list(cols)
-    k = k or len(cols)
-    fd = features(df.select(*cols), cols)
+    if isinstance(cols, str):            # already a vector column
+        fd = df.select(F.col(cols).alias("features"))
+        k = k or len(fd.first()["features"])
+    else:
+        cols = list(cols)
+        k = k or len(cols)
+        fd = features(df.select(*cols), cols)
     if center:
         m = PCA(k=k, inputCol="features", outputCol="pc").fit(fd)
         comps = m.pc.toArray().T
         ev = m.explainedVariance.toArray()
-        s = fd.select(Summarizer.metrics("variance").summary("features").alias("s")).first()["s"]
+        s = fd.select(Summarizer.metrics("variance").summary(F.col("features")).alias("s")).first()["s"]
         total = float(np.sum(s["variance"].toArray()))
         sd = np.sqrt(ev * total)
         rows = [(i + 1, float(ev[i]), float(sd[i]), [float(v) for v in comps[i]]) for i in range(k)]
     else:
-        stats = fd.select(Summarizer.metrics("mean", "variance", "count").summary("features").alias("s")).first()["s"]
+        stats = fd.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("features")).alias("s")).first()["s"]
         n = float(stats["count"])
         mu = stats["mean"].toArray()
         var = stats["variance"].toArray()
@@ -180,15 +191,17 @@ def pca(df: DataFrame, cols: Sequence[str], k: int | None = None, center: bool =
 
 # ---------------------------------------------------------------- trees
 
-def random_forest(train: DataFrame, label: str, xs: Sequence[str], num_trees: int = 10, max_depth: int = 5,
+def random_forest(train: DataFrame, label: str, xs: Sequence[str] | str, num_trees: int = 10, max_depth: int = 5,
                   max_bins: int = 32, seed: int = 1):
-    """Classification forest; the label is indexed by frequency first.  Returns the pipeline."""
-    return Pipeline(stages=[
-        StringIndexer(inputCol=label, outputCol="label_idx", handleInvalid="keep"),
-        VectorAssembler(inputCols=list(xs), outputCol="features", handleInvalid="skip"),
-        RandomForestClassifier(featuresCol="features", labelCol="label_idx", numTrees=num_trees,
-                               maxDepth=max_depth, maxBins=max_bins, seed=seed),
-    ]).fit(train)
+    """Classification forest; the label is indexed by frequency first.  ``xs`` is a
+    column list or the name of a vector column.  Returns the pipeline."""
+    stages = [StringIndexer(inputCol=label, outputCol="label_idx", handleInvalid="keep")]
+    feat = xs if isinstance(xs, str) else "features"
+    if not isinstance(xs, str):
+        stages.append(VectorAssembler(inputCols=list(xs), outputCol="features", handleInvalid="skip"))
+    stages.append(RandomForestClassifier(featuresCol=feat, labelCol="label_idx", numTrees=num_trees,
+                                         maxDepth=max_depth, maxBins=max_bins, seed=seed))
+    return Pipeline(stages=stages).fit(train)
 
 
 def variable_importance(model: PipelineModel, names: Sequence[str]) -> DataFrame:

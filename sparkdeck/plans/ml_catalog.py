@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from ..ml import models as M
 from ..ml.boosting import fit_multinomial_boost
-from ..ml.evaluate import class_error, cluster_stats, confusion_long, metrics_by_split, regression_metrics
+from pyspark.ml.functions import array_to_vector
+
+from ..ml.evaluate import (class_error, cluster_stats, cluster_stats_array, confusion_long, metrics_by_split,
+                           regression_metrics)
 from ..ml.network import fit_network
 from ..ml.search import best_model, grid_search
 from ..operators.splits import partition, sample_frac, sample_n, tag_partitions
@@ -177,18 +180,19 @@ def csv_roundtrip(spark, sf):
 
 # ---------------------------------------------------------------- models (property checks)
 
-def _emb(spark, sf, d: int = 64) -> DataFrame:
+def _emb(spark, sf) -> DataFrame:
+    """Embeddings as one double array and one ML vector (no per-dimension columns)."""
     e = _t(spark, sf, "embeddings")
-    return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(d)])
+    arr = F.transform("embedding", lambda x: x.cast("double"))
+    return e.select("vec_id", "label", arr.alias("emb"), array_to_vector(arr).alias("features"))
 
 
 @query("kmeans_fit", None)
 def kmeans_fit(spark, sf):
     """L-01, L-03, L-21: k-means with k = 10 on the embeddings; sizes and within SS per cluster."""
     e = _emb(spark, sf)
-    cols = [f"e{i}" for i in range(64)]
-    model, _ = M.kmeans(e, cols, k=10, seed=1)
-    return cluster_stats(model.transform(e), cols, "prediction")
+    model, centers = M.kmeans(e, "features", k=10, seed=1)
+    return cluster_stats_array(model.transform(e), "emb", centers)
 
 
 @query("kmeans_standardized", None)
@@ -202,7 +206,7 @@ def kmeans_standardized(spark, sf):
 @query("pca_centered", None)
 def pca_centered(spark, sf):
     """L-09: principal components of the 64 embedding dimensions and their variance shares."""
-    return M.pca(_emb(spark, sf), [f"e{i}" for i in range(64)], k=10, center=True)
+    return M.pca(_emb(spark, sf), "features", k=10, center=True)
 
 
 @query("pca_uncentered", None)
@@ -247,8 +251,7 @@ def _emb_split(spark, sf):
 def rf_validation(spark, sf):
     """L-12, L-13: 400-tree forest, depth 5, 32 bins, seed 1; confusion on the validation part."""
     tr, va = _emb_split(spark, sf)
-    cols = [f"e{i}" for i in range(64)]
-    m = M.random_forest(tr, "label", cols, num_trees=400, max_depth=5, max_bins=32, seed=1)
+    m = M.random_forest(tr, "label", "features", num_trees=400, max_depth=5, max_bins=32, seed=1)
     labels = m.stages[0].labels
     p = m.transform(va).withColumn("predicted", F.element_at(F.array(*[F.lit(x) for x in labels]),
                                                               F.col("prediction").cast("int") + 1))
@@ -259,9 +262,8 @@ def rf_validation(spark, sf):
 def rf_importance(spark, sf):
     """L-11, L-14: 10-tree forest and its scaled variable importance."""
     tr, _ = _emb_split(spark, sf)
-    cols = [f"e{i}" for i in range(64)]
-    m = M.random_forest(tr, "label", cols, num_trees=10, seed=1)
-    return M.variable_importance(m, cols)
+    m = M.random_forest(tr, "label", "features", num_trees=10, seed=1)
+    return M.variable_importance(m, [f"e{i}" for i in range(64)])
 
 
 def _orders_features(spark, sf):
