@@ -68,7 +68,7 @@ def linear_regression(df: DataFrame, y: str, xs: Sequence[str], reg: float = 0.0
     """Least squares (``solver="normal"`` gives standard errors); ``loss="huber"`` is the
     robust variant (F-10).  Returns (pipeline model)."""
     lr = LinearRegression(featuresCol="features", labelCol=y, regParam=reg, elasticNetParam=elastic_net,
-                          solver=solver if loss == "squaredError" else "lbfgs", loss=loss)
+                          solver=solver if loss == "squaredError" else "l-bfgs", loss=loss)
     return Pipeline(stages=[VectorAssembler(inputCols=list(xs), outputCol="features", handleInvalid="skip"),
                             lr]).fit(df)
 
