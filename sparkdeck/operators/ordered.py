@@ -11,8 +11,9 @@ same numbers from a *range-partitioned* sort instead:
    group run *locally* and, in a second branch over the same exchange, writes a
    one-row summary per partition (first key, last key, length of the last run);
 3. the carry of a partition's first group is the summed last runs of earlier
-   partitions that end in the same key: a self-join of the summary, which holds
-   one row per partition (bounded by the partition count, so it is broadcast);
+   partitions that end in the same key: a running sum and a lag over the summary,
+   which holds one row per partition (bounded by the partition count, so it is
+   broadcast);
 4. ``row_number = local + carry`` for rows of the partition's first group.
 
 Ranks use the same machinery at a second level (group + order keys): the position
@@ -30,7 +31,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -203,19 +204,24 @@ def segmented_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Orde
         for c in cols:
             sfields += [T.StructField(f"_f{i}_{c}", types[c]), T.StructField(f"_l{i}_{c}", types[c])]
         sfields.append(T.StructField(f"_run{i}", T.LongType()))
-    summary = F.broadcast(srt.mapInPandas(_summary_pass(levels_eff), T.StructType(sfields)))
-
-    carry = None
+    summary = srt.mapInPandas(_summary_pass(levels_eff), T.StructType(sfields))
+
+    # carry of partition p = runs of earlier partitions ending in p's first key.  By
+    # sortedness those partitions are contiguous and end at p-1, so it is the running
+    # sum of runs per last key, read at p-1 when p-1 ends in p's first key.  The
+    # summary has one row per partition, so the un-keyed ordering window is bounded.
+    w_ord = Window.orderBy("_pid")
+    carry = summary
     for i, cols in enumerate(levels_eff):
-        p = summary.select("_pid", *[F.col(f"_f{i}_{c}") for c in cols])
-        q = summary.select(F.col("_pid").alias("_qpid"), *[F.col(f"_l{i}_{c}") for c in cols],
-                           F.col(f"_run{i}"))
-        cond = F.col("_qpid") < F.col("_pid")
+        w_chain = Window.partitionBy(*[F.col(f"_l{i}_{c}") for c in cols]).orderBy("_pid") \
+            .rowsBetween(Window.unboundedPreceding, 0)
+        carry = carry.withColumn(f"_cum{i}", F.sum(f"_run{i}").over(w_chain))
+        match = F.lag("_pid").over(w_ord).isNotNull()
         for c in cols:
-            cond = cond & F.col(f"_l{i}_{c}").eqNullSafe(F.col(f"_f{i}_{c}"))
-        ci = (p.join(F.broadcast(q), cond, "left").groupBy("_pid")
-              .agg(F.coalesce(F.sum(f"_run{i}"), F.lit(0)).cast("long").alias(f"_carry{i}")))
-        carry = ci if carry is None else carry.join(ci, "_pid")
+            match = match & F.lag(f"_l{i}_{c}").over(w_ord).eqNullSafe(F.col(f"_f{i}_{c}"))
+        carry = carry.withColumn(f"_carry{i}", F.when(match, F.lag(f"_cum{i}").over(w_ord)).otherwise(F.lit(0))
+                                 .cast("long"))
+    carry = carry.select("_pid", *[f"_carry{i}" for i in range(len(levels_eff))])
 
     out = local.join(F.broadcast(carry), "_pid", "left")
     rn_cols = []

@@ -13,7 +13,9 @@ from .conftest import SF_MID
 def test_t_pvalues_known():
     assert math.isclose(t_two_sided_p(2.0, 10.0), 0.07338803, rel_tol=1e-6)
     assert math.isclose(t_two_sided_p(0.0, 5.0), 1.0, rel_tol=1e-9)
-    assert math.isclose(t_two_sided_p(-3.0, 30.0), 0.005398, rel_tol=1e-3)
+    # tabulated two-sided critical values: t(0.975, 10) and t(0.995, 30)
+    assert math.isclose(t_two_sided_p(2.228138852, 10.0), 0.05, rel_tol=1e-6)
+    assert math.isclose(t_two_sided_p(-2.749995652, 30.0), 0.01, rel_tol=1e-6)
 
 
 def test_partition_disjoint_complete_stable(spark):
