@@ -72,7 +72,12 @@ def interpolate_linear(df: DataFrame, keys: Sequence[str], time: str, value: str
     w = Window.partitionBy(*keys).orderBy(*order)
     before = w.rowsBetween(Window.unboundedPreceding, 0)
     after = w.rowsBetween(0, Window.unboundedFollowing)
-    t = F.unix_micros(F.col(time).cast("timestamp")).cast("double")
+    from pyspark.sql.types import TimestampNTZType
+    if isinstance(df.schema[time].dataType, TimestampNTZType):
+        # zone-free: microseconds from the NTZ epoch, whatever the session time zone
+        t = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{time}`)").cast("double")
+    else:
+        t = F.unix_micros(F.col(time)).cast("double")
     tv = F.when(F.col(value).isNotNull(), t)
     d = (df.withColumn("_pv", F.last(value, True).over(before)).withColumn("_pt", F.last(tv, True).over(before))
          .withColumn("_nv", F.first(value, True).over(after)).withColumn("_nt", F.first(tv, True).over(after)))
