@@ -9,7 +9,7 @@ from pyspark.ml.feature import IndexToString, RFormula, StringIndexer, VectorAss
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import exact_median, exact_quantiles
+from .ordered import choose_strategy, exact_median, exact_quantiles, segmented_positions
 
 
 def string_index(df: DataFrame, col: str, out: str, order: str = "frequencyDesc",
@@ -60,33 +60,72 @@ def fill_missing(df: DataFrame, col: str, strategy: str = "zero", out: str | Non
     return df.withColumn(out, F.coalesce(F.col(col), v))
 
 
+def _micros(df: DataFrame, time: str):
+    from pyspark.sql.types import TimestampNTZType
+    if isinstance(df.schema[time].dataType, TimestampNTZType):
+        # zone-free: microseconds from the NTZ epoch, whatever the session time zone
+        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{time}`)").cast("double")
+    return F.unix_micros(F.col(time)).cast("double")
+
+
+def _interp_expr(value: str, t, pv: str, pt: str, nv: str, nt: str):
+    frac = F.when(F.col(nt) == F.col(pt), F.lit(0.0)).otherwise((t - F.col(pt)) / (F.col(nt) - F.col(pt)))
+    return (F.when(F.col(value).isNotNull(), F.col(value))
+            .when(F.col(pv).isNotNull() & F.col(nv).isNotNull(), F.col(pv) + (F.col(nv) - F.col(pv)) * frac)
+            .otherwise(F.coalesce(F.col(pv), F.col(nv))))
+
+
 def interpolate_linear(df: DataFrame, keys: Sequence[str], time: str, value: str, out: str,
-                       tiebreak: str | None = None) -> DataFrame:
+                       tiebreak: str | None = None, strategy: str = "auto") -> DataFrame:
     """Fill NULLs in a series by linear interpolation in time between the nearest
     non-NULL neighbours of the same key; one neighbour only -> its value.
 
-    Uses running ``last``/``first`` with ``ignorenulls`` over a keyed, ordered window
-    (one sort per key).  Time is taken in microseconds.
+    ``window``: running ``last``/``first`` ignoring NULLs over a keyed window (a key is
+    one task).  ``scan``: the skew-safe ordered scan counts non-NULL values before
+    each row (carried across partitions), and the neighbours are fetched by
+    equi-joins on ``(key, k-th non-NULL value)`` — balanced, since ``k`` is unique
+    within a key.  ``auto`` picks the window only while the largest key is small.
     """
+    keys = list(keys)
+    if choose_strategy(df, keys, strategy) == "window":
+        return _interpolate_window(df, keys, time, value, out, tiebreak)
+    return _interpolate_scan(df, keys, time, value, out, tiebreak)
+
+
+def _interpolate_window(df, keys, time, value, out, tiebreak):
     order = [F.col(time)] + ([F.col(tiebreak)] if tiebreak else [])
     w = Window.partitionBy(*keys).orderBy(*order)
     before = w.rowsBetween(Window.unboundedPreceding, 0)
     after = w.rowsBetween(0, Window.unboundedFollowing)
-    from pyspark.sql.types import TimestampNTZType
-    if isinstance(df.schema[time].dataType, TimestampNTZType):
-        # zone-free: microseconds from the NTZ epoch, whatever the session time zone
-        t = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{time}`)").cast("double")
-    else:
-        t = F.unix_micros(F.col(time)).cast("double")
+    t = _micros(df, time)
     tv = F.when(F.col(value).isNotNull(), t)
     d = (df.withColumn("_pv", F.last(value, True).over(before)).withColumn("_pt", F.last(tv, True).over(before))
          .withColumn("_nv", F.first(value, True).over(after)).withColumn("_nt", F.first(tv, True).over(after)))
-    frac = F.when(F.col("_nt") == F.col("_pt"), F.lit(0.0)).otherwise((t - F.col("_pt")) / (F.col("_nt") - F.col("_pt")))
-    interp = (F.when(F.col(value).isNotNull(), F.col(value))
-              .when(F.col("_pv").isNotNull() & F.col("_nv").isNotNull(),
-                    F.col("_pv") + (F.col("_nv") - F.col("_pv")) * frac)
-              .otherwise(F.coalesce(F.col("_pv"), F.col("_nv"))))
-    return d.withColumn(out, interp).drop("_pv", "_pt", "_nv", "_nt")
+    return d.withColumn(out, _interp_expr(value, t, "_pv", "_pt", "_nv", "_nt")).drop("_pv", "_pt", "_nv", "_nt")
+
+
+def _interpolate_scan(df, keys, time, value, out, tiebreak):
+    cols = df.columns
+    d = df.withColumn("_t", _micros(df, time)).withColumn("_nn", F.col(value).isNotNull().cast("long"))
+    order = [time] + ([tiebreak] if tiebreak else [])
+    p = segmented_positions(d, keys, order, row_number="_rn", prefix_sums={"_k": "_nn"}, strategy="scan")
+    p = p.withColumn("_k", F.col("_k").cast("long"))
+    nn = p.filter(F.col(value).isNotNull())
+    have = nn.withColumn(out, F.col(value)).select(*cols, out)
+    ref = nn.select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col("_k").alias("_rk"),
+                    F.col(value).alias("_rv"), F.col("_t").alias("_rt"))
+    miss = p.filter(F.col(value).isNull())
+
+    def fetch(frame, offset, v, t):
+        cond = F.col("_rk") == F.col("_k") + offset
+        for k in keys:
+            cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        j = frame.join(ref, cond, "left")
+        return j.withColumnRenamed("_rv", v).withColumnRenamed("_rt", t).drop("_rk", *[f"_r_{k}" for k in keys])
+
+    miss = fetch(fetch(miss, 0, "_pv", "_pt"), 1, "_nv", "_nt")
+    miss = miss.withColumn(out, _interp_expr(value, F.col("_t"), "_pv", "_pt", "_nv", "_nt")).select(*cols, out)
+    return have.unionByName(miss)
 
 
 def iqr_fences(df: DataFrame, col: str, coef: float = 1.5) -> DataFrame:

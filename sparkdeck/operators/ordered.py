@@ -93,11 +93,13 @@ def _row_key(frame: pd.DataFrame, cols: list[str], i: int) -> tuple:
 class _LevelState:
     """Running state of one key level while a sorted partition streams through."""
 
-    def __init__(self):
+    def __init__(self, sums: Sequence[str] = ()):
         self.last_key = None     # key of the run that ends the rows seen so far
         self.run = 0             # length of that run
         self.first_key = None    # key of the partition's first run
         self.in_first = True     # has no later run started yet?
+        self.sums = list(sums)   # columns with a running sum inside each run
+        self.runsum = {c: 0.0 for c in self.sums}
 
     def step(self, frame: pd.DataFrame, cols: list[str]):
         n = len(frame)
@@ -120,30 +122,40 @@ class _LevelState:
                 self.in_first = False
         else:
             is_first = np.zeros(n, dtype=bool)
-        tail_len = int((gid == gid[-1]).sum())
-        self.run = self.run + tail_len if gid[-1] == 0 else tail_len
+        prefix = {}
+        for c in self.sums:
+            v = frame[c].fillna(0).to_numpy(dtype=float)
+            cs = np.cumsum(v)
+            before = np.where(start > 0, cs[np.maximum(start - 1, 0)], 0.0)
+            pre = cs - before
+            pre[gid == 0] += self.runsum[c]
+            prefix[c] = pre
+            self.runsum[c] = float(pre[-1])
+        self.run = int(pos[-1])
         self.last_key = _row_key(frame, cols, n - 1)
-        return pos, is_first
+        return pos, is_first, prefix
 
 
-def _local_pass(levels: list[list[str]]):
+def _local_pass(levels: list[list[str]], sums: Sequence[str] = ()):
     def fn(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        states = [_LevelState() for _ in levels]
+        states = [_LevelState(sums if i == 0 else ()) for i in range(len(levels))]
         for b in it:
             if not len(b):
                 continue
             b = b.reset_index(drop=True)
             for i, cols in enumerate(levels):
-                pos, first = states[i].step(b, cols)
+                pos, first, prefix = states[i].step(b, cols)
                 b[f"_lrn{i}"] = pos.astype("int64")
                 b[f"_first{i}"] = first.astype(bool)
+                for c, v in prefix.items():
+                    b[f"_lsum{i}_{c}"] = v
             yield b
     return fn
 
 
-def _summary_pass(levels: list[list[str]]):
+def _summary_pass(levels: list[list[str]], sums: Sequence[str] = ()):
     def fn(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        states = [_LevelState() for _ in levels]
+        states = [_LevelState(sums if i == 0 else ()) for i in range(len(levels))]
         pid = None
         for b in it:
             if not len(b):
@@ -161,23 +173,68 @@ def _summary_pass(levels: list[list[str]]):
                 row[f"_f{i}_{c}"] = [st.first_key[j]]
                 row[f"_l{i}_{c}"] = [st.last_key[j]]
             row[f"_run{i}"] = [st.run]
+            for c in st.sums:
+                row[f"_rsum{i}_{c}"] = [st.runsum[c]]
         yield pd.DataFrame(row)
     return fn
 
 
+# Largest group (rows) a plain window may put into one task; above it the scan is used.
+MAX_WINDOW_GROUP_CONF = "spark.sparkdeck.maxWindowGroupRows"
+DEFAULT_MAX_WINDOW_GROUP = 2_000_000
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Row count of the biggest group (one aggregate with map-side combine)."""
+    if not keys:
+        return df.count()
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+
+
+def choose_strategy(df: DataFrame, keys: Sequence[str], strategy: str = "auto") -> str:
+    """``window`` when every group fits one task comfortably, else ``scan``.
+
+    The check is a size bound measured on the data, like a broadcast behind a size
+    check: small groups get Spark's one-shuffle window (JVM only); a hot group — or a
+    global numbering of a large table — gets the range-partitioned scan.
+    """
+    if strategy != "auto":
+        return strategy
+    limit = int(df.sparkSession.conf.get(MAX_WINDOW_GROUP_CONF, str(DEFAULT_MAX_WINDOW_GROUP)))
+    return "window" if largest_group(df, keys) <= limit else "scan"
+
+
+def _window_positions(df, keys, order_n, row_number, rank, prefix_sums):
+    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*_sort_exprs([], order_n, None))
+    out = df.withColumn(row_number, F.row_number().over(w).cast("long"))
+    if rank:
+        out = out.withColumn(rank, F.rank().over(w).cast("long"))
+    for name, col in (prefix_sums or {}).items():
+        out = out.withColumn(name, F.sum(F.coalesce(F.col(col).cast("double"), F.lit(0.0)))
+                             .over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return out
+
+
 def segmented_positions(df: DataFrame, keys: Sequence[str], order: Sequence[OrderSpec],
                         row_number: str = "row_number", rank: str | None = None,
-                        num_partitions: int | None = None, tiebreak: bool = True) -> DataFrame:
+                        num_partitions: int | None = None, tiebreak: bool = True,
+                        strategy: str = "auto", prefix_sums: dict[str, str] | None = None) -> DataFrame:
     """Add ``row_number`` (1-based, within ``keys`` by ``order``) and optionally SQL ``rank``.
 
-    ``keys`` may be empty: the result is then a global row number (X-07) computed
-    without funnelling the table through one task.  Select only the columns you
-    need first — every column passes through one Arrow-batched Python pass.
+    ``keys`` may be empty: the result is then a global row number (X-07).
+    ``strategy``: ``scan`` (skew-safe, described above), ``window`` (Spark's window,
+    one task per group) or ``auto`` (window only when the largest group is under
+    ``spark.sparkdeck.maxWindowGroupRows``).  ``prefix_sums`` maps an output name to
+    a numeric column whose running (inclusive) sum within the group is added.  Select only the columns you need
+    first — in the scan every column passes through an Arrow-batched Python pass.
     """
     spark = df.sparkSession
     keys = list(keys)
     order_n = _norm_order(order)
     order_cols = [c for c, _ in order_n]
+    if num_partitions is None and choose_strategy(df, keys, strategy) == "window":
+        return _window_positions(df, keys, order_n, row_number, rank, prefix_sums)
+    sums = list((prefix_sums or {}).values())
     levels = [keys]                      # empty keys: one run per partition (global index)
     if rank:
         levels.append(keys + order_cols)
@@ -196,7 +253,9 @@ def segmented_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Orde
     local_fields = list(srt.schema.fields)
     for i in range(len(levels_eff)):
         local_fields += [T.StructField(f"_lrn{i}", T.LongType()), T.StructField(f"_first{i}", T.BooleanType())]
-    local = srt.mapInPandas(_local_pass(levels_eff), T.StructType(local_fields))
+        if i == 0:
+            local_fields += [T.StructField(f"_lsum0_{c}", T.DoubleType()) for c in sums]
+    local = srt.mapInPandas(_local_pass(levels_eff, sums), T.StructType(local_fields))
 
     sfields = [T.StructField("_pid", T.IntegerType())]
     types = {f.name: f.dataType for f in srt.schema.fields}
@@ -204,7 +263,9 @@ def segmented_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Orde
         for c in cols:
             sfields += [T.StructField(f"_f{i}_{c}", types[c]), T.StructField(f"_l{i}_{c}", types[c])]
         sfields.append(T.StructField(f"_run{i}", T.LongType()))
-    summary = srt.mapInPandas(_summary_pass(levels_eff), T.StructType(sfields))
+        if i == 0:
+            sfields += [T.StructField(f"_rsum0_{c}", T.DoubleType()) for c in sums]
+    summary = srt.mapInPandas(_summary_pass(levels_eff, sums), T.StructType(sfields))
 
     # carry of partition p = runs of earlier partitions ending in p's first key.  By
     # sortedness those partitions are contiguous and end at p-1, so it is the running
@@ -221,7 +282,13 @@ def segmented_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Orde
             match = match & F.lag(f"_l{i}_{c}").over(w_ord).eqNullSafe(F.col(f"_f{i}_{c}"))
         carry = carry.withColumn(f"_carry{i}", F.when(match, F.lag(f"_cum{i}").over(w_ord)).otherwise(F.lit(0))
                                  .cast("long"))
-    carry = carry.select("_pid", *[f"_carry{i}" for i in range(len(levels_eff))])
+        if i == 0:
+            for c in sums:
+                carry = carry.withColumn(f"_cs0_{c}", F.sum(f"_rsum0_{c}").over(w_chain))
+                carry = carry.withColumn(f"_csum0_{c}", F.when(match, F.lag(f"_cs0_{c}").over(w_ord))
+                                         .otherwise(F.lit(0.0)))
+    carry = carry.select("_pid", *[f"_carry{i}" for i in range(len(levels_eff))],
+                         *[f"_csum0_{c}" for c in sums])
 
     out = local.join(F.broadcast(carry), "_pid", "left")
     rn_cols = []
@@ -232,30 +299,35 @@ def segmented_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Orde
     if rank:
         # rank = row number of the tie block's first row = row_number - (position in block - 1)
         sel.append((rn_cols[0] - rn_cols[-1] + 1).cast("long").alias(rank))
+    for name, c in (prefix_sums or {}).items():
+        sel.append((F.col(f"_lsum0_{c}") + F.when(F.col("_first0"), F.col(f"_csum0_{c}")).otherwise(0.0)).alias(name))
     return out.select(*sel)
 
 
 def with_row_index(df: DataFrame, order: Sequence[OrderSpec], name: str = "row_idx",
-                   num_partitions: int | None = None) -> DataFrame:
-    """0-based global row index by ``order`` (X-07), never through a single task."""
-    r = segmented_positions(df, [], order, row_number="_rn1", num_partitions=num_partitions)
+                   num_partitions: int | None = None, strategy: str = "auto") -> DataFrame:
+    """0-based global row index by ``order`` (X-07); a large table never goes through one task."""
+    r = segmented_positions(df, [], order, row_number="_rn1", num_partitions=num_partitions, strategy=strategy)
     return r.withColumn(name, F.col("_rn1") - 1).drop("_rn1")
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[OrderSpec], name: str = "rank",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, strategy: str = "auto") -> DataFrame:
     """SQL ``RANK()`` within groups (ties share, gaps left) — W-02."""
-    r = segmented_positions(df, keys, order, row_number="_rn_tmp", rank=name, num_partitions=num_partitions)
+    r = segmented_positions(df, keys, order, row_number="_rn_tmp", rank=name, num_partitions=num_partitions,
+                            strategy=strategy)
     return r.drop("_rn_tmp")
 
 
 def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[OrderSpec],
-                      name: str = "row_number", num_partitions: int | None = None) -> DataFrame:
-    return segmented_positions(df, keys, order, row_number=name, num_partitions=num_partitions)
+                      name: str = "row_number", num_partitions: int | None = None,
+                      strategy: str = "auto") -> DataFrame:
+    return segmented_positions(df, keys, order, row_number=name, num_partitions=num_partitions, strategy=strategy)
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None, num_partitions: int | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None, num_partitions: int | None = None,
+                    strategy: str = "auto") -> DataFrame:
     """Exact interpolated quantiles (R type 7, SQL ``quantile_cont`` / ``percentile``) per group.
 
     NULL values are skipped.  Each group's sorted values are numbered by
@@ -267,7 +339,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     keys = list(keys)
     names = list(names) if names else [f"q{int(round(p * 100)):02d}" for p in probs]
     vals = df.select(*keys, value).filter(F.col(value).isNotNull())
-    pos = segmented_positions(vals, keys, [value], row_number="_pos", num_partitions=num_partitions)
+    pos = segmented_positions(vals, keys, [value], row_number="_pos", num_partitions=num_partitions,
+                              strategy=strategy)
     counts = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     targets = []
     for p, nm in zip(probs, names):
@@ -289,5 +362,5 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median",
-                 num_partitions: int | None = None) -> DataFrame:
-    return exact_quantiles(df, keys, value, [0.5], [name], num_partitions=num_partitions)
+                 num_partitions: int | None = None, strategy: str = "auto") -> DataFrame:
+    return exact_quantiles(df, keys, value, [0.5], [name], num_partitions=num_partitions, strategy=strategy)

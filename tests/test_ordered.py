@@ -65,3 +65,28 @@ def test_single_value_group_split_across_partitions(spark):
     assert tuple(out) == (1, 1)
     rn = segmented_positions(df, ["g"], ["v"], row_number="rn", num_partitions=10)
     assert rn.agg(F.countDistinct("rn"), F.max("rn")).first() == (5000, 5000)
+
+
+def test_prefix_sums_carry_across_partitions(spark):
+    pdf, df = _frame(spark, seed=5)
+    df = df.withColumn("w", F.when(F.col("v").isNull(), 0).otherwise(1))
+    out = segmented_positions(df, ["g"], ["id"], row_number="rn", prefix_sums={"cw": "w"},
+                              num_partitions=11).toPandas().sort_values(["g", "id"])
+    exp = out.groupby("g").w.cumsum()
+    assert (out.cw.values == exp.values).all()
+
+
+def test_interpolation_scan_equals_window(spark):
+    from sparkdeck.operators.features import interpolate_linear
+    rng = np.random.default_rng(6)
+    n = 4000
+    pdf = pd.DataFrame({"id": np.arange(n), "g": np.where(rng.random(n) < 0.6, 0, rng.integers(1, 9, n)),
+                        "ts": pd.Timestamp("2024-01-01") + pd.to_timedelta(rng.integers(0, 10**6, n), unit="s"),
+                        "v": rng.normal(size=n)})
+    pdf.loc[rng.random(n) < 0.3, "v"] = np.nan
+    df = spark.createDataFrame(pdf).withColumn("v", F.when(F.isnan("v"), None).otherwise(F.col("v")))
+    a = interpolate_linear(df, ["g"], "ts", "v", "vi", tiebreak="id", strategy="window").toPandas()
+    b = interpolate_linear(df, ["g"], "ts", "v", "vi", tiebreak="id", strategy="scan").toPandas()
+    m = a.merge(b, on="id")
+    assert len(m) == n
+    assert np.allclose(m.vi_x.fillna(1e9), m.vi_y.fillna(1e9), rtol=1e-12, atol=1e-12)

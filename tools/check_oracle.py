@@ -65,7 +65,11 @@ if __name__ == "__main__":
     from sparkdeck.session import get_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = set(sys.argv[2:])
-    spark = get_session("local[8]", shuffle_partitions=8)
+    import os
+    extra = {}
+    if os.environ.get("MAX_WINDOW_GROUP") is not None:   # 0 forces the skew-safe scan everywhere
+        extra["spark.sparkdeck.maxWindowGroupRows"] = os.environ["MAX_WINDOW_GROUP"]
+    spark = get_session("local[8]", shuffle_partitions=8, extra=extra)
     con = duck(sf)
     bad = 0
     for name, (fn, sql) in REGISTRY.items():
