@@ -16,10 +16,10 @@ _HASH_BUCKETS = 1_000_000
 def sample_n(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """Exactly ``n`` random rows (fewer only if the table is smaller).
 
-    A Bernoulli pre-sample sized for ``n`` plus a five-sigma margin keeps the final
-    ordered take to about ``n`` rows, instead of every partition shipping ``n``
-    candidates; a short pre-sample falls back to the whole table, so the answer is
-    always exact.
+    A Bernoulli pre-sample sized for ``n`` plus a five-sigma margin keeps about ``n``
+    candidates; each gets a seeded random key and the first ``n`` by that key are
+    kept through a global row index (X-07), so no task or driver merges per-partition
+    candidate lists.  A short pre-sample falls back to the whole table: always exact.
     """
     total = df.count()
     if n >= total:
@@ -28,7 +28,8 @@ def sample_n(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     pre = df.sample(False, frac, seed) if frac < 1.0 else df
     if frac < 1.0 and pre.count() < n:
         pre = df
-    return pre.withColumn("_r", F.rand(seed)).orderBy("_r").limit(n).drop("_r")
+    cand = pre.withColumn("_r", F.rand(seed))
+    return with_row_index(cand, ["_r"], name="_i").filter(F.col("_i") < n).drop("_r", "_i")
 
 
 def sample_frac(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
