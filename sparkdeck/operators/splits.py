@@ -95,18 +95,22 @@ def fold_split(folded: DataFrame, i: int, name: str = "fold") -> tuple[DataFrame
 
 
 def holdout_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[OrderSpec],
-                    start: int, stop: int, max_test: int = 0, name: str = "split") -> DataFrame:
+                    start: int, stop: int, max_test: int = 0, name: str = "split",
+                    position: str = "pos") -> DataFrame:
     """Per-key hold-out: a row is ``test`` when its position within its key (by ``order``,
     1-based) is in ``[start, stop]`` and fewer than ``max_test`` rows (in ``order``) are
     already in test; ``max_test <= 0`` means no cap.  All other rows are ``base``.
 
     Positions come from the skew-safe segmented scan; the cap numbers only the
     qualifying rows globally (again without a single-task window) and keeps the
-    first ``max_test``.  Output: input columns + ``pos`` + ``split``.
+    first ``max_test``.  Output: input columns + ``position`` + ``name``.
     """
+    for c in (name, position):
+        if c in df.columns:
+            raise ValueError(f"output column {c!r} already exists in the input")
     keys = [key] if isinstance(key, str) else list(key)
-    pos = segmented_positions(df, keys, order, row_number="pos")
-    qual = (F.col("pos") >= start) & (F.col("pos") <= stop)
+    pos = segmented_positions(df, keys, order, row_number=position)
+    qual = (F.col(position) >= start) & (F.col(position) <= stop)
     if max_test <= 0:
         return pos.withColumn(name, F.when(qual, "test").otherwise("base"))
     q = with_row_index(pos.filter(qual), order, name="_qidx")
