@@ -127,11 +127,11 @@ def glm_path(train: DataFrame, y: str, xs: Sequence[str], alpha: float = 0.5, n_
     lmax = max(abs(dots[x]) for x in xs) / (n * max(alpha, 1e-3))
     lambdas = [lmax * (min_ratio ** (i / (n_lambda - 1))) for i in range(n_lambda)]
     va = VectorAssembler(inputCols=xs, outputCol="features", handleInvalid="skip")
-    tr = va.transform(train).cache()
+    tr = va.transform(train).select("features", y).cache()
     lr = LinearRegression(featuresCol="features", labelCol=y, elasticNetParam=alpha, standardization=True)
     maps = [{lr.regParam: lam} for lam in lambdas]
     rows = []
-    vt = va.transform(valid) if valid is not None else None
+    vt = va.transform(valid).select("features", y).cache() if valid is not None else None
     for idx, model in lr.fitMultiple(tr, maps):
         coefs = model.coefficients.toArray()
         vmse = None
@@ -141,6 +141,8 @@ def glm_path(train: DataFrame, y: str, xs: Sequence[str], alpha: float = 0.5, n_
                      float(model.summary.meanSquaredError), _f(vmse),
                      [float(c) for c in coefs], float(model.intercept)))
     tr.unpersist()
+    if vt is not None:
+        vt.unpersist()
     return spark.createDataFrame(rows, "lambda double, n_nonzero int, train_mse double, valid_mse double, "
                                        "coefficients array<double>, intercept double").orderBy(F.desc("lambda"))
 

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -132,7 +133,8 @@ def fit_network(train: DataFrame, y: str, xs: Sequence[str], hidden: Sequence[in
     rng = np.random.default_rng(seed)
     layers = [(rng.normal(0, np.sqrt(2.0 / a), (a, b)), np.zeros(b)) for a, b in shapes]
     w = _pack(layers)
-    data = train.select(*xs, y)
+    # cached: every epoch reads it again (lost blocks are recomputed from lineage)
+    data = train.select(*xs, y).persist(StorageLevel.MEMORY_AND_DISK)
     out_schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("loss", T.DoubleType()),
                                T.StructField("w", T.ArrayType(T.DoubleType()))])
     history = []
@@ -142,5 +144,6 @@ def fit_network(train: DataFrame, y: str, xs: Sequence[str], hidden: Sequence[in
         tot = sum(r["n"] for r in parts)
         w = sum(np.array(r["w"]) * (r["n"] / tot) for r in parts)
         history.append(sum(r["loss"] for r in parts) / tot)
+    data.unpersist()
     model = NetworkModel(xs, list(hidden), [float(v) for v in w], xm.tolist(), xsd.tolist(), ym, ysd)
     return model, history

@@ -19,6 +19,9 @@ from ..ml.evaluate import (class_error, cluster_stats, cluster_stats_array, conf
                            regression_metrics)
 from ..ml.network import fit_network
 from ..ml.search import best_model, grid_search
+from pyspark.ml.classification import LogisticRegression
+
+from ..operators.features import formula_features
 from ..operators.splits import partition, sample_frac, sample_n, tag_partitions
 from ..session import ensure_checkpoint_dir
 from ..sources.files import count_lines, read_csv, read_delimited, write_csv, write_parquet
@@ -221,8 +224,11 @@ def logistic_fit(spark, sf):
     """L-08, F-04, F-05: binary response (toxic) on log length and quality."""
     d = _t(spark, sf, "labels").join(_t(spark, sf, "documents").select("doc_id", "n_chars"), "doc_id")
     d = d.withColumn("log_chars", F.log1p("n_chars")).withColumn("y", F.col("toxic").cast("double"))
-    m = M.logistic_regression(d, "y", ["log_chars", "quality"])
-    return M.coefficients(m, ["log_chars", "quality"])
+    f = formula_features(d, "y ~ log_chars + quality")       # F-04: formula to features and label
+    lr = LogisticRegression(featuresCol="features", labelCol="label").fit(f)
+    rows = [("(Intercept)", float(lr.intercept))] + [(n, float(c)) for n, c in
+                                                     zip(["log_chars", "quality"], lr.coefficients.toArray())]
+    return spark.createDataFrame(rows, "term string, estimate double")
 
 
 @query("regression_summary", None)
