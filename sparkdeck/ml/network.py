@@ -43,6 +43,13 @@ def _pack(layers) -> np.ndarray:
     return np.concatenate([np.concatenate([W.ravel(), b]) for W, b in layers])
 
 
+def _matrix(b: pd.DataFrame, xs) -> np.ndarray:
+    """Feature matrix from numeric columns, or from one array column (``xs`` a str)."""
+    if isinstance(xs, str):
+        return np.stack([np.asarray(v, dtype=float) for v in b[xs]]) if len(b) else np.zeros((0, 0))
+    return b[xs].to_numpy(dtype=float)
+
+
 def _forward(X, layers):
     acts = [X]
     h = X
@@ -55,7 +62,7 @@ def _forward(X, layers):
 
 @dataclass
 class NetworkModel:
-    xs: list[str]
+    xs: list[str] | str
     hidden: list[int]
     weights: list[float]
     x_mean: list[float]
@@ -64,7 +71,7 @@ class NetworkModel:
     y_std: float
 
     def transform(self, df: DataFrame, prediction: str = "predict") -> DataFrame:
-        shapes = _shapes(len(self.xs), self.hidden)
+        shapes = _shapes(len(self.x_mean), self.hidden)
         w = np.array(self.weights)
         xm, xsd = np.array(self.x_mean), np.array(self.x_std)
         ym, ysd = self.y_mean, self.y_std
@@ -73,7 +80,7 @@ class NetworkModel:
         def fn(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             layers = _unpack(w, shapes)
             for b in it:
-                X = (b[xs].to_numpy(dtype=float) - xm) / xsd
+                X = (_matrix(b, xs) - xm) / xsd
                 p = _forward(np.nan_to_num(X), layers)[-1][:, 0] * ysd + ym
                 b[prediction] = p
                 yield b
@@ -90,10 +97,10 @@ def _epoch_fn(w0: np.ndarray, shapes, xs, y, xm, xsd, ym, ysd, lr, batch, dropou
         layers = _unpack(w0.copy(), shapes)
         n, loss = 0, 0.0
         for b in it:
-            b = b.dropna(subset=list(xs) + [y])
+            b = b.dropna(subset=([xs] if isinstance(xs, str) else list(xs)) + [y])
             if not len(b):
                 continue
-            X = (b[xs].to_numpy(dtype=float) - xm) / xsd
+            X = (_matrix(b, xs) - xm) / xsd
             Y = ((b[y].to_numpy(dtype=float) - ym) / ysd)[:, None]
             idx = rng.permutation(len(X))
             for s in range(0, len(X), batch):
@@ -121,20 +128,30 @@ def _epoch_fn(w0: np.ndarray, shapes, xs, y, xm, xsd, ym, ysd, lr, batch, dropou
 def fit_network(train: DataFrame, y: str, xs: Sequence[str], hidden: Sequence[int] = (10, 5, 10),
                 epochs: int = 15, input_dropout: float = 0.7, learn_rate: float = 0.01, batch: int = 32,
                 seed: int = 1) -> tuple[NetworkModel, list[float]]:
-    """Returns the model and the mean training loss per epoch (standardised units)."""
-    xs = list(xs)
-    st = train.agg(*[F.avg(c).alias(f"m_{c}") for c in xs], *[F.stddev_pop(c).alias(f"s_{c}") for c in xs],
-                   F.avg(y).alias("my"), F.stddev_pop(y).alias("sy")).first()
-    xm = np.array([st[f"m_{c}"] for c in xs], dtype=float)
-    xsd = np.array([st[f"s_{c}"] or 1.0 for c in xs], dtype=float)
+    """Returns the model and the mean training loss per epoch (standardised units).
+
+    ``xs`` is a list of numeric columns or the name of one array<double> column."""
+    if isinstance(xs, str):
+        from pyspark.ml.functions import array_to_vector
+        from pyspark.ml.stat import Summarizer
+        sm = train.select(Summarizer.metrics("mean", "std").summary(array_to_vector(F.col(xs))).alias("s")).first()["s"]
+        xm, xsd = sm["mean"].toArray(), sm["std"].toArray().copy()
+        sy = train.agg(F.avg(y).alias("my"), F.stddev_pop(y).alias("sy")).first()
+        ym, ysd = float(sy["my"]), float(sy["sy"] or 1.0)
+    else:
+        xs = list(xs)
+        st = train.agg(*[F.avg(c).alias(f"m_{c}") for c in xs], *[F.stddev_pop(c).alias(f"s_{c}") for c in xs],
+                       F.avg(y).alias("my"), F.stddev_pop(y).alias("sy")).first()
+        xm = np.array([st[f"m_{c}"] for c in xs], dtype=float)
+        xsd = np.array([st[f"s_{c}"] or 1.0 for c in xs], dtype=float)
+        ym, ysd = float(st["my"]), float(st["sy"] or 1.0)
     xsd[xsd == 0] = 1.0
-    ym, ysd = float(st["my"]), float(st["sy"] or 1.0)
-    shapes = _shapes(len(xs), hidden)
+    shapes = _shapes(len(xm), hidden)
     rng = np.random.default_rng(seed)
     layers = [(rng.normal(0, np.sqrt(2.0 / a), (a, b)), np.zeros(b)) for a, b in shapes]
     w = _pack(layers)
     # cached: every epoch reads it again (lost blocks are recomputed from lineage)
-    data = train.select(*xs, y).persist(StorageLevel.MEMORY_AND_DISK)
+    data = train.select(*([xs] if isinstance(xs, str) else xs), y).persist(StorageLevel.MEMORY_AND_DISK)
     out_schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("loss", T.DoubleType()),
                                T.StructField("w", T.ArrayType(T.DoubleType()))])
     history = []

@@ -292,19 +292,28 @@ def gbm_multiclass(spark, sf):
                           "actual", "predicted")
 
 
-def _li_reg(spark, sf):
-    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
-                                          (F.col("l_extendedprice") / 1000.0).alias("y"))
-    return partition(li, {"train": 0.75, "valid": 0.25}, seed=1, key=["l_orderkey", "l_linenumber"])
+_DOC_X = ["log_words", "log_lines", "log_digits", "log_upper"]
+
+
+def _doc_reg(spark, sf):
+    """Regression data derived from whole document texts: log length on log counts of
+    words, lines, digits and capitals (built-in string functions, JVM side); split
+    75 / 25 by a hash of ``doc_id``."""
+    d = _t(spark, sf, "documents").select(
+        "doc_id", F.log1p("n_chars").alias("y"),
+        F.log1p(F.size(F.split("text", r"\s+"))).alias("log_words"),
+        F.log1p(F.size(F.split("text", "\n"))).alias("log_lines"),
+        F.log1p(F.length(F.regexp_replace("text", "[^0-9]", ""))).alias("log_digits"),
+        F.log1p(F.length(F.regexp_replace("text", "[^A-Z]", ""))).alias("log_upper"))
+    return partition(d, {"train": 0.75, "valid": 0.25}, seed=1, key=["doc_id"])
 
 
 @query("gbt_regression", None)
 def gbt_regression(spark, sf):
     """L-16: boosted regression trees with row and column sampling; validation metrics."""
-    parts = _li_reg(spark, sf)
-    xs = ["l_quantity", "l_discount", "l_tax"]
-    m = M.gbt_regressor(parts["train"], "y", xs, ntrees=20, max_depth=5, learn_rate=0.1, sample_rate=0.8,
-                        col_sample_rate=1.0, seed=1)
+    parts = _doc_reg(spark, sf)
+    m = M.gbt_regressor(parts["train"], "y", _DOC_X, ntrees=20, max_depth=5, learn_rate=0.1, sample_rate=0.8,
+                        col_sample_rate=0.7, seed=1)
     return regression_metrics(m.transform(parts["valid"]), "y", "prediction")
 
 
@@ -312,10 +321,9 @@ def gbt_regression(spark, sf):
 def network_regression(spark, sf):
     """L-17: 10-5-10 ReLU network, input dropout 0.7, 15 epochs; validation metrics and the
     constant-mean baseline."""
-    parts = _li_reg(spark, sf)
-    xs = ["l_quantity", "l_discount", "l_tax"]
-    model, hist = fit_network(parts["train"], "y", xs, hidden=(10, 5, 10), epochs=15, input_dropout=0.7, seed=1)
-    pred = model.transform(parts["valid"].select(*xs, "y"))
+    parts = _doc_reg(spark, sf)
+    model, hist = fit_network(parts["train"], "y", _DOC_X, hidden=(10, 5, 10), epochs=15, input_dropout=0.7, seed=1)
+    pred = model.transform(parts["valid"].select(*_DOC_X, "y"))
     mean_y = parts["train"].select(F.avg("y")).scalar()
     met = regression_metrics(pred, "y", "predict")
     base = parts["valid"].agg(F.avg(F.pow(F.col("y") - mean_y, 2)).alias("baseline_mse"))
@@ -325,9 +333,8 @@ def network_regression(spark, sf):
 @query("glm_path", None)
 def glm_path_q(spark, sf):
     """L-19: elastic-net path (alpha 0.5) with validation MSE at every penalty."""
-    parts = _li_reg(spark, sf)
-    return M.glm_path(parts["train"], "y", ["l_quantity", "l_discount", "l_tax"], alpha=0.5, n_lambda=10,
-                      valid=parts["valid"])
+    parts = _doc_reg(spark, sf)
+    return M.glm_path(parts["train"], "y", _DOC_X, alpha=0.5, n_lambda=10, valid=parts["valid"])
 
 
 def _part_split(spark, sf):

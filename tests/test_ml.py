@@ -7,7 +7,7 @@ from sparkdeck.ml.network import fit_network
 from sparkdeck.ml.search import combinations
 from sparkdeck.plans.ml_catalog import _emb
 
-from .conftest import SF_SMALL
+from .conftest import SF_MID, SF_SMALL
 
 
 def test_grid_combinations():
@@ -30,14 +30,22 @@ def test_pca_orthonormal(spark):
 
 
 def test_network_learns(spark):
-    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select(
-        "l_quantity", "l_discount", "l_tax", (F.col("l_extendedprice") / 1000).alias("y"))
-    model, hist = fit_network(li, "y", ["l_quantity", "l_discount", "l_tax"], epochs=6, input_dropout=0.0)
+    from sparkdeck.plans.ml_catalog import _DOC_X, _doc_reg
+    parts = _doc_reg(spark, SF_MID)
+    model, hist = fit_network(parts["train"], "y", _DOC_X, epochs=8, input_dropout=0.2, seed=3)
     assert hist[-1] < hist[0]
-    pred = model.transform(li)
+    pred = model.transform(parts["valid"].select(*_DOC_X, "y"))
     mse = pred.agg(F.avg(F.pow(F.col("y") - F.col("predict"), 2))).first()[0]
-    var = li.agg(F.var_pop("y")).first()[0]
-    assert mse < var
+    mean_y = parts["train"].agg(F.avg("y")).first()[0]
+    base = parts["valid"].agg(F.avg(F.pow(F.col("y") - mean_y, 2))).first()[0]
+    assert mse < 0.7 * base
+
+
+def test_network_array_input(spark):
+    e = _emb(spark, SF_SMALL).withColumn("y", F.col("label").cast("double"))
+    model, hist = fit_network(e, "y", "emb", epochs=2, hidden=(4,), input_dropout=0.0)
+    out = model.transform(e.select("emb", "y"))
+    assert out.count() == e.count() and len(hist) == 2
 
 
 def test_booster_labels(spark):
