@@ -247,6 +247,22 @@ def robust_regression(spark, sf):
     return M.coefficients(m, ["l_quantity"])
 
 
+# Letters whose share of a text is used as a language feature.
+LETTERS = ["a", "e", "i", "o", "u", "h", "n", "s", "t", "w", "z", "c"]
+_LANG_X = [f"share_{c}" for c in LETTERS]
+
+
+def _doc_lang(spark, sf):
+    """Language-classification data derived from whole texts: the share of each letter
+    in ``LETTERS`` (lower-cased), built-in string functions only; 75 / 25 hash split."""
+    d = _t(spark, sf, "documents").select("doc_id", "lang", F.lower("text").alias("t"))
+    n = F.greatest(F.length("t"), F.lit(1))
+    feats = [((F.length("t") - F.length(F.replace("t", F.lit(c), F.lit("")))) / n).alias(f"share_{c}")
+             for c in LETTERS]
+    d = d.select("doc_id", "lang", *feats)
+    return partition(d, {"train": 0.75, "valid": 0.25}, seed=1, key=["doc_id"])
+
+
 def _emb_split(spark, sf):
     e = _emb(spark, sf).withColumn("label", F.col("label").cast("string"))
     parts = partition(e, {"train": 0.75, "valid": 0.25}, seed=1, key=["vec_id"])
@@ -255,21 +271,22 @@ def _emb_split(spark, sf):
 
 @query("rf_validation", None)
 def rf_validation(spark, sf):
-    """L-12, L-13: 400-tree forest, depth 5, 32 bins, seed 1; confusion on the validation part."""
-    tr, va = _emb_split(spark, sf)
-    m = M.random_forest(tr, "label", "features", num_trees=400, max_depth=5, max_bins=32, seed=1)
+    """L-12, L-13: 400-tree forest, depth 5, 32 bins, seed 1 (language from letter shares);
+    confusion on the validation part."""
+    parts = _doc_lang(spark, sf)
+    m = M.random_forest(parts["train"], "lang", _LANG_X, num_trees=400, max_depth=5, max_bins=32, seed=1)
     labels = m.stages[0].labels
-    p = m.transform(va).withColumn("predicted", F.element_at(F.array(*[F.lit(x) for x in labels]),
-                                                              F.col("prediction").cast("int") + 1))
-    return confusion_long(p.select(F.col("label").alias("actual"), "predicted"), "actual", "predicted")
+    p = m.transform(parts["valid"]).withColumn(
+        "predicted", F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("prediction").cast("int") + 1))
+    return confusion_long(p.select(F.col("lang").alias("actual"), "predicted"), "actual", "predicted")
 
 
 @query("rf_importance", None)
 def rf_importance(spark, sf):
-    """L-11, L-14: 10-tree forest and its scaled variable importance."""
-    tr, _ = _emb_split(spark, sf)
-    m = M.random_forest(tr, "label", "features", num_trees=10, seed=1)
-    return M.variable_importance(m, [f"e{i}" for i in range(64)])
+    """L-11, L-14: 10-tree forest (language from letter shares) and its scaled variable importance."""
+    parts = _doc_lang(spark, sf)
+    m = M.random_forest(parts["train"], "lang", _LANG_X, num_trees=10, seed=1)
+    return M.variable_importance(m, _LANG_X)
 
 
 def _orders_features(spark, sf):
@@ -282,13 +299,13 @@ def _orders_features(spark, sf):
 
 @query("gbm_multiclass", None)
 def gbm_multiclass(spark, sf):
-    """L-15: three-class boosting (status), 20 rounds, depth 3, rate 0.01, column sample 0.7."""
-    o = _orders_features(spark, sf)
-    parts = partition(o, {"train": 0.75, "valid": 0.25}, seed=1, key=["o_orderkey"])
-    m = fit_multinomial_boost(parts["train"], "o_orderstatus", ["o_totalprice", "days", "priority"],
-                              ntrees=20, max_depth=3, learn_rate=0.01, col_sample_rate=0.7, seed=1)
+    """L-15: multi-class boosting (four languages from letter shares), 20 rounds, depth 3,
+    rate 0.01, column sample 0.7, seed 1; confusion on the validation part."""
+    parts = _doc_lang(spark, sf)
+    m = fit_multinomial_boost(parts["train"], "lang", _LANG_X, ntrees=20, max_depth=3, learn_rate=0.01,
+                              col_sample_rate=0.7, seed=1)
     p = m.transform(parts["valid"])
-    return confusion_long(p.select(F.col("o_orderstatus").alias("actual"), F.col("predict").alias("predicted")),
+    return confusion_long(p.select(F.col("lang").alias("actual"), F.col("predict").alias("predicted")),
                           "actual", "predicted")
 
 
