@@ -204,6 +204,29 @@ def choose_strategy(df: DataFrame, keys: Sequence[str], strategy: str = "auto")
     return "window" if largest_group(df, keys) <= limit else "scan"
 
 
+TARGET_PARTITION_BYTES_CONF = "spark.sparkdeck.scanPartitionBytes"
+DEFAULT_TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SCAN_PARTITIONS = 200_000
+
+
+def scan_partitions(df: DataFrame) -> int:
+    """Partition count for the scan's range exchange.
+
+    The count must be explicit (AQE leaves a numbered repartition alone, which keeps
+    partition ids stable between the two passes), so it is sized from the
+    optimiser's size estimate: about 256 MB per partition, never fewer than
+    ``spark.sql.shuffle.partitions``.
+    """
+    spark = df.sparkSession
+    base = shuffle_partitions(spark)
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no estimate available
+        return base
+    target = int(spark.conf.get(TARGET_PARTITION_BYTES_CONF, str(DEFAULT_TARGET_PARTITION_BYTES)))
+    return int(min(MAX_SCAN_PARTITIONS, max(base, -(-size // target))))
+
+
 def _window_positions(df, keys, order_n, row_number, rank, prefix_sums):
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*_sort_exprs([], order_n, None))
     out = df.withColumn(row_number, F.row_number().over(w).cast("long"))
@@ -238,7 +261,7 @@ def segmented_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Orde
     levels = [keys]                      # empty keys: one run per partition (global index)
     if rank:
         levels.append(keys + order_cols)
-    n = num_partitions or shuffle_partitions(spark)
+    n = num_partitions or scan_partitions(df)
 
     base_cols = df.columns
     tb = "_tiebreak" if tiebreak else None
