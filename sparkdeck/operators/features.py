@@ -138,8 +138,8 @@ def handle_outliers(df: DataFrame, col: str, how: str = "clip", coef: float = 1.
                     out: str | None = None) -> DataFrame:
     """Outside the IQR fences: ``clip`` to the fence, ``remove`` the row, or ``null`` the value."""
     out = out or col
-    f = iqr_fences(df, col, coef)
-    lo, hi = f.select("lo").scalar(), f.select("hi").scalar()
+    fences = iqr_fences(df, col, coef).select(F.struct("lo", "hi")).scalar()   # quantiles computed once
+    lo, hi = fences.getField("lo"), fences.getField("hi")
     x = F.col(col)
     if how == "clip":
         return df.withColumn(out, F.when(x < lo, lo).when(x > hi, hi).otherwise(x))  # NULL stays NULL
@@ -152,8 +152,8 @@ def handle_outliers(df: DataFrame, col: str, how: str = "clip", coef: float = 1.
 
 def log_gauss(df: DataFrame, col: str) -> DataFrame:
     """``log1p`` and a Gaussian kernel around the column mean with its sample SD."""
-    mu = df.select(F.avg(col)).scalar()
-    sd = df.select(F.stddev_samp(col)).scalar()
+    st = df.select(F.struct(F.avg(col).alias("mu"), F.stddev_samp(col).alias("sd"))).scalar()
+    mu, sd = st.getField("mu"), st.getField("sd")
     x = F.col(col)
     return (df.withColumn(f"{col}_log1p", F.log1p(x))
             .withColumn(f"{col}_gauss", F.exp(-F.pow(x - mu, 2) / (F.lit(2.0) * F.pow(sd, 2)))))

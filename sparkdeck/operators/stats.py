@@ -32,10 +32,12 @@ def pairwise_t_test(df: DataFrame, value: str, group: str, p_adjust: str | None
                  F.col("var").alias("var_a"))
     b = m.select(F.col(group).alias("group_b"), F.col("n").alias("n_b"), F.col("mean").alias("mean_b"),
                  F.col("var").alias("var_b"))
-    # pooled variance and residual degrees of freedom over all groups (scalar subqueries)
-    dfree = m.select((F.sum("n") - F.count(F.lit(1))).cast("double")).scalar()
-    sp2 = m.select(F.sum((F.col("n") - 1) * F.coalesce(F.col("var"), F.lit(0.0))) /
-                   (F.sum("n") - F.count(F.lit(1)))).scalar()
+    # pooled variance and residual degrees of freedom in one scalar subquery
+    pool = m.select(F.struct(
+        (F.sum("n") - F.count(F.lit(1))).cast("double").alias("dof"),
+        (F.sum((F.col("n") - 1) * F.coalesce(F.col("var"), F.lit(0.0))) /
+         (F.sum("n") - F.count(F.lit(1)))).alias("sp2"))).scalar()
+    dfree, sp2 = pool.getField("dof"), pool.getField("sp2")
     pairs = a.join(F.broadcast(b), F.col("group_a") < F.col("group_b"))
     if pooled:
         se = F.sqrt(sp2 * (F.lit(1.0) / F.col("n_a") + F.lit(1.0) / F.col("n_b")))
