@@ -138,22 +138,25 @@ def handle_outliers(df: DataFrame, col: str, how: str = "clip", coef: float = 1.
                     out: str | None = None) -> DataFrame:
     """Outside the IQR fences: ``clip`` to the fence, ``remove`` the row, or ``null`` the value."""
     out = out or col
-    fences = iqr_fences(df, col, coef).select(F.struct("lo", "hi")).scalar()   # quantiles computed once
-    lo, hi = fences.getField("lo"), fences.getField("hi")
+    # the fences enter once, as one struct-valued scalar subquery in a helper column
+    d = df.withColumn("_fence", iqr_fences(df, col, coef).select(F.struct("lo", "hi")).scalar())
+    lo, hi = F.col("_fence.lo"), F.col("_fence.hi")
     x = F.col(col)
     if how == "clip":
-        return df.withColumn(out, F.when(x < lo, lo).when(x > hi, hi).otherwise(x))  # NULL stays NULL
-    if how == "remove":
-        return df.filter(x.isNull() | ((x >= lo) & (x <= hi)))
-    if how == "null":
-        return df.withColumn(out, F.when((x >= lo) & (x <= hi), x))
-    raise ValueError(how)
+        d = d.withColumn(out, F.when(x < lo, lo).when(x > hi, hi).otherwise(x))  # NULL stays NULL
+    elif how == "remove":
+        d = d.filter(x.isNull() | ((x >= lo) & (x <= hi)))
+    elif how == "null":
+        d = d.withColumn(out, F.when((x >= lo) & (x <= hi), x))
+    else:
+        raise ValueError(how)
+    return d.drop("_fence")
 
 
 def log_gauss(df: DataFrame, col: str) -> DataFrame:
     """``log1p`` and a Gaussian kernel around the column mean with its sample SD."""
-    st = df.select(F.struct(F.avg(col).alias("mu"), F.stddev_samp(col).alias("sd"))).scalar()
-    mu, sd = st.getField("mu"), st.getField("sd")
+    d = df.withColumn("_st", df.select(F.struct(F.avg(col).alias("mu"), F.stddev_samp(col).alias("sd"))).scalar())
+    mu, sd = F.col("_st.mu"), F.col("_st.sd")
     x = F.col(col)
-    return (df.withColumn(f"{col}_log1p", F.log1p(x))
-            .withColumn(f"{col}_gauss", F.exp(-F.pow(x - mu, 2) / (F.lit(2.0) * F.pow(sd, 2)))))
+    return (d.withColumn(f"{col}_log1p", F.log1p(x))
+            .withColumn(f"{col}_gauss", F.exp(-F.pow(x - mu, 2) / (F.lit(2.0) * F.pow(sd, 2)))).drop("_st"))

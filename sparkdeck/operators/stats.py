@@ -37,8 +37,8 @@ def pairwise_t_test(df: DataFrame, value: str, group: str, p_adjust: str | None
         (F.sum("n") - F.count(F.lit(1))).cast("double").alias("dof"),
         (F.sum((F.col("n") - 1) * F.coalesce(F.col("var"), F.lit(0.0))) /
          (F.sum("n") - F.count(F.lit(1)))).alias("sp2"))).scalar()
-    dfree, sp2 = pool.getField("dof"), pool.getField("sp2")
-    pairs = a.join(F.broadcast(b), F.col("group_a") < F.col("group_b"))
+    pairs = a.join(F.broadcast(b), F.col("group_a") < F.col("group_b")).withColumn("_pool", pool)
+    dfree, sp2 = F.col("_pool.dof"), F.col("_pool.sp2")
     if pooled:
         se = F.sqrt(sp2 * (F.lit(1.0) / F.col("n_a") + F.lit(1.0) / F.col("n_b")))
         dof = dfree
@@ -49,7 +49,7 @@ def pairwise_t_test(df: DataFrame, value: str, group: str, p_adjust: str | None
     out = (pairs.withColumn("t", (F.col("mean_a") - F.col("mean_b")) / se)
            .withColumn("df", dof.cast("double"))
            .withColumn("p_value", t_pvalue_udf(F.col("t"), F.col("df")))
-           .drop("var_a", "var_b"))
+           .drop("var_a", "var_b", "_pool"))
     if p_adjust == "holm":
         out = holm_adjust(out, "p_value", "p_adj")
     return out
