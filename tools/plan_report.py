@@ -13,11 +13,26 @@ import re
 import sys
 
 
+def final_plan(plan: str) -> str:
+    """The final tree of an adaptive plan (which prints final and initial trees; nested
+    subqueries carry their own, indented markers)."""
+    out = []
+    for ln in plan.splitlines():
+        if ln.startswith("+- == Initial Plan =="):
+            break
+        out.append(ln)
+    return "\n".join(out)
+
+
 def summarize(plan: str) -> dict:
+    plan = final_plan(plan)
+    reused = [ln for ln in plan.splitlines() if "ReusedExchange" in ln]
+    own = "\n".join(ln for ln in plan.splitlines() if "ReusedExchange" not in ln)
     return {
-        "hash_exch": len(re.findall(r"Exchange hashpartitioning", plan)),
-        "range_exch": len(re.findall(r"Exchange rangepartitioning", plan)),
-        "single_exch": len(re.findall(r"Exchange SinglePartition", plan)),
+        "hash_exch": len(re.findall(r"Exchange hashpartitioning", own)),
+        "range_exch": len(re.findall(r"Exchange rangepartitioning", own)),
+        "single_exch": len(re.findall(r"Exchange SinglePartition", own)),
+        "reused": len(reused),
         "bcast_join": plan.count("BroadcastHashJoin"),
         "smj": plan.count("SortMergeJoin"),
         "bnlj": plan.count("BroadcastNestedLoopJoin") + plan.count("CartesianProduct"),
@@ -31,17 +46,25 @@ if __name__ == "__main__":
     sys.path.insert(0, ".")
     from sparkdeck.plans.catalog import REGISTRY
     from sparkdeck.session import get_session
+    import os
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = get_session("local[8]", shuffle_partitions=16)
-    print("| query | hash exch | range exch | single-partition exch | broadcast joins | sort-merge joins "
-          "| nested-loop joins | windows | Python passes | pushed filters |")
-    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
+    only = set(sys.argv[2:])
+    extra = {}
+    if os.environ.get("MAX_WINDOW_GROUP") is not None:   # 0 forces the skew-safe scan
+        extra["spark.sparkdeck.maxWindowGroupRows"] = os.environ["MAX_WINDOW_GROUP"]
+    spark = get_session("local[8]", shuffle_partitions=16, extra=extra)
+    print("| query | hash exch | range exch | single-partition exch | reused exch | broadcast joins "
+          "| sort-merge joins | nested-loop joins | windows | Python passes | pushed filters |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
     for name, (fn, _) in REGISTRY.items():
+        if only and name not in only:
+            continue
         df = fn(spark, sf)
         qe = df._jdf.queryExecution()
         qe.toRdd().count()                       # run this very plan, so AQE's final plan is printed
         plan = qe.executedPlan().toString()
         s = summarize(plan)
         pushed = "; ".join(p[:80] for p in s["pushed"]) or "—"
-        print(f"| `{name}` | {s['hash_exch']} | {s['range_exch']} | {s['single_exch']} | {s['bcast_join']} | "
+        print(f"| `{name}` | {s['hash_exch']} | {s['range_exch']} | {s['single_exch']} | {s['reused']} | "
+              f"{s['bcast_join']} | "
               f"{s['smj']} | {s['bnlj']} | {s['window']} | {s['python']} | {pushed} |", flush=True)
