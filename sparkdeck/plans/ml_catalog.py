@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,12 @@ from ..sources.files import count_lines, read_csv, read_delimited, write_csv, wr
 from .catalog import _t, query, r2, r4
 
 
+def _small_result(spark, df: DataFrame) -> DataFrame:
+    """Materialise a result whose size is bounded by the model (classes², path length,
+    one metrics row), so cached training inputs can be released before returning."""
+    return spark.createDataFrame(df.collect(), df.schema)
+
+
 def _scratch(spark, what: str) -> str:
     """A fresh folder under the shared checkpoint location (never machine-local on a cluster)."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/sparkdeck-{what}-{uuid.uuid4().hex}"
@@ -259,54 +266,52 @@ def _doc_lang(spark, sf):
     n = F.greatest(F.length("t"), F.lit(1))
     feats = [((F.length("t") - F.length(F.replace("t", F.lit(c), F.lit("")))) / n).alias(f"share_{c}")
              for c in LETTERS]
-    d = d.select("doc_id", "lang", *feats)
-    return partition(d, {"train": 0.75, "valid": 0.25}, seed=1, key=["doc_id"])
-
-
-def _emb_split(spark, sf):
-    e = _emb(spark, sf).withColumn("label", F.col("label").cast("string"))
-    parts = partition(e, {"train": 0.75, "valid": 0.25}, seed=1, key=["vec_id"])
-    return parts["train"], parts["valid"]
+    # the derived table is small (a dozen doubles per document) and every tree level,
+    # split search and indexer re-reads it: cache it for the fit, release after
+    d = d.select("doc_id", "lang", *feats).persist(StorageLevel.MEMORY_AND_DISK)
+    return d, partition(d, {"train": 0.75, "valid": 0.25}, seed=1, key=["doc_id"])
 
 
 @query("rf_validation", None)
 def rf_validation(spark, sf):
     """L-12, L-13: 400-tree forest, depth 5, 32 bins, seed 1 (language from letter shares);
     confusion on the validation part."""
-    parts = _doc_lang(spark, sf)
-    m = M.random_forest(parts["train"], "lang", _LANG_X, num_trees=400, max_depth=5, max_bins=32, seed=1)
-    labels = m.stages[0].labels
-    p = m.transform(parts["valid"]).withColumn(
-        "predicted", F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("prediction").cast("int") + 1))
-    return confusion_long(p.select(F.col("lang").alias("actual"), "predicted"), "actual", "predicted")
+    d, parts = _doc_lang(spark, sf)
+    try:
+        m = M.random_forest(parts["train"], "lang", _LANG_X, num_trees=400, max_depth=5, max_bins=32, seed=1)
+        labels = m.stages[0].labels
+        p = m.transform(parts["valid"]).withColumn(
+            "predicted", F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("prediction").cast("int") + 1))
+        return _small_result(spark, confusion_long(p.select(F.col("lang").alias("actual"), "predicted"),
+                                                   "actual", "predicted"))
+    finally:
+        d.unpersist()
 
 
 @query("rf_importance", None)
 def rf_importance(spark, sf):
     """L-11, L-14: 10-tree forest (language from letter shares) and its scaled variable importance."""
-    parts = _doc_lang(spark, sf)
-    m = M.random_forest(parts["train"], "lang", _LANG_X, num_trees=10, seed=1)
-    return M.variable_importance(m, _LANG_X)
-
-
-def _orders_features(spark, sf):
-    o = _t(spark, sf, "orders")
-    return o.select("o_orderkey", "o_orderstatus", "o_totalprice",
-                    F.datediff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01").cast("date"))
-                    .cast("double").alias("days"),
-                    F.substring("o_orderpriority", 1, 1).cast("double").alias("priority"))
+    d, parts = _doc_lang(spark, sf)
+    try:
+        m = M.random_forest(parts["train"], "lang", _LANG_X, num_trees=10, seed=1)
+        return M.variable_importance(m, _LANG_X)
+    finally:
+        d.unpersist()
 
 
 @query("gbm_multiclass", None)
 def gbm_multiclass(spark, sf):
     """L-15: multi-class boosting (four languages from letter shares), 20 rounds, depth 3,
     rate 0.01, column sample 0.7, seed 1; confusion on the validation part."""
-    parts = _doc_lang(spark, sf)
-    m = fit_multinomial_boost(parts["train"], "lang", _LANG_X, ntrees=20, max_depth=3, learn_rate=0.01,
-                              col_sample_rate=0.7, seed=1)
-    p = m.transform(parts["valid"])
-    return confusion_long(p.select(F.col("lang").alias("actual"), F.col("predict").alias("predicted")),
-                          "actual", "predicted")
+    d, parts = _doc_lang(spark, sf)
+    try:
+        m = fit_multinomial_boost(parts["train"], "lang", _LANG_X, ntrees=20, max_depth=3, learn_rate=0.01,
+                                  col_sample_rate=0.7, seed=1)
+        p = m.transform(parts["valid"])
+        return _small_result(spark, confusion_long(
+            p.select(F.col("lang").alias("actual"), F.col("predict").alias("predicted")), "actual", "predicted"))
+    finally:
+        d.unpersist()
 
 
 _DOC_X = ["log_words", "log_lines", "log_digits", "log_upper"]
@@ -322,37 +327,49 @@ def _doc_reg(spark, sf):
         F.log1p(F.size(F.split("text", "\n"))).alias("log_lines"),
         F.log1p(F.length(F.regexp_replace("text", "[^0-9]", ""))).alias("log_digits"),
         F.log1p(F.length(F.regexp_replace("text", "[^A-Z]", ""))).alias("log_upper"))
-    return partition(d, {"train": 0.75, "valid": 0.25}, seed=1, key=["doc_id"])
+    d = d.persist(StorageLevel.MEMORY_AND_DISK)      # re-read by every boosting round / epoch / path point
+    return d, partition(d, {"train": 0.75, "valid": 0.25}, seed=1, key=["doc_id"])
 
 
 @query("gbt_regression", None)
 def gbt_regression(spark, sf):
     """L-16: boosted regression trees with row and column sampling; validation metrics."""
-    parts = _doc_reg(spark, sf)
-    m = M.gbt_regressor(parts["train"], "y", _DOC_X, ntrees=20, max_depth=5, learn_rate=0.1, sample_rate=0.8,
-                        col_sample_rate=0.7, seed=1)
-    return regression_metrics(m.transform(parts["valid"]), "y", "prediction")
+    d, parts = _doc_reg(spark, sf)
+    try:
+        m = M.gbt_regressor(parts["train"], "y", _DOC_X, ntrees=20, max_depth=5, learn_rate=0.1, sample_rate=0.8,
+                            col_sample_rate=0.7, seed=1)
+        return _small_result(spark, regression_metrics(m.transform(parts["valid"]), "y", "prediction"))
+    finally:
+        d.unpersist()
 
 
 @query("network_regression", None)
 def network_regression(spark, sf):
     """L-17: 10-5-10 ReLU network, input dropout 0.7, 15 epochs; validation metrics and the
     constant-mean baseline."""
-    parts = _doc_reg(spark, sf)
-    model, hist = fit_network(parts["train"], "y", _DOC_X, hidden=(10, 5, 10), epochs=15, input_dropout=0.7, seed=1)
-    pred = model.transform(parts["valid"].select(*_DOC_X, "y"))
-    mean_y = parts["train"].select(F.avg("y")).scalar()
-    met = regression_metrics(pred, "y", "predict")
-    base = parts["valid"].agg(F.avg(F.pow(F.col("y") - mean_y, 2)))
-    return (met.withColumn("baseline_mse", base.scalar())          # scalar subquery, no join
-            .withColumn("first_loss", F.lit(hist[0])).withColumn("last_loss", F.lit(hist[-1])))
+    d, parts = _doc_reg(spark, sf)
+    try:
+        model, hist = fit_network(parts["train"], "y", _DOC_X, hidden=(10, 5, 10), epochs=15, input_dropout=0.7,
+                                  seed=1)
+        pred = model.transform(parts["valid"].select(*_DOC_X, "y"))
+        mean_y = parts["train"].select(F.avg("y")).scalar()
+        met = regression_metrics(pred, "y", "predict")
+        base = parts["valid"].agg(F.avg(F.pow(F.col("y") - mean_y, 2)))
+        out = (met.withColumn("baseline_mse", base.scalar())          # scalar subquery, no join
+               .withColumn("first_loss", F.lit(hist[0])).withColumn("last_loss", F.lit(hist[-1])))
+        return _small_result(spark, out)
+    finally:
+        d.unpersist()
 
 
 @query("glm_path", None)
 def glm_path_q(spark, sf):
     """L-19: elastic-net path (alpha 0.5) with validation MSE at every penalty."""
-    parts = _doc_reg(spark, sf)
-    return M.glm_path(parts["train"], "y", _DOC_X, alpha=0.5, n_lambda=10, valid=parts["valid"])
+    d, parts = _doc_reg(spark, sf)
+    try:
+        return M.glm_path(parts["train"], "y", _DOC_X, alpha=0.5, n_lambda=10, valid=parts["valid"])
+    finally:
+        d.unpersist()
 
 
 def _part_split(spark, sf):

@@ -16,10 +16,19 @@ import sys
 def final_plan(plan: str) -> str:
     """The final tree of an adaptive plan (which prints final and initial trees; nested
     subqueries carry their own, indented markers)."""
-    out = []
+    def depth(ln: str) -> int:
+        return len(ln) - len(ln.lstrip(" :|"))
+
+    out, skip_below = [], None
     for ln in plan.splitlines():
-        if ln.startswith("+- == Initial Plan =="):
-            break
+        d = depth(ln)
+        if skip_below is not None:
+            if d > skip_below:
+                continue
+            skip_below = None
+        if ln.lstrip(" :|").startswith("+- == Initial Plan =="):
+            skip_below = d
+            continue
         out.append(ln)
     return "\n".join(out)
 
