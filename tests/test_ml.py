@@ -31,7 +31,7 @@ def test_pca_orthonormal(spark):
 
 def test_network_learns(spark):
     from sparkdeck.plans.ml_catalog import _DOC_X, _doc_reg
-    parts = _doc_reg(spark, SF_MID)
+    _, parts = _doc_reg(spark, SF_MID)
     model, hist = fit_network(parts["train"], "y", _DOC_X, epochs=8, input_dropout=0.2, seed=3)
     assert hist[-1] < hist[0]
     pred = model.transform(parts["valid"].select(*_DOC_X, "y"))
