@@ -37,7 +37,9 @@ def pairwise_t_test(df: DataFrame, value: str, group: str, p_adjust: str | None
         (F.sum("n") - F.count(F.lit(1))).cast("double").alias("dof"),
         (F.sum((F.col("n") - 1) * F.coalesce(F.col("var"), F.lit(0.0))) /
          (F.sum("n") - F.count(F.lit(1)))).alias("sp2"))).scalar()
-    pairs = a.join(F.broadcast(b), F.col("group_a") < F.col("group_b")).withColumn("_pool", pool)
+    # no hint: Spark broadcasts the summary when its measured size allows (a few groups,
+    # as in the reference) and falls back to a partitioned product otherwise
+    pairs = a.join(b, F.col("group_a") < F.col("group_b")).withColumn("_pool", pool)
     dfree, sp2 = F.col("_pool.dof"), F.col("_pool.sp2")
     if pooled:
         se = F.sqrt(sp2 * (F.lit(1.0) / F.col("n_a") + F.lit(1.0) / F.col("n_b")))
