@@ -26,6 +26,7 @@ from ..operators.features import formula_features
 from ..operators.splits import partition, sample_frac, sample_n, tag_partitions
 from ..session import ensure_checkpoint_dir
 from ..sources.files import count_lines, read_csv, read_delimited, write_csv, write_parquet
+from ..sources.tables import head
 from .catalog import _t, query, r2, r4
 
 
@@ -142,6 +143,12 @@ def ols_line(spark, sf):
 
 # ---------------------------------------------------------------- sampling and splits (property checks)
 
+@query("head_rows", None)
+def head_rows(spark, sf):
+    """S-13: the first six rows of a table (R's ``head``; a limit, not a sample)."""
+    return head(_t(spark, sf, "orders"))
+
+
 @query("sample_n", None)
 def sample_n_q(spark, sf):
     """X-01: exactly 100 random orders (seeded)."""
