@@ -506,7 +506,8 @@ def count_of_counts_q(spark, sf):
 @query("fitted_line", """
 SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
        round(regr_intercept(l_extendedprice, l_quantity), 2) AS intercept,
-       round(regr_r2(l_extendedprice, l_quantity), 6) AS r2, regr_count(l_extendedprice, l_quantity) AS n
+       round(regr_r2(l_extendedprice, l_quantity), 6) AS r2,
+       CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n
 FROM lineitem
 """)
 def fitted_line_q(spark, sf):

@@ -89,10 +89,10 @@ def confusion(spark, sf):
 
 @query("class_error", f"""
 WITH p AS (SELECT l_returnflag AS actual, {_PRED_CLASS} AS predicted FROM lineitem)
-SELECT actual AS class, count(*) AS n, sum(CAST(actual <> predicted AS BIGINT)) AS n_wrong,
+SELECT actual AS class, count(*) AS n, CAST(sum(CAST(actual <> predicted AS BIGINT)) AS BIGINT) AS n_wrong,
        round(sum(CAST(actual <> predicted AS BIGINT)) / count(*), 4) AS error FROM p GROUP BY 1
 UNION ALL
-SELECT 'Total', count(*), sum(CAST(actual <> predicted AS BIGINT)),
+SELECT 'Total', count(*), CAST(sum(CAST(actual <> predicted AS BIGINT)) AS BIGINT),
        round(sum(CAST(actual <> predicted AS BIGINT)) / count(*), 4) FROM p
 """)
 def class_error_q(spark, sf):

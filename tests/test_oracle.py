@@ -24,3 +24,14 @@ def test_matches_duckdb(spark, con, name):
 def test_every_query_has_a_docstring():
     for name, fn in queries().items():
         assert fn.__doc__, name
+
+
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", ORACLE)
+def test_column_types_match_duckdb(spark, con, name):
+    sdf = queries()[name](spark, SF_SMALL)
+    spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    rel = con.sql(oracle_sql()[name])
+    assert spark_types == dict(zip(rel.columns, [str(t) for t in rel.types]))
