@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..ml import models as M
-from ..ml.boosting import fit_multinomial_boost
+from ..ml.boosting import fit_multinomial_boost, fit_regression_boost
 from pyspark.ml.functions import array_to_vector
 
 from ..ml.evaluate import (class_error, cluster_stats, cluster_stats_array, confusion_long, metrics_by_split,
@@ -385,6 +385,16 @@ def _part_split(spark, sf):
     return partition(p, {"train": 0.75, "valid": 0.25}, seed=1, key=["p_partkey"])
 
 
+@query("gbm_regression_parity", None)
+def gbm_regression_parity(spark, sf):
+    """L-16 with H2O's conventions (start at the mean, every tree shrunk): 20 trees, depth 5,
+    rate 0.1, row sample 0.8, column sample 0.5; validation metrics."""
+    parts = _part_split(spark, sf)
+    m = fit_regression_boost(parts["train"], "p_retailprice", ["p_size", "p_code"], ntrees=20, max_depth=5,
+                             learn_rate=0.1, sample_rate=0.8, col_sample_rate=0.5, seed=1)
+    return _small_result(spark, regression_metrics(m.transform(parts["valid"]), "p_retailprice", "predict"))
+
+
 @query("grid_full", None)
 def grid_full(spark, sf):
     """R-01, R-04, R-05: Cartesian grid 2 x 3 x 2 x 3 = 36 GBMs, leaderboard by validation MSE."""

@@ -71,3 +71,18 @@ def test_save_load_same_predictions(spark, tmp_path):
     a = [r.prediction for r in m.transform(li).collect()]
     b = [r.prediction for r in back.transform(li).collect()]
     assert a == b
+
+
+def test_regression_boost_starts_at_mean_and_improves(spark):
+    from sparkdeck.ml.boosting import fit_regression_boost
+    p = spark.read.parquet(f"{SF_SMALL}/part.parquet").select(
+        "p_retailprice", F.col("p_size").cast("double").alias("p_size"),
+        (F.col("p_partkey") % 1000).cast("double").alias("p_code"))
+    mean = p.agg(F.avg("p_retailprice")).first()[0]
+    m0 = fit_regression_boost(p, "p_retailprice", ["p_size", "p_code"], ntrees=0)
+    assert abs(m0.transform(p).agg(F.avg("predict")).first()[0] - mean) < 1e-9
+    mses = []
+    for n in (1, 5, 15):
+        m = fit_regression_boost(p, "p_retailprice", ["p_size", "p_code"], ntrees=n, learn_rate=0.3, max_depth=4)
+        mses.append(m.transform(p).agg(F.avg(F.pow(F.col("p_retailprice") - F.col("predict"), 2))).first()[0])
+    assert mses[0] > mses[1] > mses[2]
