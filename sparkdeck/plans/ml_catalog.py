@@ -24,7 +24,7 @@ from pyspark.ml.classification import LogisticRegression
 
 from ..operators.features import formula_features
 from ..operators.splits import partition, sample_frac, sample_n, tag_partitions
-from ..session import ensure_checkpoint_dir
+from ..session import delete_path, ensure_checkpoint_dir
 from ..sources.files import count_lines, read_csv, read_delimited, write_csv, write_parquet
 from ..sources.tables import head
 from .catalog import _t, query, r2, r4
@@ -174,9 +174,13 @@ def partition_sizes(spark, sf):
 def parquet_roundtrip(spark, sf):
     """S-05, S-06: write parquet (partitioned by status), read it back, aggregate."""
     path = _scratch(spark, "parquet")
-    write_parquet(_t(spark, sf, "orders"), path, partition_by=["o_orderstatus"])
-    back = spark.read.parquet(path)
-    return back.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), r2(F.sum("o_totalprice")).alias("total"))
+    try:
+        write_parquet(_t(spark, sf, "orders"), path, partition_by=["o_orderstatus"])
+        back = spark.read.parquet(path)
+        return _small_result(spark, back.groupBy("o_orderstatus").agg(
+            F.count(F.lit(1)).alias("n"), r2(F.sum("o_totalprice")).alias("total")))
+    finally:
+        delete_path(spark, path)
 
 
 @query("csv_roundtrip", None)
@@ -184,15 +188,19 @@ def csv_roundtrip(spark, sf):
     """S-02..S-04, S-07: write CSV with a header, count raw lines, read back both ways."""
     from pyspark.sql import types as T
     path = _scratch(spark, "csv")
-    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    write_csv(o, path)
-    lines = count_lines(spark, path)
-    inferred = read_csv(spark, path)
-    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
-                           T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType())])
-    typed = read_delimited(spark, path, schema, sep=",", header=True, quote='"')
-    return spark.createDataFrame([("raw_lines", lines), ("rows_inferred", inferred.count()),
-                                  ("rows_typed", typed.count())], "check string, value long")
+    try:
+        o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+        write_csv(o, path)
+        lines = count_lines(spark, path)
+        inferred = read_csv(spark, path)
+        schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+                               T.StructField("o_orderstatus", T.StringType()),
+                               T.StructField("o_totalprice", T.DoubleType())])
+        typed = read_delimited(spark, path, schema, sep=",", header=True, quote='"')
+        return spark.createDataFrame([("raw_lines", lines), ("rows_inferred", inferred.count()),
+                                      ("rows_typed", typed.count())], "check string, value long")
+    finally:
+        delete_path(spark, path)
 
 
 # ---------------------------------------------------------------- models (property checks)
