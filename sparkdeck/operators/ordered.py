@@ -1,4 +1,4 @@
-"""Skew-safe positions, ranks and exact quantiles within groups.
+"""Skew-safe positions, ranks, running sums and exact quantiles within groups.
 
 ``Window.partitionBy(g).orderBy(v)`` puts every row of a group into one task, so a
 group holding a third of the data becomes one straggler (and an empty
@@ -20,7 +20,12 @@ Ranks use the same machinery at a second level (group + order keys): the positio
 inside a tie block is subtracted from the row number.  Both branches read one
 ``Exchange rangepartitioning`` (``ReusedExchange`` in the plan), so they see the
 same partition boundaries; when exchange reuse is switched off the sorted input is
-persisted instead.  Everything stays lazy: the caller's action runs one query.
+persisted instead.  Running sums of a column ride along at level 0 with the same
+carry.  Everything stays lazy: the caller's action runs one query.
+
+The scan costs a Python pass, so by default (``strategy="auto"``) one partial
+aggregate first measures the largest group and Spark's own window is used while
+every group fits one task comfortably.
 """
 
 from __future__ import annotations
@@ -248,8 +253,9 @@ def segmented_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Orde
     ``strategy``: ``scan`` (skew-safe, described above), ``window`` (Spark's window,
     one task per group) or ``auto`` (window only when the largest group is under
     ``spark.sparkdeck.maxWindowGroupRows``).  ``prefix_sums`` maps an output name to
-    a numeric column whose running (inclusive) sum within the group is added.  Select only the columns you need
-    first — in the scan every column passes through an Arrow-batched Python pass.
+    a numeric column whose running (inclusive) sum within the group is added.
+    Select only the columns you need first — in the scan every column passes
+    through an Arrow-batched Python pass.
     """
     spark = df.sparkSession
     keys = list(keys)
@@ -272,7 +278,7 @@ def segmented_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Orde
     if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
         srt = srt.persist(StorageLevel.MEMORY_AND_DISK)
 
-    levels_eff = levels
+    levels_eff = levels                  # level 0: groups; level 1 (ranks): groups + order values
     local_fields = list(srt.schema.fields)
     for i in range(len(levels_eff)):
         local_fields += [T.StructField(f"_lrn{i}", T.LongType()), T.StructField(f"_first{i}", T.BooleanType())]
