@@ -84,3 +84,15 @@ def attach_global_stats(df: DataFrame, value: str, mean: str | None = "mean",
     if median:
         out = out.withColumn(median, global_value(exact_median(df, [], value, name="_m")))
     return out
+
+
+def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False, rsd: float = 0.01) -> DataFrame:
+    """Distinct counts of several columns in one aggregate (A-04).
+
+    Exact by default (Catalyst expands several exact distincts into one shuffle);
+    ``approx=True`` uses HyperLogLog++ sketches, which merge map side and keep a
+    fixed-size state per column however many values there are.
+    """
+    if approx:
+        return df.agg(*[F.approx_count_distinct(c, rsd).alias(f"n_{c}") for c in cols])
+    return df.agg(*[F.countDistinct(c).alias(f"n_{c}") for c in cols])

@@ -61,3 +61,13 @@ def test_crosstab_zero_cells(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x")], "p string, q string")
     rows = {(r.p, r.q): r.n for r in crosstab_long(df, "p", "q").collect()}
     assert rows == {("a", "x"): 1, ("a", "y"): 1, ("b", "x"): 1, ("b", "y"): 0}
+
+
+def test_approx_distinct_close_to_exact(spark):
+    from sparkdeck.operators.verbs import distinct_counts
+    li = spark.read.parquet(f"{SF_MID}/lineitem.parquet")
+    cols = ["l_orderkey", "l_partkey", "l_suppkey"]
+    exact = distinct_counts(li, cols).first()
+    approx = distinct_counts(li, cols, approx=True, rsd=0.01).first()
+    for c in cols:
+        assert abs(approx[f"n_{c}"] - exact[f"n_{c}"]) <= 0.05 * exact[f"n_{c}"]
