@@ -92,3 +92,33 @@ def test_holdout_matches_reference_walk(spark):
     for start, stop, cap in [(1, 10, 0), (11, 20, 0), (1, 10, 150)]:
         got = {r.line: r.split for r in holdout_per_key(df, "user", ["line"], start, stop, cap).collect()}
         assert got == _perl_split(rows, start, stop, cap), (start, stop, cap)
+
+
+def test_boxplot_against_brute_force(spark):
+    from sparkdeck.operators.stats import boxplot_stats
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"g": rng.choice(list("abc"), 600), "x": rng.standard_t(3, 600)})
+    got = {r.g: r for r in boxplot_stats(spark.createDataFrame(pdf), "x", "g").collect()}
+    for g, grp in pdf.groupby("g"):
+        x = grp.x.values
+        q1, med, q3 = np.quantile(x, [0.25, 0.5, 0.75])
+        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        r = got[g]
+        assert np.allclose([r.q1, r.median, r.q3], [q1, med, q3])
+        assert r.lower_whisker == x[x >= lo].min() and r.upper_whisker == x[x <= hi].max()
+        assert r.n_outliers == int(((x < lo) | (x > hi)).sum()) and r.n == len(x)
+
+
+def test_string_index_ties_by_name(spark):
+    from sparkdeck.operators.features import string_index
+    df = spark.createDataFrame([(v,) for v in ["b", "a", "c", "c", "b", "a", "d"]], "s string")
+    model, _ = string_index(df, "s", "i")
+    assert list(model.labels) == ["a", "b", "c", "d"]   # a, b, c tie at 2: by name; d last
+
+
+def test_block_kfold_uneven(spark):
+    from sparkdeck.operators.splits import block_kfold
+    df = spark.range(23).select(F.col("id").alias("k"))
+    got = [r.fold for r in block_kfold(df, 5, ["k"]).orderBy("k").collect()]
+    assert got == [int(np.floor(i * 5 / 23)) + 1 for i in range(23)]
+    assert sorted(set(got)) == [1, 2, 3, 4, 5]
