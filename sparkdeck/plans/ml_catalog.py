@@ -261,6 +261,37 @@ def regression_summary(spark, sf):
     return M.regression_summary(m, ["l_quantity", "l_discount"])
 
 
+_OLS2_SQL = """
+WITH d AS (SELECT l_extendedprice / 1000.0 AS y, CAST(l_quantity AS DOUBLE) AS x1, l_discount * 100.0 AS x2
+           FROM lineitem),
+s AS (SELECT count(*) AS n, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my,
+             var_pop(x1) * count(*) AS s11, var_pop(x2) * count(*) AS s22, covar_pop(x1, x2) * count(*) AS s12,
+             covar_pop(x1, y) * count(*) AS s1y, covar_pop(x2, y) * count(*) AS s2y,
+             var_pop(y) * count(*) AS syy FROM d),
+b AS (SELECT *, s11 * s22 - s12 * s12 AS det FROM s),
+c AS (SELECT *, (s22 * s1y - s12 * s2y) / det AS b1, (s11 * s2y - s12 * s1y) / det AS b2 FROM b),
+e AS (SELECT *, my - b1 * m1 - b2 * m2 AS b0, (syy - b1 * s1y - b2 * s2y) / (n - 3) AS sig2 FROM c),
+f AS (SELECT *, sqrt(sig2 * s22 / det) AS se1, sqrt(sig2 * s11 / det) AS se2,
+             sqrt(sig2 * (1.0 / n + (m1 * m1 * s22 + m2 * m2 * s11 - 2 * m1 * m2 * s12) / det)) AS se0 FROM e)
+SELECT 'x1' AS term, round(b1, 6) AS estimate, round(se1, 6) AS std_error, round(b1 / se1, 4) AS t_value FROM f
+UNION ALL SELECT 'x2', round(b2, 6), round(se2, 6), round(b2 / se2, 4) FROM f
+UNION ALL SELECT '(Intercept)', round(b0, 6), round(se0, 6), round(b0 / se0, 4) FROM f
+"""
+
+
+@query("ols_two_features", _OLS2_SQL)
+def ols_two_features(spark, sf):
+    """L-06, L-20: least-squares summary (estimate, standard error, t) for two regressors,
+    checked against the closed form in centred cross-products."""
+    li = _t(spark, sf, "lineitem").select((F.col("l_extendedprice") / 1000.0).alias("y"),
+                                          F.col("l_quantity").cast("double").alias("x1"),
+                                          (F.col("l_discount") * 100.0).alias("x2"))
+    m = M.linear_regression(li, "y", ["x1", "x2"], solver="normal")
+    summ = M.regression_summary(m, ["x1", "x2"])
+    return summ.select("term", F.round("estimate", 6).alias("estimate"), F.round("std_error", 6).alias("std_error"),
+                       F.round("t_value", 4).alias("t_value"))
+
+
 @query("robust_regression", None)
 def robust_regression(spark, sf):
     """F-10: Huber-loss regression of price on quantity."""
