@@ -27,7 +27,7 @@ from ..operators.splits import partition, sample_frac, sample_n, tag_partitions
 from ..session import delete_path, ensure_checkpoint_dir
 from ..sources.files import count_lines, read_csv, read_delimited, write_csv, write_parquet
 from ..sources.tables import head
-from .catalog import _t, query, r2, r4
+from .catalog import _t, query, r2, r4, rnd
 
 
 def _small_result(spark, df: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ _FIXED = "(SELECT l_linestatus, l_extendedprice / 1000.0 AS y, l_quantity * 2.0
 @query("kmeans_sizes", """
 WITH p AS (SELECT l_returnflag AS prediction, l_quantity AS x1, l_discount * 100 AS x2 FROM lineitem),
 c AS (SELECT prediction, avg(x1) AS c1, avg(x2) AS c2 FROM p GROUP BY 1)
-SELECT p.prediction, count(*) AS size, round(sum(pow(x1 - c1, 2) + pow(x2 - c2, 2)), 2) AS within_ss
+SELECT p.prediction, count(*) AS size, (round((sum(pow(x1 - c1, 2) + pow(x2 - c2, 2))) * 1e2) / 1e2) AS within_ss
 FROM p JOIN c ON p.prediction = c.prediction GROUP BY p.prediction
 """)
 def kmeans_sizes(spark, sf):
@@ -90,10 +90,10 @@ def confusion(spark, sf):
 @query("class_error", f"""
 WITH p AS (SELECT l_returnflag AS actual, {_PRED_CLASS} AS predicted FROM lineitem)
 SELECT actual AS class, count(*) AS n, CAST(sum(CAST(actual <> predicted AS BIGINT)) AS BIGINT) AS n_wrong,
-       round(sum(CAST(actual <> predicted AS BIGINT)) / count(*), 4) AS error FROM p GROUP BY 1
+       (round((sum(CAST(actual <> predicted AS BIGINT)) / count(*)) * 1e4) / 1e4) AS error FROM p GROUP BY 1
 UNION ALL
 SELECT 'Total', count(*), CAST(sum(CAST(actual <> predicted AS BIGINT)) AS BIGINT),
-       round(sum(CAST(actual <> predicted AS BIGINT)) / count(*), 4) FROM p
+       (round((sum(CAST(actual <> predicted AS BIGINT)) / count(*)) * 1e4) / 1e4) FROM p
 """)
 def class_error_q(spark, sf):
     """L-13: per-class and total error under the confusion matrix."""
@@ -102,8 +102,8 @@ def class_error_q(spark, sf):
 
 
 @query("regression_metrics", f"""
-SELECT count(*) AS n, round(avg(pow(y - pred, 2)), 4) AS mse, round(sqrt(avg(pow(y - pred, 2))), 4) AS rmse,
-       round(avg(abs(y - pred)), 4) AS mae, round(1 - avg(pow(y - pred, 2)) / var_pop(y), 4) AS r2
+SELECT count(*) AS n, (round((avg(pow(y - pred, 2))) * 1e4) / 1e4) AS mse, (round((sqrt(avg(pow(y - pred, 2)))) * 1e4) / 1e4) AS rmse,
+       (round((avg(abs(y - pred))) * 1e4) / 1e4) AS mae, (round((1 - avg(pow(y - pred, 2)) / var_pop(y)) * 1e4) / 1e4) AS r2
 FROM {_FIXED} t
 """)
 def regression_metrics_q(spark, sf):
@@ -114,7 +114,7 @@ def regression_metrics_q(spark, sf):
 
 @query("split_mse", f"""
 SELECT CASE WHEN l_linestatus = 'F' THEN 'training' ELSE 'test' END AS split, count(*) AS n,
-       round(avg(pow(y - pred, 2)), 4) AS mse
+       (round((avg(pow(y - pred, 2))) * 1e4) / 1e4) AS mse
 FROM {_FIXED} t WHERE l_linestatus IN ('F', 'O') GROUP BY 1
 """)
 def split_mse(spark, sf):
@@ -126,9 +126,9 @@ def split_mse(spark, sf):
 
 
 @query("ols_line", """
-SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
-       round(regr_intercept(l_extendedprice, l_quantity), 2) AS intercept,
-       round(regr_r2(l_extendedprice, l_quantity), 6) AS r2
+SELECT (round((regr_slope(l_extendedprice, l_quantity)) * 1e4) / 1e4) AS slope,
+       (round((regr_intercept(l_extendedprice, l_quantity)) * 1e2) / 1e2) AS intercept,
+       (round((regr_r2(l_extendedprice, l_quantity)) * 1e6) / 1e6) AS r2
 FROM lineitem
 """)
 def ols_line(spark, sf):
@@ -138,7 +138,7 @@ def ols_line(spark, sf):
     lr = m.stages[-1]
     return spark.createDataFrame([(float(lr.coefficients[0]), float(lr.intercept), float(lr.summary.r2))],
                                  "slope double, intercept double, r2 double") \
-        .select(r4("slope").alias("slope"), r2("intercept").alias("intercept"), F.round("r2", 6).alias("r2"))
+        .select(r4("slope").alias("slope"), r2("intercept").alias("intercept"), rnd("r2", 6).alias("r2"))
 
 
 # ---------------------------------------------------------------- sampling and splits (property checks)
@@ -170,7 +170,7 @@ def partition_sizes(spark, sf):
 
 # ---------------------------------------------------------------- I/O round trips
 
-@query("parquet_roundtrip", "SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1")
+@query("parquet_roundtrip", "SELECT o_orderstatus, count(*) AS n, (round((sum(o_totalprice)) * 1e2) / 1e2) AS total FROM orders GROUP BY 1")
 def parquet_roundtrip(spark, sf):
     """S-05, S-06: write parquet (partitioned by status), read it back, aggregate."""
     path = _scratch(spark, "parquet")
@@ -273,9 +273,9 @@ c AS (SELECT *, (s22 * s1y - s12 * s2y) / det AS b1, (s11 * s2y - s12 * s1y) / d
 e AS (SELECT *, my - b1 * m1 - b2 * m2 AS b0, (syy - b1 * s1y - b2 * s2y) / (n - 3) AS sig2 FROM c),
 f AS (SELECT *, sqrt(sig2 * s22 / det) AS se1, sqrt(sig2 * s11 / det) AS se2,
              sqrt(sig2 * (1.0 / n + (m1 * m1 * s22 + m2 * m2 * s11 - 2 * m1 * m2 * s12) / det)) AS se0 FROM e)
-SELECT 'x1' AS term, round(b1, 6) AS estimate, round(se1, 6) AS std_error, round(b1 / se1, 4) AS t_value FROM f
-UNION ALL SELECT 'x2', round(b2, 6), round(se2, 6), round(b2 / se2, 4) FROM f
-UNION ALL SELECT '(Intercept)', round(b0, 6), round(se0, 6), round(b0 / se0, 4) FROM f
+SELECT 'x1' AS term, (round((b1) * 1e6) / 1e6) AS estimate, (round((se1) * 1e6) / 1e6) AS std_error, (round((b1 / se1) * 1e4) / 1e4) AS t_value FROM f
+UNION ALL SELECT 'x2', (round((b2) * 1e6) / 1e6), (round((se2) * 1e6) / 1e6), (round((b2 / se2) * 1e4) / 1e4) FROM f
+UNION ALL SELECT '(Intercept)', (round((b0) * 1e6) / 1e6), (round((se0) * 1e6) / 1e6), (round((b0 / se0) * 1e4) / 1e4) FROM f
 """
 
 
@@ -288,8 +288,8 @@ def ols_two_features(spark, sf):
                                           (F.col("l_discount") * 100.0).alias("x2"))
     m = M.linear_regression(li, "y", ["x1", "x2"], solver="normal")
     summ = M.regression_summary(m, ["x1", "x2"])
-    return summ.select("term", F.round("estimate", 6).alias("estimate"), F.round("std_error", 6).alias("std_error"),
-                       F.round("t_value", 4).alias("t_value"))
+    return summ.select("term", rnd("estimate", 6).alias("estimate"), rnd("std_error", 6).alias("std_error"),
+                       r4("t_value").alias("t_value"))
 
 
 @query("robust_regression", None)
