@@ -3,21 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str = "|",
-                   header: bool = False, quote: str | None = "", name: str | None = None) -> DataFrame:
+                   header: bool = False, quote: str | None = "", name: str | None = None,
+                   keep_empty: bool = False) -> DataFrame:
     """Read a delimited file with an explicit schema (no inference pass over the data).
 
     ``quote=""`` turns quoting off, which the movie table needs because titles hold
     stray quote characters.  Whitespace-separated files use ``sep="\\t"``.
+    ``keep_empty`` reads empty text fields as ``""`` (as R does) instead of NULL.
     """
     reader = (spark.read.schema(schema).option("sep", sep).option("header", str(header).lower())
               .option("mode", "PERMISSIVE"))
     if quote is not None:
         reader = reader.option("quote", quote if quote else "\u0000")
     df = reader.csv(path)
+    if keep_empty:
+        # the CSV parser turns an unquoted empty field into NULL whatever the options;
+        # in delimited text empty and missing text are the same thing, read as "" like R
+        df = df.select(*[F.coalesce(F.col(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, StringType)
+                         else F.col(f.name) for f in schema.fields])
     if name:
         df.createOrReplaceTempView(name)
     return df

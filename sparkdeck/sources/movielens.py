@@ -48,7 +48,8 @@ def read_users(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_movies(spark: SparkSession, path: str) -> DataFrame:
-    return read_delimited(spark, path, MOVIE_SCHEMA, sep="|", quote="", name="movies")
+    # empty release dates stay "" so the year rule maps them to 1900, as in R
+    return read_delimited(spark, path, MOVIE_SCHEMA, sep="|", quote="", name="movies", keep_empty=True)
 
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:

@@ -33,3 +33,31 @@ def test_csv_roundtrip_and_quote_off(spark):
                         T.StructField("c", T.StringType())])
     rows = read_delimited(spark, p, sch, sep="|", quote="").collect()
     assert rows[0].b == 'Toy "Story"' and rows[1].b == "It's"
+
+
+def test_movies_reader_and_year_rule(spark, tmp_path):
+    """Synthetic movie rows: quotes in titles, empty release dates, genre flags."""
+    from pyspark.sql import functions as F
+
+    from sparkdeck.functions.scalars import year_from_text
+    from sparkdeck.sources.movielens import GENRES, read_movies
+    flags = lambda *on: "|".join("1" if g in on else "0" for g in GENRES)
+    rows = [
+        f"1|Toy Story (1995)|01-Jan-1995||http://x|{flags('Animation', 'Comedy')}",
+        f"2|Don't Look \"Now\" (1973)|16-Oct-1973||http://y|{flags('Thriller')}",
+        f"3|Unknown (????)|||http://z|{flags('unknown')}",
+    ]
+    p = tmp_path / "u.item"
+    p.write_text("\n".join(rows) + "\n", encoding="latin-1")
+    m = read_movies(spark, str(p))
+    assert m.count() == 3 and len(m.columns) == 24
+    titles = [r.movie_title for r in m.orderBy("movie_id").collect()]
+    assert titles[1] == 'Don\'t Look "Now" (1973)'
+    assert [r.release_date for r in m.orderBy("movie_id").collect()][2] == ""
+    y = m.withColumn("year", year_from_text("release_date"))
+    got = {r.movie_id: r.year for r in y.collect()}
+    assert got == {1: 1995, 2: 1973, 3: 1900}
+    ages = sorted(r.age for r in y.filter(F.col("year") != 1900).select((F.lit(1998) - F.col("year")).alias("age"))
+                  .collect())
+    assert ages == [3, 25]
+    assert m.agg(F.sum("Comedy"), F.sum("Thriller")).first() == (1, 1)
