@@ -57,8 +57,13 @@ def _mse(model, valid: DataFrame, y: str) -> float:
 def grid_search(train: DataFrame, valid: DataFrame, y: str, xs: Sequence[str], hyper: dict[str, Sequence],
                 strategy: str = "Cartesian", ntrees: int = 100, seed: int = 1, max_models: int | None = None,
                 max_runtime_secs: float | None = None, stopping_rounds: int | None = None,
-                stopping_tolerance: float = 1e-3, parallelism: int = 4, decreasing: bool = False):
-    """Returns (leaderboard DataFrame, {model_id: fitted model})."""
+                stopping_tolerance: float = 1e-3, parallelism: int = 4, decreasing: bool = False,
+                engine: str = "spark"):
+    """Returns (leaderboard DataFrame, {model_id: fitted model}).
+
+    ``engine="spark"`` fits ``GBTRegressor`` (fast; first tree weight 1);
+    ``engine="parity"`` fits :func:`fit_regression_boost` (mean start, every tree
+    shrunk, as H2O's GBM)."""
     spark = train.sparkSession
     va = VectorAssembler(inputCols=list(xs), outputCol="features", handleInvalid="skip")
     tr = va.transform(train.select(*xs, y)).select("features", y).persist(StorageLevel.MEMORY_AND_DISK)
@@ -69,6 +74,16 @@ def grid_search(train: DataFrame, valid: DataFrame, y: str, xs: Sequence[str], h
     best_hist: list[float] = []
 
     def fit(i, combo):
+        if engine == "parity":
+            from .boosting import fit_regression_boost
+            raw_tr, raw_va = train.select(*xs, y), valid.select(*xs, y)
+            m = fit_regression_boost(raw_tr, y, xs, ntrees=ntrees, seed=seed,
+                                     learn_rate=float(combo.get("learn_rate", 0.1)),
+                                     max_depth=int(combo.get("max_depth", 5)),
+                                     sample_rate=float(combo.get("sample_rate", 1.0)),
+                                     col_sample_rate=float(combo.get("col_sample_rate", 1.0)))
+            mse = m.transform(raw_va).agg(F.avg(F.pow(F.col(y) - F.col("predict"), 2))).first()[0]
+            return i, combo, m, mse
         gbt = GBTRegressor(featuresCol="features", labelCol=y, maxIter=ntrees, seed=seed,
                            stepSize=float(combo.get("learn_rate", 0.1)), maxDepth=int(combo.get("max_depth", 5)),
                            subsamplingRate=float(combo.get("sample_rate", 1.0)),
