@@ -7,7 +7,7 @@ same numbers from a *range-partitioned* sort instead:
 
 1. range-partition and sort by ``(group keys, order keys, row hash)``; the row hash
    breaks ties so even a hot group with one repeated value is split across tasks;
-2. one pass per partition (``mapInPandas``, Arrow batches) numbers the rows of each
+2. one pass per partition (``mapInArrow``: Arrow batches, no pandas) numbers the rows of each
    group run *locally* and, in a second branch over the same exchange, writes a
    one-row summary per partition (first key, last key, length of the last run);
 3. the carry of a partition's first group is the summed last runs of earlier
@@ -34,7 +34,8 @@ import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,35 +65,37 @@ def _sort_exprs(keys: Sequence[str], order: list[tuple[str, bool]], tiebreak: st
     return ex
 
 
-def _changes(frame: pd.DataFrame, cols: list[str], prev: tuple | None) -> pd.Series:
-    """True where a row's key differs from the row before (NULL equals NULL)."""
-    chg = pd.Series(False, index=frame.index)
-    for c in cols:
-        s = frame[c]
-        sh = s.shift(1)
-        diff = (s != sh) & ~(s.isna() & sh.isna())
-        chg |= diff
-    if len(frame):
-        first = _row_key(frame, cols, 0)
-        chg.iloc[0] = prev is None or first != prev
+def _changes(batch: pa.RecordBatch, cols: list[str], prev: tuple | None) -> np.ndarray:
+    """True where a row's key differs from the row before (NULL equals NULL, NaN equals NaN).
+
+    Vectorised Arrow compute on the key columns only; the first row is compared with
+    the key that ended the previous batch.
+    """
+    n = batch.num_rows
+    chg = np.zeros(n, dtype=bool)
+    if n > 1:
+        for c in cols:
+            a = batch.column(c)
+            cur, before = a.slice(1), a.slice(0, n - 1)
+            diff = pc.fill_null(pc.not_equal(cur, before), False)
+            if pa.types.is_floating(a.type):
+                both_nan = pc.fill_null(pc.and_(pc.is_nan(cur), pc.is_nan(before)), False)
+                diff = pc.and_(diff, pc.invert(both_nan))
+            diff = pc.or_(diff, pc.xor(pc.is_null(cur), pc.is_null(before)))
+            chg[1:] |= diff.to_numpy(zero_copy_only=False)
+    if n:
+        chg[0] = prev is None or _row_key(batch, cols, 0) != prev
     return chg
 
 
 def _norm_val(v):
-    if v is None:
-        return None
     if isinstance(v, float) and math.isnan(v):
-        return None
-    try:
-        if pd.isna(v):
-            return None
-    except (TypeError, ValueError):
-        pass
-    return v.item() if hasattr(v, "item") else v
+        return ("NaN",)          # NaN equals NaN, and differs from NULL
+    return v
 
 
-def _row_key(frame: pd.DataFrame, cols: list[str], i: int) -> tuple:
-    return tuple(_norm_val(frame[c].iloc[i]) for c in cols)
+def _row_key(batch: pa.RecordBatch, cols: list[str], i: int) -> tuple:
+    return tuple(_norm_val(batch.column(c)[i].as_py()) for c in cols)
 
 
 class _LevelState:
@@ -106,9 +109,9 @@ class _LevelState:
         self.sums = list(sums)   # columns with a running sum inside each run
         self.runsum = {c: 0.0 for c in self.sums}
 
-    def step(self, frame: pd.DataFrame, cols: list[str]):
-        n = len(frame)
-        chg = _changes(frame, cols, self.last_key).to_numpy()
+    def step(self, batch: pa.RecordBatch, cols: list[str]):
+        n = batch.num_rows
+        chg = _changes(batch, cols, self.last_key)
         gid = chg.cumsum()
         idx = np.arange(n)
         start = np.maximum.accumulate(np.where(chg, idx, 0))
@@ -117,7 +120,7 @@ class _LevelState:
         first_batch = self.last_key is None
         if self.in_first:
             if first_batch:
-                self.first_key = _row_key(frame, cols, 0)
+                self.first_key = _row_key(batch, cols, 0)
                 is_first = gid == 1
             elif not chg[0]:
                 is_first = gid == 0
@@ -129,7 +132,7 @@ class _LevelState:
             is_first = np.zeros(n, dtype=bool)
         prefix = {}
         for c in self.sums:
-            v = frame[c].fillna(0).to_numpy(dtype=float)
+            v = pc.fill_null(batch.column(c), 0).to_numpy(zero_copy_only=False).astype(float)
             cs = np.cumsum(v)
             before = np.where(start > 0, cs[np.maximum(start - 1, 0)], 0.0)
             pre = cs - before
@@ -137,50 +140,57 @@ class _LevelState:
             prefix[c] = pre
             self.runsum[c] = float(pre[-1])
         self.run = int(pos[-1])
-        self.last_key = _row_key(frame, cols, n - 1)
+        self.last_key = _row_key(batch, cols, n - 1)
         return pos, is_first, prefix
 
 
 def _local_pass(levels: list[list[str]], sums: Sequence[str] = ()):
-    def fn(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Numbering pass: appends run positions, first-run flags and running sums to each
+    Arrow batch; the input columns pass through as they are (no pandas conversion)."""
+    def fn(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states = [_LevelState(sums if i == 0 else ()) for i in range(len(levels))]
         for b in it:
-            if not len(b):
+            if not b.num_rows:
                 continue
-            b = b.reset_index(drop=True)
             for i, cols in enumerate(levels):
                 pos, first, prefix = states[i].step(b, cols)
-                b[f"_lrn{i}"] = pos.astype("int64")
-                b[f"_first{i}"] = first.astype(bool)
+                b = b.append_column(f"_lrn{i}", pa.array(pos.astype("int64")))
+                b = b.append_column(f"_first{i}", pa.array(first.astype(bool)))
                 for c, v in prefix.items():
-                    b[f"_lsum{i}_{c}"] = v
+                    b = b.append_column(f"_lsum{i}_{c}", pa.array(v, pa.float64()))
             yield b
     return fn
 
 
 def _summary_pass(levels: list[list[str]], sums: Sequence[str] = ()):
-    def fn(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Summary pass: one row per partition — first key, last key, last run length and sums."""
+    def fn(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states = [_LevelState(sums if i == 0 else ()) for i in range(len(levels))]
-        pid = None
+        pid, types = None, {}
         for b in it:
-            if not len(b):
+            if not b.num_rows:
                 continue
-            b = b.reset_index(drop=True)
-            pid = int(b["_pid"].iloc[0])
+            pid = b.column("_pid")[0].as_py()
+            types = {f.name: f.type for f in b.schema}
             for i, cols in enumerate(levels):
                 states[i].step(b, cols)
         if pid is None:
             return
-        row = {"_pid": [pid]}
+        names, arrays = ["_pid"], [pa.array([pid], pa.int32())]
+
+        def raw(v):
+            return float("nan") if v == ("NaN",) else v
         for i, cols in enumerate(levels):
             st = states[i]
             for j, c in enumerate(cols):
-                row[f"_f{i}_{c}"] = [st.first_key[j]]
-                row[f"_l{i}_{c}"] = [st.last_key[j]]
-            row[f"_run{i}"] = [st.run]
+                names += [f"_f{i}_{c}", f"_l{i}_{c}"]
+                arrays += [pa.array([raw(st.first_key[j])], types[c]), pa.array([raw(st.last_key[j])], types[c])]
+            names.append(f"_run{i}")
+            arrays.append(pa.array([st.run], pa.int64()))
             for c in st.sums:
-                row[f"_rsum{i}_{c}"] = [st.runsum[c]]
-        yield pd.DataFrame(row)
+                names.append(f"_rsum{i}_{c}")
+                arrays.append(pa.array([st.runsum[c]], pa.float64()))
+        yield pa.record_batch(arrays, names=names)
     return fn
 
 
@@ -284,7 +294,7 @@ def segmented_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Orde
         local_fields += [T.StructField(f"_lrn{i}", T.LongType()), T.StructField(f"_first{i}", T.BooleanType())]
         if i == 0:
             local_fields += [T.StructField(f"_lsum0_{c}", T.DoubleType()) for c in sums]
-    local = srt.mapInPandas(_local_pass(levels_eff, sums), T.StructType(local_fields))
+    local = srt.mapInArrow(_local_pass(levels_eff, sums), T.StructType(local_fields))
 
     sfields = [T.StructField("_pid", T.IntegerType())]
     types = {f.name: f.dataType for f in srt.schema.fields}
@@ -294,7 +304,7 @@ def segmented_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Orde
         sfields.append(T.StructField(f"_run{i}", T.LongType()))
         if i == 0:
             sfields += [T.StructField(f"_rsum0_{c}", T.DoubleType()) for c in sums]
-    summary = srt.mapInPandas(_summary_pass(levels_eff, sums), T.StructType(sfields))
+    summary = srt.mapInArrow(_summary_pass(levels_eff, sums), T.StructType(sfields))
 
     # carry of partition p = runs of earlier partitions ending in p's first key.  By
     # sortedness those partitions are contiguous and end at p-1, so it is the running

@@ -112,3 +112,12 @@ def test_scan_survives_task_retries():
         assert res.returncode == 0, res.stderr[-2000:]
         runs[mode] = json.loads(res.stdout.strip().splitlines()[-1])
     assert runs["clean"] == runs["inject"] and len(runs["clean"]) == 20000
+
+
+def test_nan_and_null_values_rank_like_spark_window(spark):
+    rows = [(i, i % 3, v) for i, v in enumerate([1.0, float("nan"), None, 2.0, float("nan"), 1.0, None, 3.0,
+                                                  float("nan"), 2.0] * 30)]
+    df = spark.createDataFrame(rows, "id long, g long, v double")
+    a = rank_within(df, ["g"], [("v", False)], name="rk", strategy="window").select("id", "rk").collect()
+    b = rank_within(df, ["g"], [("v", False)], name="rk", strategy="scan", num_partitions=7).select("id", "rk").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
