@@ -46,7 +46,7 @@ def summarize(plan: str) -> dict:
         "smj": plan.count("SortMergeJoin"),
         "bnlj": plan.count("BroadcastNestedLoopJoin") + plan.count("CartesianProduct"),
         "window": len(re.findall(r"\bWindow \[", plan)),
-        "python": plan.count("MapInPandas") + plan.count("ArrowEvalPython"),
+        "python": plan.count("MapInPandas") + plan.count("MapInArrow") + plan.count("ArrowEvalPython"),
         "pushed": sorted(set(re.findall(r"PushedFilters: \[([^\]]*)\]", plan)) - {""}),
     }
 
