@@ -122,3 +122,49 @@ def test_block_kfold_uneven(spark):
     got = [r.fold for r in block_kfold(df, 5, ["k"]).orderBy("k").collect()]
     assert got == [int(np.floor(i * 5 / 23)) + 1 for i in range(23)]
     assert sorted(set(got)) == [1, 2, 3, 4, 5]
+
+
+def test_welch_t_against_numpy(spark):
+    from sparkdeck.operators.stats import pairwise_t_test
+    rng = np.random.default_rng(12)
+    pdf = pd.DataFrame({"g": np.repeat(["a", "b", "c"], [40, 70, 55]),
+                        "x": np.concatenate([rng.normal(0, 1, 40), rng.normal(0.5, 2, 70), rng.normal(1, 3, 55)])})
+    got = {(r.group_a, r.group_b): r for r in
+           pairwise_t_test(spark.createDataFrame(pdf), "x", "g", p_adjust=None, pooled=False).collect()}
+    for (ga, gb), r in got.items():
+        xa, xb = pdf[pdf.g == ga].x.values, pdf[pdf.g == gb].x.values
+        va, vb = xa.var(ddof=1) / len(xa), xb.var(ddof=1) / len(xb)
+        t = (xa.mean() - xb.mean()) / np.sqrt(va + vb)
+        df = (va + vb) ** 2 / (va ** 2 / (len(xa) - 1) + vb ** 2 / (len(xb) - 1))
+        assert np.isclose(r.t, t) and np.isclose(r.df, df)
+
+
+def test_outlier_modes_and_fills(spark):
+    from sparkdeck.operators.features import fill_missing, handle_outliers
+    vals = [1.0, 2.0, 2.5, 3.0, 3.5, 4.0, 100.0, -50.0, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, x double")
+    x = np.array([v for v in vals if v is not None])
+    q1, q3 = np.quantile(x, [0.25, 0.75])
+    lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+    clipped = {r.id: r.x for r in handle_outliers(df, "x", "clip").collect()}
+    assert clipped[6] == hi and clipped[7] == lo and clipped[8] is None and clipped[0] == 1.0
+    kept = sorted(r.id for r in handle_outliers(df, "x", "remove").collect())
+    assert kept == [0, 1, 2, 3, 4, 5, 8]
+    nulled = {r.id: r.x for r in handle_outliers(df, "x", "null").collect()}
+    assert nulled[6] is None and nulled[7] is None and nulled[2] == 2.5
+    assert fill_missing(df, "x", "zero").filter("id = 8").first().x == 0.0
+    assert np.isclose(fill_missing(df, "x", "mean").filter("id = 8").first().x, x.mean())
+    assert np.isclose(fill_missing(df, "x", "median").filter("id = 8").first().x, np.median(x))
+
+
+def test_standardized_kmeans_centres_in_original_units(spark):
+    from sparkdeck.ml import models as M
+    rng = np.random.default_rng(2)
+    pts = np.concatenate([rng.normal((0, 100), (1, 10), (60, 2)), rng.normal((10, 500), (1, 10), (60, 2)),
+                          rng.normal((20, 900), (1, 10), (60, 2))])
+    df = spark.createDataFrame(pd.DataFrame(pts, columns=["a", "b"]))
+    model, centers = M.kmeans(df, ["a", "b"], k=3, seed=1, standardize=True)
+    pred = model.transform(df).toPandas()
+    for r in centers.collect():
+        grp = pred[pred.prediction == r.prediction]
+        assert np.isclose(r.a, grp.a.mean(), atol=1e-6) and np.isclose(r.b, grp.b.mean(), atol=1e-6)
