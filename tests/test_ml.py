@@ -97,3 +97,20 @@ def test_grid_parity_engine(spark):
                                 {"learn_rate": [0.1, 0.3], "max_depth": [3]}, ntrees=3, engine="parity", parallelism=2)
     rows = board.collect()
     assert len(rows) == 2 and rows[0].mse <= rows[1].mse and set(models) == {r.model_id for r in rows}
+
+
+def test_pca_matches_numpy(spark):
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").select("l_quantity", "l_extendedprice", "l_discount",
+                                                                    "l_tax")
+    X = li.toPandas().to_numpy(dtype=float)
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    # centred: variance shares are the covariance eigenvalues over their sum
+    ev = np.sort(np.linalg.eigvalsh(np.cov(X, rowvar=False)))[::-1]
+    got = M.pca(li, cols, k=4, center=True).orderBy("component").toPandas()
+    assert np.allclose(got.explained.values, ev / ev.sum(), rtol=1e-6, atol=1e-12)
+    # uncentred: standard deviations are the singular values of X over sqrt(n)
+    s = np.linalg.svd(X, compute_uv=False)
+    unc = M.pca(li, cols, k=4, center=False).orderBy("component").toPandas()
+    assert np.allclose(unc.std_dev.values, s / np.sqrt(len(X)), rtol=1e-6)
+    v = np.linalg.svd(X, full_matrices=False)[2][0]
+    assert np.isclose(abs(np.dot(v, np.array(unc.loadings[0]))), 1.0, atol=1e-6)
