@@ -114,18 +114,24 @@ def glm_path(train: DataFrame, y: str, xs: Sequence[str], alpha: float = 0.5, n_
              min_ratio: float = 1e-4, valid: DataFrame | None = None, parallelism: int = 4) -> DataFrame:
     """Elastic-net linear model over a geometric penalty path (``lambda_search``).
 
-    The largest penalty is ``max_j |x_j . y| / (n * alpha)`` on standardised features
-    (one aggregate); the path points are fitted concurrently on one cached frame.  Returns a
+    The path starts at the smallest penalty that zeroes every coefficient (one
+    aggregate, consistent with Spark's scaling of the objective) and steps down
+    geometrically; the points are fitted concurrently on one cached frame.  Returns a
     table: lambda, non-zero count, training and validation MSE, coefficients.
     """
     spark = train.sparkSession
     xs = list(xs)
-    st = train.agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("my"), F.stddev_pop(y).alias("sy"),
-                   *[F.avg(x).alias(f"m_{x}") for x in xs], *[F.stddev_pop(x).alias(f"s_{x}") for x in xs]).first()
+    # Spark standardises features by their sample SD and applies regParam on the
+    # response's own scale, so the smallest penalty that zeroes every coefficient is
+    # max_j |sum_i z_ij (y_i - mean y)| / (n * alpha) with z the standardised features.
+    st = train.agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("my"),
+                   *[F.avg(x).alias(f"m_{x}") for x in xs], *[F.stddev_samp(x).alias(f"s_{x}") for x in xs]).first()
     n = st["n"]
-    dots = train.agg(*[F.sum(((F.col(x) - st[f"m_{x}"]) / st[f"s_{x}"]) * ((F.col(y) - st["my"]) / st["sy"]))
+    dots = train.agg(*[F.sum(((F.col(x) - st[f"m_{x}"]) / st[f"s_{x}"]) * (F.col(y) - st["my"]))
                        .alias(x) for x in xs]).first()
-    lmax = max(abs(dots[x]) for x in xs) / (n * max(alpha, 1e-3))
+    # a hair above the boundary, where the optimiser's tolerance could leave a
+    # coefficient of order 1e-4 instead of an exact zero
+    lmax = 1.001 * max(abs(dots[x]) for x in xs) / (n * max(alpha, 1e-3))
     lambdas = [lmax * (min_ratio ** (i / (n_lambda - 1))) for i in range(n_lambda)]
     va = VectorAssembler(inputCols=xs, outputCol="features", handleInvalid="skip")
     tr = va.transform(train).select("features", y).cache()

@@ -114,3 +114,12 @@ def test_pca_matches_numpy(spark):
     assert np.allclose(unc.std_dev.values, s / np.sqrt(len(X)), rtol=1e-6)
     v = np.linalg.svd(X, full_matrices=False)[2][0]
     assert np.isclose(abs(np.dot(v, np.array(unc.loadings[0]))), 1.0, atol=1e-6)
+
+
+def test_glm_path_starts_at_all_zero_model(spark):
+    from sparkdeck.plans.ml_catalog import _DOC_X, _doc_reg
+    _, parts = _doc_reg(spark, SF_MID)
+    path = M.glm_path(parts["train"], "y", _DOC_X, alpha=0.5, n_lambda=6, valid=parts["valid"]).toPandas()
+    assert path.n_nonzero.iloc[0] == 0                       # largest penalty: intercept only
+    assert path.n_nonzero.iloc[-1] == len(_DOC_X)            # smallest: every feature in
+    assert path.valid_mse.iloc[-1] < path.valid_mse.iloc[0]
