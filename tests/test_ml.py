@@ -123,3 +123,27 @@ def test_glm_path_starts_at_all_zero_model(spark):
     assert path.n_nonzero.iloc[0] == 0                       # largest penalty: intercept only
     assert path.n_nonzero.iloc[-1] == len(_DOC_X)            # smallest: every feature in
     assert path.valid_mse.iloc[-1] < path.valid_mse.iloc[0]
+
+
+def test_variable_importance_scaling(spark):
+    from sparkdeck.plans.ml_catalog import _LANG_X, _doc_lang
+    d, parts = _doc_lang(spark, SF_SMALL)
+    try:
+        m = M.random_forest(parts["train"], "lang", _LANG_X, num_trees=5, seed=1)
+        vi = M.variable_importance(m, _LANG_X).toPandas()
+    finally:
+        d.unpersist()
+    assert np.isclose(vi.scaled_importance.max(), 1.0) and np.isclose(vi.percentage.sum(), 1.0)
+    assert list(vi.relative_importance) == sorted(vi.relative_importance, reverse=True)
+
+
+def test_grid_stop_rules(spark):
+    from sparkdeck.ml.search import grid_search
+    p = spark.read.parquet(f"{SF_SMALL}/part.parquet").select(
+        "p_retailprice", F.col("p_size").cast("double").alias("p_size"))
+    hyper = {"learn_rate": [0.1, 0.2, 0.3], "max_depth": [2, 3]}
+    board, _ = grid_search(p, p, "p_retailprice", ["p_size"], hyper, ntrees=2, max_runtime_secs=0)
+    assert board.count() == 0                                   # run-time budget spent before the first fit
+    board, _ = grid_search(p, p, "p_retailprice", ["p_size"], hyper, ntrees=2, max_models=4,
+                           strategy="RandomDiscrete", parallelism=2)
+    assert board.count() == 4                                   # model-count budget
