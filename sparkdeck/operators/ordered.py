@@ -274,6 +274,9 @@ def segmented_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Orde
     if num_partitions is None and choose_strategy(df, keys, strategy) == "window":
         return _window_positions(df, keys, order_n, row_number, rank, prefix_sums)
     sums = list((prefix_sums or {}).values())
+    reserved = {"_pid", "_tiebreak"} | {c for c in df.columns if c.startswith(("_lrn", "_first", "_lsum"))}
+    if reserved & set(df.columns):
+        raise ValueError(f"input columns {sorted(reserved & set(df.columns))} collide with the scan's helper columns")
     levels = [keys]                      # empty keys: one run per partition (global index)
     if rank:
         levels.append(keys + order_cols)

@@ -121,3 +121,22 @@ def test_nan_and_null_values_rank_like_spark_window(spark):
     a = rank_within(df, ["g"], [("v", False)], name="rk", strategy="window").select("id", "rk").collect()
     b = rank_within(df, ["g"], [("v", False)], name="rk", strategy="scan", num_partitions=7).select("id", "rk").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_quantile_edges_and_empty_input(spark):
+    df = spark.createDataFrame([(1, 5.0), (1, 1.0), (1, 3.0), (2, 7.0)], "g long, v double")
+    for strategy in ("window", "scan"):
+        kw = {"num_partitions": 3} if strategy == "scan" else {}
+        q = {r.g: r for r in exact_quantiles(df, ["g"], "v", [0.0, 0.5, 1.0], ["lo", "mid", "hi"],
+                                             strategy=strategy, **kw).collect()}
+        assert (q[1].lo, q[1].mid, q[1].hi) == (1.0, 3.0, 5.0)
+        assert (q[2].lo, q[2].mid, q[2].hi) == (7.0, 7.0, 7.0)       # single-row group
+        empty = df.filter("g > 10")
+        assert rank_within(empty, ["g"], ["v"], strategy=strategy, **kw).count() == 0
+
+
+def test_helper_column_collision_is_refused(spark):
+    import pytest
+    df = spark.createDataFrame([(1, 2.0)], "_pid long, v double")
+    with pytest.raises(ValueError):
+        segmented_positions(df, [], ["v"], strategy="scan", num_partitions=2)
