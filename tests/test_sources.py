@@ -61,3 +61,27 @@ def test_movies_reader_and_year_rule(spark, tmp_path):
                   .collect())
     assert ages == [3, 25]
     assert m.agg(F.sum("Comedy"), F.sum("Thriller")).first() == (1, 1)
+
+
+def test_rowwise_verbs_apply_to_a_stream(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from sparkdeck.functions.scalars import indicator, safe_divide
+    path = "/root/testdata/sf0.001"
+    schema = spark.read.parquet(f"{path}/events.parquet").schema
+
+    def verbs(df):
+        return (df.filter(F.col("value").isNotNull() & (F.col("event_type") != "error"))
+                .select("event_id", indicator("event_type", "click").alias("is_click"),
+                        safe_divide("value", F.lit(0.0)).alias("ratio")))
+
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(path)
+    q = (verbs(stream).writeStream.format("memory").queryName("events_stream_out")
+         .option("checkpointLocation", str(tmp_path / "ckpt")).outputMode("append").start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted(map(tuple, spark.table("events_stream_out").collect()))
+    exp = sorted(map(tuple, verbs(spark.read.parquet(f"{path}/events.parquet")).collect()))
+    assert got == exp and len(got) > 0
