@@ -96,7 +96,7 @@ def fold_split(folded: DataFrame, i: int, name: str = "fold") -> tuple[DataFrame
 
 def holdout_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[OrderSpec],
                     start: int, stop: int, max_test: int = 0, name: str = "split",
-                    position: str = "pos") -> DataFrame:
+                    position: str = "pos", strategy: str = "auto") -> DataFrame:
     """Per-key hold-out: a row is ``test`` when its position within its key (by ``order``,
     1-based) is in ``[start, stop]`` and fewer than ``max_test`` rows (in ``order``) are
     already in test; ``max_test <= 0`` means no cap.  All other rows are ``base``.
@@ -109,11 +109,11 @@ def holdout_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Ord
         if c in df.columns:
             raise ValueError(f"output column {c!r} already exists in the input")
     keys = [key] if isinstance(key, str) else list(key)
-    pos = segmented_positions(df, keys, order, row_number=position)
+    pos = segmented_positions(df, keys, order, row_number=position, strategy=strategy)
     qual = (F.col(position) >= start) & (F.col(position) <= stop)
     if max_test <= 0:
         return pos.withColumn(name, F.when(qual, "test").otherwise("base"))
-    q = with_row_index(pos.filter(qual), order, name="_qidx")
+    q = with_row_index(pos.filter(qual), order, name="_qidx", strategy=strategy)
     q = q.withColumn(name, F.when(F.col("_qidx") < max_test, "test").otherwise("base")).drop("_qidx")
     rest = pos.filter(~qual).withColumn(name, F.lit("base"))
     return q.unionByName(rest)

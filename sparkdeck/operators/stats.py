@@ -71,7 +71,7 @@ def holm_adjust(df: DataFrame, p: str, out: str) -> DataFrame:
             .drop("_i", "_s"))
 
 
-def boxplot_stats(df: DataFrame, value: str, group: str, coef: float = 1.5) -> DataFrame:
+def boxplot_stats(df: DataFrame, value: str, group: str, coef: float = 1.5, strategy: str = "auto") -> DataFrame:
     """Box-plot numbers per group: quartiles (type 7), whisker ends at the most extreme
     values within ``coef`` IQR of the box, and the outlier count.
 
@@ -79,7 +79,7 @@ def boxplot_stats(df: DataFrame, value: str, group: str, coef: float = 1.5) -> D
     aggregate over the rows joined to one summary row per group.
     """
     base = df.select(group, value).filter(F.col(value).isNotNull())
-    q = exact_quantiles(base, [group], value, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    q = exact_quantiles(base, [group], value, [0.25, 0.5, 0.75], ["q1", "median", "q3"], strategy=strategy)
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     j = base.join(q.select(group, "q1", "q3", "iqr"), group)
     lo = F.col("q1") - coef * F.col("iqr")

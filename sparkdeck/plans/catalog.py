@@ -618,3 +618,38 @@ def log_gauss_q(spark, sf):
     """F-11: log and Gaussian-kernel transforms."""
     e = log_gauss(_events_with_gaps(spark, sf), "value")
     return e.select("event_id", r4("value_log1p").alias("value_log1p"), r4("value_gauss").alias("value_gauss"))
+
+
+# ---------------------------------------------------------------- skew-safe variants
+# The same queries with the range-partitioned scan forced, so the oracle check covers
+# the path a hot key takes (at check sizes ``auto`` picks the window).
+
+@query("daily_rank_scan", REGISTRY["daily_rank"][1])
+def daily_rank_scan(spark, sf):
+    """W-02 through the skew-safe scan."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_totalprice", _day().alias("o_day"))
+    return rank_within(o, ["o_day"], [("o_totalprice", False)], name="rank", strategy="scan") \
+        .select("o_day", "o_orderkey", "o_totalprice", "rank")
+
+
+@query("holdout_capped_scan", REGISTRY["holdout_capped"][1])
+def holdout_capped_scan(spark, sf):
+    """X-06 with a cap, both orderings (per user and global) through the scan."""
+    return holdout_per_key(_t(spark, sf, "events").select("event_id", "user_id"), "user_id", ["event_id"], 1, 10,
+                           max_test=500, strategy="scan")
+
+
+@query("boxplot_by_group_scan", REGISTRY["boxplot_by_group"][1])
+def boxplot_by_group_scan(spark, sf):
+    """G-02 with the exact quartiles from the scan."""
+    b = boxplot_stats(_t(spark, sf, "customer"), "c_acctbal", "c_mktsegment", strategy="scan")
+    return b.select("c_mktsegment", r4("q1").alias("q1"), r4("median").alias("median"), r4("q3").alias("q3"),
+                    r4("iqr").alias("iqr"), "n", "lower_whisker", "upper_whisker", "n_outliers")
+
+
+@query("interpolate_scan", REGISTRY["interpolate"][1])
+def interpolate_scan(spark, sf):
+    """F-08 through the scan: running non-NULL counts and equi-joins on (user, k)."""
+    e = interpolate_linear(_events_with_gaps(spark, sf), ["user_id"], "ts", "value", "value_interp",
+                           tiebreak="event_id", strategy="scan")
+    return e.select("event_id", "user_id", r4("value_interp").alias("value_interp"))
