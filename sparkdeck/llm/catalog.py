@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, packing, token_store, tokens, url_filter
+from . import ann, decontam, packing, pu_quality, token_store, tokens, toxicity, url_filter
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -41,6 +41,18 @@ def op1_decontaminate(spark, sf):
     return decontam.decontaminate(_t(spark, sf, "documents"), _t(spark, sf, "benchmark"), window=10).drop("spans")
 
 
+@query("op4_ann")
+def op4_ann(spark, sf):
+    """The 20 nearest rows, by inner product, of every 20th row of ``embeddings``."""
+    return ann.search(_t(spark, sf, "embeddings"), F.pmod(F.col("vec_id"), F.lit(20)) == 0, k=20)
+
+
+@query("op5_pu_quality")
+def op5_pu_quality(spark, sf):
+    """Quality of every document, learnt from trusted positives and unlabelled text."""
+    return pu_quality.classify(_t(spark, sf, "documents"), _t(spark, sf, "labels"), threshold=0.3)
+
+
 @query("op7_token_store")
 def op7_token_store(spark, sf):
     """All documents as word-vocabulary ids, written as byte planes and read back."""
@@ -48,6 +60,12 @@ def op7_token_store(spark, sf):
     return token_store.read_store(store, with_ids=False)
 
 
+@query("op8_toxicity")
+def op8_toxicity(spark, sf):
+    """Toxicity of every document by FTRL over hashed n-grams."""
+    return toxicity.classify(_t(spark, sf, "documents"), _t(spark, sf, "labels"), threshold=0.5)
+
+
 @query("op9_packing")
 def op9_packing(spark, sf):
     """All documents cut into power-of-two pieces of at most 2048 ids."""
