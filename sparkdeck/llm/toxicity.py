@@ -8,6 +8,9 @@ are broadcast (at most ``2 ** bits`` floats, whatever the data).
 Training uses a bounded, documented sample: at most ``train_rows`` labelled documents
 whose ids hash lowest among those outside the held-out fifth.  Tasks turn them into
 features; one task runs the online learner over them in hash order, ``epochs`` times.
+Features of fewer than ``min_docs`` training documents are left out of the training:
+with them the learner recalls single documents instead of words.  Errors on toxic
+documents, the rarer class, weigh ``positive_weight`` times.
 
 Edge cases: NULL and empty texts have only the bias; rows are scored one for one;
 without labels of both classes every score is the bias of an untrained model (0.5 with
@@ -42,8 +45,9 @@ def features(text: bytes | None, bits: int) -> np.ndarray:
 class Ftrl:
     """Per-coordinate FTRL-proximal for logistic loss; the last coordinate is the bias."""
 
-    def __init__(self, bits: int, alpha: float = 0.1, beta: float = 1.0, l1: float = 1.0, l2: float = 1.0):
-        self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
+    def __init__(self, bits: int, alpha: float = 1.0, beta: float = 1.0, l1: float = 3.0, l2: float = 1.0,
+                 positive_weight: float = 2.0):
+        self.alpha, self.beta, self.l1, self.l2, self.positive_weight = alpha, beta, l1, l2, positive_weight
         self.z = np.zeros((1 << bits) + 1)
         self.n = np.zeros((1 << bits) + 1)
 
@@ -54,14 +58,14 @@ class Ftrl:
 
     def step(self, at: np.ndarray, y: int) -> None:
         w = self.weights(at)
-        g = 1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - y
+        g = (1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - y) * (self.positive_weight if y else 1.0)
         grown = self.n[at] + g * g
         self.z[at] += g - (np.sqrt(grown) - np.sqrt(self.n[at])) / self.alpha * w
         self.n[at] = grown
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", bits: int = 20, train_rows: int = 12_000,
-        epochs: int = 2, l1: float = 1.0) -> tuple[np.ndarray, np.ndarray, float]:
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", bits: int = 22, train_rows: int = 12_000,
+        epochs: int = 6, l1: float = 3.0, min_docs: int = 5) -> tuple[np.ndarray, np.ndarray, float]:
     """(coordinates, weights, bias) of the non-zero weights."""
     spark = docs.sparkSession
     known = hashed_sample(training_labels(labels, label_col), train_rows)
@@ -81,7 +85,11 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", bits: int
         model, held = Ftrl(bits, l1=l1), []
         for b in batches:
             f = b.column(2)
-            held += [(y, np.append(f[i].values.to_numpy(), 1 << bits)) for i, y in enumerate(b.column(1).to_pylist())]
+            held += [(y, f[i].values.to_numpy()) for i, y in enumerate(b.column(1).to_pylist())]
+        docs_with = np.zeros(1 << bits, np.int32)
+        for _, at in held:
+            docs_with[at] += 1
+        held = [(y, np.append(at[docs_with[at] >= min_docs], 1 << bits)) for y, at in held]
         for _ in range(epochs):
             for y, at in held:
                 model.step(at, y)
@@ -95,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", bits: int
     return at[at < 1 << bits].astype(np.int32), w[at < 1 << bits].astype(np.float32), bias
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], bits: int = 20, threshold: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], bits: int = 22, threshold: float = 0.5) -> DataFrame:
     """One row a document: doc_id, held_out, score, predicted."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -116,5 +124,5 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], bits: in
     return arrow_map(rows, judge, "doc_id long, held_out boolean, score double, predicted int")
 
 
-def classify(docs: DataFrame, labels: DataFrame, bits: int = 20, threshold: float = 0.5, **fitting) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, bits: int = 22, threshold: float = 0.5, **fitting) -> DataFrame:
     return score(docs, fit(docs, labels, bits=bits, **fitting), bits, threshold)
