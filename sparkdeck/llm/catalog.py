@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, packing, pu_quality, token_store, tokens, toxicity, url_filter
+from . import ann, decontam, lm_score, packing, pu_quality, token_store, tokens, toxicity, url_filter
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -41,6 +41,12 @@ def op1_decontaminate(spark, sf):
     return decontam.decontaminate(_t(spark, sf, "documents"), _t(spark, sf, "benchmark"), window=10).drop("spans")
 
 
+@query("op2_lm_score")
+def op2_lm_score(spark, sf):
+    """log10 probability of every document under context mixing, and under add-one unigrams."""
+    return lm_score.score(_t(spark, sf, "documents"))
+
+
 @query("op4_ann")
 def op4_ann(spark, sf):
     """The 20 nearest rows, by inner product, of every 20th row of ``embeddings``."""
