@@ -148,7 +148,7 @@ class Model:
             a = b
         return out
 
-    def learn(self, words, classes, counts, batch: int = 1 << 16, rate: float = 0.05) -> None:
+    def learn(self, words, classes, counts, batch: int = 1 << 14, rate: float = 0.05) -> None:
         """Online gradient steps over batches of words, then the map from the later half."""
         power = np.full_like(self.weights, 1e-3, dtype=np.float64)
         lens = np.cumsum([len(w) + 1 for w in words])
