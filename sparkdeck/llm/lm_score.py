@@ -273,7 +273,7 @@ def _tables(vocab: DataFrame, parts: int) -> list[np.ndarray]:
         cells = quantise(total[PAGE:]) << 8 | quantise(total[:PAGE])
         data = zstandard.ZstdCompressor(level=1).compress(cells.astype("<u2").tobytes())
         return pa.table({"tab": rows["tab"][:1], "page": rows["page"][:1], "data": pa.array([data], pa.binary())})
-    shares = arrow_map(vocab.repartition(parts, F.xxhash64("word", "cls")), count, "tab int, page int, data binary")
+    shares = arrow_map(vocab.coalesce(parts), count, "tab int, page int, data binary")
     tables, z = [np.zeros(1 << s, np.uint16) for s in SLOTS], zstandard.ZstdDecompressor()
     for r in shares.groupBy("tab", "page").applyInArrow(add, "tab int, page int, data binary").toLocalIterator():
         tables[r["tab"]][r["page"]:r["page"] + PAGE] = np.frombuffer(z.decompress(bytes(r["data"])), "<u2")
@@ -294,7 +294,7 @@ def fit(vocab: DataFrame, share_rows: int = 1_500_000) -> Model:
             yield pa.RecordBatch.from_pydict({"n": [float(counts.sum())], "data": [np.concatenate([m.weights.ravel(), m.ones.ravel(), m.seen.ravel()]).astype("<f8").tobytes()]},
                                              schema=pa.schema([("n", pa.float64()), ("data", pa.binary())]))
     weights, maps, mass = np.zeros((GATES, len(SLOTS) + 1)), np.zeros((2, GATES, BUCKETS)), 0.0
-    shares = arrow_map(vocab.repartition(parts, F.xxhash64("word", "cls")).sortWithinPartitions(F.xxhash64("cls", "word")), learn, "n double, data binary")
+    shares = arrow_map(vocab.coalesce(parts).sortWithinPartitions(F.xxhash64("cls", "word")), learn, "n double, data binary")
     for r in shares.toLocalIterator():               # a few kilobytes from each task
         data = np.frombuffer(bytes(r["data"]), "<f8")
         k = weights.size
