@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, lm_score, packing, pu_quality, token_store, tokens, toxicity, url_filter
+from . import ann, decontam, jaccard_join, lm_score, packing, pu_quality, token_store, tokens, toxicity, url_filter
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -59,6 +59,12 @@ def op5_pu_quality(spark, sf):
     return pu_quality.classify(_t(spark, sf, "documents"), _t(spark, sf, "labels"), threshold=0.3)
 
 
+@query("op6_jaccard_join")
+def op6_jaccard_join(spark, sf):
+    """Components of documents whose 5-word shingle sets have a Jaccard similarity of 0.75."""
+    return jaccard_join.link(_t(spark, sf, "documents"), size=5)
+
+
 @query("op7_token_store")
 def op7_token_store(spark, sf):
     """All documents as word-vocabulary ids, written as byte planes and read back."""
