@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, jaccard_join, lm_score, packing, pu_quality, token_store, tokens, toxicity, url_filter
+from . import ann, decontam, jaccard_join, lm_score, packing, pu_quality, suffix_dedup, token_store, tokens, toxicity, url_filter
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -47,6 +47,12 @@ def op2_lm_score(spark, sf):
     return lm_score.score(_t(spark, sf, "documents"))
 
 
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(spark, sf):
+    """Bytes of ``documents`` outside 200-byte strings that start more than once."""
+    return suffix_dedup.deduplicate(_t(spark, sf, "documents"), length=200).drop("kept")
+
+
 @query("op4_ann")
 def op4_ann(spark, sf):
     """The 20 nearest rows, by inner product, of every 20th row of ``embeddings``."""

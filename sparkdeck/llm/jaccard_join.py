@@ -84,7 +84,8 @@ def _texts(docs, id_col, text_col):
 
 def _print(h: np.ndarray) -> int:
     """A 63-bit fingerprint of a set."""
-    return int((mix(np.array([h.sum(dtype=_U) ^ (np.bitwise_xor.reduce(h) * _U(0x9E3779B97F4A7C15)) + _U(len(h))], _U))[0]) >> _U(1))
+    whole = np.array([h.sum(dtype=_U)]) ^ (np.array([np.bitwise_xor.reduce(h)]) * _U(0x9E3779B97F4A7C15) + _U(len(h)))
+    return int(mix(whole)[0] >> _U(1))
 
 
 def _measure(texts: DataFrame, size: int) -> DataFrame:
