@@ -65,15 +65,16 @@ def statistics(text: bytes | None) -> np.ndarray:
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, held_out, f): the statistics of every text, stored."""
+    """(doc_id, held_out, row, f): the statistics of every text, stored; row hashes id and text."""
     def measure(batches):
         for b in batches:
             f = np.array([statistics(t) for t in raw(b.column(2))], np.float32).reshape(-1, WIDTH)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(np.arange(len(f) + 1) * WIDTH, pa.int32()), pa.array(f.ravel()))],
-                ["doc_id", "held_out", "f"])
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold("doc_id", 5) == 0).alias("held_out"), "text")
-    return stored(docs.sparkSession, arrow_map(rows, measure, "doc_id long, held_out boolean, f array<float>"), "statistics")
+                [b.column(0), b.column(1), b.column(3), pa.ListArray.from_arrays(pa.array(np.arange(len(f) + 1) * WIDTH, pa.int32()), pa.array(f.ravel()))],
+                ["doc_id", "held_out", "row", "f"])
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold("doc_id", 5) == 0).alias("held_out"), "text",
+                       F.xxhash64("doc_id", "text").alias("row"))
+    return stored(docs.sparkSession, arrow_map(rows, measure, "doc_id long, held_out boolean, row long, f array<float>"), "statistics")
 
 
 def nn_pu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 1500, rate: float = 0.05, l2: float = 1e-4):
@@ -98,8 +99,8 @@ def nn_pu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 1500, rat
 
 
 def classify(docs: DataFrame, labels: DataFrame, label_col: str = "quality", threshold: float = 0.3,
-             train_rows: int = 20_000) -> DataFrame:
-    """One row a document: doc_id, held_out, score, predicted."""
+             train_rows: int = 20_000, with_row: bool = False) -> DataFrame:
+    """One row a document: doc_id, held_out, score, predicted (and row, a hash of id and text)."""
     spark = docs.sparkSession
     stats = with_statistics(docs)
     known = training_labels(labels, label_col)
@@ -116,8 +117,9 @@ def classify(docs: DataFrame, labels: DataFrame, label_col: str = "quality", thr
 
     def judge(batches):
         for b in batches:
-            f = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, WIDTH).astype(float)
+            f = b.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, WIDTH).astype(float)
             s = 1 / (1 + np.exp(-np.clip(((f - mean) / spread) @ w + bias, -30, 30)))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32))],
-                                             ["doc_id", "held_out", "score", "predicted"])
-    return arrow_map(stats, judge, "doc_id long, held_out boolean, score double, predicted int")
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(s), pa.array((s >= threshold).astype(np.int32))],
+                                             ["doc_id", "held_out", "row", "score", "predicted"])
+    out = arrow_map(stats, judge, "doc_id long, held_out boolean, row long, score double, predicted int")
+    return out if with_row else out.drop("row")

@@ -418,3 +418,13 @@ def deduplicate(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text
                          "kept_sha256": pa.array([o[2] for o in out], pa.string()), "kept": pa.array([o[3] for o in out], pa.binary())})
     return blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(
         finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+
+
+def as_text(rows: DataFrame, key_col: str, bytes_col: str) -> DataFrame:
+    """(key, text) with the bytes as text; a character that lost some of its bytes goes whole."""
+    def decode_all(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([None if x is None else x.decode("utf-8", "ignore") for x in b.column(1).to_pylist()], pa.string())],
+                                             [key_col, bytes_col])
+    kind = rows.schema[key_col].dataType.simpleString()
+    return arrow_map(rows.select(key_col, bytes_col), decode_all, f"`{key_col}` {kind}, `{bytes_col}` string")
