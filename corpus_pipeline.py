@@ -47,7 +47,7 @@ def suffix_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     kept = suffix_dedup.deduplicate(rows, length=200, id_col="row").where("n_removed > 0") \
         .select(F.col("doc_id").alias("row"), "kept").dropDuplicates(["row"])
     kept = suffix_dedup.as_text(kept, "row", "kept")
-    text = F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.regexp_replace(F.decode_lossy("kept"), "�", ""))
+    text = F.coalesce("kept", "text")
     return rows.join(kept, "row", "left").select("doc_id", text.alias("text"), "lang", "source", F.length(text).cast("long").alias("n_chars"))
 
 
