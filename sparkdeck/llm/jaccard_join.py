@@ -17,8 +17,9 @@ those and leaves at once.
 
 Sets that remain are compared exactly.  Within the group of a part, members are first
 compared with a pivot, twice with different pivots; then only members of different
-components are compared, until every pair that shares a part is either compared or
-known to be connected.  Equal sets count as one throughout and are never paired.
+components are compared, and of those only pairs that their distances from the pivots
+allow (the Jaccard distance obeys the triangle inequality), so every pair that shares a
+part is compared, known to be connected or known to be too far apart.  Equal sets count as one throughout and are never paired.
 
 Sketch parts travel as binary rows, one for each batch and bucket, so the exchange has
 eight bytes a part; buckets are sized by the corpus.
@@ -168,20 +169,37 @@ def _repeated(rows: pa.Table) -> pa.Table:
 
 
 def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets link."""
+    """(a, b, dist, linked) of the pairs, by their whole sets."""
     a = sets.select(F.col("fp").alias("a"), F.col("h").alias("ha"))
     b = sets.select(F.col("fp").alias("b"), F.col("h").alias("hb"))
 
     def check(batches):
         for batch in batches:
-            keep = []
+            dist, linked = [], []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                both = len(np.intersect1d(x, y, assume_unique=True)) if 4 * min(len(x), len(y)) >= 3 * max(len(x), len(y)) else 0
-                keep.append(100 * both >= 75 * (len(x) + len(y) - both))
-            at = pa.array(np.flatnonzero(keep))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], ["a", "b"])
-    return arrow_map(pairs.join(a, "a").join(b, "b").select("a", "b", "ha", "hb"), check, "a long, b long")
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                union = len(x) + len(y) - both
+                dist.append(1 - both / union)
+                linked.append(100 * both >= 75 * union)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(dist, pa.float64()), pa.array(linked, pa.bool_())],
+                                             ["a", "b", "dist", "linked"])
+    return arrow_map(pairs.join(a, "a").join(b, "b").select("a", "b", "ha", "hb"), check, "a long, b long, dist double, linked boolean")
+
+
+def _unsettled(kept: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (key, fp, label) of the groups whose members have different components."""
+    rows = kept.select("key", "fp").join(labels, kept.fp == labels.node, "left").select("key", "fp", F.coalesce("label", "fp").alias("label"))
+    mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+    return rows.join(mixed, "key")
+
+
+def _with_pivot(rows: DataFrame, order) -> DataFrame:
+    return rows.join(rows.groupBy("key").agg(F.min_by("fp", order).alias("pivot")), "key").select("key", "fp", "pivot")
+
+
+def _pairs(pivoted: DataFrame) -> DataFrame:
+    return pivoted.where("fp <> pivot").select(F.least("fp", "pivot").alias("a"), F.greatest("fp", "pivot").alias("b")).distinct()
 
 
 def link(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text", bucket_parts: int = 1_500_000,
@@ -214,29 +232,30 @@ def link(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(same, pa.int64())), pa.array([sets[i].astype("<u8").tobytes() for i in same], pa.binary())],
                                              ["fp", "h"])
     sets = stored(spark, arrow_map(texts.join(ids, "doc_id").select("fp", "text"), hashes, "fp long, h binary").dropDuplicates(["fp"]), "shingles")
-    links, tested, labels = None, None, None
-    for turn in range(3):
-        rows = kept if labels is None else kept.join(labels, kept.fp == labels.node, "left") \
-            .select("key", "fp", F.coalesce("label", "fp").alias("label"))
-        if turn:
-            # groups whose members are connected already are settled
-            mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-            rows = rows.join(mixed, "key")
-        if turn < 2:
-            order = F.col("fp") if turn == 0 else F.xxhash64("fp")
-            pivot = rows.groupBy("key").agg(F.min_by("fp", order).alias("pivot"), *([F.min_by("label", order).alias("of")] if turn else []))
-            pairs = rows.join(pivot, "key").where("fp <> pivot" + (" and label <> of" if turn else "")) \
-                .select(F.least("fp", "pivot").alias("a"), F.greatest("fp", "pivot").alias("b")).distinct()
-        else:
-            left, right = (rows.select("key", F.col("fp").alias(f), F.col("label").alias(l)) for f, l in (("a", "la"), ("b", "lb")))
-            pairs = left.join(right, "key").where("a < b and la <> lb").select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(spark, pairs, "pairs")
-        new = _compare(pairs, sets)
-        links = stored(spark, new if links is None else new.union(links), "links")
-        labels = components(links)
-        tested = pairs if tested is None else pairs.union(tested)
+    size_of = sets.select(F.col("fp").alias("node"), (F.octet_length("h") / 8).alias("n"))
+    first = _with_pivot(kept, F.col("fp"))
+    tested = stored(spark, _compare(_pairs(first), sets), "compared")
+    labels = components(tested.where("linked").select("a", "b"))
+    # groups whose members are connected already are settled
+    second = _with_pivot(_unsettled(kept, labels), F.xxhash64("fp"))
+    more = stored(spark, _compare(_pairs(second).join(tested, ["a", "b"], "left_anti"), sets), "compared")
+    tested = tested.union(more)
+    labels = components(tested.where("linked").select("a", "b"))
+    # what is left: members of different components.  The Jaccard distance is a metric, so two sets whose
+    # distances from a common pivot differ by more than a quarter cannot link, nor sets of unlike size
+    left = stored(spark, _unsettled(kept, labels), "unsettled")
+    for pivots, name in ((first, "d1"), (second, "d2")):
+        far = pivots.select("key", "fp", F.least("fp", "pivot").alias("a"), F.greatest("fp", "pivot").alias("b")).join(tested, ["a", "b"], "left") \
+            .select("key", "fp", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("dist")).alias(name))
+        left = left.join(far, ["key", "fp"], "left")
+    left = stored(spark, left.join(size_of, left.fp == size_of.node).drop("node"), "unsettled")
+    one, two = (left.select("key", *[F.col(c).alias(c + e) for c in ("fp", "label", "n", "d1", "d2")]) for e in ("_a", "_b"))
+    near = lambda d: F.coalesce(F.abs(F.col(d + "_a") - F.col(d + "_b")) <= 0.25 + 1e-9, F.lit(True))
+    pairs = one.join(two, (one.key == two.key) & (F.col("fp_a") < F.col("fp_b")) & (F.col("label_a") != F.col("label_b"))
+                     & (4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b")) & near("d1") & near("d2")) \
+        .select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+    more = stored(spark, _compare(pairs, sets), "compared")
+    labels = components(tested.union(more).where("linked").select("a", "b"))
     # the smallest document of each set, then of each component
     sets_of = meta.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("least")) \
         .join(labels, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("label", "fp").alias("label"), "least")
