@@ -16,10 +16,12 @@ no other set count as rarest; a document without near-duplicates has more than t
 those and leaves at once.
 
 Sets that remain are compared exactly.  Within the group of a part, members are first
-compared with a pivot, twice with different pivots; then only members of different
-components are compared, and of those only pairs that their distances from the pivots
-allow (the Jaccard distance obeys the triangle inequality), so every pair that shares a
-part is compared, known to be connected or known to be too far apart.  Equal sets count as one throughout and are never paired.
+compared with one pivot.  Where that leaves different components (short texts around
+the same passage), the sets of these groups are joined once more by their rarest single
+shingles, again with a pivot first; last, members of different components are compared
+if their distances from the pivot allow a link (the Jaccard distance obeys the triangle
+inequality).  So every pair that shares a part is compared, known to be connected or
+known not to link.  Equal sets count as one throughout and are never paired.
 
 Sketch parts travel as binary rows, one for each batch and bucket, so the exchange has
 eight bytes a part; buckets are sized by the corpus.
@@ -47,6 +49,8 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _HASH: dict[int, WordHash] = {}
 #: Sets under 2^SMALL shingles use every shingle as a part of its own.
 SMALL = 6
+#: Bytes of all remaining sets up to which they are broadcast to the comparisons.
+SMALL_SETS = 32 << 20
 #: Bits of a packed entry that number the set within its batch; the rest is the part's key.
 _SLOT = 14
 
@@ -170,6 +174,8 @@ def _repeated(rows: pa.Table) -> pa.Table:
 
 def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, dist, linked) of the pairs, by their whole sets."""
+    size = sets.agg(F.sum(F.octet_length("h"))).first()[0] or 0
+    sets = F.broadcast(sets) if size <= SMALL_SETS else sets     # checked; beyond it both sides are shuffled
     a = sets.select(F.col("fp").alias("a"), F.col("h").alias("ha"))
     b = sets.select(F.col("fp").alias("b"), F.col("h").alias("hb"))
 
@@ -187,6 +193,23 @@ def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return arrow_map(pairs.join(a, "a").join(b, "b").select("a", "b", "ha", "hb"), check, "a long, b long, dist double, linked boolean")
 
 
+def _prefixes(fps: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, fp): each set's rarest shingles, as many as two linked sets must share one of.
+
+    Of n shingles at least three quarters are in any partner, so of any n / 4 + 1 one is; taken
+    in the same order (rare first) by all sets, partners share one within theirs."""
+    def single(batches):
+        for b in batches:
+            for fp, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                h = np.frombuffer(h, "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), fp)), pa.array(np.full(len(h), len(h) - -(-3 * len(h) // 4) + 1))],
+                                                 ["key", "fp", "first"])
+    rows = stored(fps.sparkSession, arrow_map(sets.join(fps, "fp").select("fp", "h"), single, "key long, fp long, first long"), "singles")
+    often = rows.groupBy("key").agg(F.count("*").alias("freq"))
+    nth = F.row_number().over(Window.partitionBy("fp").orderBy("freq", "key"))
+    return rows.join(often, "key").withColumn("nth", nth).where("nth <= first and freq > 1").select("key", "fp")
+
+
 def _unsettled(kept: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows (key, fp, label) of the groups whose members have different components."""
     rows = kept.select("key", "fp").join(labels, kept.fp == labels.node, "left").select("key", "fp", F.coalesce("label", "fp").alias("label"))
@@ -236,23 +259,23 @@ def link(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str =
     first = _with_pivot(kept, F.col("fp"))
     tested = stored(spark, _compare(_pairs(first), sets), "compared")
     labels = components(tested.where("linked").select("a", "b"))
-    # groups whose members are connected already are settled
-    second = _with_pivot(_unsettled(kept, labels), F.xxhash64("fp"))
+    # groups whose members are connected already are settled; the sets of the others meet again by single shingles
+    groups = stored(spark, _prefixes(_unsettled(kept, labels).select("fp").distinct(), sets), "prefixes")
+    second = stored(spark, _with_pivot(_unsettled(groups, labels), F.xxhash64("fp", "key")), "pivots")
     more = stored(spark, _compare(_pairs(second).join(tested, ["a", "b"], "left_anti"), sets), "compared")
     tested = tested.union(more)
     labels = components(tested.where("linked").select("a", "b"))
     # what is left: members of different components.  The Jaccard distance is a metric, so two sets whose
     # distances from a common pivot differ by more than a quarter cannot link, nor sets of unlike size
-    left = stored(spark, _unsettled(kept, labels), "unsettled")
-    for pivots, name in ((first, "d1"), (second, "d2")):
-        far = pivots.select("key", "fp", F.least("fp", "pivot").alias("a"), F.greatest("fp", "pivot").alias("b")).join(tested, ["a", "b"], "left") \
-            .select("key", "fp", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("dist")).alias(name))
-        left = left.join(far, ["key", "fp"], "left")
+    left = _unsettled(groups, labels)
+    far = second.select("key", "fp", F.least("fp", "pivot").alias("a"), F.greatest("fp", "pivot").alias("b")).join(tested, ["a", "b"], "left") \
+        .select("key", "fp", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("dist")).alias("d"))
+    left = left.join(far, ["key", "fp"], "left")
     left = stored(spark, left.join(size_of, left.fp == size_of.node).drop("node"), "unsettled")
-    one, two = (left.select("key", *[F.col(c).alias(c + e) for c in ("fp", "label", "n", "d1", "d2")]) for e in ("_a", "_b"))
-    near = lambda d: F.coalesce(F.abs(F.col(d + "_a") - F.col(d + "_b")) <= 0.25 + 1e-9, F.lit(True))
+    one, two = (left.select("key", *[F.col(c).alias(c + e) for c in ("fp", "label", "n", "d")]) for e in ("_a", "_b"))
+    near = F.coalesce(F.abs(F.col("d_a") - F.col("d_b")) <= 0.25 + 1e-9, F.lit(True))
     pairs = one.join(two, (one.key == two.key) & (F.col("fp_a") < F.col("fp_b")) & (F.col("label_a") != F.col("label_b"))
-                     & (4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b")) & near("d1") & near("d2")) \
+                     & (4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b")) & near) \
         .select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
     more = stored(spark, _compare(pairs, sets), "compared")
     labels = components(tested.union(more).where("linked").select("a", "b"))
