@@ -1,6 +1,6 @@
 """Student-t tail probabilities without scipy.
 
-Regularised incomplete beta by Lentz's continued fraction (the textbook method);
+Regularised incomplete beta by its continued fraction;
 used by the pairwise t-test on its k(k-1)/2 result rows only.
 """
 
@@ -14,30 +14,15 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
 
-def _betacf(a: float, b: float, x: float, iters: int = 300, eps: float = 1e-15) -> float:
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, iters + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < eps:
-            break
-    return h
+def _fraction(a: float, b: float, x: float) -> float:
+    """1 / (1 + c1 / (1 + c2 / (1 + ...))), the continued fraction of the incomplete beta
+    function, evaluated from its tail; x below the mean needs about sqrt(max(a, b)) terms."""
+    value = 1.0
+    for k in range(200 + 4 * math.isqrt(int(max(a, b)) + 1), 0, -1):
+        m, odd = divmod(k, 2)
+        c = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)) if odd else m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        value = 1.0 + c / value
+    return 1.0 / value
 
 
 def betainc_reg(a: float, b: float, x: float) -> float:
@@ -49,8 +34,8 @@ def betainc_reg(a: float, b: float, x: float) -> float:
     lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
     bt = math.exp(lbt)
     if x < (a + 1.0) / (a + b + 2.0):
-        return bt * _betacf(a, b, x) / a
-    return 1.0 - bt * _betacf(b, a, 1.0 - x) / b
+        return bt * _fraction(a, b, x) / a
+    return 1.0 - bt * _fraction(b, a, 1.0 - x) / b
 
 
 def t_two_sided_p(t: float, df: float) -> float:

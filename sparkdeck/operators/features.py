@@ -96,11 +96,12 @@ def _interpolate_window(df, keys, time, value, out, tiebreak):
     order = [F.col(time)] + ([F.col(tiebreak)] if tiebreak else [])
     w = Window.partitionBy(*keys).orderBy(*order)
     before = w.rowsBetween(Window.unboundedPreceding, 0)
-    after = w.rowsBetween(0, Window.unboundedFollowing)
+    # the next value is the last one of the reversed series: a running frame, linear in its length
+    back = Window.partitionBy(*keys).orderBy(*[c.desc() for c in order]).rowsBetween(Window.unboundedPreceding, 0)
     t = _micros(df, time)
     tv = F.when(F.col(value).isNotNull(), t)
     d = (df.withColumn("_pv", F.last(value, True).over(before)).withColumn("_pt", F.last(tv, True).over(before))
-         .withColumn("_nv", F.first(value, True).over(after)).withColumn("_nt", F.first(tv, True).over(after)))
+         .withColumn("_nv", F.last(value, True).over(back)).withColumn("_nt", F.last(tv, True).over(back)))
     return d.withColumn(out, _interp_expr(value, t, "_pv", "_pt", "_nv", "_nt")).drop("_pv", "_pt", "_nv", "_nt")
 
 

@@ -242,14 +242,17 @@ def scan_partitions(df: DataFrame) -> int:
     return int(min(MAX_SCAN_PARTITIONS, max(base, -(-size // target))))
 
 
-def _window_positions(df, keys, order_n, row_number, rank, prefix_sums):
+def _window_positions(df, keys, order_n, row_number, rank, prefix_sums, tiebreak):
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*_sort_exprs([], order_n, None))
-    out = df.withColumn(row_number, F.row_number().over(w).cast("long"))
+    # the scan's tie-break: both ways number tied rows alike
+    t = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(
+        *_sort_exprs([], order_n, None), *([F.xxhash64(*[F.col(c) for c in df.columns])] if tiebreak else []))
+    out = df.withColumn(row_number, F.row_number().over(t).cast("long"))
     if rank:
         out = out.withColumn(rank, F.rank().over(w).cast("long"))
     for name, col in (prefix_sums or {}).items():
         out = out.withColumn(name, F.sum(F.coalesce(F.col(col).cast("double"), F.lit(0.0)))
-                             .over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                             .over(t.rowsBetween(Window.unboundedPreceding, 0)))
     return out
 
 
@@ -272,7 +275,7 @@ def segmented_positions(df: DataFrame, keys: Sequence[str], order: Sequence[Orde
     order_n = _norm_order(order)
     order_cols = [c for c, _ in order_n]
     if num_partitions is None and choose_strategy(df, keys, strategy) == "window":
-        return _window_positions(df, keys, order_n, row_number, rank, prefix_sums)
+        return _window_positions(df, keys, order_n, row_number, rank, prefix_sums, tiebreak)
     sums = list((prefix_sums or {}).values())
     reserved = {"_pid", "_tiebreak"} | {c for c in df.columns if c.startswith(("_lrn", "_first", "_lsum"))}
     if reserved & set(df.columns):
@@ -391,8 +394,11 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
                                 (h - F.floor(h)).alias("_frac")))
     tg = counts.select(*keys, F.explode(F.array(*targets)).alias("_t")).select(*keys, "_t.*")
     want = tg.select(*keys, "_q", "_frac", "_lo", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_p"))
-    hit = want.join(pos.select(*keys, (F.col("_pos") - 1).alias("_p"), F.col(value).alias("_v")),
-                    keys + ["_p"], "inner")
+    at = pos.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], (F.col("_pos") - 1).alias("_at"), F.col(value).alias("_v"))
+    same = F.col("_p") == F.col("_at")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))        # a NULL key is a group
+    hit = want.join(at, same, "inner")
     agg = hit.groupBy(*keys, "_q").agg(
         F.max(F.when(F.col("_p") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
         F.max(F.when(F.col("_p") != F.col("_lo"), F.col("_v"))).alias("_vhi"),

@@ -81,7 +81,7 @@ def boxplot_stats(df: DataFrame, value: str, group: str, coef: float = 1.5, stra
     base = df.select(group, value).filter(F.col(value).isNotNull())
     q = exact_quantiles(base, [group], value, [0.25, 0.5, 0.75], ["q1", "median", "q3"], strategy=strategy)
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    j = base.join(q.select(group, "q1", "q3", "iqr"), group)
+    j = base.join(q.select(F.col(group).alias("_g"), "q1", "q3", "iqr"), F.col(group).eqNullSafe(F.col("_g"))).drop("_g")
     lo = F.col("q1") - coef * F.col("iqr")
     hi = F.col("q3") + coef * F.col("iqr")
     w = j.groupBy(group).agg(
@@ -89,7 +89,8 @@ def boxplot_stats(df: DataFrame, value: str, group: str, coef: float = 1.5, stra
         F.min(F.when(F.col(value) >= lo, F.col(value))).alias("lower_whisker"),
         F.max(F.when(F.col(value) <= hi, F.col(value))).alias("upper_whisker"),
         F.count(F.when((F.col(value) < lo) | (F.col(value) > hi), 1)).alias("n_outliers"))
-    return q.join(w, group)
+    w = w.withColumnRenamed(group, "_g")
+    return q.join(w, F.col(group).eqNullSafe(F.col("_g"))).select(group, *[c for c in q.columns if c != group], *[c for c in w.columns if c != "_g"])
 
 
 def histogram(df: DataFrame, col: str, binwidth: float, name: str = "bin_center") -> DataFrame:
@@ -113,14 +114,18 @@ def count_of_counts(df: DataFrame, key: str, name: str = "n_rows") -> DataFrame:
 def crosstab_long(df: DataFrame, a: str, b: str, values_b: Sequence | None = None) -> DataFrame:
     """R ``table(a, b)`` in long form, zero cells included: (a, b, n).
 
-    A pivot aggregate (one pass, partial aggregation) gives one column per value of
-    ``b`` — their number is bounded by ``spark.sql.pivotMaxValues`` — then unpivot.
-    No cross product of the value sets is formed.
+    Values keep their types, NULL is a value, and no column is named after one.  Each value
+    of ``a`` is listed with all values of ``b`` (the table's own size) and takes its count.
     """
-    wide = df.groupBy(a).pivot(b, list(values_b) if values_b is not None else None).agg(F.count(F.lit(1)))
-    vals = [c for c in wide.columns if c != a]
-    wide = wide.fillna(0, subset=vals)
-    return wide.unpivot([a], vals, b, "n")
+    cells = df.select(F.col(a).alias("_a"), F.col(b).alias("_b")).groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    if values_b is not None:
+        cells = cells.filter(F.col("_b").isin(list(values_b)))
+        listed = F.array(*[F.struct(F.lit(v).cast(df.schema[b].dataType).alias("v")) for v in values_b])
+    else:
+        listed = cells.agg(F.collect_set(F.struct(F.col("_b").alias("v")))).scalar()
+    rows = df.select(F.col(a).alias("_x")).distinct().select("_x", F.explode(listed).alias("_y")).select("_x", F.col("_y.v").alias("_y"))
+    found = rows.join(cells, F.col("_x").eqNullSafe(F.col("_a")) & F.col("_y").eqNullSafe(F.col("_b")), "left")
+    return found.select(F.col("_x").alias(a), F.col("_y").alias(b), F.coalesce("_n", F.lit(0)).alias("n"))
 
 
 def fitted_line(df: DataFrame, y: str, x: str) -> DataFrame:

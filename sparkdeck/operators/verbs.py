@@ -8,6 +8,8 @@ Spark has no single call for live here.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -63,7 +65,9 @@ def group_extremes(df: DataFrame, keys: Sequence[str], value: str, which: str =
     ext = df.groupBy(*keys).agg(F.min(value).alias("_mn"), F.max(value).alias("_mx"))
     cond = {"min": F.col(value) == F.col("_mn"), "max": F.col(value) == F.col("_mx"),
             "both": (F.col(value) == F.col("_mn")) | (F.col(value) == F.col("_mx"))}[which]
-    return df.join(ext, keys, "inner").filter(cond).drop("_mn", "_mx")
+    ext = ext.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_mn", "_mx")
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)))    # a NULL key is a group
+    return df.join(ext, same, "inner").filter(cond).drop("_mn", "_mx", *[f"_k{i}" for i in range(len(keys))])
 
 
 def global_value(agg_df: DataFrame) -> Column:

@@ -32,8 +32,9 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str
 
 
 def read_csv(spark: SparkSession, path: str, name: str | None = None,
-             schema: StructType | None = None, sample_ratio: float = 0.1) -> DataFrame:
-    """Headered CSV.  A given schema is used as is; otherwise types are inferred from a sample."""
+             schema: StructType | None = None, sample_ratio: float = 1.0) -> DataFrame:
+    """Headered CSV.  A given schema is used as is; otherwise types are inferred from
+    the whole file, so a late value cannot contradict them (a smaller ``sample_ratio`` risks that)."""
     reader = spark.read.option("header", "true")
     if schema is not None:
         reader = reader.schema(schema)

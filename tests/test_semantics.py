@@ -70,17 +70,14 @@ def test_year_rule(spark):
     assert got == [1995, 1900, None, 1977]
 
 
-def _perl_split(rows, start, stop, maxtest):
-    """The per-user hold-out exactly as the reference's Perl tool walks its input."""
-    cnt, testcnt, out = {}, 0, {}
-    for pos, user in rows:
-        cnt[user] = cnt.get(user, 0) + 1
-        if (testcnt < maxtest or maxtest <= 0) and start <= cnt[user] <= stop:
-            testcnt += 1
-            out[pos] = "test"
-        else:
-            out[pos] = "base"
-    return out
+def _expected_holdout(rows, start, stop, cap):
+    """The hold-out from counts alone: a row qualifies by its number within its user, and
+    at most ``cap`` qualifying rows (0: all), in input order, are taken."""
+    pdf = pd.DataFrame(rows, columns=["line", "user"]).sort_values("line")
+    qualifies = (pdf.groupby("user").cumcount() + 1).between(start, stop)
+    if cap:
+        qualifies &= qualifies.cumsum() <= cap
+    return dict(zip(pdf.line, np.where(qualifies, "test", "base")))
 
 
 def test_holdout_matches_reference_walk(spark):
@@ -91,7 +88,7 @@ def test_holdout_matches_reference_walk(spark):
     df = spark.createDataFrame(rows, "line long, user long")
     for start, stop, cap in [(1, 10, 0), (11, 20, 0), (1, 10, 150)]:
         got = {r.line: r.split for r in holdout_per_key(df, "user", ["line"], start, stop, cap).collect()}
-        assert got == _perl_split(rows, start, stop, cap), (start, stop, cap)
+        assert got == _expected_holdout(rows, start, stop, cap), (start, stop, cap)
 
 
 def test_boxplot_against_brute_force(spark):
