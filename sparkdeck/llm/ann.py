@@ -119,7 +119,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
     top *= 1 + 1e-9
     sample = _matrix(hashed_sample(good, sample_rows, "id").select("v").toArrow().column(0), dim)
     lifted = _lift(sample, top)
-    centres = kmeans(lifted, int(max(1, min(max_lists, round(total ** 0.5 / 2), len(lifted)))))
+    centres = kmeans(lifted, int(max(1, min(max_lists, round(total ** 0.4), len(lifted)))))
     probes = _probes(sample, lifted, centres, k, top, target)
 
     def place(batches):
