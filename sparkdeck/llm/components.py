@@ -5,20 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import stored
+from .util import pieces, stored
+
+#: Rows of a label table in one file.
+FILE_ROWS = 1_000_000
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, label): the smallest node that each end of ``links`` (a, b) reaches."""
     spark = links.sparkSession
     both = stored(spark, links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
-    labels = stored(spark, both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")), "labels")
+    files = pieces(both.count(), FILE_ROWS)
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label"))
+    labels = stored(spark, labels.coalesce(files), "labels")
     for _ in range(rounds):
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
         spread = labels.join(near, labels.node == near.a).select("node", F.least("label", "near").alias("label"), F.col("label").alias("old"))
         hop = labels.select(F.col("node").alias("mid"), F.col("label").alias("far"))
         jumped = spread.join(hop, spread.label == hop.mid).select("node", F.least("label", "far").alias("label"), "old")
-        labels = stored(spark, jumped, "labels")
+        labels = stored(spark, jumped.coalesce(files), "labels")
         if labels.where("label <> old").limit(1).count() == 0:
             return labels.select("node", "label")
         labels = labels.select("node", "label")

@@ -20,8 +20,10 @@ compared with one pivot.  Where that leaves different components (short texts ar
 the same passage), the sets of these groups are joined once more by their rarest single
 shingles, again with a pivot first; last, members of different components are compared
 if their distances from the pivot allow a link (the Jaccard distance obeys the triangle
-inequality).  So every pair that shares a part is compared, known to be connected or
-known not to link.  Equal sets count as one throughout and are never paired.
+inequality) and their bit sketches do (the parities of the shingle counts of 512 parts:
+the Hamming distance of two is at most the symmetric difference).  Members of a group's
+largest component never meet one another there.  So every pair that shares a part is
+compared, known to be connected or known not to link.  Equal sets count as one throughout and are never paired.
 
 Sketch parts travel as binary rows, one for each batch and bucket, so the exchange has
 eight bytes a part; buckets are sized by the corpus.
@@ -53,6 +55,9 @@ SMALL = 6
 SMALL_SETS = 32 << 20
 #: Bits of a packed entry that number the set within its batch; the rest is the part's key.
 _SLOT = 14
+#: 64-bit words of a set's bit sketch, and their columns.
+_WORDS = 8
+_SKETCH = [f"s{i}" for i in range(_WORDS)]
 
 
 def shingle_set(text: bytes | None, size: int) -> np.ndarray:
@@ -83,6 +88,12 @@ def sketch(h: np.ndarray, band: int, seed: int) -> np.ndarray:
     return mix(np.bitwise_xor.reduceat(mix(h ^ salt)[order], first) + part[first].astype(_U) * _U(0x9E3779B97F4A7C15) + salt)
 
 
+def bit_sketch(h: np.ndarray) -> np.ndarray:
+    """Parities of the number of shingles in each part, as 64-bit words."""
+    count = np.bincount((mix(h) % _U(64 * _WORDS)).astype(np.int64), minlength=64 * _WORDS)
+    return np.packbits((count & 1).astype(np.uint8)).view("<i8")
+
+
 def _texts(docs, id_col, text_col):
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
@@ -241,8 +252,9 @@ def link(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str =
     kept = (found.withColumn("r", F.count("*").over(mine)).withColumn("nth", F.row_number().over(mine.orderBy("freq", "key")))
             .where(F.col("nth") <= F.col("r") + F.col("need")).select("key", "fp"))
     # a key that only one set still holds pairs nothing
-    alone = F.count("*").over(Window.partitionBy("key"))
-    kept = stored(spark, kept.distinct().withColumn("g", alone).where("g > 1").select("key", "fp"), "groups")
+    kept = stored(spark, kept.distinct(), "rare")
+    several = kept.groupBy("key").agg(F.count("*").alias("g")).where("g > 1").select("key")
+    kept = stored(spark, kept.join(several, "key"), "groups")
     wanted = kept.select("fp").distinct().join(meta.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "fp")
     wanted = stored(spark, wanted.dropna(), "wanted")
     small = wanted.count() <= small_ids              # 16 bytes a row
@@ -252,10 +264,12 @@ def link(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str =
         for b in batches:
             sets = [shingle_set(t, size) for t in raw(b.column(1))]
             same = [i for i, h in enumerate(sets) if len(h) and _print(h) == b.column(0)[i].as_py()]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(same, pa.int64())), pa.array([sets[i].astype("<u8").tobytes() for i in same], pa.binary())],
-                                             ["fp", "h"])
-    sets = stored(spark, arrow_map(texts.join(ids, "doc_id").select("fp", "text"), hashes, "fp long, h binary").dropDuplicates(["fp"]), "shingles")
-    size_of = sets.select(F.col("fp").alias("node"), (F.octet_length("h") / 8).alias("n"))
+            words = np.array([bit_sketch(sets[i]) for i in same], np.int64).reshape(-1, _WORDS)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(same, pa.int64())), pa.array([sets[i].astype("<u8").tobytes() for i in same], pa.binary()),
+                                              *[pa.array(np.ascontiguousarray(w)) for w in words.T]], ["fp", "h", *_SKETCH])
+    sets = arrow_map(texts.join(ids, "doc_id").select("fp", "text"), hashes, "fp long, h binary, " + ", ".join(f"{c} long" for c in _SKETCH))
+    sets = stored(spark, sets.dropDuplicates(["fp"]), "shingles")
+    about = sets.select(F.col("fp").alias("node"), (F.octet_length("h") / 8).alias("n"), *_SKETCH)
     first = _with_pivot(kept, F.col("fp"))
     tested = stored(spark, _compare(_pairs(first), sets), "compared")
     labels = components(tested.where("linked").select("a", "b"))
@@ -271,12 +285,18 @@ def link(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str =
     far = second.select("key", "fp", F.least("fp", "pivot").alias("a"), F.greatest("fp", "pivot").alias("b")).join(tested, ["a", "b"], "left") \
         .select("key", "fp", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("dist")).alias("d"))
     left = left.join(far, ["key", "fp"], "left")
-    left = stored(spark, left.join(size_of, left.fp == size_of.node).drop("node"), "unsettled")
-    one, two = (left.select("key", *[F.col(c).alias(c + e) for c in ("fp", "label", "n", "d")]) for e in ("_a", "_b"))
+    counts = left.groupBy("key", "label").agg(F.count("*").alias("c"))
+    main = counts.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
+    left = stored(spark, left.join(main, "key").join(about, left.fp == about.node).drop("node"), "unsettled")
+    # rows outside their group's largest component meet the others, and it
+    one, two = (left.select("key", "main", *[F.col(c).alias(c + e) for c in ("fp", "label", "n", "d", *_SKETCH)]) for e in ("_a", "_b"))
+    one = one.where("label_a <> main").drop("main")
+    once = (F.col("label_b") == F.col("main")) | (F.col("fp_a") < F.col("fp_b"))
     near = F.coalesce(F.abs(F.col("d_a") - F.col("d_b")) <= 0.25 + 1e-9, F.lit(True))
-    pairs = one.join(two, (one.key == two.key) & (F.col("fp_a") < F.col("fp_b")) & (F.col("label_a") != F.col("label_b"))
-                     & (4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b")) & near) \
-        .select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+    apart = sum((F.bit_count(F.col(c + "_a").bitwiseXOR(F.col(c + "_b"))) for c in _SKETCH[1:]), F.bit_count(F.col("s0_a").bitwiseXOR(F.col("s0_b"))))
+    pairs = one.join(two, (one.key == two.key) & (F.col("label_a") != F.col("label_b")) & once
+                     & (4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b")) & near & (7 * apart <= F.col("n_a") + F.col("n_b"))) \
+        .select(F.least("fp_a", "fp_b").alias("a"), F.greatest("fp_a", "fp_b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
     more = stored(spark, _compare(pairs, sets), "compared")
     labels = components(tested.union(more).where("linked").select("a", "b"))
     # the smallest document of each set, then of each component

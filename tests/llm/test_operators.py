@@ -9,6 +9,8 @@ from math import log10
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sparkdeck.llm import (ann, decontam, jaccard_join, lm_score, packing, pu_quality, suffix_dedup, token_store, tokens,
@@ -109,7 +111,7 @@ def test_loser_tree_order_and_prefixes():
     assert lcps[1:] == [suffix_dedup.common(a[0], b[0], 0) for a, b in zip(rows, rows[1:])]
 
 
-def test_jaccard_components(docs, rows):
+def _components(rows):
     sets = []
     for d, t in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", _lower(t))
@@ -129,8 +131,37 @@ def test_jaccard_components(docs, rows):
     for i, (d, _) in enumerate(rows):
         if d is not None:
             least[find(i)].append(d)
-    want = [(d, len(sets[i]), min(least[find(i)], default=None)) for i, (d, _) in enumerate(rows)]
-    assert _sorted(map(tuple, jaccard_join.link(docs).collect())) == _sorted(want)
+    return [(d, len(sets[i]), min(least[find(i)], default=None)) for i, (d, _) in enumerate(rows)]
+
+
+def test_jaccard_components(docs, rows):
+    assert _sorted(map(tuple, jaccard_join.link(docs).collect())) == _sorted(_components(rows))
+
+
+def test_jaccard_outsiders_close_to_a_group(spark):
+    """Copies with ever more edits, in two groups that share a passage, near and beyond the limit."""
+    rng = np.random.default_rng(8)
+    vocab = ["w%d" % i for i in range(3000)]
+    shared = list(rng.choice(vocab, 90))
+    rows = []
+    for g in range(2):
+        base = shared + list(rng.choice(vocab, 70))
+        for k in range(45):
+            w = list(base)
+            for at in rng.choice(len(w), k // 3 + 1, replace=False):
+                w[at] = "new%d" % rng.integers(1 << 30)
+            rows.append((len(rows), " ".join(w)))
+    found = jaccard_join.link(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert _sorted(map(tuple, found)) == _sorted(_components(rows))
+
+
+@given(st.integers(0, 2**32), st.integers(1, 900), st.integers(0, 300))
+@settings(max_examples=30, deadline=None)
+def test_bit_sketches_bound_the_difference(seed, n, other):
+    h = np.unique(np.random.default_rng(seed).integers(0, 1 << 63, n + other).astype(np.uint64))
+    a, b = h[:n], h[other:]
+    words = jaccard_join.bit_sketch(a) ^ jaccard_join.bit_sketch(b)
+    assert sum(int(w).bit_count() for w in words.view(np.uint64)) <= len(np.setxor1d(a, b))
 
 
 def test_lm_base_counts_and_score(docs, rows):
