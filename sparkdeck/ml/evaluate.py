@@ -8,9 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.stats import crosstab_long
-
-
 def regression_metrics(df: DataFrame, y: str, pred: str) -> DataFrame:
     """MSE, RMSE, MAE and R² in one pass (R² from the sums, no second scan)."""
     r = F.col(y) - F.col(pred)
@@ -32,32 +29,39 @@ def metrics_by_split(parts: dict[str, DataFrame], y: str, pred: str, name: str =
 
 
 def confusion_long(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """Confusion matrix in long form (actual, predicted, n), zero cells kept."""
-    return crosstab_long(df, actual, predicted)
+    """Confusion matrix in long form (actual, predicted, n).
+
+    Both sides list every class that occurs on either, so a class never predicted keeps its
+    zero cells; NULL counts as a class.  One scan: the cells hold one row per pair of classes.
+    """
+    cells = df.groupBy(F.col(actual).alias("_a"), F.col(predicted).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    classes = cells.select(F.explode(F.array("_a", "_p")).alias("_c")).distinct()
+    listed = classes.agg(F.collect_list(F.struct(F.col("_c").alias("v")))).scalar()
+    grid = classes.select("_c", F.explode(listed).alias("_d")).select("_c", F.col("_d.v").alias("_d"))
+    found = grid.join(cells, F.col("_c").eqNullSafe(F.col("_a")) & F.col("_d").eqNullSafe(F.col("_p")), "left")
+    return found.select(F.col("_c").alias(actual), F.col("_d").alias(predicted), F.coalesce("_n", F.lit(0)).alias("n"))
 
 
 def class_error(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """Per-class and total error rate, as printed under an H2O confusion matrix."""
-    wrong = (F.col(actual) != F.col(predicted)).cast("long")
-    per = df.groupBy(F.col(actual).cast("string").alias("class")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(wrong).alias("n_wrong"))
-    tot = df.agg(F.count(F.lit(1)).alias("n"), F.sum(wrong).alias("n_wrong")).select(
-        F.lit("Total").alias("class"), "n", "n_wrong")
-    return per.unionByName(tot).withColumn("error", F.col("n_wrong") / F.col("n"))
+    """Per-class and total error rate, as printed under an H2O confusion matrix; one scan, no row for an empty table."""
+    rows = df.select(F.col(actual).cast("string").alias("_class"), (F.col(actual) != F.col(predicted)).cast("long").alias("_wrong"))
+    both = rows.rollup("_class").agg(F.grouping("_class").alias("_all"), F.count(F.lit(1)).alias("n"), F.sum("_wrong").alias("n_wrong"))
+    return both.select(F.when(F.col("_all") == 1, "Total").otherwise(F.col("_class")).alias("class"), "n", "n_wrong",
+                       (F.col("n_wrong") / F.col("n")).alias("error"))
 
 
 def cluster_stats(df: DataFrame, cols: Sequence[str], prediction: str = "prediction",
                   centers: DataFrame | None = None) -> DataFrame:
     """Per-cluster size and within-cluster sum of squares.
 
-    Centres default to the cluster means (one aggregate); they hold one row per
-    cluster, so the join back is broadcast by AQE.
+    Centres default to the cluster means, whose sum of squares is count times variance: one
+    aggregate (NULL values count nowhere).  Given centres hold one row per cluster and are joined.
     """
     cols = list(cols)
     if centers is None:
-        centers = df.groupBy(prediction).agg(*[F.avg(c).alias(f"_c_{c}") for c in cols])
-    else:
-        centers = centers.select(prediction, *[F.col(c).alias(f"_c_{c}") for c in cols])
+        ss = sum(F.count(c) * F.var_pop(c) for c in cols)
+        return df.groupBy(prediction).agg(F.count(F.lit(1)).alias("size"), ss.alias("within_ss"))
+    centers = centers.select(prediction, *[F.col(c).alias(f"_c_{c}") for c in cols])
     j = df.select(prediction, *cols).join(centers, prediction)
     d2 = sum((F.col(c) - F.col(f"_c_{c}")) * (F.col(c) - F.col(f"_c_{c}")) for c in cols)
     return j.groupBy(prediction).agg(F.count(F.lit(1)).alias("size"), F.sum(d2).alias("within_ss"))

@@ -304,10 +304,7 @@ FROM lineitem l JOIN g ON l.l_returnflag = g.l_returnflag GROUP BY l.l_returnfla
 """)
 def mse_constant(spark, sf):
     """A-16: mean squared distance to the group mean."""
-    li = _t(spark, sf, "lineitem").select("l_returnflag", "l_quantity")
-    g = li.groupBy("l_returnflag").agg(F.avg("l_quantity").alias("gm"))
-    return li.join(g, "l_returnflag").groupBy("l_returnflag").agg(
-        r4(F.avg(F.pow(F.col("l_quantity") - F.col("gm"), 2))).alias("mse"))
+    return _t(spark, sf, "lineitem").groupBy("l_returnflag").agg(r4(F.var_pop("l_quantity")).alias("mse"))
 
 
 # ---------------------------------------------------------------- joins (J)
