@@ -1,4 +1,11 @@
-"""Connected components of a link table by label spreading with pointer jumps."""
+"""Connected components of a link table by hooking and contraction.
+
+Each round hooks every node to its smallest neighbour, follows the hooks to their roots by
+pointer jumps, and replaces the links by those between roots.  Links inside a component
+vanish as soon as their ends share a root, so later rounds read only what is not yet
+connected.  Labels found earlier are the start of a later call: only the new links, taken
+between known labels, are then worked on.
+"""
 
 from __future__ import annotations
 
@@ -11,20 +18,56 @@ from .util import pieces, stored
 FILE_ROWS = 1_000_000
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
-    """(node, label): the smallest node that each end of ``links`` (a, b) reaches."""
-    spark = links.sparkSession
-    both = stored(spark, links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
-    files = pieces(both.count(), FILE_ROWS)
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label"))
-    labels = stored(spark, labels.coalesce(files), "labels")
+def _ordered(links: DataFrame) -> DataFrame:
+    """Distinct links with the smaller end first, without loops."""
+    return links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _relabelled(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links between the labels of their ends; an end without a label stays."""
+    one = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    two = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    return _ordered(links.join(one, "a", "left").join(two, "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
+
+
+def _followed(labels: DataFrame, hooks: DataFrame) -> DataFrame:
+    """``labels`` with each label replaced by what ``hooks`` gives for it; ``old`` is the former one."""
+    hop = hooks.select(F.col("node").alias("mid"), F.col("label").alias("far"))
+    return labels.join(hop, labels.label == hop.mid, "left").select("node", F.coalesce("far", "label").alias("label"), F.col("label").alias("old"))
+
+
+def _roots(hooks: DataFrame, files: int, rounds: int) -> DataFrame:
+    """Every node's root: hooks lead to smaller nodes only, so each jump halves the way."""
     for _ in range(rounds):
-        near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
-        spread = labels.join(near, labels.node == near.a).select("node", F.least("label", "near").alias("label"), F.col("label").alias("old"))
-        hop = labels.select(F.col("node").alias("mid"), F.col("label").alias("far"))
-        jumped = spread.join(hop, spread.label == hop.mid).select("node", F.least("label", "far").alias("label"), "old")
-        labels = stored(spark, jumped.coalesce(files), "labels")
-        if labels.where("label <> old").limit(1).count() == 0:
-            return labels.select("node", "label")
-        labels = labels.select("node", "label")
+        hooks = stored(hooks.sparkSession, _followed(hooks, hooks).coalesce(files), "labels")
+        if hooks.where("label <> old").limit(1).count() == 0:
+            return hooks.select("node", "label")
+        hooks = hooks.select("node", "label")
     raise RuntimeError("labels did not settle")
+
+
+def components(links: DataFrame, known: DataFrame | None = None, rounds: int = 60) -> DataFrame:
+    """(node, label): the smallest node that each end of ``links`` (a, b) reaches.
+
+    ``known`` is an earlier result whose links count as well; its nodes stay in the result."""
+    spark = links.sparkSession
+    edges = stored(spark, _ordered(links) if known is None else _relabelled(links, known), "edges")
+    labels = None
+    for _ in range(rounds):
+        left = edges.count()
+        if not left:
+            break
+        files = pieces(2 * left, FILE_ROWS)
+        both = edges.union(edges.select("b", "a"))
+        hooks = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label"))
+        hooks = _roots(stored(spark, hooks.coalesce(files), "labels"), files, rounds)
+        labels = hooks if labels is None else stored(spark, _followed(labels, hooks).select("node", "label"), "labels")
+        edges = stored(spark, _relabelled(edges, hooks).coalesce(files), "edges")
+    else:
+        raise RuntimeError("labels did not settle")
+    if known is None:
+        return spark.createDataFrame([], "node long, label long") if labels is None else labels
+    if labels is None:
+        return known
+    new = labels.join(known.select("node"), "node", "left_anti")
+    return stored(spark, _followed(known, labels).select("node", "label").union(new.select("node", "label")), "labels")

@@ -278,7 +278,7 @@ def link(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str =
     second = stored(spark, _with_pivot(_unsettled(groups, labels), F.xxhash64("fp", "key")), "pivots")
     more = stored(spark, _compare(_pairs(second).join(tested, ["a", "b"], "left_anti"), sets), "compared")
     tested = tested.union(more)
-    labels = components(tested.where("linked").select("a", "b"))
+    labels = components(more.where("linked").select("a", "b"), labels)
     # what is left: members of different components.  The Jaccard distance is a metric, so two sets whose
     # distances from a common pivot differ by more than a quarter cannot link, nor sets of unlike size
     left = _unsettled(groups, labels)
@@ -298,7 +298,7 @@ def link(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str =
                      & (4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b")) & near & (7 * apart <= F.col("n_a") + F.col("n_b"))) \
         .select(F.least("fp_a", "fp_b").alias("a"), F.greatest("fp_a", "fp_b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
     more = stored(spark, _compare(pairs, sets), "compared")
-    labels = components(tested.union(more).where("linked").select("a", "b"))
+    labels = components(more.where("linked").select("a", "b"), labels)
     # the smallest document of each set, then of each component
     sets_of = meta.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("least")) \
         .join(labels, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("label", "fp").alias("label"), "least")

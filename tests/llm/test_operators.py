@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sparkdeck.llm import (ann, decontam, jaccard_join, lm_score, packing, pu_quality, suffix_dedup, token_store, tokens,
                            toxicity, url_filter)
+from sparkdeck.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, n long, fp long, block long"
 
@@ -155,6 +156,32 @@ def test_jaccard_outsiders_close_to_a_group(spark):
     assert _sorted(map(tuple, found)) == _sorted(_components(rows))
 
 
+def _least_reached(links):
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+    for a, b in links:
+        low, high = sorted((find(a), find(b)))
+        root[high] = low
+    return sorted((x, find(x)) for x in root)
+
+
+def test_components_at_once_and_continued(spark):
+    rng = np.random.default_rng(9)
+    first = [(100 + k, 101 + k) for k in range(40)] + [(900, 900 - k) for k in range(1, 20)] + rng.integers(0, 60, (30, 2)).tolist()
+    first = [(int(a), int(b)) for a, b in first if a != b]
+    more = [(120, 5), (890, 2000), (2001, 2000), (101, 100), (7, 7)]
+    frame = lambda links: spark.createDataFrame(links, "a long, b long")
+    found = components(frame(first * 2))
+    assert sorted(map(tuple, found.collect())) == _least_reached(first)
+    assert sorted(map(tuple, components(frame(more), found).collect())) == _least_reached(first + more[:-1])
+    assert sorted(map(tuple, components(frame([]), found).collect())) == _least_reached(first)
+    assert components(frame([])).collect() == []
+
+
 @given(st.integers(0, 2**32), st.integers(1, 900), st.integers(0, 300))
 @settings(max_examples=30, deadline=None)
 def test_bit_sketches_bound_the_difference(seed, n, other):
