@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.distributions import t_two_sided_p
+from ..operators.ordered import exact_quantiles
 
 
 def features(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
@@ -100,6 +101,12 @@ def regression_summary(model: PipelineModel, names: Sequence[str]) -> DataFrame:
     return out.withColumn("r2", F.lit(float(s.r2))).withColumn("rmse", F.lit(float(s.rootMeanSquaredError)))
 
 
+def residual_quantiles(model: PipelineModel, df: DataFrame, y: str) -> DataFrame:
+    """``summary(fit)``'s residual line: smallest, quartiles and largest, one row."""
+    left = model.transform(df).select((F.col(y) - F.col("prediction")).alias("residual"))
+    return exact_quantiles(left, [], "residual", [0.0, 0.25, 0.5, 0.75, 1.0], ["min", "q25", "median", "q75", "max"])
+
+
 def _f(v):
     return None if v is None or (isinstance(v, float) and math.isnan(v)) else float(v)
 
@@ -118,17 +125,23 @@ def glm_path(train: DataFrame, y: str, xs: Sequence[str], alpha: float = 0.5, n_
     aggregate, consistent with Spark's scaling of the objective) and steps down
     geometrically; the points are fitted concurrently on one cached frame.  Returns a
     table: lambda, non-zero count, training and validation MSE, coefficients.
+
+    Rows with a NULL in the response or a feature take no part; a constant feature has
+    no scale and keeps a zero coefficient.
     """
     spark = train.sparkSession
     xs = list(xs)
-    # Spark standardises features by their sample SD and applies regParam on the
+    train = train.dropna(subset=[y, *xs])
+    valid = valid.dropna(subset=[y, *xs]) if valid is not None else None
+    # Up to 4096 features Spark standardises by the population SD (beyond, by the sample
+    # SD, where the same penalty is just as enough) and applies regParam on the
     # response's own scale, so the smallest penalty that zeroes every coefficient is
     # max_j |sum_i z_ij (y_i - mean y)| / (n * alpha) with z the standardised features.
     st = train.agg(F.count(F.lit(1)).alias("n"), F.avg(y).alias("my"),
-                   *[F.avg(x).alias(f"m_{x}") for x in xs], *[F.stddev_samp(x).alias(f"s_{x}") for x in xs]).first()
+                   *[F.avg(x).alias(f"m_{x}") for x in xs], *[F.stddev_pop(x).alias(f"s_{x}") for x in xs]).first()
     n = st["n"]
     dots = train.agg(*[F.sum(((F.col(x) - st[f"m_{x}"]) / st[f"s_{x}"]) * (F.col(y) - st["my"]))
-                       .alias(x) for x in xs]).first()
+                       .alias(x) if st[f"s_{x}"] else F.lit(0.0).alias(x) for x in xs]).first()
     # a hair above the boundary, where the optimiser's tolerance could leave a
     # coefficient of order 1e-4 instead of an exact zero
     lmax = 1.001 * max(abs(dots[x]) for x in xs) / (n * max(alpha, 1e-3))
@@ -156,6 +169,16 @@ def glm_path(train: DataFrame, y: str, xs: Sequence[str], alpha: float = 0.5, n_
                                        "coefficients array<double>, intercept double").orderBy(F.desc("lambda"))
 
 
+def penalised_regression(train: DataFrame, y: str, xs: Sequence[str], alpha: float = 0.5, n_lambda: int = 10,
+                         valid: DataFrame | None = None) -> tuple[PipelineModel, float]:
+    """(model, penalty): the point of :func:`glm_path` with the smallest validation MSE
+    (training MSE without ``valid``; the larger penalty on ties), fitted to predict with."""
+    path = glm_path(train, y, xs, alpha, n_lambda, valid=valid).collect()      # n_lambda rows
+    best = min(path, key=lambda r: (r["train_mse"] if r["valid_mse"] is None else r["valid_mse"], -r["lambda"]))
+    model = linear_regression(train.dropna(subset=[y, *xs]), y, xs, reg=best["lambda"], elastic_net=alpha)
+    return model, best["lambda"]
+
+
 # ---------------------------------------------------------------- PCA
 
 def pca(df: DataFrame, cols: Sequence[str] | str, k: int | None = None, center: bool = True) -> DataFrame:

@@ -141,6 +141,22 @@ def ols_line(spark, sf):
         .select(r4("slope").alias("slope"), r2("intercept").alias("intercept"), rnd("r2", 6).alias("r2"))
 
 
+@query("residual_quantiles", """
+WITH fit AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a FROM lineitem),
+r AS (SELECT l_extendedprice - (a + b * l_quantity) AS residual FROM lineitem, fit)
+SELECT (round((min(residual)) * 1e2) / 1e2) AS "min", (round((quantile_cont(residual, 0.25)) * 1e2) / 1e2) AS q25,
+       (round((quantile_cont(residual, 0.5)) * 1e2) / 1e2) AS median, (round((quantile_cont(residual, 0.75)) * 1e2) / 1e2) AS q75,
+       (round((max(residual)) * 1e2) / 1e2) AS "max"
+FROM r
+""")
+def residual_quantiles(spark, sf):
+    """L-06: the five residual quantiles of a least-squares line."""
+    li = _t(spark, sf, "lineitem").select("l_extendedprice", "l_quantity")
+    m = M.linear_regression(li, "l_extendedprice", ["l_quantity"], solver="normal")
+    found = M.residual_quantiles(m, li, "l_extendedprice")
+    return found.select(*[r2(c).alias(c) for c in ("min", "q25", "median", "q75", "max")])
+
+
 # ---------------------------------------------------------------- sampling and splits (property checks)
 
 @query("head_rows", None)
@@ -418,6 +434,17 @@ def glm_path_q(spark, sf):
         d.unpersist()
 
 
+@query("predicted_actual", None)
+def predicted_actual(spark, sf):
+    """G-06, L-19: predicted and actual response of every validation row under the best point of the penalty path."""
+    d, parts = _doc_reg(spark, sf)
+    try:
+        model, _ = M.penalised_regression(parts["train"], "y", _DOC_X, alpha=0.5, valid=parts["valid"])
+    finally:
+        d.unpersist()
+    return model.transform(parts["valid"]).select("doc_id", F.col("prediction").alias("predicted"), F.col("y").alias("actual"))
+
+
 def _part_split(spark, sf):
     p = _t(spark, sf, "part").select("p_partkey", F.col("p_size").cast("double").alias("p_size"),
                                      (F.col("p_partkey") % 1000).cast("double").alias("p_code"), "p_retailprice")

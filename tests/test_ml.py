@@ -125,6 +125,23 @@ def test_glm_path_starts_at_all_zero_model(spark):
     assert path.valid_mse.iloc[-1] < path.valid_mse.iloc[0]
 
 
+def test_penalised_regression_with_constant_feature_and_nulls(spark):
+    rows = [(float(i), float(i % 7), 4.0, 3.0 * i - 2.0 * (i % 7)) for i in range(80)] + [(None, 1.0, 4.0, 5.0), (1.0, 2.0, 4.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, y double")
+    path = M.glm_path(df, "y", ["a", "b", "c"], n_lambda=5).toPandas()
+    assert path.n_nonzero.iloc[0] == 0 and path.n_nonzero.iloc[-1] == 2
+    model, penalty = M.penalised_regression(df, "y", ["a", "b", "c"], n_lambda=5)
+    assert penalty == path["lambda"].min()
+    found = model.transform(df.dropna()).select("prediction", "y").toPandas()
+    assert len(found) == 80 and (found.prediction - found.y).abs().max() < 1.0
+
+
+def test_residual_quantiles(spark):
+    df = spark.createDataFrame([(float(x), 2.0 * x + e) for x, e in [(0, 1), (0, -1), (5, 3), (5, -3), (9, 0)]], "x double, y double")
+    m = M.linear_regression(df, "y", ["x"], solver="normal")
+    assert [round(v, 6) for v in M.residual_quantiles(m, df, "y").select("min", "q25", "median", "q75", "max").first()] == [-3, -1, 0, 1, 3]
+
+
 def test_variable_importance_scaling(spark):
     from sparkdeck.plans.ml_catalog import _LANG_X, _doc_lang
     d, parts = _doc_lang(spark, SF_SMALL)
