@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -179,6 +180,14 @@ def penalised_regression(train: DataFrame, y: str, xs: Sequence[str], alpha: flo
     return model, best["lambda"]
 
 
+def predict_every_row(model: PipelineModel, df: DataFrame, xs: Sequence[str], prediction: str = "prediction") -> DataFrame:
+    """``model.transform`` with as many rows out as in: a row with a NULL (or NaN) feature,
+    which the fit left out, is kept with a NULL prediction."""
+    first = model.stages[0].copy().setHandleInvalid("keep")
+    whole = reduce(lambda a, b: a & b, [F.col(x).isNotNull() & ~F.isnan(F.col(x).cast("double")) for x in xs])
+    return PipelineModel([first, *model.stages[1:]]).transform(df).withColumn(prediction, F.when(whole, F.col(prediction)))
+
+
 # ---------------------------------------------------------------- PCA
 
 def pca(df: DataFrame, cols: Sequence[str] | str, k: int | None = None, center: bool = True) -> DataFrame:

@@ -436,13 +436,15 @@ def glm_path_q(spark, sf):
 
 @query("predicted_actual", None)
 def predicted_actual(spark, sf):
-    """G-06, L-19: predicted and actual response of every validation row under the best point of the penalty path."""
+    """G-06, L-19: predicted and actual response of every validation row under the best point of the penalty path;
+    a row with a NULL feature stays, with a NULL prediction."""
     d, parts = _doc_reg(spark, sf)
     try:
         model, _ = M.penalised_regression(parts["train"], "y", _DOC_X, alpha=0.5, valid=parts["valid"])
     finally:
         d.unpersist()
-    return model.transform(parts["valid"]).select("doc_id", F.col("prediction").alias("predicted"), F.col("y").alias("actual"))
+    return (M.predict_every_row(model, parts["valid"], _DOC_X)
+            .select("doc_id", F.col("prediction").alias("predicted"), F.col("y").alias("actual")))
 
 
 def _part_split(spark, sf):

@@ -136,6 +136,19 @@ def test_penalised_regression_with_constant_feature_and_nulls(spark):
     assert len(found) == 80 and (found.prediction - found.y).abs().max() < 1.0
 
 
+def test_predicted_actual_keeps_rows_with_null_text(spark, tmp_path):
+    from sparkdeck.plans import ml_catalog as C
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    gone = F.col("doc_id") % 10 == 0
+    docs.withColumn("text", F.when(~gone, F.col("text"))).write.parquet(f"{tmp_path}/documents.parquet")
+    d, parts = C._doc_reg(spark, str(tmp_path))
+    want = {r.doc_id: r.y for r in parts["valid"].select("doc_id", "y").collect()}
+    d.unpersist()
+    got = C.predicted_actual(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.actual for r in got} == want and len(got) == len(want)
+    assert {r.doc_id for r in got if r.predicted is None} == {i for i in want if i % 10 == 0} != set()
+
+
 def test_residual_quantiles(spark):
     df = spark.createDataFrame([(float(x), 2.0 * x + e) for x, e in [(0, 1), (0, -1), (5, 3), (5, -3), (9, 0)]], "x double, y double")
     m = M.linear_regression(df, "y", ["x"], solver="normal")
