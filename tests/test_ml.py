@@ -177,3 +177,24 @@ def test_grid_stop_rules(spark):
     board, _ = grid_search(p, p, "p_retailprice", ["p_size"], hyper, ntrees=2, max_models=4,
                            strategy="RandomDiscrete", parallelism=2)
     assert board.count() == 4                                   # model-count budget
+
+
+def test_registered_boosters_fit_the_reference_tree_count(spark, monkeypatch):
+    from sparkdeck.plans import ml_catalog as C
+    asked = []
+
+    class Asked(Exception):
+        pass
+
+    def fit(*args, ntrees, **rest):
+        asked.append(ntrees)
+        raise Asked
+    monkeypatch.setattr(C, "grid_search", fit)
+    monkeypatch.setattr(C, "fit_regression_boost", fit)
+    monkeypatch.setattr(M, "gbt_regressor", fit)
+    for run in (C.grid_full, C.grid_random, C.gbt_regression, C.gbm_regression_parity):
+        try:
+            run(spark, SF_SMALL)
+        except Asked:
+            pass
+    assert asked == [100] * 4
