@@ -4,22 +4,25 @@ The text is a sequence of tokens: words (A-Z in lower case) and one end.  A toke
 spelled in bytes - a word ends with a blank, the end is a single tab - and every byte
 bit by bit.  Several predictors, each a table of bit counts under a hashed context
 (last two bytes, last three, last four, the word so far, the word so far and the
-document's class), propose a probability; a mixer adds their logits with weights
+document's class, the word so far and the word before it), propose a probability; a mixer adds their logits with weights
 that a gate picks by how often the longest contexts were seen; an adaptive
 probability map per gate refines the result.  A document's class is a hash of its most
 frequent word, sent ahead at a cost of log10(classes), so the sum stays a true code length.
 
-Learning.  Contexts stay inside a token, so the training text matters only through its
-counts of (class, word): Spark counts all of them exactly, tasks turn their share into
-bit counts, and pages of the tables are summed over tasks.  The mixer learns online
-over all training words, weighted by frequency, with each word's own occurrence taken
-out of the counts (otherwise it would trust contexts it has only seen in that word);
-tasks' weights are averaged, map counts added.  Tables have a fixed size (about 20 MB),
-which bounds the broadcast whatever the corpus.
-
-Scoring.  Blocks of whole documents keep their word counts as compressed sparse rows.
-Every distinct (class, word) is scored once, joined to the blocks that ask for it, and
-each block sums its documents.  No vocabulary is ever collected or broadcast.
+Learning.  Five contexts stay inside a token: Spark counts all (class, word) of the
+training text exactly and tasks turn their share into bit counts.  The sixth spans the
+word before (the end token before a text's first word): tasks count it over the ordered
+training texts.  Pages of the tables are summed over tasks.  The mixer learns online over
+all (class, word before, word) of the training text, weighted by frequency, with each own
+occurrence taken out of the counts (otherwise it would trust contexts it has only seen
+there); tasks' weights are averaged, map counts added.  Tables have a fixed size (about
+55 MB), which bounds the broadcast whatever the corpus; cells carry no check, so contexts
+share cells once a corpus holds more of them than slots.
+
+Scoring.  Blocks of whole documents keep their ordered tokens as indexes into the block's
+words.  Training counts of words are joined to the blocks that ask for them; each block
+scores its distinct (class, word before, word) once and sums its documents.  No vocabulary
+is ever collected or broadcast.
 
 Edge cases: NULL and empty texts hold only the end token; very long tokens are spelled
 in full; repeated documents each count; a NULL id counts as the text '' for the split;
@@ -32,6 +35,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -42,8 +46,9 @@ from .labels import fold
 from .util import arrow_map, bounded_batches, pieces, raw, stored
 
 CLASSES = 32
-#: log2 of the slots of each predictor's table: last 2, 3, 4 bytes, prefix, prefix and class.
-SLOTS = (18, 20, 20, 22, 22)
+#: log2 of the slots of each predictor's table: last 2, 3, 4 bytes, prefix, prefix and class, prefix and the word before.
+SLOTS = (18, 20, 20, 22, 22, 24)
+INSIDE = 5                      # predictors whose context stays inside the token
 PAGE = 1 << 15
 GATES, BUCKETS = 64, 33
 _U = np.uint64
@@ -69,8 +74,15 @@ _SEEN[0] = 0
 
 # ---------------------------------------------------------------- contexts
 
-def spell(words: list[bytes], classes: np.ndarray):
-    """(bytes, word number, base slot of each predictor) for all bytes of the spelled tokens."""
+def prints(words: list[bytes]) -> np.ndarray:
+    """Hashes of words, for the context of the word that follows."""
+    return np.array([xxhash.xxh3_64_intdigest(w) for w in words], _U)
+
+
+def spell(words: list[bytes], classes: np.ndarray, last: np.ndarray):
+    """(bytes, word number, base slot of each predictor) for all bytes of the spelled tokens.
+
+    ``last``: hash of the word before each."""
     spelled = [w if w == END else w + b" " for w in words]
     buf = np.frombuffer(b"".join(spelled), np.uint8)
     lens = np.array([len(w) for w in spelled], np.int64)
@@ -90,7 +102,8 @@ def spell(words: list[bytes], classes: np.ndarray):
     cls = classes.astype(_U)[word]
     short = prev[0] | prev[1] << _U(8)
     contexts = [short | _U(1 << 48), short | prev[2] << _U(16) | _U(2 << 48), short | prev[2] << _U(16) | prev[3] << _U(24) | _U(3 << 48),
-                prefix ^ _U(0x51ED27), prefix + (cls + _U(1)) * _U(0x9E3779B97F4A7C15)]
+                prefix ^ _U(0x51ED27), prefix + (cls + _U(1)) * _U(0x9E3779B97F4A7C15),
+                prefix + mix(last ^ _U(0x2545F491))[word]]
     return buf, word, [(mix(c) >> _U(64 - s)).astype(np.uint32) for c, s in zip(contexts, SLOTS)]
 
 
@@ -105,7 +118,7 @@ class Model:
 
     def __init__(self, tables, weights=None, ones=None, seen=None):
         self.tables = tables
-        self.weights = np.tile(np.array([0.1, 0.15, 0.2, 0.35, 0.3, 0.0], np.float32), (GATES, 1)) if weights is None else weights
+        self.weights = np.tile(np.array([0.1, 0.15, 0.2, 0.3, 0.25, 0.2, 0.0], np.float32), (GATES, 1)) if weights is None else weights
         self.ones = np.zeros((GATES, BUCKETS)) if ones is None else ones
         self.seen = np.zeros((GATES, BUCKETS)) if seen is None else seen
 
@@ -132,13 +145,14 @@ class Model:
         known = (self.ones[gate, k] + 2 * p) / (n + 2)
         return np.clip((p + known) / 2, 1e-7, 1 - 1e-7)
 
-    def log10(self, words: list[bytes], classes: np.ndarray, batch: int = 1 << 17) -> np.ndarray:
-        """log10 probability of each (word, class)."""
+    def log10(self, words: list[bytes], classes: np.ndarray, last: np.ndarray | None = None, batch: int = 1 << 17) -> np.ndarray:
+        """log10 probability of each (word, class) after the word of hash ``last`` (the end token by default)."""
+        last = np.repeat(prints([END]), len(words)) if last is None else last
         out, lens = np.zeros(len(words)), np.cumsum([len(w) + 1 for w in words])
         a = 0
         while a < len(words):
             b = max(a + 1, int(np.searchsorted(lens, (lens[a - 1] if a else 0) + batch)))
-            buf, word, slots = spell(words[a:b], classes[a:b])
+            buf, word, slots = spell(words[a:b], classes[a:b], last[a:b])
             cost = np.zeros(len(buf))
             for node, bit in _bits(buf):
                 x, gate = self.inputs(slots, node)
@@ -148,14 +162,14 @@ class Model:
             a = b
         return out
 
-    def learn(self, words, classes, counts, batch: int = 1 << 14, rate: float = 0.05) -> None:
+    def learn(self, words, classes, counts, last, batch: int = 1 << 14, rate: float = 0.05) -> None:
         """Online gradient steps over batches of words, then the map from the later half."""
         power = np.full_like(self.weights, 1e-3, dtype=np.float64)
         lens = np.cumsum([len(w) + 1 for w in words])
         a = 0
         while a < len(words):
             b = max(a + 1, int(np.searchsorted(lens, (lens[a - 1] if a else 0) + batch)))
-            buf, word, slots = spell(words[a:b], classes[a:b])
+            buf, word, slots = spell(words[a:b], classes[a:b], last[a:b])
             n = counts[a:b][word].astype(float)
             for node, bit in _bits(buf):
                 x, gate = self.inputs(slots, node, bit)
@@ -176,7 +190,7 @@ class Model:
 
 def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     """Rows of two kinds.  Words of a block: block, cls, word, idx, n (training tokens).
-    Documents of a block: block, payload (sparse rows of word counts)."""
+    Documents of a block: block, payload (the block's words and each document's tokens in order)."""
     def cut(batches):
         part, nth = TaskContext.get().partitionId(), 0
         z = zstandard.ZstdCompressor(level=1)
@@ -190,31 +204,31 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
             for a in range(0, len(keys), 50_000):
                 some = keys[a:a + 50_000]
                 yield _batch(block, [k[0] for k in some], [k[1:] for k in some], range(a, a + len(some)), train[a:a + 50_000])
-            n = [len(r[3]) for r in rows]
-            payload = b"".join([np.array([len(rows)], "<i8").tobytes(), np.array([r[0] is None for r in rows], np.uint8).tobytes(),
-                                np.array([r[0] or 0 for r in rows], "<i8").tobytes(), np.array([r[1] for r in rows], np.uint8).tobytes(),
-                                np.array(n, "<i8").tobytes(), np.concatenate([r[3] for r in rows]).astype("<u4").tobytes(),
-                                np.concatenate([r[4] for r in rows]).astype("<u4").tobytes()])
+            payload = b"".join([np.array([len(rows), len(keys)], "<i8").tobytes(), np.array([r[0] or 0 for r in rows], "<i8").tobytes(),
+                                np.array([len(r[2]) for r in rows], "<i8").tobytes(), np.array([r[0] is None for r in rows], np.uint8).tobytes(),
+                                np.array([r[1] for r in rows], np.uint8).tobytes(), bytes(k[0] for k in keys),
+                                np.concatenate([r[2] for r in rows]).astype("<u4").tobytes(), b"\n".join(k[1:] for k in keys)])
             yield pa.RecordBatch.from_pydict({"block": [block], "cls": [None], "word": [None], "idx": [None], "n": [None],
                                               "payload": [z.compress(payload)]}, schema=_ROWS)
             size, place, train, rows = 0, {}, [], []
         for b in batches:
             for doc, held, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), raw(b.column(2))):
+                tokens = (text or b"").translate(_LOWER).split()
                 counts: dict[bytes, int] = {}
-                for w in (text or b"").translate(_LOWER).split():
+                for w in tokens:
                     counts[w] = counts.get(w, 0) + 1
                 top = min(counts.items(), key=lambda kv: (-kv[1], kv[0]))[0] if counts else b""
                 cls = bytes([int(mix(np.array([int.from_bytes((top[:7] + bytes([len(top) & 255])).ljust(8, b"\0"), "little")], _U))[0] % CLASSES)])
                 counts[END] = 1
-                idx, tf = [], list(counts.values())
+                tokens.append(END)
+                at = {}
                 for w, k in counts.items():
-                    i = place.setdefault(cls + w, len(place))
+                    i = at[w] = place.setdefault(cls + w, len(place))
                     if i == len(train):
                         train.append(0)
                     if not held:
                         train[i] += k
-                    idx.append(i)
-                rows.append((doc, held, 0, np.array(idx, np.uint32), np.array(tf, np.uint32)))
+                rows.append((doc, held, np.fromiter((at[w] for w in tokens), np.uint32, len(tokens))))
                 size += len(text or b"") + 64
                 if size >= block_bytes:
                     yield from flush()
@@ -233,33 +247,70 @@ def _batch(block, classes, words, idx, n):
                                        pa.array(idx, pa.int32()), pa.array(n, pa.int64()), pa.nulls(len(words), pa.binary())], schema=_ROWS)
 
 
-def _vocabulary(batches):
-    """All (words, classes, counts) of a task's share, in hash order."""
-    words, classes, counts = [], [], []
+class Block:
+    """The documents of a payload: ids, NULL ids, held-out flags, words, and tokens in order."""
+
+    def __init__(self, payload: bytes):
+        data = zstandard.ZstdDecompressor().decompress(payload)
+        n, k = (int(v) for v in np.frombuffer(data, "<i8", 2))
+        self.ids, self.lens = np.frombuffer(data, "<i8", n, 16), np.frombuffer(data, "<i8", n, 16 + 8 * n)
+        at, m = 16 + 16 * n, int(self.lens.sum())
+        self.null, self.held = np.frombuffer(data, np.uint8, n, at).astype(bool), np.frombuffer(data, np.uint8, n, at + n).astype(bool)
+        self.classes, at = np.frombuffer(data, np.uint8, k, at + 2 * n), at + 2 * n + k
+        self.tokens, self.words = np.frombuffer(data, "<u4", m, at), data[at + 4 * m:].split(b"\n")
+        self.row = np.repeat(np.arange(n), self.lens)
+
+    def pairs(self):
+        """Distinct (word before, word) with the class, as (words, classes, hash of the word before, pair of each token)."""
+        before = np.empty_like(self.tokens)
+        before[1:] = self.tokens[:-1]
+        ends = np.cumsum(self.lens)
+        before[ends - self.lens] = self.tokens[ends - 1]           # a text starts after its class's end token
+        keys, pair = np.unique(before.astype(_U) << _U(32) | self.tokens, return_inverse=True)
+        word = (keys & _U(0xFFFFFFFF)).astype(np.int64)
+        return [self.words[i] for i in word], self.classes[word].astype(np.int32), prints(self.words)[(keys >> _U(32)).astype(np.int64)], pair
+
+    def training(self):
+        """(words, classes, counts, hash of the word before) of the training documents."""
+        words, classes, last, pair = self.pairs()
+        n = np.bincount(pair, ~self.held[self.row], minlength=len(words))
+        order = np.flatnonzero(n)
+        order = order[np.argsort(mix(order.astype(_U)), kind="stable")]   # the mixer learns from a shuffled order
+        return [words[i] for i in order], classes[order], n[order], last[order]
+
+
+def _counted(batches):
+    """(words, classes, counts, hash of the word before), not used inside a token, of rows (word, cls, n)."""
     for b in batches:
-        words += b.column(0).to_pylist()
-        classes.append(b.column(1).to_numpy())
-        counts.append(b.column(2).to_numpy())
-    return words, np.concatenate(classes) if classes else np.empty(0, np.int32), np.concatenate(counts) if counts else np.empty(0)
+        if b.num_rows:
+            yield b.column(0).to_pylist(), b.column(1).to_numpy(), b.column(2).to_numpy().astype(np.float64), np.zeros(b.num_rows, _U)
 
 
-def _tables(vocab: DataFrame, parts: int) -> list[np.ndarray]:
-    """The predictors' counts over all training words, on the byte scale."""
-    def count(batches):
-        zeros, ones = ([np.zeros(1 << s, np.float32) for s in SLOTS] for _ in range(2))
-        for b in batches:
-            if not b.num_rows:
-                continue
-            buf, word, slots = spell(b.column(0).to_pylist(), b.column(1).to_numpy())
-            n = b.column(2).to_numpy().astype(np.float64)[word]
+def _trained(batches):
+    """The same of each payload's training documents, a bounded number of words at a time."""
+    for b in batches:
+        for payload in b.column(1).to_pylist():
+            words, classes, n, last = Block(payload).training()
+            for a in range(0, len(words), 1 << 17):
+                c = a + (1 << 17)
+                yield words[a:c], classes[a:c], n[a:c], last[a:c]
+
+
+def _tables(vocab: DataFrame, payloads: DataFrame, parts: int, shares: int) -> list[np.ndarray]:
+    """The predictors' counts over all training words and pairs, on the byte scale."""
+    def count(groups, some):
+        zeros, ones = ({t: np.zeros(1 << SLOTS[t], np.float32) for t in some} for _ in range(2))
+        for words, classes, counts, last in groups:
+            buf, word, slots = spell(words, classes, last)
+            n = counts[word]
             for node, bit in _bits(buf):
                 one = bit.astype(bool)
-                for t, s in enumerate(slots):
-                    at = s ^ node
+                for t in some:
+                    at = slots[t] ^ node
                     np.add.at(ones[t], at[one], n[one].astype(np.float32))
                     np.add.at(zeros[t], at[~one], n[~one].astype(np.float32))
         z = zstandard.ZstdCompressor(level=1)
-        for t in range(len(SLOTS)):
+        for t in some:
             for p in range(0, 1 << SLOTS[t], PAGE):
                 a, b = zeros[t][p:p + PAGE], ones[t][p:p + PAGE]
                 if a.any() or b.any():
@@ -273,28 +324,29 @@ def _tables(vocab: DataFrame, parts: int) -> list[np.ndarray]:
         cells = quantise(total[PAGE:]) << 8 | quantise(total[:PAGE])
         data = zstandard.ZstdCompressor(level=1).compress(cells.astype("<u2").tobytes())
         return pa.table({"tab": rows["tab"][:1], "page": rows["page"][:1], "data": pa.array([data], pa.binary())})
-    shares = arrow_map(vocab.coalesce(parts), count, "tab int, page int, data binary")
+    inside = arrow_map(vocab.coalesce(parts), lambda b: count(_counted(b), range(INSIDE)), "tab int, page int, data binary")
+    across = arrow_map(payloads.coalesce(shares), lambda b: count(_trained(b), range(INSIDE, len(SLOTS))), "tab int, page int, data binary")
     tables, z = [np.zeros(1 << s, np.uint16) for s in SLOTS], zstandard.ZstdDecompressor()
-    for r in shares.groupBy("tab", "page").applyInArrow(add, "tab int, page int, data binary").toLocalIterator():
+    for r in inside.union(across).groupBy("tab", "page").applyInArrow(add, "tab int, page int, data binary").toLocalIterator():
         tables[r["tab"]][r["page"]:r["page"] + PAGE] = np.frombuffer(z.decompress(bytes(r["data"])), "<u2")
     return tables
 
 
-def fit(vocab: DataFrame, share_rows: int = 1_500_000) -> Model:
-    """Tables, gate weights and map from (word, cls, n) of all training text."""
+def fit(vocab: DataFrame, payloads: DataFrame, total: int, share_rows: int = 1_500_000, share_tokens: int = 16_000_000) -> Model:
+    """Tables, gate weights and map from (word, cls, n) and the ordered texts of all training text."""
     spark = vocab.sparkSession
-    parts = pieces(vocab.count(), share_rows)
-    tables = spark.sparkContext.broadcast(_tables(vocab, parts))
+    tables = spark.sparkContext.broadcast(_tables(vocab, payloads, pieces(vocab.count(), share_rows), pieces(total, share_tokens)))
 
     def learn(batches):
-        words, classes, counts = _vocabulary(batches)
-        if words:
-            m = Model(tables.value)
-            m.learn(words, classes, counts)
-            yield pa.RecordBatch.from_pydict({"n": [float(counts.sum())], "data": [np.concatenate([m.weights.ravel(), m.ones.ravel(), m.seen.ravel()]).astype("<f8").tobytes()]},
+        m, mass = Model(tables.value), 0.0
+        for words, classes, counts, last in _trained(batches):
+            m.learn(words, classes, counts, last)
+            mass += float(counts.sum())
+        if mass:
+            yield pa.RecordBatch.from_pydict({"n": [mass], "data": [np.concatenate([m.weights.ravel(), m.ones.ravel(), m.seen.ravel()]).astype("<f8").tobytes()]},
                                              schema=pa.schema([("n", pa.float64()), ("data", pa.binary())]))
     weights, maps, mass = np.zeros((GATES, len(SLOTS) + 1)), np.zeros((2, GATES, BUCKETS)), 0.0
-    shares = arrow_map(vocab.coalesce(parts).sortWithinPartitions(F.xxhash64("cls", "word")), learn, "n double, data binary")
+    shares = arrow_map(payloads.coalesce(pieces(total, share_tokens // 4)), learn, "n double, data binary")
     for r in shares.toLocalIterator():               # a few kilobytes from each task
         data = np.frombuffer(bytes(r["data"]), "<f8")
         k = weights.size
@@ -317,17 +369,11 @@ def score(docs: DataFrame, held_out=None, id_col: str = "doc_id", text_col: str
     known = vocab.where("n > 0").select("word", "cls", "n")
     total, distinct = vocab.where("n > 0").agg(F.sum("n"), F.sum(F.col("n") / F.col("c"))).first()
     total, distinct = int(total or 0), round(distinct or 0)       # each word's classes sum to one
-    model = fit(known)
+    payloads = rows.where("payload is not null").select("block", "payload")
+    model = fit(known, payloads, total)
     sent = spark.sparkContext.broadcast((model.tables, model.weights, model.ones, model.seen))
 
-    def judge(batches):
-        m = Model(*sent.value)
-        for b in batches:
-            p = m.log10(b.column(1).to_pylist(), b.column(0).to_numpy()) if b.num_rows else np.empty(0)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p, pa.float64())], ["cls", "word", "c", "p"])
-    scored = arrow_map(vocab.select("cls", "word", "c"), judge, "cls int, word binary, c long, p double")
-    answers = asked.select("block", "cls", "word", "idx").join(scored, ["cls", "word"]) \
-        .select("block", "idx", "c", "p", F.octet_length("word").alias("len"))
+    answers = asked.select("block", "cls", "word", "idx").join(vocab.select("cls", "word", "c"), ["cls", "word"]).select("block", "idx", "c")
 
     def bundle(batches):
         """Answers of a task, a few large rows for each block instead of one for each word."""
@@ -337,7 +383,7 @@ def score(docs: DataFrame, held_out=None, id_col: str = "doc_id", text_col: str
             t = pa.Table.from_batches(held).sort_by("block")
             block = t["block"].to_numpy()
             edge = np.r_[0, np.flatnonzero(np.diff(block)) + 1, len(block)]
-            cols = [t[c].to_numpy().astype(k) for c, k in (("idx", "<u4"), ("c", "<i8"), ("p", "<f8"), ("len", "<u4"))]
+            cols = [t[c].to_numpy().astype(k) for c, k in (("idx", "<u4"), ("c", "<i8"))]
             data = [b"".join(c[a:e].tobytes() for c in cols) for a, e in zip(edge, edge[1:])]
             return pa.RecordBatch.from_arrays([pa.array(block[edge[:-1]]), pa.array(data, pa.binary())], ["block", "data"])
         for b in batches:
@@ -353,31 +399,22 @@ def score(docs: DataFrame, held_out=None, id_col: str = "doc_id", text_col: str
     base = math.log10(total + distinct + 1)
 
     def sum_up(docs_of: pa.Table, answers_of: pa.Table) -> pa.Table:
-        parts = []
+        block, m = Block(docs_of["payload"][0].as_py()), Model(*sent.value)
+        c = np.zeros(len(block.words))
         for data in answers_of["data"].to_pylist():
-            k = len(data) // 24
-            parts.append(tuple(np.frombuffer(data, kind, k, at * k) for kind, at in (("<u4", 0), ("<i8", 4), ("<f8", 12), ("<u4", 20))))
-        idx = np.concatenate([p[0] for p in parts])
-        c, p, size = np.zeros(len(idx)), np.zeros(len(idx)), np.zeros(len(idx))
-        for i, ci, pi, si in parts:
-            c[i], p[i], size[i] = ci, pi, si
-        data = zstandard.ZstdDecompressor().decompress(docs_of["payload"][0].as_py())
-        n = int(np.frombuffer(data, "<i8", 1)[0])
-        null, data = np.frombuffer(data, np.uint8, n, 8), data[8 + n:]
-        ids, held, lens = np.frombuffer(data, "<i8", n), np.frombuffer(data, np.uint8, n, 8 * n), np.frombuffer(data, "<i8", n, 9 * n)
-        m, at = int(lens.sum()), 17 * n
-        word, tf = np.frombuffer(data, "<u4", m, at), np.frombuffer(data, "<u4", m, at + 4 * m).astype(float)
-        row = np.repeat(np.arange(n), lens)
-        add = lambda v: np.bincount(row, v, minlength=n)
-        tokens = add(tf)
-        nbytes, value = add(tf * (size[word] + 1)) - 1, add(tf * p[word]) - math.log10(CLASSES)
-        return pa.table({"doc_id": pa.array(ids, pa.int64(), mask=null.astype(bool)), "held_out": pa.array(held.astype(bool)),
-                         "n_tokens": pa.array(tokens.astype(np.int64)), "n_known": pa.array(add(tf * (c[word] > 0)).astype(np.int64)),
+            k = len(data) // 12
+            c[np.frombuffer(data, "<u4", k)] = np.frombuffer(data, "<i8", k, 4 * k)
+        words, classes, last, pair = block.pairs()
+        p, size, n = m.log10(words, classes, last), np.array([len(w) for w in block.words]), len(block.ids)
+        add = lambda v: np.bincount(block.row, v, minlength=n)
+        tokens, c = block.lens, c[block.tokens]
+        nbytes, value = add(size[block.tokens] + 1) - 1, add(p[pair]) - math.log10(CLASSES)
+        return pa.table({"doc_id": pa.array(block.ids, pa.int64(), mask=block.null), "held_out": pa.array(block.held),
+                         "n_tokens": pa.array(tokens.astype(np.int64)), "n_known": pa.array(add(c > 0).astype(np.int64)),
                          "train_tokens": pa.array(np.full(n, total, np.int64)),
-                         "base_score": pa.array(add(tf * np.log10(c[word] + 1)) - tokens * base), "score": pa.array(value),
+                         "base_score": pa.array(add(np.log10(c + 1)) - tokens * base), "score": pa.array(value),
                          "n_bytes": pa.array(nbytes.astype(np.int64)), "bits_per_byte": pa.array(-value / math.log10(2) / nbytes)})
     bounded_batches(spark)
-    payloads = rows.where("payload is not null").select("block", "payload")
     return payloads.groupBy("block").cogroup(bundles.groupBy("block")).applyInArrow(
         sum_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
                 "n_bytes long, bits_per_byte double")

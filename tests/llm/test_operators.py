@@ -203,6 +203,15 @@ def test_lm_base_counts_and_score(docs, rows):
     assert all(r.score < 0 and r.bits_per_byte > 0 for r in got)
 
 
+def test_lm_score_depends_on_word_order(spark):
+    rows = [(i, "red car blue sky green tree " * 6) for i in range(60)]
+    rows += [(100, "red car blue sky green tree"), (101, "car sky tree red blue green")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in lm_score.score(docs, held_out=F.col("doc_id") >= 100).collect()}
+    assert got[100].base_score == pytest.approx(got[101].base_score)
+    assert got[100].score > got[101].score + 0.5
+
+
 def test_mixer_probabilities_sum_to_one():
     """The spelled tokens are prefix-free, so one- and two-byte tokens cannot pass a mass of one."""
     model = lm_score.Model([np.zeros(1 << s, np.uint16) for s in lm_score.SLOTS])
