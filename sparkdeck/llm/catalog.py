@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, jaccard_join, lm_score, packing, pu_quality, suffix_dedup, token_store, tokens, toxicity, url_filter
+from . import alignment, ann, decontam, fp_search, jaccard_join, lm_score, mixing, packing, pu_quality, suffix_dedup, token_store, tokens, toxicity, url_filter
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -111,3 +111,39 @@ def op10_url_filter(spark, sf):
     """The rule and verdict of every page's URL."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string").coalesce(1)
     return url_filter.filter_urls(_t(spark, sf, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op11_align")
+def op11_align(spark, sf):
+    """Groups, links and link counts of two tokenizers' ids over every document."""
+    return alignment.align(_t(spark, sf, "documents"), tokens.public_path("byte_bpe_50k.json"), tokens.public_path("piece_bpe_32k.model")).documents
+
+
+SEARCH_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+n AS (SELECT r, doc_id, ts, len(ts) AS n FROM d WHERE len(ts) > 0),
+corpus AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM n),
+i AS (SELECT row_number() OVER () AS b, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM benchmark),
+q AS (SELECT DISTINCT b, item_id, unnest(ts) AS t FROM i),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM n) WHERE t IN (SELECT t FROM q) GROUP BY r, t),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, corpus GROUP BY t),
+m AS (SELECT r, doc_id, 100 - 50 + ((50 * n * nn) // ll) AS m FROM n, corpus),
+s AS (SELECT b, item_id, m.r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+      FROM q JOIN w USING (t) JOIN tf USING (t) JOIN m ON m.r = tf.r GROUP BY b, item_id, m.r, doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY b ORDER BY score DESC, doc_id ASC NULLS LAST) AS k FROM s WHERE score > 0)
+SELECT item_id, CAST(k AS INTEGER) AS rank, doc_id, score FROM k WHERE k <= 50
+"""
+
+
+@query("op12_search", SEARCH_SQL)
+def op12_search(spark, sf):
+    """The 50 best documents of every benchmark item."""
+    return fp_search.search(_t(spark, sf, "documents"), _t(spark, sf, "benchmark"), k=50)
+
+
+@query("op13_mix")
+def op13_mix(spark, sf):
+    """Words that a mix of 150 % of the corpus takes from every document, sources weighted 5, 2, 1."""
+    return mixing.mix(_t(spark, sf, "documents")).documents

@@ -27,7 +27,7 @@ _TAIL = ".,;:!?|*$%&#"
 _SHARED: dict[tuple, "Encoder"] = {}
 
 
-def _byte_of() -> dict[str, int]:
+def byte_of() -> dict[str, int]:
     """The byte that each character of a byte-level vocabulary stands for: printable
     Latin-1 characters are themselves, the others follow from U+0100 in order."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -60,7 +60,7 @@ class Encoder:
         vocab = self.tok.get_vocab(with_added_tokens=False)
         self.word_ends = self.tok.model.end_of_word_suffix == "</w>"
         special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
-        byte, ranks = _byte_of(), {}
+        byte, ranks = byte_of(), {}
         self.mark = np.zeros(max(vocab.values()) + 1, bool)      # ids that end (begin) a run of letters
         for s, i in vocab.items():
             if s not in special:
