@@ -61,16 +61,12 @@ def apportion(parties: DataFrame, group: str, party: str, weight: str, seats: Da
     def given(divisor):
         return F.when(divisor > 0, F.floor(w / divisor + 0.5)).otherwise(0).cast("long")
     for _ in range(ROUNDS):
-        step = (F.col("_hi") - F.col("_lo")) / (TRIALS + 1)
-        trial = [F.col("_lo") + step * (i + 1) for i in range(TRIALS)]
-        counted = parties.join(bounds, group).groupBy(group, "seats", "_lo", "_hi").agg(*[F.sum(given(t)).alias(f"_c{i}") for i, t in enumerate(trial)])
-        below = F.col("_lo")          # the largest trial that gives enough seats, the smallest that does not give too many
-        above = F.col("_hi")
-        for i, t in enumerate(trial):
-            below = F.when(F.col(f"_c{i}") >= F.col("seats"), t).otherwise(below)
-        for i, t in reversed(list(enumerate(trial))):
-            above = F.when(F.col(f"_c{i}") <= F.col("seats"), t).otherwise(above)
-        bounds = stored(spark, counted.select(group, "seats", below.alias("_lo"), above.alias("_hi")), "bounds")
+        trials = bounds.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(TRIALS + 1)))) \
+            .withColumn("_d", F.when(F.col("_i") > TRIALS, F.col("_hi")).otherwise(F.col("_lo") + (F.col("_hi") - F.col("_lo")) / (TRIALS + 1) * F.col("_i")))
+        counted = parties.join(trials, group).groupBy(group, "seats", "_i", "_d").agg(F.sum(given(F.col("_d"))).alias("_given"))
+        # the largest trial that gives enough seats, the smallest that does not give too many
+        bounds = stored(spark, counted.groupBy(group, "seats").agg(F.max(F.when(F.col("_given") >= F.col("seats"), F.col("_d"))).alias("_lo"),
+                                                                   F.min(F.when(F.col("_given") <= F.col("seats"), F.col("_d"))).alias("_hi")), "bounds")
     held = parties.join(bounds, group)
     few, most = given(F.greatest("_lo", "_hi")), given(F.least("_lo", "_hi"))
     held = stored(spark, held.select(*parties.columns, "seats", few.alias("_few"), most.alias("_most")), "seats")
