@@ -14,7 +14,7 @@ How it runs.
   number of documents, Spark adds them up, and a block gets the totals of its own pairs back (one row for each block and
   pair, so a pair that occurs everywhere costs a row a block, not a row a document).
 
-Blocks are the Arrow batches of the scan (at most 4,000 documents or 16 MB); the first pass is written to the shared
+Blocks are parts of the scan's Arrow batches (at most 2,000 documents or 16 MB); the first pass is written to the shared
 scratch folder, so a lost executor repeats its own blocks only.
 
 Edge cases: NULL and empty texts, and texts whose joined token bytes differ from a blank and the text (those that hold
@@ -217,7 +217,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
 
     def first(batches):
         work, part, nth = aligner(a_path, b_path), TaskContext.get().partitionId(), 0
-        for b in batches:
+        for b in (b.slice(k, 2000) for b in batches for k in range(0, b.num_rows, 2000)):
             sums, digests, doc, pair, links = work.documents(b.column(1).to_pylist())
             regular = work.identity[pair >> B_BITS] == pair & ((1 << B_BITS) - 1)
             counts = np.bincount(pair[regular] >> B_BITS, minlength=len(work.identity))
