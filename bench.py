@@ -20,6 +20,7 @@ HEADLINE = [
     "boxplot_by_group", "histogram_w5", "string_index", "drop_fill", "interpolate", "clip_outliers",
     "regression_metrics", "split_mse", "ols_line", "kmeans_fit", "pca_centered", "logistic_fit",
     "rf_validation", "gbt_regression", "network_regression", "glm_path",
+    "grid_full", "grid_random", "gbm_multiclass", "gbm_regression_parity",
 ]
 
 

@@ -1,204 +1,96 @@
-"""Multi-class gradient boosting (L-15): K regression trees per round on softmax residuals.
-
-Spark's ``GBTClassifier`` is binary only.  Each round here:
-
-* scores ``F_k`` live as columns; ``p_k = softmax(F)`` and residuals ``y_k - p_k`` are
-  column expressions (whole-stage codegen);
-* the K trees are fitted concurrently (one Spark job stream per class) with
-  ``RandomForestRegressor(numTrees=1, bootstrap=False)``, which supports column
-  sampling and reports leaf ids (``leafCol``);
-* each leaf's step is Friedman's ``(K-1)/K * sum(r) / sum(|r|(1-|r|))`` — an aggregate
-  grouped by leaf, at most ``2^depth`` rows, applied back as a literal map lookup;
-* the scored frame is cached per round and checkpointed (reliable, to the shared
-  checkpoint folder) every few rounds so lineage stays short and a lost executor
-  only recomputes back to the last checkpoint.
+"""Gradient boosting for classes (L-15) and numbers (L-16) on the shared binned matrix of ``trees``.
+
+* Classes: K trees a round on softmax residuals, started from the log class priors; a leaf's step is Friedman's
+  ``(K-1)/K * sum(r) / sum(|r|(1-|r|))``.
+* Numbers: starts at the mean, a leaf's step is its mean residual, every tree is shrunk.
+
+Both score every row: a NULL or NaN feature has a bin of its own.  A row with a NULL response (or, for classes, none of
+the training labels) is left out of the fit.
 """
 
 from __future__ import annotations
 
-import math
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from .trees import Ensemble, Matrix, Spec, cells, fit_boosters
 
-
-def _softmax(cols: list[Column]) -> list[Column]:
-    mx = F.greatest(*cols) if len(cols) > 1 else cols[0]
-    ex = [F.exp(c - mx) for c in cols]
-    tot = ex[0]
-    for e in ex[1:]:
-        tot = tot + e
-    return [e / tot for e in ex]
+#: Classes that a label column may have.
+MAX_CLASSES = 1000
 
 
 @dataclass
 class MultinomialBoostModel:
-    labels: list[str]
-    xs: list[str]
-    init: list[float]
-    learn_rate: float
-    rounds: list[list[tuple[object, dict[int, float]]]] = field(default_factory=list)
+    ensemble: Ensemble
 
-    def scores(self, df: DataFrame) -> DataFrame:
-        k = len(self.labels)
-        d = VectorAssembler(inputCols=self.xs, outputCol="_features", handleInvalid="keep").transform(df)
-        d = d.select("*", *[F.lit(self.init[c]).alias(f"_F{c}") for c in range(k)])
-        for r, trees in enumerate(self.rounds):
-            for c, (tree, gamma) in enumerate(trees):
-                lc = f"_leaf_{r}_{c}"
-                d = tree.setLeafCol(lc).setPredictionCol(f"_tp_{r}_{c}").transform(d)
-                m = F.create_map(*[x for kv in gamma.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-                step = F.coalesce(F.element_at(m, vector_first(lc)), F.lit(0.0))
-                d = d.withColumn(f"_F{c}", F.col(f"_F{c}") + F.lit(self.learn_rate) * step).drop(lc, f"_tp_{r}_{c}")
-        return d
+    @property
+    def labels(self) -> list[str]:
+        return self.ensemble.labels
 
     def transform(self, df: DataFrame, prediction: str = "predict") -> DataFrame:
+        """Adds p_<label> for each label and the most probable label (ties: the first)."""
         k = len(self.labels)
-        d = self.scores(df)
-        probs = _softmax([F.col(f"_F{c}") for c in range(k)])
-        d = d.select("*", *[p.alias(f"p_{self.labels[c]}") for c, p in enumerate(probs)])
-        best = F.lit(0)
-        bestp = F.col(f"p_{self.labels[0]}")
-        for c in range(1, k):
-            pc = F.col(f"p_{self.labels[c]}")
-            best = F.when(pc > bestp, F.lit(c)).otherwise(best)
-            bestp = F.greatest(bestp, pc)
-        lab = F.element_at(F.array(*[F.lit(x) for x in self.labels]), best + 1)
-        return d.withColumn(prediction, lab).drop("_features", *[f"_F{c}" for c in range(k)])
-
-
-def vector_first(col: str) -> Column:
-    from pyspark.ml.functions import vector_to_array
-    return vector_to_array(F.col(col))[0].cast("int")
-
-
-def fit_multinomial_boost(df: DataFrame, label: str, xs: Sequence[str], ntrees: int = 20, max_depth: int = 3,
-                          learn_rate: float = 0.01, col_sample_rate: float = 0.7, seed: int = 1,
-                          checkpoint_every: int = 5, parallelism: int | None = None) -> MultinomialBoostModel:
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    xs = list(xs)
-    si = StringIndexer(inputCol=label, outputCol="_y", stringOrderType="alphabetAsc").fit(df)
-    labels = list(si.labels)
-    k = len(labels)
-    base = VectorAssembler(inputCols=xs, outputCol="_features", handleInvalid="skip").transform(
-        si.transform(df.filter(F.col(label).isNotNull())).select(*xs, "_y"))
-    # start from the log class priors (softmax of them is the prior)
-    pri = {int(r["_y"]): r["n"] for r in base.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    tot = float(sum(pri.values()))
-    init = [math.log(max(pri.get(c, 0), 1) / tot) for c in range(k)]
-    data = base.select("_features", "_y", *[F.lit(init[c]).alias(f"_F{c}") for c in range(k)])
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    model = MultinomialBoostModel(labels, xs, init, learn_rate)
-    strategy = "all" if col_sample_rate >= 1.0 else repr(float(col_sample_rate))
-    pool = ThreadPoolExecutor(max_workers=parallelism or k)
-    prev = None
-    try:
-        for r in range(ntrees):
-            probs = _softmax([F.col(f"_F{c}") for c in range(k)])
-            resid = data.select("*", *[((F.col("_y") == c).cast("double") - probs[c]).alias(f"_r{c}")
-                                       for c in range(k)])
-
-            def fit_one(c, resid=resid, r=r):
-                rf = RandomForestRegressor(featuresCol="_features", labelCol=f"_r{c}", numTrees=1, bootstrap=False,
-                                           subsamplingRate=1.0, featureSubsetStrategy=strategy, maxDepth=max_depth,
-                                           seed=seed + 1000 * r + c, leafCol=f"_leaf{c}", predictionCol=f"_tp{c}")
-                tree = rf.fit(resid)
-                scored = tree.transform(resid)
-                a = F.abs(F.col(f"_r{c}"))
-                g = (scored.groupBy(vector_first(f"_leaf{c}").alias("leaf"))
-                     .agg(F.sum(f"_r{c}").alias("num"), F.sum(a * (F.lit(1.0) - a)).alias("den")).collect())
-                gamma = {int(x["leaf"]): (0.0 if not x["den"] else (k - 1) / k * x["num"] / x["den"]) for x in g}
-                return tree, gamma
-
-            trees = list(pool.map(fit_one, range(k)))
-            model.rounds.append(trees)
-            nxt = resid
-            for c, (tree, gamma) in enumerate(trees):
-                nxt = tree.setLeafCol(f"_leaf{c}").setPredictionCol(f"_tp{c}").transform(nxt)
-                m = F.create_map(*[x for kv in gamma.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-                step = F.coalesce(F.element_at(m, vector_first(f"_leaf{c}")), F.lit(0.0))
-                nxt = nxt.withColumn(f"_F{c}", F.col(f"_F{c}") + F.lit(learn_rate) * step)
-            nxt = nxt.select("_features", "_y", *[f"_F{c}" for c in range(k)])
-            if (r + 1) % checkpoint_every == 0:
-                nxt = nxt.checkpoint(eager=True)
-            else:
-                nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-                nxt.count()          # fill the cache before the previous round is released
-            prev, data = data, nxt
-            prev.unpersist()
-    finally:
-        pool.shutdown()
-        data.unpersist()
-    return model
+        d = df.withColumn("_F", self.ensemble.column())
+        top = F.array_max("_F")
+        d = d.withColumn("_e", F.transform("_F", lambda x: F.exp(x - top)))
+        whole = F.aggregate("_e", F.lit(0.0), lambda a, x: a + x)
+        d = d.withColumn("_p", F.transform("_e", lambda x: x / whole))
+        d = d.select("*", *[F.col("_p")[c].alias(f"p_{self.labels[c]}") for c in range(k)])
+        best = F.array_position("_F", F.array_max("_F")).cast("int")
+        return d.withColumn(prediction, F.element_at(F.array(*[F.lit(x) for x in self.labels]), best)).drop("_F", "_e", "_p")
+
+    def importance(self, df: DataFrame) -> DataFrame:
+        return self.ensemble.importance(df.sparkSession)
+
+    def log_loss(self, df: DataFrame, label: str) -> DataFrame:
+        """(round, rows, log_loss) on ``df`` after every round, 0 being the priors; one pass, a row a round and task is shuffled."""
+        e = self.ensemble
+        cls = F.array_position(F.array(*[F.lit(x) for x in e.labels]), F.col(label).cast("string")) - 1
+        table = cells(df.where(F.col(label).cast("string").isin(e.labels)), e.xs, F.lit(0.0), cls, e.edges, 1.0)
+        sent, d = df.sparkSession.sparkContext.broadcast(e), len(e.xs)
+
+        def run(batches):
+            for b in batches:
+                e, m = sent.value, Matrix.of(b, d)
+                scores = [np.tile(np.array(e.start), (len(m.n), 1)), *e.scores(m.bins, every_round=True)]
+                lost = []
+                for s in scores:
+                    s = s - s.max(axis=1, keepdims=True)
+                    p = s[np.arange(len(s)), m.cls] - np.log(np.exp(s).sum(axis=1))
+                    lost.append(-float((m.n * p).sum()))
+                yield pa.RecordBatch.from_pydict({"round": pa.array(range(len(lost)), pa.int32()), "rows": [int(m.n.sum())] * len(lost), "lost": lost})
+        return table.mapInArrow(run, "round int, rows long, lost double").groupBy("round") \
+            .agg(F.sum("rows").alias("rows"), (F.sum("lost") / F.sum("rows")).alias("log_loss")).orderBy("round")
+
+
+def fit_multinomial_boost(df: DataFrame, label: str, xs: Sequence[str], ntrees: int = 20, max_depth: int = 3, learn_rate: float = 0.01,
+                          col_sample_rate: float = 0.7, seed: int = 1, sample_rate: float = 1.0, **rest) -> MultinomialBoostModel:
+    """A booster over the label's values in ascending order."""
+    labels = [r[0] for r in df.where(F.col(label).isNotNull()).select(F.col(label).cast("string")).distinct().limit(MAX_CLASSES + 1).collect()]
+    if len(labels) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
+    spec = Spec(ntrees, max_depth, learn_rate, sample_rate, col_sample_rate, seed=seed)
+    return MultinomialBoostModel(fit_boosters(df, label, xs, [spec], labels=sorted(labels), **rest)[0])
 
 
 @dataclass
 class RegressionBoostModel:
-    """Squared-loss boosting that starts at the mean and shrinks *every* tree."""
-    xs: list[str]
-    init: float
-    learn_rate: float
-    trees: list = field(default_factory=list)
+    ensemble: Ensemble
 
     def transform(self, df: DataFrame, prediction: str = "predict") -> DataFrame:
-        d = VectorAssembler(inputCols=self.xs, outputCol="_features", handleInvalid="keep").transform(df)
-        cols = []
-        for i, tree in enumerate(self.trees):
-            d = tree.setPredictionCol(f"_tp{i}").transform(d)
-            cols.append(F.col(f"_tp{i}"))
-        total = F.lit(0.0)
-        for c in cols:
-            total = total + c
-        return (d.withColumn(prediction, F.lit(self.init) + F.lit(self.learn_rate) * total)
-                .drop("_features", *[f"_tp{i}" for i in range(len(self.trees))]))
-
-
-def fit_regression_boost(df: DataFrame, y: str, xs: Sequence[str], ntrees: int = 50, max_depth: int = 5,
-                         learn_rate: float = 0.1, sample_rate: float = 1.0, col_sample_rate: float = 1.0,
-                         seed: int = 1, checkpoint_every: int = 10) -> RegressionBoostModel:
-    """Gradient boosting for a numeric response with H2O's conventions (L-16 parity).
-
-    Start from the mean; each round fits one tree to the residuals — a leaf's value is
-    its mean residual, the exact squared-loss step — on a row sample drawn without
-    replacement (``sample_rate``) with per-split column sampling (``col_sample_rate``),
-    and adds it shrunk by ``learn_rate``.  Spark's ``GBTRegressor`` instead gives the
-    first tree weight 1, which differs strongly at small rates.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    xs = list(xs)
-    base = VectorAssembler(inputCols=xs, outputCol="_features", handleInvalid="skip").transform(
-        df.filter(F.col(y).isNotNull()).select(*xs, y)).select("_features", F.col(y).cast("double").alias("_y"))
-    init = float(base.agg(F.avg("_y")).first()[0])
-    data = base.withColumn("_F", F.lit(init)).persist(StorageLevel.MEMORY_AND_DISK)
-    model = RegressionBoostModel(xs, init, learn_rate)
-    strategy = "all" if col_sample_rate >= 1.0 else repr(float(col_sample_rate))
-    try:
-        for r in range(ntrees):
-            resid = data.withColumn("_r", F.col("_y") - F.col("_F"))
-            tree = RandomForestRegressor(featuresCol="_features", labelCol="_r", numTrees=1, bootstrap=False,
-                                         subsamplingRate=float(sample_rate), featureSubsetStrategy=strategy,
-                                         maxDepth=max_depth, seed=seed + r, predictionCol="_tp").fit(resid)
-            model.trees.append(tree)
-            nxt = (tree.setPredictionCol("_tp").transform(resid)
-                   .withColumn("_F", F.col("_F") + F.lit(learn_rate) * F.col("_tp"))
-                   .select("_features", "_y", "_F"))
-            if (r + 1) % checkpoint_every == 0:
-                nxt = nxt.checkpoint(eager=True)
-            else:
-                nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-                nxt.count()
-            data.unpersist()
-            data = nxt
-    finally:
-        data.unpersist()
-    return model
+        return df.withColumn(prediction, self.ensemble.column()[0])
+
+    def importance(self, df: DataFrame) -> DataFrame:
+        return self.ensemble.importance(df.sparkSession)
+
+
+def fit_regression_boost(df: DataFrame, y: str, xs: Sequence[str], ntrees: int = 50, max_depth: int = 5, learn_rate: float = 0.1,
+                         sample_rate: float = 1.0, col_sample_rate: float = 1.0, seed: int = 1, **rest) -> RegressionBoostModel:
+    """Start from the mean; each tree is grown on the residuals of a sample of the rows and added shrunk by ``learn_rate``.
+    Spark's ``GBTRegressor`` instead gives the first tree weight 1, which differs strongly at small rates."""
+    return RegressionBoostModel(fit_boosters(df, y, xs, [Spec(ntrees, max_depth, learn_rate, sample_rate, col_sample_rate, seed=seed)], **rest)[0])

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import PCA, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.stat import Correlation, Summarizer
@@ -32,6 +32,25 @@ def features(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)
 
 
+def complete(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The rows without a NULL or NaN in ``cols``: those that models are fitted on."""
+    return df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in cols], F.lit(True)))
+
+
+def filled_features(df: DataFrame, cols: Sequence[str], out: str = "features") -> list:
+    """Pipeline stages that assemble ``cols`` with the means of ``df`` in place of NULL and NaN.
+
+    The means are part of the stages (and so of a saved model): a row with a missing value is scored like
+    any other, and its own columns stay as they are."""
+    cols = list(cols)
+    means = df.agg(*[F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    name = lambda c: c.replace("`", "``")
+    put = ", ".join(f"coalesce(nanvl(cast(`{name(c)}` AS double), NULL), {float(m or 0.0)!r}D) AS `_filled_{i}`" for i, (c, m) in enumerate(zip(cols, means)))
+    held = [f"_filled_{i}" for i in range(len(cols))]
+    return [SQLTransformer(statement=f"SELECT *, {put} FROM __THIS__"), VectorAssembler(inputCols=held, outputCol=out, handleInvalid="keep"),
+            SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(held)}) FROM __THIS__")]
+
+
 # ---------------------------------------------------------------- clustering
 
 def kmeans(df: DataFrame, cols: Sequence[str] | str, k: int = 3, seed: int = 1, standardize: bool = False,
@@ -44,8 +63,9 @@ def kmeans(df: DataFrame, cols: Sequence[str] | str, k: int = 3, seed: int = 1,
         stages, feat = [], cols
         names = None
     else:
-        stages = [VectorAssembler(inputCols=list(cols), outputCol="_raw", handleInvalid="skip")]
+        stages = filled_features(df, cols, "_raw")
         feat, names = "_raw", list(cols)
+        df = complete(df, names)
     if standardize:
         stages.append(StandardScaler(inputCol=feat, outputCol="_std", withMean=True, withStd=True))
         feat = "_std"
@@ -64,6 +84,11 @@ def kmeans(df: DataFrame, cols: Sequence[str] | str, k: int = 3, seed: int = 1,
     return model, spark.createDataFrame(rows, schema)
 
 
+def labelled_points(model: PipelineModel, df: DataFrame, label: str = "label") -> DataFrame:
+    """Every row of ``df`` with its cluster as a label from 1 (the scatter table of G-07)."""
+    return model.transform(df).select(*df.columns, (F.col("prediction") + 1).cast("int").alias(label))
+
+
 # ---------------------------------------------------------------- linear models
 
 def linear_regression(df: DataFrame, y: str, xs: Sequence[str], reg: float = 0.0, elastic_net: float = 0.0,
@@ -72,8 +97,7 @@ def linear_regression(df: DataFrame, y: str, xs: Sequence[str], reg: float = 0.0
     robust variant (F-10).  Returns (pipeline model)."""
     lr = LinearRegression(featuresCol="features", labelCol=y, regParam=reg, elasticNetParam=elastic_net,
                           solver=solver if loss == "squaredError" else "l-bfgs", loss=loss)
-    return Pipeline(stages=[VectorAssembler(inputCols=list(xs), outputCol="features", handleInvalid="skip"),
-                            lr]).fit(df)
+    return Pipeline(stages=[*filled_features(df, xs), lr]).fit(complete(df, [y, *xs]))
 
 
 def coefficients(model: PipelineModel, names: Sequence[str]) -> DataFrame:
@@ -114,8 +138,7 @@ def _f(v):
 
 def logistic_regression(df: DataFrame, y: str, xs: Sequence[str], reg: float = 0.0, max_iter: int = 100):
     lr = LogisticRegression(featuresCol="features", labelCol=y, regParam=reg, maxIter=max_iter)
-    return Pipeline(stages=[VectorAssembler(inputCols=list(xs), outputCol="features", handleInvalid="skip"),
-                            lr]).fit(df)
+    return Pipeline(stages=[*filled_features(df, xs), lr]).fit(complete(df, [y, *xs]))
 
 
 def glm_path(train: DataFrame, y: str, xs: Sequence[str], alpha: float = 0.5, n_lambda: int = 10,
@@ -181,11 +204,10 @@ def penalised_regression(train: DataFrame, y: str, xs: Sequence[str], alpha: flo
 
 
 def predict_every_row(model: PipelineModel, df: DataFrame, xs: Sequence[str], prediction: str = "prediction") -> DataFrame:
-    """``model.transform`` with as many rows out as in: a row with a NULL (or NaN) feature,
-    which the fit left out, is kept with a NULL prediction."""
-    first = model.stages[0].copy().setHandleInvalid("keep")
+    """``model.transform`` that says where it had to fill: a row with a NULL (or NaN) feature has a NULL prediction
+    instead of the one from the training means."""
     whole = reduce(lambda a, b: a & b, [F.col(x).isNotNull() & ~F.isnan(F.col(x).cast("double")) for x in xs])
-    return PipelineModel([first, *model.stages[1:]]).transform(df).withColumn(prediction, F.when(whole, F.col(prediction)))
+    return model.transform(df).withColumn(prediction, F.when(whole, F.col(prediction)))
 
 
 # ---------------------------------------------------------------- PCA
@@ -241,7 +263,8 @@ def random_forest(train: DataFrame, label: str, xs: Sequence[str] | str, num_tre
     stages = [StringIndexer(inputCol=label, outputCol="label_idx", handleInvalid="keep")]
     feat = xs if isinstance(xs, str) else "features"
     if not isinstance(xs, str):
-        stages.append(VectorAssembler(inputCols=list(xs), outputCol="features", handleInvalid="skip"))
+        stages += filled_features(train, xs)
+        train = complete(train, xs)
     stages.append(RandomForestClassifier(featuresCol=feat, labelCol="label_idx", numTrees=num_trees,
                                          maxDepth=max_depth, maxBins=max_bins, seed=seed))
     return Pipeline(stages=stages).fit(train)
@@ -263,8 +286,7 @@ def gbt_regressor(train: DataFrame, y: str, xs: Sequence[str], ntrees: int = 100
     """Spark's boosted regression trees (first tree weight 1, the rest ``learn_rate``)."""
     gbt = GBTRegressor(featuresCol="features", labelCol=y, maxIter=ntrees, maxDepth=max_depth, stepSize=learn_rate,
                        subsamplingRate=sample_rate, featureSubsetStrategy=_subset(col_sample_rate), seed=seed)
-    return Pipeline(stages=[VectorAssembler(inputCols=list(xs), outputCol="features", handleInvalid="skip"),
-                            gbt]).fit(train)
+    return Pipeline(stages=[*filled_features(train, xs), gbt]).fit(complete(train, [y, *xs]))
 
 
 def _subset(rate: float) -> str:

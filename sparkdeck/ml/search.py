@@ -1,10 +1,10 @@
 """Hyper-parameter search for boosted regression trees (R-01..R-05).
 
-Cartesian or random-discrete grids over learning rate, depth, row and column
-sample rates.  Fits run concurrently on a thread pool against one cached,
-assembled training frame; each model is scored on a *given* validation frame with
-one aggregate.  Stop rules: model count, run time and no improvement.  The
-leaderboard is a DataFrame sorted by validation MSE.
+Cartesian or random-discrete grids over learning rate, depth, row and column sample rates.  The features are binned
+once and all models of a wave are grown together over that matrix (``trees``); a wave is scored on a *given*
+validation frame in one pass.  Stop rules: model count, run time and no improvement.  The no-improvement rule looks
+at the models in the order of their numbers and discards what comes behind the stop, so the board is the same
+at any parallelism.  The leaderboard is a DataFrame sorted by validation MSE.
 """
 
 from __future__ import annotations
@@ -12,16 +12,15 @@ from __future__ import annotations
 import itertools
 import random
 import time
-from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# H2O-style names mapped to the GBTRegressor parameters they set
+from .boosting import RegressionBoostModel
+from .trees import Spec, fit_boosters, squared_errors
+
+#: H2O-style names of the searched parameters.
 PARAMS = ("learn_rate", "max_depth", "sample_rate", "col_sample_rate")
 
 
@@ -49,82 +48,47 @@ def combinations(hyper: dict[str, Sequence], strategy: str = "Cartesian", max_mo
     raise ValueError(strategy)
 
 
-def _mse(model, valid: DataFrame, y: str) -> float:
-    p = model.transform(valid)
-    return p.agg(F.avg(F.pow(F.col(y) - F.col("prediction"), 2))).first()[0]
+def stop_after(errors: Sequence[float], rounds: int | None, tolerance: float) -> int | None:
+    """The number of models up to the first that brings ``rounds`` models without an improvement of the best error by more
+    than ``tolerance`` (a share); None while none does."""
+    best: list[float] = []
+    for e in errors:
+        best.append(min(e, best[-1]) if best else e)
+        if rounds and len(best) > rounds and best[-rounds - 1] - best[-1] <= tolerance * abs(best[-rounds - 1]):
+            return len(best)
+    return None
 
 
 def grid_search(train: DataFrame, valid: DataFrame, y: str, xs: Sequence[str], hyper: dict[str, Sequence],
                 strategy: str = "Cartesian", ntrees: int = 100, seed: int = 1, max_models: int | None = None,
                 max_runtime_secs: float | None = None, stopping_rounds: int | None = None,
-                stopping_tolerance: float = 1e-3, parallelism: int = 4, decreasing: bool = False,
-                engine: str = "spark"):
+                stopping_tolerance: float = 1e-3, parallelism: int | None = None, decreasing: bool = False, **rest):
     """Returns (leaderboard DataFrame, {model_id: fitted model}).
 
-    ``engine="spark"`` fits ``GBTRegressor`` (fast; first tree weight 1);
-    ``engine="parity"`` fits :func:`fit_regression_boost` (mean start, every tree
-    shrunk, as H2O's GBM)."""
+    ``parallelism`` is the size of a wave: all models together, or 16 where a stop rule may end the search.  The
+    run time is looked at between waves."""
     spark = train.sparkSession
-    va = VectorAssembler(inputCols=list(xs), outputCol="features", handleInvalid="skip")
-    tr = va.transform(train.select(*xs, y)).select("features", y).persist(StorageLevel.MEMORY_AND_DISK)
-    vd = va.transform(valid.select(*xs, y)).select("features", y).persist(StorageLevel.MEMORY_AND_DISK)
     todo = combinations(hyper, strategy, max_models, seed)
-    start = time.time()
-    results, models = [], {}
-    best_hist: list[float] = []
-
-    def fit(i, combo):
-        if engine == "parity":
-            from .boosting import fit_regression_boost
-            raw_tr, raw_va = train.select(*xs, y), valid.select(*xs, y)
-            m = fit_regression_boost(raw_tr, y, xs, ntrees=ntrees, seed=seed,
-                                     learn_rate=float(combo.get("learn_rate", 0.1)),
-                                     max_depth=int(combo.get("max_depth", 5)),
-                                     sample_rate=float(combo.get("sample_rate", 1.0)),
-                                     col_sample_rate=float(combo.get("col_sample_rate", 1.0)))
-            mse = m.transform(raw_va).agg(F.avg(F.pow(F.col(y) - F.col("predict"), 2))).first()[0]
-            return i, combo, m, mse
-        gbt = GBTRegressor(featuresCol="features", labelCol=y, maxIter=ntrees, seed=seed,
-                           stepSize=float(combo.get("learn_rate", 0.1)), maxDepth=int(combo.get("max_depth", 5)),
-                           subsamplingRate=float(combo.get("sample_rate", 1.0)),
-                           featureSubsetStrategy=("all" if float(combo.get("col_sample_rate", 1.0)) >= 1.0
-                                                  else repr(float(combo["col_sample_rate"]))))
-        m = gbt.fit(tr)
-        return i, combo, m, _mse(m, vd, y)
-
-    def stop_now() -> bool:
-        if max_runtime_secs is not None and time.time() - start > max_runtime_secs:
-            return True
-        if stopping_rounds and len(best_hist) > stopping_rounds:
-            old, new = best_hist[-stopping_rounds - 1], best_hist[-1]
-            return (old - new) <= stopping_tolerance * abs(old)
-        return False
-
-    try:
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            pending, it = set(), iter(enumerate(todo))
-            while True:
-                while len(pending) < parallelism and not stop_now():
-                    nxt = next(it, None)
-                    if nxt is None:
-                        break
-                    pending.add(pool.submit(fit, *nxt))
-                if not pending:
-                    break
-                done, pending = wait(pending, return_when=FIRST_COMPLETED)
-                for f in done:
-                    i, combo, m, mse = f.result()
-                    mid = f"model_{i + 1}"
-                    models[mid] = m
-                    results.append((mid, *[_num(combo.get(p)) for p in PARAMS], float(mse)))
-                    best_hist.append(min(r[-1] for r in results))
-    finally:
-        tr.unpersist()
-        vd.unpersist()
+    wave = parallelism or (16 if stopping_rounds or max_runtime_secs is not None else max(1, len(todo)))
+    specs = [Spec(ntrees, int(c.get("max_depth", 5)), float(c.get("learn_rate", 0.1)), float(c.get("sample_rate", 1.0)),
+                  float(c.get("col_sample_rate", 1.0)), seed=seed) for c in todo]
+    start, models, errors = time.time(), [], []
+    train, valid = train.select(*xs, y), valid.select(*xs, y)
+    for at in range(0, len(todo), wave):
+        if max_runtime_secs is not None and time.time() - start >= max_runtime_secs:
+            break
+        new = fit_boosters(train, y, xs, specs[at:at + wave], **rest)
+        models += new
+        errors += squared_errors(valid, y, new)
+        last = stop_after([e for e in errors if e is not None], stopping_rounds, stopping_tolerance)
+        if last is not None:
+            models, errors = models[:last], errors[:last]
+            break
+    results = [(f"model_{i + 1}", *[_num(c.get(p)) for p in PARAMS], e) for i, (c, e) in enumerate(zip(todo, errors))]
     schema = "model_id string, " + ", ".join(f"{p} double" for p in PARAMS) + ", mse double"
     board = spark.createDataFrame(results, schema)
     board = board.orderBy(F.desc("mse") if decreasing else F.asc("mse"), "model_id")
-    return board, models
+    return board, {f"model_{i + 1}": RegressionBoostModel(m) for i, m in enumerate(models)}
 
 
 def _num(v):
@@ -132,6 +96,6 @@ def _num(v):
 
 
 def best_model(board: DataFrame, models: dict):
-    """First leaderboard row and its model (R-05)."""
-    top = board.limit(1).first()
+    """The row of the lowest error and its model (R-05)."""
+    top = board.orderBy(F.asc_nulls_last("mse"), "model_id").first()
     return top, models[top["model_id"]]

@@ -463,13 +463,16 @@ def gbm_regression_parity(spark, sf):
     return _small_result(spark, regression_metrics(m.transform(parts["valid"]), "p_retailprice", "predict"))
 
 
+_FULL = {"learn_rate": [0.01, 0.1], "max_depth": [3, 5, 9], "sample_rate": [0.8, 1.0], "col_sample_rate": [0.2, 0.5, 1.0]}
+_RANDOM = {"learn_rate": [round(0.01 * i, 2) for i in range(1, 11)], "max_depth": list(range(2, 11)),
+           "sample_rate": [round(0.5 + 0.1 * i, 1) for i in range(6)], "col_sample_rate": [round(0.1 * i, 1) for i in range(1, 11)]}
+
+
 @query("grid_full", None)
 def grid_full(spark, sf):
     """R-01, R-04, R-05: Cartesian grid 2 x 3 x 2 x 3 = 36 GBMs of 100 trees, leaderboard by validation MSE."""
     parts = _part_split(spark, sf)
-    hyper = {"learn_rate": [0.01, 0.1], "max_depth": [3, 5, 9], "sample_rate": [0.8, 1.0],
-             "col_sample_rate": [0.2, 0.5, 1.0]}
-    board, models = grid_search(parts["train"], parts["valid"], "p_retailprice", ["p_size", "p_code"], hyper,
+    board, models = grid_search(parts["train"], parts["valid"], "p_retailprice", ["p_size", "p_code"], _FULL,
                                 ntrees=100, seed=1)
     return board
 
@@ -479,10 +482,142 @@ def grid_random(spark, sf):
     """R-02, R-03: random grid over 10 x 9 x 6 x 10 = 5,400 combinations, at most 50 models of 100 trees;
     the best model's row first."""
     parts = _part_split(spark, sf)
-    hyper = {"learn_rate": [round(0.01 * i, 2) for i in range(1, 11)], "max_depth": list(range(2, 11)),
-             "sample_rate": [round(0.5 + 0.1 * i, 1) for i in range(6)],
-             "col_sample_rate": [round(0.1 * i, 1) for i in range(1, 11)]}
-    board, models = grid_search(parts["train"], parts["valid"], "p_retailprice", ["p_size", "p_code"], hyper,
+    board, models = grid_search(parts["train"], parts["valid"], "p_retailprice", ["p_size", "p_code"], _RANDOM,
                                 strategy="RandomDiscrete", max_models=50, ntrees=100, seed=1)
     top, _ = best_model(board, models)
     return board.withColumn("is_best", F.col("model_id") == F.lit(top["model_id"]))
+
+
+# ---------------------------------------------------------------- facts about fitted models
+# Each of these fits a model and returns counts and comparisons computed from the model's own output;
+# the SQL states what they must be.
+
+def _board_facts(spark, sf, board: DataFrame, models: dict, hyper: dict, most: int) -> DataFrame:
+    """One row of facts about a leaderboard, all computed from its rows and the best model's predictions."""
+    valid = _part_split(spark, sf)["valid"]
+    rows = board.collect()                              # a row a model
+    names = list(hyper)
+    top, model = best_model(board, models)
+    again = model.transform(valid).agg(F.avg(F.pow(F.col("p_retailprice") - F.col("predict"), 2))).first()[0]
+    combos = {tuple(r[n] for n in names) for r in rows}
+    facts = (len(rows), len(combos), sum(all(r[n] in [float(v) for v in hyper[n]] for n in names) for r in rows),
+             sum(a.mse <= b.mse for a, b in zip(rows, rows[1:])), rows[0].model_id == top.model_id and top.mse == min(r.mse for r in rows),
+             bool(abs(again - top.mse) <= 1e-6 * again), len(rows) <= most, min(len(m.ensemble.roots) for m in models.values()),
+             max(len(m.ensemble.roots) for m in models.values()))
+    return spark.createDataFrame([facts], "models long, combinations long, inside_grid long, in_order long, best_first boolean, "
+                                          "best_error_repeats boolean, within_limit boolean, least_trees long, most_trees long")
+
+
+_BOARD_SQL = """
+SELECT CAST({n} AS BIGINT) AS models, CAST({n} AS BIGINT) AS combinations, CAST({n} AS BIGINT) AS inside_grid, CAST({n} - 1 AS BIGINT) AS in_order,
+       true AS best_first, true AS best_error_repeats, true AS within_limit, CAST(100 AS BIGINT) AS least_trees, CAST(100 AS BIGINT) AS most_trees
+"""
+
+
+@query("grid_full_facts", _BOARD_SQL.format(n="(2 * 3 * 2 * 3)"))
+def grid_full_facts(spark, sf):
+    """R-01, R-04, R-05: the 36 models of the full grid: count, distinct combinations, order, the best one's error from its predictions."""
+    parts = _part_split(spark, sf)
+    board, models = grid_search(parts["train"], parts["valid"], "p_retailprice", ["p_size", "p_code"], _FULL, ntrees=100, seed=1)
+    return _board_facts(spark, sf, board, models, _FULL, 36)
+
+
+@query("grid_random_facts", _BOARD_SQL.format(n="least(50, 10 * 9 * 6 * 10)"))
+def grid_random_facts(spark, sf):
+    """R-02, R-04, R-05: 50 distinct models of the random grid, as above."""
+    parts = _part_split(spark, sf)
+    board, models = grid_search(parts["train"], parts["valid"], "p_retailprice", ["p_size", "p_code"], _RANDOM,
+                                strategy="RandomDiscrete", max_models=50, ntrees=100, seed=1)
+    return _board_facts(spark, sf, board, models, _RANDOM, 50)
+
+
+@query("grid_stop", """
+SELECT true AS same_board, true AS stopped_early, true AS stop_is_due
+""")
+def grid_stop(spark, sf):
+    """R-03: a search that stops after two models without an improvement of a tenth gives one board in waves of 1 and of 8 models;
+    the whole grid's errors show that the stop was due there and not before."""
+    parts = _part_split(spark, sf)
+    hyper = {"learn_rate": [0.1, 0.05], "max_depth": [2, 3, 4, 5]}
+    args = (parts["train"], parts["valid"], "p_retailprice", ["p_size", "p_code"], hyper)
+    number = lambda r: int(r.model_id.rpartition("_")[2])
+    one, eight = (sorted(map(tuple, grid_search(*args, ntrees=20, stopping_rounds=2, stopping_tolerance=0.1, parallelism=p)[0].collect())) for p in (1, 8))
+    errors = [r.mse for r in sorted(grid_search(*args, ntrees=20)[0].collect(), key=number)]
+    best = [min(errors[:i + 1]) for i in range(len(errors))]
+    due = [i + 1 for i in range(2, len(best)) if best[i - 2] - best[i] <= 0.1 * best[i - 2]]
+    return spark.createDataFrame([(one == eight, len(one) < len(errors), bool(due) and len(one) == due[0])],
+                                 "same_board boolean, stopped_early boolean, stop_is_due boolean")
+
+
+@query("gbm_importance", """
+SELECT CAST(13 AS BIGINT) AS variables, true AS shares_add_up, true AS top_is_one, true AS unused_is_zero, true AS descending
+""")
+def gbm_importance(spark, sf):
+    """L-14: variable importance of the multi-class booster over the twelve letter shares and a constant column."""
+    d, parts = _doc_lang(spark, sf)
+    try:
+        m = fit_multinomial_boost(parts["train"].withColumn("constant", F.lit(1.0)), "lang", [*_LANG_X, "constant"], ntrees=20, max_depth=3,
+                                  learn_rate=0.1, col_sample_rate=0.7, seed=1)
+        rows = m.importance(d).collect()
+    finally:
+        d.unpersist()
+    unused = [r for r in rows if r.variable == "constant"]
+    return spark.createDataFrame([(len(rows), abs(sum(r.percentage for r in rows) - 1) < 1e-9, rows[0].scaled_importance == 1.0,
+                                   unused[0].relative_importance == 0.0, all(a.relative_importance >= b.relative_importance for a, b in zip(rows, rows[1:])))],
+                                 "variables long, shares_add_up boolean, top_is_one boolean, unused_is_zero boolean, descending boolean")
+
+
+@query("gbm_log_loss", """
+WITH p AS (SELECT count(*) * 1.0 / sum(count(*)) OVER () AS p FROM documents WHERE lang IS NOT NULL GROUP BY lang)
+SELECT round(-sum(p * ln(p)) * 1e6) / 1e6 AS start_loss, CAST(20 AS BIGINT) AS rounds, CAST(20 AS BIGINT) AS falls, true AS better,
+       (SELECT count(*) FROM documents WHERE lang IS NOT NULL) AS rows_scored FROM p
+""")
+def gbm_log_loss(spark, sf):
+    """L-15: log loss of the multi-class booster (20 rounds, depth 3, rate 0.01, column sample 0.7) on its training rows; it starts at the
+    entropy of the classes and falls every round."""
+    d, _ = _doc_lang(spark, sf)
+    try:
+        m = fit_multinomial_boost(d, "lang", _LANG_X, ntrees=20, max_depth=3, learn_rate=0.01, col_sample_rate=0.7, seed=1)
+        rows = m.log_loss(d, "lang").collect()          # a row a round
+    finally:
+        d.unpersist()
+    loss = [r.log_loss for r in rows]
+    return spark.createDataFrame([(round(loss[0] * 1e6) / 1e6, len(loss) - 1, sum(a > b for a, b in zip(loss, loss[1:])), loss[-1] < 0.95 * loss[0], rows[0].rows)],
+                                 "start_loss double, rounds long, falls long, better boolean, rows_scored long")
+
+
+@query("every_row_scored", """
+SELECT model, count(*) AS rows_out, count(*) FILTER (WHERE p_partkey % 7 = 0) AS rows_missing, CAST(0 AS BIGINT) AS unpredicted
+FROM part, (VALUES ('kmeans'), ('linear'), ('logistic'), ('forest'), ('gbt'), ('booster'), ('multinomial')) m(model) GROUP BY model
+""")
+def every_row_scored(spark, sf):
+    """L-21: every model scores every row, also the seventh of the rows without one of the predictors."""
+    p = _t(spark, sf, "part").select("p_partkey", F.when(F.col("p_partkey") % 7 != 0, F.col("p_size").cast("double")).alias("size"),
+                                     (F.col("p_partkey") % 1000).cast("double").alias("code"), F.col("p_retailprice").cast("double").alias("price"))
+    p = p.withColumn("dear", (F.col("price") > 1400).cast("double")).withColumn("kind", F.when(F.col("price") > 1400, "dear").otherwise("cheap"))
+    xs = ["size", "code"]
+    fitted = {"kmeans": M.kmeans(p, xs, k=3, seed=1)[0], "linear": M.linear_regression(p, "price", xs), "logistic": M.logistic_regression(p, "dear", xs),
+              "forest": M.random_forest(p, "kind", xs, num_trees=5), "gbt": M.gbt_regressor(p, "price", xs, ntrees=5),
+              "booster": fit_regression_boost(p, "price", xs, ntrees=5), "multinomial": fit_multinomial_boost(p, "kind", xs, ntrees=5)}
+    out = None
+    for name, m in fitted.items():
+        scored = m.transform(p)
+        predicted = F.col("predict" if "predict" in scored.columns else "prediction")
+        one = scored.agg(F.count(F.lit(1)).alias("rows_out"), F.count_if(F.col("size").isNull()).alias("rows_missing"), F.count_if(predicted.isNull()).alias("unpredicted")) \
+            .withColumn("model", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out.select("model", "rows_out", "rows_missing", "unpredicted")
+
+
+@query("kmeans_labels", """
+SELECT count(*) AS points, CAST(3 AS BIGINT) AS clusters, CAST(1 AS INTEGER) AS least_label, CAST(3 AS INTEGER) AS most_label, CAST(0 AS BIGINT) AS nearer_elsewhere FROM part
+""")
+def kmeans_labels(spark, sf):
+    """G-07: every point with its label ``prediction + 1``; none lies nearer to another centre than to its own."""
+    p = _t(spark, sf, "part").select("p_partkey", F.col("p_size").cast("double").alias("x1"), (F.col("p_retailprice") / 100.0).cast("double").alias("x2"))
+    model, centers = M.kmeans(p, ["x1", "x2"], k=3, seed=1)
+    points = M.labelled_points(model, p)
+    far = [F.pow(F.col("x1") - c.x1, 2) + F.pow(F.col("x2") - c.x2, 2) for c in centers.orderBy("prediction").collect()]      # k rows
+    own = F.element_at(F.array(*far), F.col("label"))
+    return points.agg(F.count(F.lit(1)).alias("points"), F.countDistinct("label").alias("clusters"), F.min("label").alias("least_label"),
+                      F.max("label").alias("most_label"), F.count_if(own > F.least(*far) + 1e-9).alias("nearer_elsewhere"))

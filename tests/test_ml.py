@@ -88,13 +88,13 @@ def test_regression_boost_starts_at_mean_and_improves(spark):
     assert mses[0] > mses[1] > mses[2]
 
 
-def test_grid_parity_engine(spark):
+def test_grid_board(spark):
     from sparkdeck.ml.search import grid_search
     p = spark.read.parquet(f"{SF_SMALL}/part.parquet").select(
         "p_retailprice", F.col("p_size").cast("double").alias("p_size"),
         (F.col("p_partkey") % 1000).cast("double").alias("p_code"))
     board, models = grid_search(p, p, "p_retailprice", ["p_size", "p_code"],
-                                {"learn_rate": [0.1, 0.3], "max_depth": [3]}, ntrees=3, engine="parity", parallelism=2)
+                                {"learn_rate": [0.1, 0.3], "max_depth": [3]}, ntrees=3, parallelism=2)
     rows = board.collect()
     assert len(rows) == 2 and rows[0].mse <= rows[1].mse and set(models) == {r.model_id for r in rows}
 
