@@ -9,7 +9,7 @@ from pyspark.ml.feature import IndexToString, RFormula, StringIndexer, VectorAss
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import choose_strategy, exact_median, exact_quantiles, segmented_positions
+from .ordered import exact_median, exact_quantiles, placed, with_pieces
 
 
 def string_index(df: DataFrame, col: str, out: str, order: str = "frequencyDesc",
@@ -76,57 +76,45 @@ def _interp_expr(value: str, t, pv: str, pt: str, nv: str, nt: str):
 
 
 def interpolate_linear(df: DataFrame, keys: Sequence[str], time: str, value: str, out: str,
-                       tiebreak: str | None = None, strategy: str = "auto") -> DataFrame:
+                       tiebreak: str | None = None, strategy: str = "range") -> DataFrame:
     """Fill NULLs in a series by linear interpolation in time between the nearest
-    non-NULL neighbours of the same key; one neighbour only -> its value.
-
-    ``window``: running ``last``/``first`` ignoring NULLs over a keyed window (a key is
-    one task).  ``scan``: the skew-safe ordered scan counts non-NULL values before
-    each row (carried across partitions), and the neighbours are fetched by
-    equi-joins on ``(key, k-th non-NULL value)`` — balanced, since ``k`` is unique
-    within a key.  ``auto`` picks the window only while the largest key is small.
-    """
-    keys = list(keys)
-    if choose_strategy(df, keys, strategy) == "window":
-        return _interpolate_window(df, keys, time, value, out, tiebreak)
-    return _interpolate_scan(df, keys, time, value, out, tiebreak)
-
+    non-NULL neighbours of the same key; one neighbour only -> its value.  Rows of one time stand in the order of ``tiebreak``
+    (if given) and of a hash of the row.
 
-def _interpolate_window(df, keys, time, value, out, tiebreak):
-    order = [F.col(time)] + ([F.col(tiebreak)] if tiebreak else [])
+    The rows are range-partitioned by (key, time); inside a piece of a key the neighbours are running first and last
+    values, and a piece's own ends get theirs from the nearest pieces of the key that hold a value.  A long gap is many
+    pieces, so no key and no gap gathers in one task.  ``strategy="window"`` asks for Spark's window over whole keys."""
+    keys = list(keys)
+    order = [time] + ([tiebreak] if tiebreak else [])
+    if strategy == "window":
+        return _interpolate_window(df, keys, order, time, value, out)
+    known = F.when(F.col(value).isNotNull(), F.struct(F.col(value).alias("v"), F.col("_t").alias("t")))
+    rows = placed(df.withColumn("_t", _micros(df, time)), keys, order).withColumn("_known", known)
+    w = Window.partitionBy("_pid", *keys).orderBy("_at")
+    rows = rows.withColumn("_prev", F.last("_known", True).over(w.rowsBetween(Window.unboundedPreceding, 0))) \
+        .withColumn("_next", F.last("_known", True).over(Window.partitionBy("_pid", *keys).orderBy(F.desc("_at")).rowsBetween(Window.unboundedPreceding, 0)))
+    ends = rows.groupBy("_pid", *keys).agg(F.min_by("_known", F.when(F.col("_known").isNotNull(), F.col("_at"))).alias("_head"),
+                                           F.max_by("_known", F.when(F.col("_known").isNotNull(), F.col("_at"))).alias("_tail"))
+    over = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_pid")             # one row a piece of the key
+    back = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(F.desc("_pid"))
+    ends = ends.select("_pid", *keys, F.last("_tail", True).over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("_left"),
+                       F.last("_head", True).over(back.rowsBetween(Window.unboundedPreceding, -1)).alias("_right"))
+    d = with_pieces(rows, ends, keys).withColumn("_prev", F.coalesce("_prev", "_left")).withColumn("_next", F.coalesce("_next", "_right"))
+    return d.select(*df.columns, _interp_expr(value, F.col("_t"), "_prev.v", "_prev.t", "_next.v", "_next.t").alias(out))
+
+
+def _interpolate_window(df, keys, order, time, value, out):
+    cols = df.columns
+    df = df.withColumn("_t", _micros(df, time))
+    order = [F.col(c).asc() for c in order] + [F.xxhash64(*[F.col(c) for c in df.columns]).asc()]
     w = Window.partitionBy(*keys).orderBy(*order)
     before = w.rowsBetween(Window.unboundedPreceding, 0)
-    # the next value is the last one of the reversed series: a running frame, linear in its length
-    back = Window.partitionBy(*keys).orderBy(*[c.desc() for c in order]).rowsBetween(Window.unboundedPreceding, 0)
-    t = _micros(df, time)
+    after = w.rowsBetween(0, Window.unboundedFollowing)
+    t = F.col("_t")
     tv = F.when(F.col(value).isNotNull(), t)
     d = (df.withColumn("_pv", F.last(value, True).over(before)).withColumn("_pt", F.last(tv, True).over(before))
-         .withColumn("_nv", F.last(value, True).over(back)).withColumn("_nt", F.last(tv, True).over(back)))
-    return d.withColumn(out, _interp_expr(value, t, "_pv", "_pt", "_nv", "_nt")).drop("_pv", "_pt", "_nv", "_nt")
-
-
-def _interpolate_scan(df, keys, time, value, out, tiebreak):
-    cols = df.columns
-    d = df.withColumn("_t", _micros(df, time)).withColumn("_nn", F.col(value).isNotNull().cast("long"))
-    order = [time] + ([tiebreak] if tiebreak else [])
-    p = segmented_positions(d, keys, order, row_number="_rn", prefix_sums={"_k": "_nn"}, strategy="scan")
-    p = p.withColumn("_k", F.col("_k").cast("long"))
-    nn = p.filter(F.col(value).isNotNull())
-    have = nn.withColumn(out, F.col(value)).select(*cols, out)
-    ref = nn.select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col("_k").alias("_rk"),
-                    F.col(value).alias("_rv"), F.col("_t").alias("_rt"))
-    miss = p.filter(F.col(value).isNull())
-
-    def fetch(frame, offset, v, t):
-        cond = F.col("_rk") == F.col("_k") + offset
-        for k in keys:
-            cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-        j = frame.join(ref, cond, "left")
-        return j.withColumnRenamed("_rv", v).withColumnRenamed("_rt", t).drop("_rk", *[f"_r_{k}" for k in keys])
-
-    miss = fetch(fetch(miss, 0, "_pv", "_pt"), 1, "_nv", "_nt")
-    miss = miss.withColumn(out, _interp_expr(value, F.col("_t"), "_pv", "_pt", "_nv", "_nt")).select(*cols, out)
-    return have.unionByName(miss)
+         .withColumn("_nv", F.first(value, True).over(after)).withColumn("_nt", F.first(tv, True).over(after)))
+    return d.select(*cols, _interp_expr(value, t, "_pv", "_pt", "_nv", "_nt").alias(out))
 
 
 def iqr_fences(df: DataFrame, col: str, coef: float = 1.5) -> DataFrame:

@@ -1,45 +1,32 @@
-"""Skew-safe positions, ranks, running sums and exact quantiles within groups.
-
-``Window.partitionBy(g).orderBy(v)`` puts every row of a group into one task, so a
-group holding a third of the data becomes one straggler (and an empty
-``partitionBy`` puts the whole table into one task).  The operator here gets the
-same numbers from a *range-partitioned* sort instead:
-
-1. range-partition and sort by ``(group keys, order keys, row hash)``; the row hash
-   breaks ties so even a hot group with one repeated value is split across tasks;
-2. one pass per partition (``mapInArrow``: Arrow batches, no pandas) numbers the rows of each
-   group run *locally* and, in a second branch over the same exchange, writes a
-   one-row summary per partition (first key, last key, length of the last run);
-3. the carry of a partition's first group is the summed last runs of earlier
-   partitions that end in the same key: a running sum and a lag over the summary,
-   which holds one row per partition (bounded by the partition count, so it is
-   broadcast);
-4. ``row_number = local + carry`` for rows of the partition's first group.
-
-Ranks use the same machinery at a second level (group + order keys): the position
-inside a tie block is subtracted from the row number.  Both branches read one
-``Exchange rangepartitioning`` (``ReusedExchange`` in the plan), so they see the
-same partition boundaries; when exchange reuse is switched off the sorted input is
-persisted instead.  Running sums of a column ride along at level 0 with the same
-carry.  Everything stays lazy: the caller's action runs one query.
-
-The scan costs a Python pass, so by default (``strategy="auto"``) one partial
-aggregate first measures the largest group and Spark's own window is used while
-every group fits one task comfortably.
+"""Positions, ranks, running sums, top-k and exact quantiles within groups, whatever the size of a group.
+
+``Window.partitionBy(g).orderBy(v)`` puts every row of a group into one task, so a group holding a third of the
+data becomes one straggler (and an empty ``partitionBy`` puts the whole table into one task).  Here there is one plan at
+every size, JVM operators only:
+
+* **Numbering.** Rows are range-partitioned and sorted by (keys, order, row hash).  A group is then a run of neighbouring
+  rows, cut into *pieces* by the partition bounds; a row's place within its partition is known from the sort.  One
+  aggregate gives each piece's length, and what lies before a piece within its group is a running sum over the few
+  pieces of that group (over the partitions, in two levels, for a global numbering).  The row hash breaks ties, so one
+  repeated value is split as well, and equal rows alone may change places.
+* **Ranks** are numbered on the distinct values with their counts and joined back to the rows.
+* **Top-k** keeps the k best distinct values a group, which Spark's group limit cuts in every task before the shuffle.
+* **Quantiles** count buckets between a group's extremes, narrow twice to the buckets that hold the wanted
+  positions, and sort only the distinct values inside those.
+
+The two readers of a range exchange share it (``ReusedExchange``); a hash over all columns is part of each row's place so that
+column pruning cannot make them differ.  Where exchange reuse is switched off the sorted input is persisted.
+
+``strategy="window"`` asks for Spark's own window instead (one task a group); nothing chooses it by size.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import shuffle_partitions
 
@@ -65,350 +52,238 @@ def _sort_exprs(keys: Sequence[str], order: list[tuple[str, bool]], tiebreak: st
     return ex
 
 
-def _changes(batch: pa.RecordBatch, cols: list[str], prev: tuple | None) -> np.ndarray:
-    """True where a row's key differs from the row before (NULL equals NULL, NaN equals NaN).
-
-    Vectorised Arrow compute on the key columns only; the first row is compared with
-    the key that ended the previous batch.
-    """
-    n = batch.num_rows
-    chg = np.zeros(n, dtype=bool)
-    if n > 1:
-        for c in cols:
-            a = batch.column(c)
-            cur, before = a.slice(1), a.slice(0, n - 1)
-            diff = pc.fill_null(pc.not_equal(cur, before), False)
-            if pa.types.is_floating(a.type):
-                both_nan = pc.fill_null(pc.and_(pc.is_nan(cur), pc.is_nan(before)), False)
-                diff = pc.and_(diff, pc.invert(both_nan))
-            diff = pc.or_(diff, pc.xor(pc.is_null(cur), pc.is_null(before)))
-            chg[1:] |= diff.to_numpy(zero_copy_only=False)
-    if n:
-        chg[0] = prev is None or _row_key(batch, cols, 0) != prev
-    return chg
-
-
-def _norm_val(v):
-    if isinstance(v, float) and math.isnan(v):
-        return ("NaN",)          # NaN equals NaN, and differs from NULL
-    return v
-
-
-def _row_key(batch: pa.RecordBatch, cols: list[str], i: int) -> tuple:
-    return tuple(_norm_val(batch.column(c)[i].as_py()) for c in cols)
-
-
-class _LevelState:
-    """Running state of one key level while a sorted partition streams through."""
-
-    def __init__(self, sums: Sequence[str] = ()):
-        self.last_key = None     # key of the run that ends the rows seen so far
-        self.run = 0             # length of that run
-        self.first_key = None    # key of the partition's first run
-        self.in_first = True     # has no later run started yet?
-        self.sums = list(sums)   # columns with a running sum inside each run
-        self.runsum = {c: 0.0 for c in self.sums}
-
-    def step(self, batch: pa.RecordBatch, cols: list[str]):
-        n = batch.num_rows
-        chg = _changes(batch, cols, self.last_key)
-        gid = chg.cumsum()
-        idx = np.arange(n)
-        start = np.maximum.accumulate(np.where(chg, idx, 0))
-        pos = idx - start + 1
-        pos[gid == 0] += self.run          # rows continuing the previous batch's run
-        first_batch = self.last_key is None
-        if self.in_first:
-            if first_batch:
-                self.first_key = _row_key(batch, cols, 0)
-                is_first = gid == 1
-            elif not chg[0]:
-                is_first = gid == 0
-            else:
-                is_first = np.zeros(n, dtype=bool)
-            if chg[1:].any() or (not first_batch and chg[0]):
-                self.in_first = False
-        else:
-            is_first = np.zeros(n, dtype=bool)
-        prefix = {}
-        for c in self.sums:
-            v = pc.fill_null(batch.column(c), 0).to_numpy(zero_copy_only=False).astype(float)
-            cs = np.cumsum(v)
-            before = np.where(start > 0, cs[np.maximum(start - 1, 0)], 0.0)
-            pre = cs - before
-            pre[gid == 0] += self.runsum[c]
-            prefix[c] = pre
-            self.runsum[c] = float(pre[-1])
-        self.run = int(pos[-1])
-        self.last_key = _row_key(batch, cols, n - 1)
-        return pos, is_first, prefix
-
-
-def _local_pass(levels: list[list[str]], sums: Sequence[str] = ()):
-    """Numbering pass: appends run positions, first-run flags and running sums to each
-    Arrow batch; the input columns pass through as they are (no pandas conversion)."""
-    def fn(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        states = [_LevelState(sums if i == 0 else ()) for i in range(len(levels))]
-        for b in it:
-            if not b.num_rows:
-                continue
-            for i, cols in enumerate(levels):
-                pos, first, prefix = states[i].step(b, cols)
-                b = b.append_column(f"_lrn{i}", pa.array(pos.astype("int64")))
-                b = b.append_column(f"_first{i}", pa.array(first.astype(bool)))
-                for c, v in prefix.items():
-                    b = b.append_column(f"_lsum{i}_{c}", pa.array(v, pa.float64()))
-            yield b
-    return fn
-
-
-def _summary_pass(levels: list[list[str]], sums: Sequence[str] = ()):
-    """Summary pass: one row per partition — first key, last key, last run length and sums."""
-    def fn(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        states = [_LevelState(sums if i == 0 else ()) for i in range(len(levels))]
-        pid, types = None, {}
-        for b in it:
-            if not b.num_rows:
-                continue
-            pid = b.column("_pid")[0].as_py()
-            types = {f.name: f.type for f in b.schema}
-            for i, cols in enumerate(levels):
-                states[i].step(b, cols)
-        if pid is None:
-            return
-        names, arrays = ["_pid"], [pa.array([pid], pa.int32())]
-
-        def raw(v):
-            return float("nan") if v == ("NaN",) else v
-        for i, cols in enumerate(levels):
-            st = states[i]
-            for j, c in enumerate(cols):
-                names += [f"_f{i}_{c}", f"_l{i}_{c}"]
-                arrays += [pa.array([raw(st.first_key[j])], types[c]), pa.array([raw(st.last_key[j])], types[c])]
-            names.append(f"_run{i}")
-            arrays.append(pa.array([st.run], pa.int64()))
-            for c in st.sums:
-                names.append(f"_rsum{i}_{c}")
-                arrays.append(pa.array([st.runsum[c]], pa.float64()))
-        yield pa.record_batch(arrays, names=names)
-    return fn
-
-
-# Largest group (rows) a plain window may put into one task; above it the scan is used.
-MAX_WINDOW_GROUP_CONF = "spark.sparkdeck.maxWindowGroupRows"
-DEFAULT_MAX_WINDOW_GROUP = 2_000_000
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the biggest group (one aggregate with map-side combine)."""
-    if not keys:
-        return df.count()
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-
-
-def choose_strategy(df: DataFrame, keys: Sequence[str], strategy: str = "auto") -> str:
-    """``window`` when every group fits one task comfortably, else ``scan``.
-
-    The check is a size bound measured on the data, like a broadcast behind a size
-    check: small groups get Spark's one-shuffle window (JVM only); a hot group — or a
-    global numbering of a large table — gets the range-partitioned scan.
-    """
-    if strategy != "auto":
-        return strategy
-    limit = int(df.sparkSession.conf.get(MAX_WINDOW_GROUP_CONF, str(DEFAULT_MAX_WINDOW_GROUP)))
-    return "window" if largest_group(df, keys) <= limit else "scan"
-
-
 TARGET_PARTITION_BYTES_CONF = "spark.sparkdeck.scanPartitionBytes"
 DEFAULT_TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 MAX_SCAN_PARTITIONS = 200_000
 
 
 def scan_partitions(df: DataFrame) -> int:
-    """Partition count for the scan's range exchange.
+    """Partition count for the range exchange.
 
-    The count must be explicit (AQE leaves a numbered repartition alone, which keeps
-    partition ids stable between the two passes), so it is sized from the
-    optimiser's size estimate: about 256 MB per partition, never fewer than
+    The count must be explicit (AQE leaves a numbered repartition alone, which keeps partition ids the same for both
+    readers), so it is sized from the optimiser's size estimate: about 256 MB a partition, never fewer than
     ``spark.sql.shuffle.partitions``.
     """
     spark = df.sparkSession
-    base = shuffle_partitions(spark)
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # no estimate available
-        return base
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     target = int(spark.conf.get(TARGET_PARTITION_BYTES_CONF, str(DEFAULT_TARGET_PARTITION_BYTES)))
-    return int(min(MAX_SCAN_PARTITIONS, max(base, -(-size // target))))
+    return int(min(MAX_SCAN_PARTITIONS, max(shuffle_partitions(spark), -(-size // target))))
+
+
+HELPERS = ("_pid", "_at", "_tiebreak", "_first", "_rows")
+_LOCAL = (1 << 33) - 1      # monotonically_increasing_id holds the row's place in its partition in these bits
+
+
+def placed(df: DataFrame, keys: Sequence[str], order: Sequence[OrderSpec], num_partitions: int | None = None, tiebreak: bool = True) -> DataFrame:
+    """``df`` range-partitioned and sorted by (keys, order, row hash), with ``_pid`` and the place ``_at`` (from 0) within it."""
+    if set(HELPERS) & set(df.columns):
+        raise ValueError(f"input columns {sorted(set(HELPERS) & set(df.columns))} collide with the helper columns")
+    d = df.withColumn("_tiebreak", F.xxhash64(*[F.col(c) for c in df.columns])) if tiebreak else df.withColumn("_tiebreak", F.lit(0))
+    sx = _sort_exprs(keys, _norm_order(order), "_tiebreak" if tiebreak else None)
+    d = d.repartitionByRange(num_partitions or scan_partitions(df), *sx).sortWithinPartitions(*sx)
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        d = d.persist(StorageLevel.MEMORY_AND_DISK)
+    everything = F.xxhash64(*[F.col(c) for c in d.columns]).bitwiseAND(F.lit(0))
+    return d.withColumn("_pid", F.spark_partition_id()) \
+        .withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL)) + everything)
+
+
+def pieces(rows: DataFrame, keys: Sequence[str], sums: Sequence[str] = ()) -> DataFrame:
+    """One row a piece (partition and group) of ``placed`` rows: _pid, keys, ``_first`` place, ``_rows`` and the ``sums`` before it in its group
+    (``_before`` and ``_before_<column>``)."""
+    totals = [F.sum(F.coalesce(F.col(c), F.lit(0))).alias(f"_sum_{c}") for c in sums]
+    each = rows.groupBy("_pid", *keys).agg(F.min("_at").alias("_first"), (F.max("_at") - F.min("_at") + 1).alias("_rows"), *totals)
+    add = {"_before": "_rows", **{f"_before_{c}": f"_sum_{c}" for c in sums}}
+    if keys:
+        w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+        for out, c in add.items():
+            each = each.withColumn(out, F.coalesce(F.sum(c).over(w), F.lit(0)))
+        return each
+    # one row a partition: blocks of 512 partitions, then the blocks
+    block = each.groupBy(F.floor(F.col("_pid") / 512).alias("_block")).agg(
+        F.collect_list(F.struct(*each.columns)).alias("_list"), *[F.sum(c).alias(f"_total{c}") for c in add.values()])
+    whole = block.groupBy().agg(F.collect_list(F.struct(*block.columns)).alias("_all"))
+    one = whole.select("_all", F.explode("_all").alias("_b")).select("_all", "_b", F.explode("_b._list").alias("_p"))
+    kinds = dict(each.dtypes)
+
+    def before(c):
+        zero = F.lit(0).cast(kinds[c])
+        return F.aggregate(F.filter("_all", lambda x: x["_block"] < F.col("_b._block")), zero, lambda a, x: (a + x[f"_total{c}"]).cast(kinds[c])) + \
+            F.aggregate(F.filter("_b._list", lambda x: x["_pid"] < F.col("_p._pid")), zero, lambda a, x: (a + x[c]).cast(kinds[c]))
+    return one.select("_p.*", *[before(c).alias(out) for out, c in add.items()])
+
+
+def with_pieces(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each row with what ``table`` says of its piece."""
+    other = table.select(F.col("_pid").alias("_pid_p"), *[F.col(k).alias(f"_key{i}_p") for i, k in enumerate(keys)],
+                         *[c for c in table.columns if c not in ("_pid", *keys)])
+    same = F.col("_pid") == F.col("_pid_p")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}_p"))
+    return rows.join(other, same).drop("_pid_p", *[f"_key{i}_p" for i in range(len(keys))])
 
 
 def _window_positions(df, keys, order_n, row_number, rank, prefix_sums, tiebreak):
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*_sort_exprs([], order_n, None))
-    # the scan's tie-break: both ways number tied rows alike
+    # the numbering's tie-break: both ways number tied rows alike
     t = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(
         *_sort_exprs([], order_n, None), *([F.xxhash64(*[F.col(c) for c in df.columns])] if tiebreak else []))
     out = df.withColumn(row_number, F.row_number().over(t).cast("long"))
     if rank:
         out = out.withColumn(rank, F.rank().over(w).cast("long"))
     for name, col in (prefix_sums or {}).items():
-        out = out.withColumn(name, F.sum(F.coalesce(F.col(col).cast("double"), F.lit(0.0)))
-                             .over(t.rowsBetween(Window.unboundedPreceding, 0)))
+        out = out.withColumn(name, F.sum(F.coalesce(F.col(col), F.lit(0))).over(t.rowsBetween(Window.unboundedPreceding, 0)))
     return out
 
 
 def segmented_positions(df: DataFrame, keys: Sequence[str], order: Sequence[OrderSpec],
                         row_number: str = "row_number", rank: str | None = None,
                         num_partitions: int | None = None, tiebreak: bool = True,
-                        strategy: str = "auto", prefix_sums: dict[str, str] | None = None) -> DataFrame:
+                        strategy: str = "range", prefix_sums: dict[str, str] | None = None) -> DataFrame:
     """Add ``row_number`` (1-based, within ``keys`` by ``order``) and optionally SQL ``rank``.
 
-    ``keys`` may be empty: the result is then a global row number (X-07).
-    ``strategy``: ``scan`` (skew-safe, described above), ``window`` (Spark's window,
-    one task per group) or ``auto`` (window only when the largest group is under
-    ``spark.sparkdeck.maxWindowGroupRows``).  ``prefix_sums`` maps an output name to
-    a numeric column whose running (inclusive) sum within the group is added.
-    Select only the columns you need first — in the scan every column passes
-    through an Arrow-batched Python pass.
+    ``keys`` may be empty: the result is then a global row number (X-07).  ``prefix_sums`` maps an output name to a numeric
+    column whose running (inclusive) sum within the group is added.  Select only the columns you need first.
     """
-    spark = df.sparkSession
-    keys = list(keys)
-    order_n = _norm_order(order)
-    order_cols = [c for c, _ in order_n]
-    if num_partitions is None and choose_strategy(df, keys, strategy) == "window":
-        return _window_positions(df, keys, order_n, row_number, rank, prefix_sums, tiebreak)
-    sums = list((prefix_sums or {}).values())
-    reserved = {"_pid", "_tiebreak"} | {c for c in df.columns if c.startswith(("_lrn", "_first", "_lsum"))}
-    if reserved & set(df.columns):
-        raise ValueError(f"input columns {sorted(reserved & set(df.columns))} collide with the scan's helper columns")
-    levels = [keys]                      # empty keys: one run per partition (global index)
-    if rank:
-        levels.append(keys + order_cols)
-    n = num_partitions or scan_partitions(df)
-
-    base_cols = df.columns
-    tb = "_tiebreak" if tiebreak else None
-    t = df.withColumn("_tiebreak", F.xxhash64(*[F.col(c) for c in base_cols])) if tb else df
-    sx = _sort_exprs(keys, order_n, tb)
-    # explicit partition count: AQE does not coalesce it, so partition ids stay fixed
-    srt = t.repartitionByRange(n, *sx).sortWithinPartitions(*sx).withColumn("_pid", F.spark_partition_id())
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        srt = srt.persist(StorageLevel.MEMORY_AND_DISK)
-
-    levels_eff = levels                  # level 0: groups; level 1 (ranks): groups + order values
-    local_fields = list(srt.schema.fields)
-    for i in range(len(levels_eff)):
-        local_fields += [T.StructField(f"_lrn{i}", T.LongType()), T.StructField(f"_first{i}", T.BooleanType())]
-        if i == 0:
-            local_fields += [T.StructField(f"_lsum0_{c}", T.DoubleType()) for c in sums]
-    local = srt.mapInArrow(_local_pass(levels_eff, sums), T.StructType(local_fields))
-
-    sfields = [T.StructField("_pid", T.IntegerType())]
-    types = {f.name: f.dataType for f in srt.schema.fields}
-    for i, cols in enumerate(levels_eff):
-        for c in cols:
-            sfields += [T.StructField(f"_f{i}_{c}", types[c]), T.StructField(f"_l{i}_{c}", types[c])]
-        sfields.append(T.StructField(f"_run{i}", T.LongType()))
-        if i == 0:
-            sfields += [T.StructField(f"_rsum0_{c}", T.DoubleType()) for c in sums]
-    summary = srt.mapInArrow(_summary_pass(levels_eff, sums), T.StructType(sfields))
-
-    # carry of partition p = runs of earlier partitions ending in p's first key.  By
-    # sortedness those partitions are contiguous and end at p-1, so it is the running
-    # sum of runs per last key, read at p-1 when p-1 ends in p's first key.  The
-    # summary has one row per partition, so the un-keyed ordering window is bounded.
-    w_ord = Window.orderBy("_pid")
-    carry = summary
-    for i, cols in enumerate(levels_eff):
-        w_chain = Window.partitionBy(*[F.col(f"_l{i}_{c}") for c in cols]).orderBy("_pid") \
-            .rowsBetween(Window.unboundedPreceding, 0)
-        carry = carry.withColumn(f"_cum{i}", F.sum(f"_run{i}").over(w_chain))
-        match = F.lag("_pid").over(w_ord).isNotNull()
-        for c in cols:
-            match = match & F.lag(f"_l{i}_{c}").over(w_ord).eqNullSafe(F.col(f"_f{i}_{c}"))
-        carry = carry.withColumn(f"_carry{i}", F.when(match, F.lag(f"_cum{i}").over(w_ord)).otherwise(F.lit(0))
-                                 .cast("long"))
-        if i == 0:
-            for c in sums:
-                carry = carry.withColumn(f"_cs0_{c}", F.sum(f"_rsum0_{c}").over(w_chain))
-                carry = carry.withColumn(f"_csum0_{c}", F.when(match, F.lag(f"_cs0_{c}").over(w_ord))
-                                         .otherwise(F.lit(0.0)))
-    carry = carry.select("_pid", *[f"_carry{i}" for i in range(len(levels_eff))],
-                         *[f"_csum0_{c}" for c in sums])
-
-    out = local.join(F.broadcast(carry), "_pid", "left")
-    rn_cols = []
-    for i in range(len(levels_eff)):
-        rn_cols.append(F.col(f"_lrn{i}") + F.when(F.col(f"_first{i}"), F.col(f"_carry{i}")).otherwise(0))
-    sel = [F.col(c) for c in base_cols]
-    sel.append(rn_cols[0].cast("long").alias(row_number))
-    if rank:
-        # rank = row number of the tie block's first row = row_number - (position in block - 1)
-        sel.append((rn_cols[0] - rn_cols[-1] + 1).cast("long").alias(rank))
-    for name, c in (prefix_sums or {}).items():
-        sel.append((F.col(f"_lsum0_{c}") + F.when(F.col("_first0"), F.col(f"_csum0_{c}")).otherwise(0.0)).alias(name))
-    return out.select(*sel)
+    keys, base = list(keys), df.columns
+    if strategy == "window":
+        return _window_positions(df, keys, _norm_order(order), row_number, rank, prefix_sums, tiebreak)
+    rows = placed(df, keys, order, num_partitions, tiebreak)
+    sums = dict(prefix_sums or {})
+    out = with_pieces(rows, pieces(rows, keys, list(dict.fromkeys(sums.values()))), keys)
+    w = Window.partitionBy("_pid", *keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    out = out.select(*base, (F.col("_at") - F.col("_first") + F.col("_before") + 1).cast("long").alias(row_number),
+                     *[(F.sum(F.coalesce(F.col(c), F.lit(0))).over(w) + F.col(f"_before_{c}")).alias(name) for name, c in sums.items()])
+    return _joined_ranks(out, keys, order, rank, num_partitions) if rank else out
+
+
+def _joined_ranks(df, keys, order, name, num_partitions):
+    """Rows with the rank of their value: 1 + the rows of smaller values of the group, counted on the distinct values."""
+    cols = list(dict.fromkeys([*keys, *[c for c, _ in _norm_order(order)]]))
+    values = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_count"))
+    ranked = segmented_positions(values, keys, order, row_number="_nth", prefix_sums={"_upto": "_count"}, num_partitions=num_partitions)
+    ranked = ranked.select(*[F.col(c).alias(f"_v{i}") for i, c in enumerate(cols)], (F.col("_upto") - F.col("_count") + 1).cast("long").alias(name))
+    same = F.lit(True)
+    for i, c in enumerate(cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"_v{i}"))
+    return df.join(ranked, same).drop(*[f"_v{i}" for i in range(len(cols))])
 
 
 def with_row_index(df: DataFrame, order: Sequence[OrderSpec], name: str = "row_idx",
-                   num_partitions: int | None = None, strategy: str = "auto") -> DataFrame:
-    """0-based global row index by ``order`` (X-07); a large table never goes through one task."""
+                   num_partitions: int | None = None, strategy: str = "range") -> DataFrame:
+    """0-based global row index by ``order`` (X-07); the table never goes through one task."""
     r = segmented_positions(df, [], order, row_number="_rn1", num_partitions=num_partitions, strategy=strategy)
     return r.withColumn(name, F.col("_rn1") - 1).drop("_rn1")
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[OrderSpec], name: str = "rank",
-                num_partitions: int | None = None, strategy: str = "auto") -> DataFrame:
+                num_partitions: int | None = None, strategy: str = "range") -> DataFrame:
     """SQL ``RANK()`` within groups (ties share, gaps left) — W-02."""
-    r = segmented_positions(df, keys, order, row_number="_rn_tmp", rank=name, num_partitions=num_partitions,
-                            strategy=strategy)
-    return r.drop("_rn_tmp")
+    if strategy == "window":
+        return _window_positions(df, list(keys), _norm_order(order), "_rn_tmp", name, None, False).drop("_rn_tmp")
+    return _joined_ranks(df, list(keys), order, name, num_partitions)
 
 
 def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[OrderSpec],
                       name: str = "row_number", num_partitions: int | None = None,
-                      strategy: str = "auto") -> DataFrame:
+                      strategy: str = "range") -> DataFrame:
     return segmented_positions(df, keys, order, row_number=name, num_partitions=num_partitions, strategy=strategy)
 
 
+def top_within(df: DataFrame, keys: Sequence[str], order: Sequence[OrderSpec], k: int, name: str = "rank") -> DataFrame:
+    """The rows of SQL ``RANK() <= k`` within groups, all ties kept (W-03).
+
+    Counts the distinct values of a group, keeps the k best of them (each task lets only its k best through), and
+    joins their ranks to the rows: a hot group never stands in one task, and rows below the k-th value meet no sort."""
+    keys = list(keys)
+    norm = _norm_order(order)
+    cols = list(dict.fromkeys([*keys, *[c for c, _ in norm]]))
+    values = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_count"))
+    w = Window.partitionBy(*keys).orderBy(*_sort_exprs([], norm, None))
+    best = values.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") <= k)
+    upto = F.sum("_count").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    best = best.withColumn(name, (F.coalesce(upto, F.lit(0)) + 1).cast("long")).where(F.col(name) <= k)
+    best = best.select(*[F.col(c).alias(f"_v{i}") for i, c in enumerate(cols)], name)
+    same = F.lit(True)
+    for i, c in enumerate(cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"_v{i}"))
+    return df.join(best, same).drop(*[f"_v{i}" for i in range(len(cols))])
+
+
+#: Buckets a group's values are counted in, each time they are narrowed.
+BUCKETS = 4096
+
+
+def _bucket(v: Column, lo: Column, hi: Column) -> Column:
+    """A number that never falls as ``v`` rises; infinities and NaN (the largest) stand outside the finite range."""
+    inf = F.lit(float("inf"))
+    inside = F.when(hi > lo, F.least(F.lit(BUCKETS - 1), F.floor((v - lo) / (hi - lo) * BUCKETS))).otherwise(0)
+    return F.when(v == -inf, -1).when(F.isnan(v) | (v == inf), BUCKETS).otherwise(inside).cast("int")
+
+
+def _finite(v: Column) -> Column:
+    return F.when(~F.isnan(v) & (F.abs(v) != float("inf")), v)
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
                     names: Sequence[str] | None = None, num_partitions: int | None = None,
-                    strategy: str = "auto") -> DataFrame:
+                    strategy: str = "range") -> DataFrame:
     """Exact interpolated quantiles (R type 7, SQL ``quantile_cont`` / ``percentile``) per group.
 
-    NULL values are skipped.  Each group's sorted values are numbered by
-    :func:`segmented_positions` (hot groups are split across tasks); the two
-    neighbours of every target position are fetched with an equi-join on
-    ``(keys, position)`` — balanced, because positions are unique within a group.
-    Nothing gathers a group's values in one buffer.
-    """
+    NULL values are skipped.  Every position p(n-1) and its neighbour are looked for at once: buckets between the group's
+    extremes are counted, the buckets that hold a wanted position are cut into buckets again, and the distinct values in
+    those are sorted.  Rows are only counted, never numbered, and no group or bucket is gathered in one task."""
     keys = list(keys)
     names = list(names) if names else [f"q{int(round(p * 100)):02d}" for p in probs]
-    vals = df.select(*keys, value).filter(F.col(value).isNotNull())
-    pos = segmented_positions(vals, keys, [value], row_number="_pos", num_partitions=num_partitions,
-                              strategy=strategy)
-    counts = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    targets = []
-    for p, nm in zip(probs, names):
+    group = [f"_k{i}" for i in range(len(keys))]
+    vals = df.where(F.col(value).isNotNull()).select(*[F.col(k).alias(g) for k, g in zip(keys, group)], F.col(value).cast("double").alias("_v"))
+    v = F.col("_v")
+    ends = vals.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.min(_finite(v)).alias("_lo"), F.max(_finite(v)).alias("_hi")).where("_n > 0")
+    at = [(F.col("_n") - 1) * F.lit(float(p)) for p in probs]
+    wanted = F.array_distinct(F.array(*[f(h).cast("long") for h in at for f in (F.floor, F.ceil)]))
+    ends = ends.withColumn("_want", wanted).withColumn("_start", F.lit(0).cast("long"))
+    state = ["_lo", "_hi", "_want", "_start"]
+
+    def joined(rows: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
+        if not on:
+            return rows.withColumn("_s", table.select(F.struct(*state)).scalar()).select(*rows.columns, *[F.col(f"_s.{c}").alias(c) for c in state])
+        other = table.select(*[F.col(c).alias(f"{c}_t") for c in on], *state)
+        same = F.lit(True)
+        for c in on:
+            same = same & F.col(c).eqNullSafe(F.col(f"{c}_t"))
+        return rows.join(other, same).drop(*[f"{c}_t" for c in on])
+
+    def narrowed(rows: DataFrame, on: list[str], by: str) -> DataFrame:
+        """Counted values of ``by`` with the wanted positions that each holds."""
+        c = rows.groupBy(*on, by).agg(F.count(F.lit(1)).alias("_c"), F.min(_finite(v)).alias("_lo"), F.max(_finite(v)).alias("_hi"),
+                                      F.first("_want").alias("_want"), F.first("_start").alias("_start"))
+        w = Window.partitionBy(*(on or [F.col("_start")])).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        c = c.withColumn("_from", F.col("_start") + F.coalesce(F.sum("_c").over(w), F.lit(0)))
+        held = F.filter("_want", lambda x: (x >= F.col("_from")) & (x < F.col("_from") + F.col("_c")))
+        return c.withColumn("_want", held).where(F.size("_want") > 0).withColumn("_start", F.col("_from")).drop("_from", "_c")
+    table, rows, on = ends, vals, list(group)
+    for i in range(2):
+        rows = joined(rows, table, on).withColumn(f"_b{i}", _bucket(v, F.col("_lo"), F.col("_hi")))
+        table = narrowed(rows, on, f"_b{i}")
+        rows, on = rows.drop(*state), [*on, f"_b{i}"]
+    found = narrowed(joined(rows, table, on), on, "_v").select(*group, F.explode("_want").alias("_r"), "_v")
+    found = found.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct("_r", "_v"))).alias("_m"))
+    if keys:
+        counts = ends.select(*[F.col(g).alias(f"{g}_n") for g in group], "_n")
+        same = F.lit(True)
+        for g in group:
+            same = same & F.col(g).eqNullSafe(F.col(f"{g}_n"))
+        found = found.join(counts, same)
+    else:
+        found = found.withColumn("_n", ends.select("_n").scalar())
+    out = []
+    for p, name in zip(probs, names):
         h = (F.col("_n") - 1) * F.lit(float(p))
-        targets.append(F.struct(F.lit(nm).alias("_q"), F.floor(h).alias("_lo"), F.ceil(h).alias("_hi"),
-                                (h - F.floor(h)).alias("_frac")))
-    tg = counts.select(*keys, F.explode(F.array(*targets)).alias("_t")).select(*keys, "_t.*")
-    want = tg.select(*keys, "_q", "_frac", "_lo", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_p"))
-    at = pos.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], (F.col("_pos") - 1).alias("_at"), F.col(value).alias("_v"))
-    same = F.col("_p") == F.col("_at")
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))        # a NULL key is a group
-    hit = want.join(at, same, "inner")
-    agg = hit.groupBy(*keys, "_q").agg(
-        F.max(F.when(F.col("_p") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_p") != F.col("_lo"), F.col("_v"))).alias("_vhi"),
-        F.first("_frac").alias("_frac"))
-    agg = agg.withColumn("_val", F.col("_vlo") + F.col("_frac") * (F.coalesce(F.col("_vhi"), F.col("_vlo")) - F.col("_vlo")))
-    wide = agg.groupBy(*keys).pivot("_q", names).agg(F.first("_val")) if keys else \
-        agg.groupBy().pivot("_q", names).agg(F.first("_val"))
-    return wide
+        lo, hi = F.col("_m")[F.floor(h).cast("long")], F.col("_m")[F.ceil(h).cast("long")]
+        out.append(F.when(F.floor(h) == F.ceil(h), lo).otherwise(lo + (h - F.floor(h)) * (hi - lo)).alias(name))
+    return found.select(*[F.col(g).alias(k) for g, k in zip(group, keys)], *out)
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median",
-                 num_partitions: int | None = None, strategy: str = "auto") -> DataFrame:
+                 num_partitions: int | None = None, strategy: str = "range") -> DataFrame:
     return exact_quantiles(df, keys, value, [0.5], [name], num_partitions=num_partitions, strategy=strategy)

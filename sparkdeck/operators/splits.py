@@ -96,7 +96,7 @@ def fold_split(folded: DataFrame, i: int, name: str = "fold") -> tuple[DataFrame
 
 def holdout_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[OrderSpec],
                     start: int, stop: int, max_test: int = 0, name: str = "split",
-                    position: str = "pos", strategy: str = "auto") -> DataFrame:
+                    position: str = "pos", strategy: str = "range") -> DataFrame:
     """Per-key hold-out: a row is ``test`` when its position within its key (by ``order``,
     1-based) is in ``[start, stop]`` and fewer than ``max_test`` rows (in ``order``) are
     already in test; ``max_test <= 0`` means no cap.  All other rows are ``base``.

@@ -71,7 +71,7 @@ def holm_adjust(df: DataFrame, p: str, out: str) -> DataFrame:
             .drop("_i", "_s"))
 
 
-def boxplot_stats(df: DataFrame, value: str, group: str, coef: float = 1.5, strategy: str = "auto") -> DataFrame:
+def boxplot_stats(df: DataFrame, value: str, group: str, coef: float = 1.5, strategy: str = "range") -> DataFrame:
     """Box-plot numbers per group: quartiles (type 7), whisker ends at the most extreme
     values within ``coef`` IQR of the box, and the outlier count.
 

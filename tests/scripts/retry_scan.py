@@ -1,7 +1,7 @@
-"""Run the skew-safe scan with task failures injected, in its own session.
+"""Run the range numbering with task failures injected, in its own session.
 
-Tasks of the numbering pass fail on their first attempt (the failure is raised from
-inside the Arrow-batched pass); Spark retries them.  Prints the result as JSON so the
+Tasks that read the sorted partitions fail on their first attempt (the failure is raised from
+an Arrow pass put behind them); Spark retries them.  Prints the result as JSON so the
 caller can compare it with a clean run.
 """
 
@@ -21,19 +21,19 @@ inject = sys.argv[1] == "inject"
 spark = get_session("local[4,4]", app="retry-test", shuffle_partitions=8)   # 4 attempts per task
 
 if inject:
-    original = ordered._local_pass
+    original = ordered.placed
 
-    def failing_local_pass(levels, sums=()):
-        inner = original(levels, sums)
+    def failing(batches):
+        ctx = TaskContext.get()
+        if ctx is not None and ctx.attemptNumber() == 0 and ctx.partitionId() % 2 == 0:
+            raise RuntimeError("injected task failure")
+        yield from batches
 
-        def fn(it):
-            ctx = TaskContext.get()
-            if ctx is not None and ctx.attemptNumber() == 0 and ctx.partitionId() % 2 == 0:
-                raise RuntimeError("injected task failure")
-            yield from inner(it)
-        return fn
+    def failing_placed(*args, **rest):
+        rows = original(*args, **rest)
+        return rows.mapInArrow(failing, rows.schema)
 
-    ordered._local_pass = failing_local_pass
+    ordered.placed = failing_placed
 
 df = spark.range(20000).select(F.col("id"), (F.col("id") % 7).alias("g"), (F.col("id") * 31 % 101).alias("v"))
 out = ordered.rank_within(df, ["g"], [("v", False)], name="rk", strategy="scan", num_partitions=8)

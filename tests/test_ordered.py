@@ -140,3 +140,83 @@ def test_helper_column_collision_is_refused(spark):
     df = spark.createDataFrame([(1, 2.0)], "_pid long, v double")
     with pytest.raises(ValueError):
         segmented_positions(df, [], ["v"], strategy="scan", num_partitions=2)
+
+
+def test_tied_times_fill_alike_for_any_partitioning(spark):
+    from sparkdeck.operators.features import interpolate_linear
+    rows = [(i, "a" if i % 3 else None, f"2024-01-01 00:00:{i // 6:02d}", float(i) if i % 5 == 0 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, g string, ts string, v double").withColumn("ts", F.col("ts").cast("timestamp"))
+    runs = []
+    for n, parts, strategy in ((1, 1, "range"), (4, 4, "range"), (7, 64, "range"), (2, 8, "window")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        runs.append({r.id: r.f for r in interpolate_linear(df.repartition(n), ["g"], "ts", "v", "f", strategy=strategy).collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len(runs[0]) == 60 and all(r == runs[0] for r in runs[1:])
+
+
+def test_a_long_gap_is_spread_over_tasks(spark):
+    from sparkdeck.operators.features import interpolate_linear
+    n = 40_000
+    df = spark.range(n).select("id", F.timestamp_seconds("id").alias("ts"), F.when(F.col("id").isin(10, n - 11), F.col("id") * 2.0).alias("v"))
+    out = interpolate_linear(df, [], "ts", "v", "f").withColumn("p", F.spark_partition_id()).cache()
+    assert out.where(F.abs(F.col("f") - F.least(F.greatest(F.col("id"), F.lit(10)), F.lit(n - 11)) * 2.0) > 1e-6).count() == 0
+    sizes = [r["count"] for r in out.groupBy("p").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 0.5 * n
+
+
+def test_row_index_for_any_partition_count(spark):
+    _, df = _frame(spark, seed=8)
+    runs = [sorted(map(tuple, with_row_index(df.repartition(n), ["v"], num_partitions=n).select("id", "row_idx").collect())) for n in (1, 4, 64)]
+    assert runs[0] == runs[1] == runs[2] and sorted(i for _, i in runs[0]) == list(range(3000))
+
+
+def test_pieces_of_many_partitions(spark):
+    # more partitions than a block of the two-level sum holds
+    df = spark.range(3000)
+    got = with_row_index(df, [("id", False)], num_partitions=1100).where(F.col("row_idx") != 2999 - F.col("id")).count()
+    assert got == 0
+
+
+def test_top_within_keeps_ties_and_splits_a_hot_group(spark):
+    from sparkdeck.operators.ordered import top_within
+    pdf, df = _frame(spark, seed=9)
+    for k in (1, 2, 50, 5000):
+        want = rank_within(df, ["g"], [("v", False)], strategy="window").where(F.col("rank") <= k)
+        got = top_within(df, ["g"], [("v", False)], k)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.select(got.columns).collect()), key=repr)
+    plan = top_within(df, ["g"], [("v", False)], 2)
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in text and "partial_count" in text
+
+
+def test_quantiles_with_odd_values_and_a_hot_group(spark):
+    rng = np.random.default_rng(11)
+    vals = {None: [1e300, -1e300, 0.0, 1e-300], "one": [5.0], "inf": [float("inf"), 1.0, 2.0, float("-inf"), 3.0], "tie": [2.0] * 500,
+            "hot": rng.lognormal(3, 4, 4000).tolist(), "big": (rng.integers(0, 2**40, 301) * 1.0).tolist()}
+    df = spark.createDataFrame([(k, v) for k, vs in vals.items() for v in vs] + [("none", None), ("hot", None)], "k string, v double").repartition(5)
+    got = {r.k: r for r in exact_quantiles(df, ["k"], "v", [0.0, 0.1, 0.5, 0.999, 1.0], list("abcde")).collect()}
+    assert set(got) == set(vals)
+    for k, vs in vals.items():
+        vs = sorted(vs)
+        for p, name in zip([0.0, 0.1, 0.5, 0.999, 1.0], "abcde"):
+            h = (len(vs) - 1) * p
+            lo, hi = vs[int(np.floor(h))], vs[int(np.ceil(h))]
+            want = lo if lo == hi else lo + (h - np.floor(h)) * (hi - lo)
+            assert got[k][name] == want or np.isclose(got[k][name], want, rtol=1e-12, equal_nan=True), (k, p)
+    nan = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "v double")
+    row = exact_quantiles(nan, [], "v", [0.0, 0.5, 1.0], list("abc")).first()
+    assert (row.a, row.b) == (1.0, 3.0) and np.isnan(row.c)
+
+
+def test_no_whole_table_window(spark):
+    from sparkdeck.plans import queries
+
+    from .conftest import SF_SMALL
+    import re
+    for name in ("block_kfold", "daily_rank", "holdout_capped", "interpolate", "part_price_vs_global"):
+        df = queries()[name](spark, SF_SMALL)
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        for line in text.splitlines():
+            if re.search(r"\bWindow \[", line):
+                assert "[_pid" in line or re.search(r"\], \[\w+#\d+", line), (name, line)
