@@ -121,7 +121,7 @@ def take(sizes: np.ndarray, quota: int, block_words: int, cap: int, seed: int) -
 
 
 def mix(docs: DataFrame, share: Fraction = Fraction(3, 2), weights: Sequence[int] = (5, 2, 1), cap: int = 2, block_words: int = 16,
-        shard_words: int = 4_000_000, shard_rows: int = 50_000, seed: int = 1, id_col: str = "doc_id", text_col: str = "text",
+        shard_words: int = 1_000_000, shard_rows: int = 4_000, seed: int = 1, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source") -> Mix:
     """The words that a mix takes from every document; ``weights`` repeat over the sources in code point order."""
     spark = docs.sparkSession
