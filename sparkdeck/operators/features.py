@@ -106,14 +106,14 @@ def interpolate_linear(df: DataFrame, keys: Sequence[str], time: str, value: str
 def _interpolate_window(df, keys, order, time, value, out):
     cols = df.columns
     df = df.withColumn("_t", _micros(df, time))
-    order = [F.col(c).asc() for c in order] + [F.xxhash64(*[F.col(c) for c in df.columns]).asc()]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    before = w.rowsBetween(Window.unboundedPreceding, 0)
-    after = w.rowsBetween(0, Window.unboundedFollowing)
+    order = [F.col(c) for c in order] + [F.xxhash64(*[F.col(c) for c in df.columns])]
+    before = Window.partitionBy(*keys).orderBy(*[c.asc() for c in order]).rowsBetween(Window.unboundedPreceding, 0)
+    # the next value is the last one of the reversed series: a running frame, linear in its length
+    after = Window.partitionBy(*keys).orderBy(*[c.desc() for c in order]).rowsBetween(Window.unboundedPreceding, 0)
     t = F.col("_t")
     tv = F.when(F.col(value).isNotNull(), t)
     d = (df.withColumn("_pv", F.last(value, True).over(before)).withColumn("_pt", F.last(tv, True).over(before))
-         .withColumn("_nv", F.first(value, True).over(after)).withColumn("_nt", F.first(tv, True).over(after)))
+         .withColumn("_nv", F.last(value, True).over(after)).withColumn("_nt", F.last(tv, True).over(after)))
     return d.select(*cols, _interp_expr(value, t, "_pv", "_pt", "_nv", "_nt").alias(out))
 
 
