@@ -28,6 +28,12 @@ def metrics_by_split(parts: dict[str, DataFrame], y: str, pred: str, name: str =
     return tagged.groupBy(name).agg(F.count(F.lit(1)).alias("n"), F.avg(r * r).alias("mse"))
 
 
+def metrics_by_tag(df: DataFrame, tag: str, y: str, pred: str, name: str = "split") -> DataFrame:
+    """One metric row for each value of the column ``tag``: one scan for all parts of a frame tagged by ``tag_partitions``."""
+    r = F.col(y) - F.col(pred)
+    return df.where(F.col(tag).isNotNull()).groupBy(F.col(tag).alias(name)).agg(F.count(F.lit(1)).alias("n"), F.avg(r * r).alias("mse"))
+
+
 def confusion_long(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """Confusion matrix in long form (actual, predicted, n).
 

@@ -157,10 +157,11 @@ def fit_network(train: DataFrame, y: str, xs: Sequence[str], hidden: Sequence[in
     history = []
     for ep in range(epochs):
         fn = _epoch_fn(w, shapes, xs, y, xm, xsd, ym, ysd, learn_rate, batch, input_dropout, seed, ep)
-        parts = data.mapInPandas(fn, out_schema).collect()   # one row per partition
-        tot = sum(r["n"] for r in parts)
-        w = sum(np.array(r["w"]) * (r["n"] / tot) for r in parts)
-        history.append(sum(r["loss"] for r in parts) / tot)
+        # partitions' weights are averaged by Spark: the driver gets one vector an epoch
+        each = data.mapInPandas(fn, out_schema).select("n", "loss", F.posexplode("w"))
+        got = each.groupBy("pos").agg(F.sum(F.col("n") * F.col("col")).alias("w"), F.sum("n").alias("n"), F.sum("loss").alias("loss")).orderBy("pos").collect()
+        w = np.array([r["w"] / r["n"] for r in got])
+        history.append(got[0]["loss"] / got[0]["n"])
     data.unpersist()
     model = NetworkModel(xs, list(hidden), [float(v) for v in w], xm.tolist(), xsd.tolist(), ym, ysd)
     return model, history

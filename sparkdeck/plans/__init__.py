@@ -1,6 +1,6 @@
 """Query catalogue (Spark) and its DuckDB oracle."""
 
-from . import ml_catalog  # noqa: F401  (registers the model / I/O entries)
+from . import facts, ml_catalog  # noqa: F401  (register their entries)
 from .catalog import REGISTRY
 
 

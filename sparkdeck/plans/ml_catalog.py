@@ -16,7 +16,7 @@ from ..ml import models as M
 from ..ml.boosting import fit_multinomial_boost, fit_regression_boost
 from pyspark.ml.functions import array_to_vector
 
-from ..ml.evaluate import (class_error, cluster_stats, cluster_stats_array, confusion_long, metrics_by_split,
+from ..ml.evaluate import (class_error, cluster_stats, cluster_stats_array, confusion_long, metrics_by_tag,
                            regression_metrics)
 from ..ml.network import fit_network
 from ..ml.search import best_model, grid_search
@@ -120,8 +120,8 @@ FROM {_FIXED} t WHERE l_linestatus IN ('F', 'O') GROUP BY 1
 def split_mse(spark, sf):
     """L-22: one metric per named part in a single job."""
     d = _fixed_pred(spark, sf)
-    parts = {"training": d.filter(F.col("l_linestatus") == "F"), "test": d.filter(F.col("l_linestatus") == "O")}
-    m = metrics_by_split(parts, "y", "pred")
+    d = d.withColumn("part", F.when(F.col("l_linestatus") == "F", "training").when(F.col("l_linestatus") == "O", "test"))
+    m = metrics_by_tag(d, "part", "y", "pred")
     return m.select("split", "n", r4("mse").alias("mse"))
 
 
@@ -316,7 +316,7 @@ def robust_regression(spark, sf):
     return M.coefficients(m, ["l_quantity"])
 
 
-# Letters whose share of a text is used as a language feature.
+# Letters whose share of a text is used as a language feature.
 LETTERS = ["a", "e", "i", "o", "u", "h", "n", "s", "t", "w", "z", "c"]
 _LANG_X = [f"share_{c}" for c in LETTERS]
 
