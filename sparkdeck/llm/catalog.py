@@ -87,7 +87,7 @@ def op8_toxicity(spark, sf):
 @query("op9_packing")
 def op9_packing(spark, sf):
     """All documents cut into power-of-two pieces of at most 2048 ids."""
-    return packing.pack(_t(spark, sf, "documents"), tokens.public_path("byte_bpe_50k.json"), end_id=1, max_len=2048).drop("ids")
+    return packing.pack(_t(spark, sf, "documents"), tokens.public_path("byte_bpe_50k.json"), end_id=1, max_len=2048, with_ids=False)
 
 
 def _url_sql() -> str:
