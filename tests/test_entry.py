@@ -16,4 +16,4 @@ def test_registry_shape():
     assert all(callable(f) for f in q.values())
     assert all(isinstance(s, str) and "select" in s.lower() for s in o.values())
     own = {n for n in q if n == "pipeline" or n.startswith("op") and n[2:3].isdigit()}
-    assert len(own) == (0 if E.llm is None else 11)
+    assert len(own) == 13 * (E.llm is not None) + (E.corpus_pipeline is not None)
