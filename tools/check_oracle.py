@@ -67,8 +67,6 @@ if __name__ == "__main__":
     only = set(sys.argv[2:])
     import os
     extra = {}
-    if os.environ.get("MAX_WINDOW_GROUP") is not None:   # 0 forces the skew-safe scan everywhere
-        extra["spark.sparkdeck.maxWindowGroupRows"] = os.environ["MAX_WINDOW_GROUP"]
     spark = get_session("local[8]", shuffle_partitions=8, extra=extra)
     con = duck(sf)
     bad = 0

@@ -59,8 +59,6 @@ if __name__ == "__main__":
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     only = set(sys.argv[2:])
     extra = {}
-    if os.environ.get("MAX_WINDOW_GROUP") is not None:   # 0 forces the skew-safe scan
-        extra["spark.sparkdeck.maxWindowGroupRows"] = os.environ["MAX_WINDOW_GROUP"]
     spark = get_session("local[8]", shuffle_partitions=16, extra=extra)
     print("| query | hash exch | range exch | single-partition exch | reused exch | broadcast joins "
           "| sort-merge joins | nested-loop joins | windows | Python passes | pushed filters |")
