@@ -73,35 +73,50 @@ class Grams:
         return _join(self.h[:len(self.h) - (size - 64)], self.h[size - 64:], 0xE7037ED1) if len(self.h) > size - 64 else self.h[:0]
 
 
-def runs_of(buf: np.ndarray, lens: np.ndarray, length: int):
-    """(first window, last window, anchor, gram hashes) of each run of the documents in ``buf``."""
+def runs_of(buf: np.ndarray, lens: np.ndarray, length: int, step: int = 1 << 15):
+    """(first window, last window, anchor, anchor's gram, fingerprint) of each run of the documents in ``buf``.
+
+    ``step`` windows are looked at at a time, so the work arrays stay in the processor's
+    cache whatever the size of the buffer; a run that goes on in the next step is joined.
+    The fingerprint of a run is that of the grams at both ends and in the middle, which
+    cover all its bytes."""
     k = length // 2
-    none = np.empty(0, np.int64)
-    if len(buf) < length:
-        return none, none, none, np.empty(0, _U)
-    g = Grams(buf).of(k)
-    key = (mix(g) >> _U(_POS) << _U(_POS)) | np.arange(len(g), dtype=_U)      # ties: the leftmost
-    span, have = length - k + 1, 1
-    least = key
-    while have * 2 <= span:
-        least = np.minimum(least[:-have], least[have:])
-        have *= 2
-    if have < span:
-        least = np.minimum(least[:len(least) - (span - have)], least[span - have:])
-    anchor = (least & _U((1 << _POS) - 1)).astype(np.int64)
+    span, most = length - k + 1, max(0, len(buf) - length + 1)
     start = np.cumsum(lens) - lens
-    fits = np.zeros(len(buf) + 1, np.int32)          # windows inside one document
+    inside = np.zeros(len(buf) + 1, np.int8)         # windows inside one document
     long = lens >= length
-    fits[start[long]] += 1
-    fits[(start + lens - length + 1)[long]] -= 1
-    at = np.flatnonzero(np.cumsum(fits[:-1])[:len(anchor)])
-    if not len(at):
-        return none, none, none, g
-    a = anchor[at]
-    new = np.r_[True, (a[1:] != a[:-1]) | (at[1:] != at[:-1] + 1)]
-    first = at[new]
-    last = np.r_[at[np.flatnonzero(new)[1:] - 1], at[-1]]
-    return first, last, a[new], g
+    inside[start[long]] += 1
+    inside[(start + lens - length + 1)[long]] -= 1
+    np.cumsum(inside, out=inside)
+    place, found = np.arange(step + span, dtype=_U), []
+    for s in range(0, most, step):
+        e = min(s + step, most)
+        at = np.flatnonzero(inside[s:e])
+        if not len(at):
+            continue
+        g = Grams(buf[s:e - 1 + length]).of(k)
+        least, have = mix(g), 1
+        least >>= _U(_POS)
+        least <<= _U(_POS)
+        least |= place[:len(g)]                      # ties: the leftmost
+        while have * 2 <= span:
+            least = np.minimum(least[:-have], least[have:])
+            have *= 2
+        if have < span:
+            least = np.minimum(least[:len(least) - (span - have)], least[span - have:])
+        a = (least[at] & _U((1 << _POS) - 1)).astype(np.int64)
+        new = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (at[1:] != at[:-1] + 1)])
+        first, last, a = at[new], at[np.r_[new[1:] - 1, len(at) - 1]], a[new]
+        found.append((first + s, last + s, a + s, g[a], g[first], g[first + k], g[last + length - k]))
+    if not found:
+        none = np.empty(0, np.int64)
+        return none, none, none, none.astype(_U), none.astype(_U)
+    first, last, anchor, gram, head, middle, tail = (np.concatenate(c) for c in zip(*found))
+    new = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (first[1:] != last[:-1] + 1)])
+    end = np.r_[new[1:] - 1, len(first) - 1]
+    first, last = first[new], last[end]
+    whole = mix(_join(_join(head[new], middle[new], 0x8EBC6AF1), tail[end], 0x589965CD) + (last - first).astype(_U))
+    return first, last, anchor[new], gram[new], whole
 
 
 # ---------------------------------------------------------------- blocks of documents
@@ -136,12 +151,6 @@ def _open(payload: bytes):
             np.frombuffer(data, np.uint8, offset=8 + 17 * n))
 
 
-def _print(g, first, last, length):
-    """Fingerprints of whole runs: the grams at both ends and in the middle cover all bytes."""
-    k = length // 2
-    return mix(_join(_join(g[first], g[first + k], 0x8EBC6AF1), g[last + length - k], 0x589965CD) + (last - first).astype(_U))
-
-
 def _by_bucket(bucket: np.ndarray):
     order = np.argsort(bucket, kind="stable")
     edge = np.r_[np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0]), len(order)] if len(order) else [0]
@@ -159,10 +168,9 @@ def _grams(length: int, buckets: int):
         for b in batches:
             for block, payload in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 _, _, lens, buf = _open(payload)
-                first, last, a, g = runs_of(buf, lens, length)
+                first, _, _, gram, whole = runs_of(buf, lens, length)
                 if not len(first):
                     continue
-                gram, whole = g[a], _print(g, first, last, length)
                 got = [(k, np.array([block], "<i8").tobytes() + gram[i].tobytes() + whole[i].tobytes() + i.astype("<u4").tobytes())
                        for k, i in _by_bucket((mix(gram) % _U(buckets)).astype(np.int64))]
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in got], pa.int64()), pa.array([d for _, d in got], pa.binary())], ["bucket", "data"])
@@ -324,10 +332,10 @@ def _suffixes(length: int, buckets: int):
         if blocks.num_rows and len(act):
             block = blocks["block"][0].as_py()
             _, _, lens, buf = _open(blocks["payload"][0].as_py())
-            first, last, anchor, g = runs_of(buf, lens, length)
+            first, last, anchor, gram, _ = runs_of(buf, lens, length)
             text = buf.tobytes()
             few = act[act[:, 1] <= 2]
-            for k, i in _by_bucket((mix(g[anchor[few[:, 0]]]) % _U(buckets)).astype(np.int64)):
+            for k, i in _by_bucket((mix(gram[few[:, 0]]) % _U(buckets)).astype(np.int64)):
                 rows = []
                 for run, kind in few[i].tolist():
                     a, p, q = int(anchor[run]), int(first[run]), int(last[run])
@@ -394,9 +402,11 @@ def deduplicate(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text
 
     def finish(block: pa.Table, marked: pa.Table) -> pa.Table:
         ids, null, lens, buf = _open(block["payload"][0].as_py())
-        gone = np.zeros(len(buf) + 1, np.int32)
+        start, n = np.cumsum(lens) - lens, len(lens)
+        removed, spans, text, kept = np.zeros(n, np.int64), np.zeros(n, np.int64), buf.tobytes(), {}
         if marked.num_rows:
-            first, last, _, _ = runs_of(buf, lens, length)
+            gone = np.zeros(len(buf) + 1, np.int32)
+            first, last, _, _, _ = runs_of(buf, lens, length)
             for closed, run, windows, off in zip(*(marked[c].to_pylist() for c in ("closed", "run", "windows", "off"))):
                 if closed is not None:
                     i = np.frombuffer(closed, "<u4")
@@ -407,15 +417,20 @@ def deduplicate(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text
                                    np.flatnonzero(np.unpackbits(np.frombuffer(windows, np.uint8))[:last[run] - first[run] + 1]))
                 np.add.at(gone, at, 1)
                 np.add.at(gone, at + length, -1)
-        bad = np.cumsum(gone[:-1]) > 0
-        out = []
-        for s, n in zip((np.cumsum(lens) - lens).tolist(), lens.tolist()):
-            b = bad[s:s + n]
-            kept = buf[s:s + n][~b].tobytes()
-            out.append((int(b.sum()), int(np.count_nonzero(np.diff(np.r_[0, b.astype(np.int8)]) == 1)), hashlib.sha256(kept).hexdigest(), kept))
+            bad = np.cumsum(gone[:-1], out=gone[:-1]) > 0
+            some = np.flatnonzero(lens)                # a removed string lies within one document
+            removed[some] = np.add.reduceat(bad.astype(np.int64), start[some])
+            begins = bad.copy()
+            begins[1:] &= ~bad[:-1]
+            begins[start[some]] = bad[start[some]]
+            spans[some] = np.add.reduceat(begins.astype(np.int64), start[some])
+            for j in np.flatnonzero(removed).tolist():
+                s, e = int(start[j]), int(start[j] + lens[j])
+                kept[j] = buf[s:e][~bad[s:e]].tobytes()
+        left = [kept[j] if j in kept else text[s:s + m] for j, (s, m) in enumerate(zip(start.tolist(), lens.tolist()))]
         return pa.table({"doc_id": pa.array(ids, pa.int64(), mask=null), "n_bytes": pa.array(lens, pa.int64()),
-                         "n_removed": pa.array([o[0] for o in out], pa.int64()), "n_spans": pa.array([o[1] for o in out], pa.int64()),
-                         "kept_sha256": pa.array([o[2] for o in out], pa.string()), "kept": pa.array([o[3] for o in out], pa.binary())})
+                         "n_removed": pa.array(removed), "n_spans": pa.array(spans),
+                         "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in left], pa.string()), "kept": pa.array(left, pa.binary())})
     return blocks.groupBy("block").cogroup(marks.groupBy("block")).applyInArrow(
         finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
