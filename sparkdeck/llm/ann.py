@@ -5,12 +5,15 @@ sqrt(M^2 - |x|^2) and q gets 0, so |q - x|^2 = |q|^2 + M^2 - 2 <q, x>.  The exte
 vectors are dealt into lists by k-means; a query probes its nearest lists.  In a list
 the vectors are turned by a fixed random rotation and read in column blocks.  After d
 of D columns the partial distance, scaled by D / d, estimates the whole; a candidate
-is abandoned once it exceeds the query's k-th best distance by the factor
-(1 + eps / sqrt(d))^2 - a test that fails a true neighbour with tiny probability.
+is abandoned once it exceeds the query's bound by the factor (1 + eps / sqrt(d))^2 - a
+test that fails a true neighbour with tiny probability.  The bound holds in all lists
+of a query: its k-th best product within the sample below, which no answer is below.  A
+query that still has many candidates in a list takes the list's own k-th best instead.
+Blocks are compared as matrices while many pairs live, pair by pair afterwards.
 Survivors are compared by the exact inner product of the original vectors, in doubles.
 
-The lists are fitted on a bounded sample (``sample_rows`` lowest id hashes), every row
-is indexed.  The number of probed lists is the least that holds ``target`` of the
+The lists are fitted on a bounded sample (``sample_rows`` lowest id hashes; broadcast,
+some 10 MB), every row is indexed.  The number of probed lists is the least that holds ``target`` of the
 neighbours of sample queries within the sample.
 
 Hot lists (a vector may hold a third of all rows) are split into segments of about
@@ -70,29 +73,39 @@ def _nearest(x: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def scan(q: np.ndarray, x: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int, top: float, turn: np.ndarray,
-         block: int = 16, eps: float = 2.1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, id, inner product) of the k best of x for each row of q."""
-    dim = turn.shape[0]
-    tq, tx = _lift(q, top, True) @ turn, _lift(x, top) @ turn
-    gap = _gaps(tq[:, :block], tx[:, :block])
-    gap[own[:, None] == ids[None]] = np.inf
-    alive = np.isfinite(gap)
-    if len(x) > 2 * k:                              # a first k-th best: exact distances of the most promising
-        first = np.argpartition(gap, 2 * k - 1, axis=1)[:, :2 * k]
-        exact = ((tq[:, None] - tx[first]) ** 2).sum(2)
-        exact[~np.take_along_axis(alive, first, 1)] = np.inf
-        bound = np.partition(exact, k - 1, axis=1)[:, k - 1] * (1 + 1e-9) + 1e-9
-        alive &= gap * (dim / block) <= (bound * (1 + eps / np.sqrt(block)) ** 2)[:, None]
-        row, col = np.nonzero(alive)
-        part = gap[row, col]
-        for at in range(block, dim, block):
-            to = min(at + block, dim)
+def scan(q: np.ndarray, x: np.ndarray, tx: np.ndarray, ids: np.ndarray, own: np.ndarray, least: np.ndarray, k: int, top: float,
+         turn: np.ndarray, block: int = 16, eps: float = 2.1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, id, inner product) of the k best of x for each row of q.
+
+    ``tx``: x extended and turned; ``least``: for each query a product that k candidates reach (or -inf)."""
+    dim, tiny = turn.shape[0], 1e-9 * top * top
+    tq = _lift(q, top, True) @ turn
+    bound = (q * q).sum(1) + top * top - 2 * least + tiny
+    alive = own[:, None] != ids[None]
+    part, row, col = np.zeros(alive.shape), None, None
+    for at in range(0, dim, block):
+        to = min(at + block, dim)
+        slack = to / dim * ((1 + eps / np.sqrt(to)) ** 2 if to < dim else 1 + 1e-9)
+        if row is not None:                          # pair by pair
             part = part + ((tq[row, at:to] - tx[col, at:to]) ** 2).sum(1)
-            slack = (1 + eps / np.sqrt(to)) ** 2 if to < dim else 1 + 1e-9
-            keep = part * (dim / to) <= bound[row] * slack
+            keep = part <= bound[row] * slack + tiny
             row, col, part = row[keep], col[keep], part[keep]
-    else:
+            continue
+        part += _gaps(tq[:, at:to], tx[:, at:to])
+        alive &= part <= (bound * slack + tiny)[:, None]
+        if at == 0:
+            many = np.flatnonzero(alive.sum(1) > 8 * k)
+            if len(many):                            # exact distances of the most promising
+                seen = np.where(alive[many], part[many], np.inf)
+                first = np.argpartition(seen, 2 * k - 1, axis=1)[:, :2 * k]
+                exact = _lift_gaps(tq[many], tx, first)
+                exact[~np.take_along_axis(alive[many], first, 1)] = np.inf
+                bound[many] = np.minimum(bound[many], np.partition(exact, k - 1, axis=1)[:, k - 1] + tiny)
+                alive[many] &= part[many] <= (bound[many] * slack + tiny)[:, None]
+        if alive.mean() < 0.02:
+            row, col = np.nonzero(alive)
+            part = part[row, col]
+    if row is None:
         row, col = np.nonzero(alive)
     score = np.einsum("ij,ij->i", q[row], x[col])
     order = np.lexsort((ids[col], -score, row))
@@ -102,6 +115,22 @@ def scan(q: np.ndarray, x: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int,
     return row[keep], ids[col[keep]], score[keep]
 
 
+def _lift_gaps(tq: np.ndarray, tx: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Squared distances of each query to the rows of tx that ``of`` names for it."""
+    return ((tq[:, None] - tx[of]) ** 2).sum(2)
+
+
+def _reached(q: np.ndarray, own: np.ndarray, sample: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Each query's k-th best product within the sample, -inf where that holds fewer candidates."""
+    out = np.full(len(q), -np.inf)
+    if len(sample) > k:
+        for at in range(0, len(q), 256):
+            score = q[at:at + 256] @ sample.T
+            score[own[at:at + 256, None] == ids[None]] = -np.inf
+            out[at:at + 256] = np.partition(score, len(sample) - k, axis=1)[:, len(sample) - k]
+    return out
+
+
 def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
            sample_rows: int = 20_000, max_lists: int = 1024, target: float = 0.97, segment_rows: int = 8192) -> DataFrame:
     """Neighbours of the rows where ``is_query`` (a column) holds: query_id, rank, vec_id, score."""
@@ -117,7 +146,9 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
     good = good.where(F.size("v") == dim)
     top = float(good.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))))).first()[0])
     top *= 1 + 1e-9
-    sample = _matrix(hashed_sample(good, sample_rows, "id").select("v").toArrow().column(0), dim)
+    some = hashed_sample(good, sample_rows, "id").select("v", "id").toArrow()
+    sample = _matrix(some.column(0), dim)
+    known = spark.sparkContext.broadcast((sample, some.column(1).to_numpy()))     # at most sample_rows vectors
     lifted = _lift(sample, top)
     centres = kmeans(lifted, int(max(1, min(max_lists, round(total ** 0.4), len(lifted)))))
     probes = _probes(sample, lifted, centres, k, top, target)
@@ -131,29 +162,31 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", ve
         for b in batches:
             x = _matrix(b.column(1), dim)
             near = _nearest(_lift(x, top, True), centres, probes)
+            least = _reached(x, b.column(0).to_numpy(), *known.value, k)
             pick = np.repeat(np.arange(len(x)), probes)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(pick)), b.column(1).take(pa.array(pick)), pa.array(near.ravel())],
-                                             ["id", "v", "list"])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(pick)), b.column(1).take(pa.array(pick)), pa.array(near.ravel()), pa.array(least[pick])],
+                                             ["id", "v", "list", "least"])
     bounded_batches(spark)
     kind = vectors.schema[vector_col].dataType.simpleString()
     placed = stored(spark, good.mapInArrow(place, f"id long, v {kind}, is_q boolean, list int"), "lists")
-    asked = placed.where("is_q").select("id", "v").mapInArrow(choose, f"id long, v {kind}, list int")
+    asked = placed.where("is_q").select("id", "v").mapInArrow(choose, f"id long, v {kind}, list int, least double")
     # a row a list: how many segments its vectors and its queries are split into
     held = placed.groupBy("list").agg(F.ceil(F.count("*") / segment_rows).alias("segs"))
     want = asked.groupBy("list").agg(F.ceil(F.count("*") / segment_rows).alias("q_segs"))
     plan = F.broadcast(stored(spark, held.join(want, "list"), "segments"))     # at most max_lists rows
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     left = placed.join(plan, "list").select("list", F.pmod(F.xxhash64("id"), "segs").alias("seg"), each("q_segs").alias("q_seg"), "id", "v")
-    right = asked.join(plan, "list").select("list", each("segs").alias("seg"), F.pmod(F.xxhash64("id", F.lit(1)), "q_segs").alias("q_seg"), "id", "v")
+    right = asked.join(plan, "list").select("list", each("segs").alias("seg"), F.pmod(F.xxhash64("id", F.lit(1)), "q_segs").alias("q_seg"), "id", "v", "least")
     turn = rotation(dim + 1)
 
     def compare(x_rows: pa.Table, q_rows: pa.Table) -> pa.Table:
         out = [[], [], []]
         if x_rows.num_rows and q_rows.num_rows:
             x, q = _matrix(x_rows["v"], dim), _matrix(q_rows["v"], dim)
-            ids, own = x_rows["id"].to_numpy(), q_rows["id"].to_numpy()
+            ids, own, least = x_rows["id"].to_numpy(), q_rows["id"].to_numpy(), q_rows["least"].to_numpy()
+            tx = _lift(x, top) @ turn
             for at in range(0, len(q), 256):
-                row, near, score = scan(q[at:at + 256], x, ids, own[at:at + 256], k, top, turn)
+                row, near, score = scan(q[at:at + 256], x, tx, ids, own[at:at + 256], least[at:at + 256], k, top, turn)
                 for o, v in zip(out, (own[at:at + 256][row], near, score)):
                     o.append(v)
         cat = [np.concatenate(o) if o else np.empty(0) for o in out]
