@@ -8,6 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.verbs import paired
+
+
 def regression_metrics(df: DataFrame, y: str, pred: str) -> DataFrame:
     """MSE, RMSE, MAE and R² in one pass (R² from the sums, no second scan)."""
     r = F.col(y) - F.col(pred)
@@ -42,8 +45,7 @@ def confusion_long(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """
     cells = df.groupBy(F.col(actual).alias("_a"), F.col(predicted).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
     classes = cells.select(F.explode(F.array("_a", "_p")).alias("_c")).distinct()
-    listed = classes.agg(F.collect_list(F.struct(F.col("_c").alias("v")))).scalar()
-    grid = classes.select("_c", F.explode(listed).alias("_d")).select("_c", F.col("_d.v").alias("_d"))
+    grid = paired(classes, classes.select(F.col("_c").alias("_d")))
     found = grid.join(cells, F.col("_c").eqNullSafe(F.col("_a")) & F.col("_d").eqNullSafe(F.col("_p")), "left")
     return found.select(F.col("_c").alias(actual), F.col("_d").alias(predicted), F.coalesce("_n", F.lit(0)).alias("n"))
 

@@ -99,17 +99,25 @@ def pieces(rows: DataFrame, keys: Sequence[str], sums: Sequence[str] = ()) -> Da
         for out, c in add.items():
             each = each.withColumn(out, F.coalesce(F.sum(c).over(w), F.lit(0)))
         return each
-    # one row a partition: blocks of 512 partitions, then the blocks
+    return carried(each, add)
+
+
+def carried(each: DataFrame, add: dict[str, str], largest: bool = False) -> DataFrame:
+    """One row a partition (``_pid``) with the sum, or the largest, of a column over the partitions before it (``add``: output -> column).
+
+    In two levels: blocks of 512 partitions, then the blocks.  Nothing before a partition is 0 for a sum and NULL for the largest."""
+    fold = F.max if largest else F.sum
     block = each.groupBy(F.floor(F.col("_pid") / 512).alias("_block")).agg(
-        F.collect_list(F.struct(*each.columns)).alias("_list"), *[F.sum(c).alias(f"_total{c}") for c in add.values()])
+        F.collect_list(F.struct(*each.columns)).alias("_list"), *[fold(c).alias(f"_total{c}") for c in add.values()])
     whole = block.groupBy().agg(F.collect_list(F.struct(*block.columns)).alias("_all"))
     one = whole.select("_all", F.explode("_all").alias("_b")).select("_all", "_b", F.explode("_b._list").alias("_p"))
     kinds = dict(each.dtypes)
 
     def before(c):
-        zero = F.lit(0).cast(kinds[c])
-        return F.aggregate(F.filter("_all", lambda x: x["_block"] < F.col("_b._block")), zero, lambda a, x: (a + x[f"_total{c}"]).cast(kinds[c])) + \
-            F.aggregate(F.filter("_b._list", lambda x: x["_pid"] < F.col("_p._pid")), zero, lambda a, x: (a + x[c]).cast(kinds[c]))
+        start = F.lit(None if largest else 0).cast(kinds[c])
+        both = (lambda a, x: F.greatest(a, x)) if largest else (lambda a, x: (a + x).cast(kinds[c]))
+        blocks = F.aggregate(F.filter("_all", lambda x: x["_block"] < F.col("_b._block")), start, lambda a, x: both(a, x[f"_total{c}"]))
+        return both(blocks, F.aggregate(F.filter("_b._list", lambda x: x["_pid"] < F.col("_p._pid")), start, lambda a, x: both(a, x[c])))
     return one.select("_p.*", *[before(c).alias(out) for out, c in add.items()])
 
 
@@ -176,6 +184,19 @@ def with_row_index(df: DataFrame, order: Sequence[OrderSpec], name: str = "row_i
     return r.withColumn(name, F.col("_rn1") - 1).drop("_rn1")
 
 
+def running_max(df: DataFrame, order: Sequence[OrderSpec], value, name: str, num_partitions: int | None = None) -> DataFrame:
+    """Add the largest ``value(position)`` up to each row of the whole table by ``order``.
+
+    ``value`` makes a column of a row's 1-based position (a column too).  Each partition of one range sort keeps its own
+    running maximum and takes in the largest of the partitions before it, so the table never goes through one task."""
+    rows = placed(df, [], order, num_partitions)
+    rows = with_pieces(rows, pieces(rows, []), [])
+    rows = rows.withColumn("_value", value(F.col("_at") - F.col("_first") + F.col("_before") + 1))
+    tops = carried(rows.groupBy("_pid").agg(F.max("_value").alias("_top")), {"_peak": "_top"}, largest=True).select("_pid", "_peak")
+    w = Window.partitionBy("_pid").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    return with_pieces(rows, tops, []).select(*df.columns, F.greatest(F.max("_value").over(w), "_peak").alias(name))
+
+
 def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[OrderSpec], name: str = "rank",
                 num_partitions: int | None = None, strategy: str = "range") -> DataFrame:
     """SQL ``RANK()`` within groups (ties share, gaps left) — W-02."""

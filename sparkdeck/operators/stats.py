@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.distributions import t_pvalue_udf
-from .ordered import exact_quantiles
+from .ordered import exact_quantiles, running_max
+from .verbs import paired
 
 
 def group_moments(df: DataFrame, value: str, group: str) -> DataFrame:
@@ -37,9 +38,7 @@ def pairwise_t_test(df: DataFrame, value: str, group: str, p_adjust: str | None
         (F.sum("n") - F.count(F.lit(1))).cast("double").alias("dof"),
         (F.sum((F.col("n") - 1) * F.coalesce(F.col("var"), F.lit(0.0))) /
          (F.sum("n") - F.count(F.lit(1)))).alias("sp2"))).scalar()
-    # no hint: Spark broadcasts the summary when its measured size allows (a few groups,
-    # as in the reference) and falls back to a partitioned product otherwise
-    pairs = a.join(b, F.col("group_a") < F.col("group_b")).withColumn("_pool", pool)
+    pairs = paired(a, b, F.col("group_a") < F.col("group_b")).withColumn("_pool", pool)
     dfree, sp2 = F.col("_pool.dof"), F.col("_pool.sp2")
     if pooled:
         se = F.sqrt(sp2 * (F.lit(1.0) / F.col("n_a") + F.lit(1.0) / F.col("n_b")))
@@ -57,18 +56,16 @@ def pairwise_t_test(df: DataFrame, value: str, group: str, p_adjust: str | None
     return out
 
 
-def holm_adjust(df: DataFrame, p: str, out: str) -> DataFrame:
-    """Holm step-down: sort p ascending, scale by (m - i + 1), running max, cap at 1.
+def holm_adjust(df: DataFrame, p: str, out: str, num_partitions: int | None = None) -> DataFrame:
+    """Holm step-down: the i-th smallest of m p-values times (m - i + 1), running maximum, at most 1.
 
-    The window has no partition key on purpose: the input is the k(k-1)/2 pair
-    table, whose size is set by the number of groups, not by the data.
-    """
-    m = df.select(F.count(F.lit(1))).scalar()
-    w = Window.orderBy(F.col(p).asc_nulls_last())
-    return (df.withColumn("_i", F.row_number().over(w))
-            .withColumn("_s", F.least(F.lit(1.0), (m - F.col("_i") + 1) * F.col(p)))
-            .withColumn(out, F.max("_s").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .drop("_i", "_s"))
+    The k(k-1)/2 rows of many groups are sorted by range, the maximum is carried over the partitions.  NULL and NaN
+    values are not tests: they count nowhere and get NULL."""
+    known = F.col(p).isNotNull() & ~F.isnan(p)
+    m = df.select(F.count(F.when(known, 1))).scalar()
+    ranked = running_max(df.withColumn("_unknown", ~known), ["_unknown", p],
+                         lambda i: F.when(known, F.least(F.lit(1.0), (m - i + 1) * F.col(p))), out, num_partitions)
+    return ranked.withColumn(out, F.when(known, F.col(out))).drop("_unknown")
 
 
 def boxplot_stats(df: DataFrame, value: str, group: str, coef: float = 1.5, strategy: str = "range") -> DataFrame:
@@ -114,18 +111,19 @@ def count_of_counts(df: DataFrame, key: str, name: str = "n_rows") -> DataFrame:
 def crosstab_long(df: DataFrame, a: str, b: str, values_b: Sequence | None = None) -> DataFrame:
     """R ``table(a, b)`` in long form, zero cells included: (a, b, n).
 
-    Values keep their types, NULL is a value, and no column is named after one.  Each value
-    of ``a`` is listed with all values of ``b`` (the table's own size) and takes its count.
+    Values keep their types, NULL is a value, and no column is named after one.  The values of
+    both sides meet tile by tile (the table's own size); no list of a side's values is made.
     """
     cells = df.select(F.col(a).alias("_a"), F.col(b).alias("_b")).groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    xs = cells.select(F.col("_a").alias("_x_value")).distinct()
     if values_b is not None:
         cells = cells.filter(F.col("_b").isin(list(values_b)))
         listed = F.array(*[F.struct(F.lit(v).cast(df.schema[b].dataType).alias("v")) for v in values_b])
+        rows = xs.select("_x_value", F.explode(listed).alias("_y_value")).select("_x_value", F.col("_y_value.v").alias("_y_value"))
     else:
-        listed = cells.agg(F.collect_set(F.struct(F.col("_b").alias("v")))).scalar()
-    rows = df.select(F.col(a).alias("_x")).distinct().select("_x", F.explode(listed).alias("_y")).select("_x", F.col("_y.v").alias("_y"))
-    found = rows.join(cells, F.col("_x").eqNullSafe(F.col("_a")) & F.col("_y").eqNullSafe(F.col("_b")), "left")
-    return found.select(F.col("_x").alias(a), F.col("_y").alias(b), F.coalesce("_n", F.lit(0)).alias("n"))
+        rows = paired(xs, cells.select(F.col("_b").alias("_y_value")).distinct())
+    found = rows.join(cells, F.col("_x_value").eqNullSafe(F.col("_a")) & F.col("_y_value").eqNullSafe(F.col("_b")), "left")
+    return found.select(F.col("_x_value").alias(a), F.col("_y_value").alias(b), F.coalesce("_n", F.lit(0)).alias("n"))
 
 
 def fitted_line(df: DataFrame, y: str, x: str) -> DataFrame:

@@ -100,3 +100,22 @@ def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False, rs
     if approx:
         return df.agg(*[F.approx_count_distinct(c, rsd).alias(f"n_{c}") for c in cols])
     return df.agg(*[F.countDistinct(c).alias(f"n_{c}") for c in cols])
+
+
+#: Rows of either side in a tile of ``paired``.
+TILE_ROWS = 1000
+
+
+def paired(left: DataFrame, right: DataFrame, on: Column | None = None, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """Every row of one summary beside every row of the other (where ``on`` holds), as an equi-join of tiles.
+
+    For tables of one row a group or a class whose pairs are the result itself.  Each side is dealt into blocks of about
+    ``tile_rows`` by a hash of its rows; a row goes to the tiles of its block, so a pair meets once and a task holds tiles, never a whole side."""
+    def blocks(d: DataFrame) -> Column:
+        return d.select(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / tile_rows)).cast("long")).scalar()
+    n, m = blocks(left), blocks(right)
+    each = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), k - 1))
+    a = left.withColumn("_x", F.pmod(F.xxhash64(*left.columns), n)).withColumn("_y", each(m))
+    b = right.withColumn("_y_r", F.pmod(F.xxhash64(*right.columns), m)).withColumn("_x_r", each(n))
+    same = (F.col("_x") == F.col("_x_r")) & (F.col("_y") == F.col("_y_r"))
+    return a.join(b, same if on is None else same & on).drop("_x", "_y", "_x_r", "_y_r")

@@ -25,7 +25,7 @@ from ..operators.features import (drop_missing, fill_missing, handle_outliers, i
                                   interpolate_linear, log_gauss)
 from ..operators.ordered import rank_within, top_within
 from ..operators.splits import block_kfold, holdout_per_key
-from ..operators.stats import (boxplot_stats, count_of_counts, crosstab_long, fitted_line,
+from ..operators.stats import (boxplot_stats, count_of_counts, crosstab_long, fitted_line, holm_adjust,
                                pairwise_t_test)
 from ..operators.verbs import attach_global_stats, group_extremes, join_by, select_range
 from ..sources.tables import load_table, materialize, read_parquet
@@ -477,6 +477,17 @@ def pairwise_t_holm(spark, sf):
     return pairwise_t_test(_t(spark, sf, "customer"), "c_acctbal", "c_mktsegment", p_adjust="holm")
 
 
+@query("holm_steps", """
+WITH p AS (SELECT o_orderkey, o_totalprice * 1e-10 AS p FROM orders),
+r AS (SELECT *, row_number() OVER (ORDER BY p, o_orderkey) AS i, count(*) OVER () AS m FROM p WHERE p IS NOT NULL)
+SELECT o_orderkey, p, max(least(1.0, (m - i + 1) * p)) OVER (ORDER BY i) AS p_adj FROM r
+UNION ALL SELECT o_orderkey, p, NULL FROM p WHERE p IS NULL
+""")
+def holm_steps(spark, sf):
+    """G-01: Holm's step-down over one value a row of a whole table (a scaled price stands for the p-value)."""
+    return holm_adjust(_t(spark, sf, "orders").select("o_orderkey", (F.col("o_totalprice") * F.lit(1e-10)).alias("p")), "p", "p_adj")
+
+
 @query("boxplot_by_group", """
 WITH q AS (SELECT c_mktsegment, quantile_cont(c_acctbal, 0.25) AS q1, median(c_acctbal) AS median,
                   quantile_cont(c_acctbal, 0.75) AS q3 FROM customer WHERE c_acctbal IS NOT NULL GROUP BY 1),
