@@ -55,7 +55,8 @@ def build_filter(rules: DataFrame, bits_per_key: int = 16, max_bytes: int = 32 <
     """(filter words as (blocks, 8) uint64, label counts, path lengths) of the rule keys.
 
     Tasks set bits of their own rules and Spark ORs the blocks, so the driver receives
-    at most ``max_bytes`` whatever the number of rules."""
+    at most ``max_bytes`` whatever the number of rules, and two lists of numbers: no more
+    label counts than a host has, no more path lengths than the longest rule's."""
     n = rules.count()
     n_blocks = int(max(1, min(-(-n * bits_per_key // 512), max_bytes // 64)))
 
@@ -72,8 +73,8 @@ def build_filter(rules: DataFrame, bits_per_key: int = 16, max_bytes: int = 32 <
     table = np.zeros((n_blocks, 8), np.uint64)
     for r in bits.groupBy("block").agg(*[F.bit_or(f"w{i}") for i in range(8)]).toLocalIterator():
         table[r[0]] = np.array(r[1:], np.int64).view(np.uint64)
-    shapes = bits.select("labels", "plen").distinct().limit(10_000).collect()
-    return table, sorted({r[0] for r in shapes}), sorted({r[1] for r in shapes})
+    labels, lengths = (sorted(bits.select(c).distinct().toArrow().column(0).to_pylist()) for c in ("labels", "plen"))
+    return table, labels, lengths
 
 
 def filter_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url",

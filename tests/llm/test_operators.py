@@ -314,6 +314,15 @@ def _labelled(spark, clean, dirty):
             {i: y for i, _, y in rows})
 
 
+def test_url_rules_of_very_many_lengths(spark):
+    n = 10_400
+    rules = spark.range(1, n + 1).select(F.lit("org").alias("host"), F.expr("concat('/', repeat('p', int(id)), 'x')").alias("path"), F.lit("block").alias("verdict"))
+    sizes = [1, 2, 37, 5000, 9999, 10_000, 10_001, 10_200, n, n + 1]
+    pages = spark.createDataFrame([(k, "https://a.org/" + "p" * k + "x/y") for k in sizes], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.filter_urls(pages, rules).collect()}
+    assert got == {k: "block" if k <= n else "allow" for k in sizes}
+
+
 def test_classifiers_on_held_out_rows(spark):
     words = ["%c%c%c" % (97 + i % 7, 98 + i % 11, 99 + i % 13) for i in range(300)]
     docs, labels, truth = _labelled(spark, lambda r: " ".join(r.choice(words, 60)),
