@@ -1,17 +1,19 @@
 """Quality classifier by positive-unlabelled learning.
 
-Trusted positives are training documents labelled 1; the unlabelled sample is drawn
-from all documents outside the held-out fifth, whatever their label.  The class prior
-p is the share of label 1 among all labelled training rows.  A logistic model over
-text statistics minimises the non-negative unbiased risk
+Trusted positives are training documents labelled 1 (at most ``train_rows``, lowest id
+hashes); the unlabelled side is every document outside the held-out fifth, whatever
+its label.  The class prior p is the share of label 1 among all labelled training rows.
+A logistic model over text statistics minimises the non-negative unbiased risk
 
     p * R_pos(+1)  +  max(0, R_unl(-1) - p * R_pos(-1))
 
-with logistic loss; where the bracket turns negative, the step ascends it instead, so
-the flexible part cannot drive the estimated negative risk below zero.
+with logistic loss.  Mean, spread, gradient and curvature of the unlabelled side are
+sums that Spark takes over all its rows, one pass for a Newton step and one that tries
+shorter steps and steps along the edge of the bracket; the least risk among those with
+a bracket of zero or more wins, so no step drives the estimated negative risk below
+zero.  The driver holds the positives and a few hundred sums.
 
-Both samples are bounded (``train_rows`` rows each, lowest id hashes); statistics and
-scores cover every whole text.
+Statistics and scores cover every whole text.
 
 Edge cases: NULL and empty texts have all-zero statistics and a score like any other;
 rows are scored one for one; without positives (or unlabelled rows) every score is the prior, 0.5
@@ -77,25 +79,67 @@ def with_statistics(docs: DataFrame) -> DataFrame:
     return stored(docs.sparkSession, arrow_map(rows, measure, "doc_id long, held_out boolean, row long, f array<float>"), "statistics")
 
 
-def nn_pu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 1500, rate: float = 0.05, l2: float = 1e-4):
-    """(weights, bias) of the linear model with the least non-negative PU risk (Adam, full batches)."""
-    w, b = np.zeros(pos.shape[1]), 0.0
-    m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
-    sig = lambda x: 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-    for t in range(1, steps + 1):
-        gp, gu = pos @ w + b, unl @ w + b
-        # logistic loss of label +1: log(1 + e^-g), derivative -sig(-g); of label -1: log(1 + e^g), derivative sig(g)
-        neg_risk = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        dp, du = sig(gp) / len(gp), sig(gu) / len(gu)
-        if neg_risk >= 0:
-            cp, cu = prior * (dp - 1 / len(gp)) - prior * dp, du
-        else:                                       # undo the excess before anything else
-            cp, cu = prior * dp, -du
-        grad = np.append(pos.T @ cp + unl.T @ cu + l2 * w, cp.sum() + cu.sum())
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
-        step = rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-        w, b = w - step[:-1], b - step[-1]
-    return w, b
+def sums(stats: DataFrame, of, width: int) -> np.ndarray:
+    """The sum over all unlabelled rows of ``of`` (a matrix of statistics -> a vector of ``width`` sums)."""
+    def add(batches):
+        total = np.zeros(width)
+        for b in batches:
+            if b.num_rows:
+                total += of(_matrix(b.column(0)))
+        yield pa.RecordBatch.from_pydict({"place": np.arange(width), "v": total})
+    rows = arrow_map(stats.where("not held_out").select("f"), add, "place long, v double").groupBy("place").agg(F.sum("v").alias("v")).collect()
+    out = np.zeros(width)
+    for r in rows:                                   # one row a sum
+        out[r["place"]] = r["v"]
+    return out
+
+
+def _matrix(column) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, WIDTH).astype(float)
+
+
+def _sig(x):
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def nn_pu(pos: np.ndarray, sums_of, n: float, prior: float, steps: int = 25, l2: float = 1e-4) -> np.ndarray:
+    """The weights (bias last) with the least non-negative PU risk, by damped Newton steps.
+
+    ``pos``: positives, with a last column of ones; ``sums_of(of, width)``: sums over the ``n`` unlabelled rows."""
+    k = pos.shape[1]
+    w, lengths = np.zeros(k), 0.5 ** np.arange(8)
+    ridge = np.diag(np.append(np.full(k - 1, l2), 0.0))
+
+    def bracket(w, unl):
+        return unl - prior * np.logaddexp(0, pos @ w).mean()
+
+    def risk(w, unl):
+        return prior * np.logaddexp(0, -(pos @ w)).mean() + max(0.0, bracket(w, unl)) + w @ ridge @ w / 2
+
+    def newton_sums(w):
+        def of(x):
+            g = x @ w
+            s = _sig(g)
+            return np.concatenate([[np.logaddexp(0, g).sum()], x.T @ s, ((x * (s * (1 - s))[:, None]).T @ x).ravel()])
+        total = sums_of(of, 1 + k + k * k) / n
+        return total[0], total[1:1 + k], total[1 + k:].reshape(k, k)
+
+    for _ in range(steps):
+        unl, slope, bend = newton_sums(w)
+        curve = bend + ridge + 1e-6 * np.eye(k)
+        whole = slope - prior * pos.mean(0) + ridge @ w                # the losses of label +1 and -1 differ by the score itself
+        rise = slope - prior * (pos.T @ _sig(pos @ w)) / len(pos)      # of the bracket
+        down, across = np.linalg.solve(curve, np.column_stack([whole, rise])).T
+        # the Newton step, and the part of it that leaves the bracket as it is
+        ways = [-down, rise @ down / max(rise @ across, 1e-12) * across - down]
+        tries = np.concatenate([w + lengths[:, None] * way for way in ways])
+        found = sums_of(lambda x: np.logaddexp(0, x @ tries.T).sum(0), len(tries)) / n
+        risks = [risk(t, u) if bracket(t, u) >= 0 else np.inf for t, u in zip(tries, found)]
+        best = int(np.argmin(risks))
+        if not risks[best] < risk(w, unl) - 1e-7:
+            break
+        w = tries[best]
+    return w
 
 
 def classify(docs: DataFrame, labels: DataFrame, label_col: str = "quality", threshold: float = 0.3,
@@ -108,17 +152,20 @@ def classify(docs: DataFrame, labels: DataFrame, label_col: str = "quality", thr
     prior = 0.5 if prior is None else float(min(max(prior, 0.01), 0.99))
     trusted = hashed_sample(known.where("y = 1"), train_rows)
     pos = stats.join(F.broadcast(trusted), "doc_id").groupBy("doc_id").agg(F.min("f").alias("f")).select("f").toArrow()
-    unl = hashed_sample(stats.where("not held_out"), train_rows).select("f").toArrow()
-    pos, unl = (np.array(x.column(0).to_pylist(), float).reshape(-1, WIDTH) for x in (pos, unl))
+    pos = np.array(pos.column(0).to_pylist(), float).reshape(-1, WIDTH)
+    first = sums(stats, lambda x: np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)]), 1 + 2 * WIDTH)
+    n = first[0]
     mean, spread, w, bias = np.zeros(WIDTH), np.ones(WIDTH), np.zeros(WIDTH), float(np.log(prior / (1 - prior)))
-    if len(pos) and len(unl):
-        mean, spread = unl.mean(0), unl.std(0) + 1e-3
-        w, bias = nn_pu((pos - mean) / spread, (unl - mean) / spread, prior)
+    if len(pos) and n:
+        mean = first[1:1 + WIDTH] / n
+        spread = np.sqrt(np.maximum(first[1 + WIDTH:] / n - mean ** 2, 0)) + 1e-3
+        scaled = lambda x: np.column_stack([(x - mean) / spread, np.ones(len(x))])
+        fitted = nn_pu(scaled(pos), lambda of, width: sums(stats, lambda x: of(scaled(x)), width), n, prior)
+        w, bias = fitted[:-1], fitted[-1]
 
     def judge(batches):
         for b in batches:
-            f = b.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, WIDTH).astype(float)
-            s = 1 / (1 + np.exp(-np.clip(((f - mean) / spread) @ w + bias, -30, 30)))
+            s = _sig(((_matrix(b.column(3)) - mean) / spread) @ w + bias)
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(s), pa.array((s >= threshold).astype(np.int32))],
                                              ["doc_id", "held_out", "row", "score", "predicted"])
     out = arrow_map(stats, judge, "doc_id long, held_out boolean, row long, score double, predicted int")

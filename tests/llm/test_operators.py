@@ -346,3 +346,35 @@ def test_empty_tables(docs, run):
 def test_empty_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert ann.search(df, F.col("vec_id") > 0).count() == 0
+
+
+def test_quality_equals_plain_gradient_descent():
+    """Newton steps on sums against small gradient steps of the non-negative risk, row by row of the formula."""
+    rng = np.random.default_rng(3)
+    good = rng.random(600) < 0.6
+    x = np.column_stack([np.where(good, 1.0, -1.0) + rng.standard_normal(600), rng.standard_normal(600), np.ones(600)])
+    pos, prior = x[good][:150], 0.6
+    got = pu_quality.nn_pu(pos, lambda of, width: sum(of(part) for part in np.array_split(x, 7)), len(x), prior)
+
+    def risk(w):
+        soft = lambda v: np.logaddexp(0, v).mean()
+        return prior * soft(-(pos @ w)) + max(0, soft(x @ w) - prior * soft(pos @ w)) + 1e-4 * (w[:-1] @ w[:-1]) / 2
+
+    w = np.zeros(3)
+    for _ in range(4000):
+        p, u = 1 / (1 + np.exp(-(pos @ w))), 1 / (1 + np.exp(-(x @ w)))
+        inside = np.logaddexp(0, x @ w).mean() - prior * np.logaddexp(0, pos @ w).mean()
+        grad = prior * pos.T @ (p - 1) / len(pos)
+        if inside >= 0:
+            grad = grad + x.T @ u / len(x) - prior * pos.T @ p / len(pos)
+        w = w - 0.5 * (grad + 1e-4 * np.append(w[:-1], 0))
+    assert risk(got) <= risk(w) + 1e-6
+    assert got == pytest.approx(w, abs=0.02)
+
+
+def test_quality_never_leaves_a_negative_bracket():
+    """One positive far out: the unbiased risk would drive the estimated risk of the negatives below zero."""
+    x = np.column_stack([np.r_[np.linspace(-1, 1, 40), 30.0], np.ones(41)])
+    w = pu_quality.nn_pu(x[-1:], lambda of, width: of(x), len(x), 0.5)
+    assert np.isfinite(w).all()
+    assert np.logaddexp(0, x @ w).mean() - 0.5 * np.logaddexp(0, x[-1:] @ w).mean() >= 0
