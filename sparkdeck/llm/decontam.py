@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -123,13 +124,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
 
     def automaton(part: int):
         rows = [(r["window"].encode().split(b" "), list(r["items"])) for r in dealt.where(F.col("part") == part).collect()]
-        return spark.sparkContext.broadcast(rows)
+        return spark.sparkContext.broadcast((uuid.uuid4().hex, rows))
 
     def matcher(sent) -> Matcher:
-        key = (os.getpid(), sent.id if hasattr(sent, "id") else id(sent), len(sent.value))
+        name, rows = sent.value                      # the name tells automata apart in a worker that is used again
+        key = (os.getpid(), name)
         if key not in _BUILT:
             _BUILT.clear()
-            _BUILT[key] = Matcher(sent.value)
+            _BUILT[key] = Matcher(rows)
         return _BUILT[key]
 
     if parts == 1:
