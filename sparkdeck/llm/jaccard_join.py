@@ -30,7 +30,8 @@ eight bytes a part; buckets are sized by the corpus.
 
 Edge cases: NULL, empty and blank texts have no set and link with nothing; a text of
 fewer than ``size`` words has one shingle, the whole sequence; repeated documents are
-linked by their equal sets; NULL ids keep a row; an empty table gives no row.
+linked by their equal sets; rows with a NULL id link like all others and get the smallest id of
+their component (NULL if it has none); an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -95,7 +96,7 @@ def bit_sketch(h: np.ndarray) -> np.ndarray:
 
 
 def _texts(docs, id_col, text_col):
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
 
 
 def _print(h: np.ndarray) -> int:
@@ -105,14 +106,15 @@ def _print(h: np.ndarray) -> int:
 
 
 def _measure(texts: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n, fp)."""
+    """(doc_id, n, fp, row)."""
     def measure(batches):
         for b in batches:
             sets = [shingle_set(t, size) for t in raw(b.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(h) for h in sets], pa.int64()), pa.array([_print(h) if len(h) else None for h in sets], pa.int64())],
-                ["doc_id", "n", "fp"])
-    return arrow_map(texts, measure, "doc_id long, n long, fp long")
+                [b.column(0), pa.array([len(h) for h in sets], pa.int64()), pa.array([_print(h) if len(h) else None for h in sets], pa.int64()),
+                 b.column(2)],
+                ["doc_id", "n", "fp", "row"])
+    return arrow_map(texts, measure, "doc_id long, n long, fp long, row long")
 
 
 def _deal(texts: DataFrame, size: int, buckets: int, seed: int) -> DataFrame:
@@ -255,8 +257,8 @@ def link(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str =
     kept = stored(spark, kept.distinct(), "rare")
     several = kept.groupBy("key").agg(F.count("*").alias("g")).where("g > 1").select("key")
     kept = stored(spark, kept.join(several, "key"), "groups")
-    wanted = kept.select("fp").distinct().join(meta.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "fp")
-    wanted = stored(spark, wanted.dropna(), "wanted")
+    wanted = kept.select("fp").distinct().join(meta.where("fp is not null").groupBy("fp").agg(F.min("row").alias("row")), "fp")
+    wanted = stored(spark, wanted, "wanted")        # by a hash of id and text: rows without an id have one too
     small = wanted.count() <= small_ids              # 16 bytes a row
     ids = F.broadcast(wanted) if small else wanted
 
@@ -267,7 +269,7 @@ def link(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str =
             words = np.array([bit_sketch(sets[i]) for i in same], np.int64).reshape(-1, _WORDS)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(same, pa.int64())), pa.array([sets[i].astype("<u8").tobytes() for i in same], pa.binary()),
                                               *[pa.array(np.ascontiguousarray(w)) for w in words.T]], ["fp", "h", *_SKETCH])
-    sets = arrow_map(texts.join(ids, "doc_id").select("fp", "text"), hashes, "fp long, h binary, " + ", ".join(f"{c} long" for c in _SKETCH))
+    sets = arrow_map(texts.join(ids, "row").select("fp", "text"), hashes, "fp long, h binary, " + ", ".join(f"{c} long" for c in _SKETCH))
     sets = stored(spark, sets.dropDuplicates(["fp"]), "shingles")
     about = sets.select(F.col("fp").alias("node"), (F.octet_length("h") / 8).alias("n"), *_SKETCH)
     first = _with_pivot(kept, F.col("fp"))

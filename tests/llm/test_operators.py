@@ -378,3 +378,22 @@ def test_quality_never_leaves_a_negative_bracket():
     w = pu_quality.nn_pu(x[-1:], lambda of, width: of(x), len(x), 0.5)
     assert np.isfinite(w).all()
     assert np.logaddexp(0, x @ w).mean() - 0.5 * np.logaddexp(0, x[-1:] @ w).mean() >= 0
+
+
+def test_rows_without_an_id_link_and_bridge(spark):
+    words = ["w%d" % i for i in range(200)]
+
+    def text(*changed):
+        return " ".join("x%d" % i if i in changed else w for i, w in enumerate(words))
+    # 1 and 2 differ by six words and the row without an id by three from each; at five-word shingles only it links them
+    rows = [(1, text(10, 50, 90)), (None, text()), (2, text(130, 160, 190)), (3, "quite another text of more than five words"), (None, "and one more without any link at all")]
+    got = {(r.doc_id, r.n_shingles): r.component_id
+           for r in jaccard_join.link(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()}
+    assert got == {(1, 196): 1, (None, 196): 1, (2, 196): 1, (3, 4): 3, (None, 4): None}
+
+
+def test_second_benchmark_of_equal_size_is_not_mistaken(spark):
+    docs = spark.createDataFrame([(1, "alpha beta gamma"), (2, "delta epsilon zeta")], "doc_id long, text string").coalesce(1)
+    for item, hit in (("alpha beta", 1), ("delta epsilon", 2), ("alpha beta", 1)):
+        items = spark.createDataFrame([(7, item)], "item_id long, text string")
+        assert [r.doc_id for r in decontam.decontaminate(docs, items, window=2).where("contaminated").collect()] == [hit]
