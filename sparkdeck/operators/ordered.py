@@ -57,15 +57,31 @@ DEFAULT_TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 MAX_SCAN_PARTITIONS = 200_000
 
 
+def _estimated_bytes(plan) -> int:
+    """The optimiser's size of a plan, but a join counts as the sum of its sides.
+
+    Without column statistics the optimiser takes a join for the product of its sides: rows joined to a table of their own
+    pieces would grow with the square of the input."""
+    def own(p) -> int:
+        return int(str(p.stats().sizeInBytes()))
+    below = [plan.children().apply(i) for i in range(plan.children().size())]
+    if len(below) != 1:
+        return sum(map(_estimated_bytes, below)) if below else own(plan)
+    child = _estimated_bytes(below[0])
+    if plan.nodeName().endswith("Limit"):
+        return min(child, own(plan))
+    return child * own(plan) // max(1, own(below[0]))
+
+
 def scan_partitions(df: DataFrame) -> int:
     """Partition count for the range exchange.
 
     The count must be explicit (AQE leaves a numbered repartition alone, which keeps partition ids the same for both
-    readers), so it is sized from the optimiser's size estimate: about 256 MB a partition, never fewer than
+    readers), so it is sized from the optimiser's size estimates: about 256 MB a partition, never fewer than
     ``spark.sql.shuffle.partitions``.
     """
     spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = _estimated_bytes(df._jdf.queryExecution().optimizedPlan())
     target = int(spark.conf.get(TARGET_PARTITION_BYTES_CONF, str(DEFAULT_TARGET_PARTITION_BYTES)))
     return int(min(MAX_SCAN_PARTITIONS, max(shuffle_partitions(spark), -(-size // target))))
 

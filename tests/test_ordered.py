@@ -220,3 +220,19 @@ def test_no_whole_table_window(spark):
         for line in text.splitlines():
             if re.search(r"\bWindow \[", line):
                 assert "[_pid" in line or re.search(r"\], \[\w+#\d+", line), (name, line)
+
+
+def test_scan_partitions_of_a_join_grow_with_the_sum_of_its_sides(spark):
+    import re
+
+    from sparkdeck.operators.ordered import scan_partitions, shuffle_partitions
+    from sparkdeck.operators.splits import holdout_per_key
+    rows = spark.range(1_000_000)
+    assert scan_partitions(rows.join(rows.withColumnRenamed("id", "other"), F.col("id") == F.col("other"))) == shuffle_partitions(spark)
+    assert scan_partitions(spark.range(1 << 30)) == 32                  # 8 GB
+    small = spark.range(20_000).select(F.col("id").alias("event"), (F.col("id") % 100).alias("user"))
+    capped = holdout_per_key(small, "user", ["event"], 1, 10, max_test=500)
+    # the second numbering reads joined rows
+    counts = [int(x) for x in re.findall(r"RepartitionByExpression \[.*\], (\d+)", capped._jdf.queryExecution().optimizedPlan().toString())]
+    assert counts and set(counts) == {shuffle_partitions(spark)}
+    assert capped.where("split = 'test'").agg(F.count("*"), F.max("event")).first() == (500, 499)
