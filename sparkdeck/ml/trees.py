@@ -127,11 +127,17 @@ class Loss:
             return np.full((len(m.n), 1), round(self.start[0] * self.scale), np.int64)
         return np.tile(np.array(self.start, np.float64), (len(m.n), 1))
 
-    def gradients(self, m: Matrix, score: np.ndarray, c: int) -> tuple[np.ndarray, np.ndarray]:
+    def shares(self, score: np.ndarray) -> np.ndarray:
+        """What the gradients of all classes are made of: a number's score, or the classes' probabilities."""
         if self.k == 1:
-            return m.s - m.n * score[:, 0], m.n
+            return score
         e = np.exp(score - score.max(axis=1, keepdims=True))
-        r = (m.cls == c) - e[:, c] / e.sum(axis=1)
+        return e / e.sum(axis=1, keepdims=True)
+
+    def gradients(self, m: Matrix, share: np.ndarray, c: int) -> tuple[np.ndarray, np.ndarray]:
+        if self.k == 1:
+            return m.s - m.n * share[:, 0], m.n
+        r = (m.cls == c) - share[:, c]
         a = np.abs(r)
         return m.n * np.rint(r * self.scale).astype(np.int64), m.n * np.rint(a * (1 - a) * self.scale).astype(np.int64)
 
@@ -153,10 +159,12 @@ def histogram(m: Matrix, node: np.ndarray, low: int, count: int, wide: int, g: n
     d = m.bins.shape[1]
     out = np.zeros((count, d, wide, 3))
     at = (node[use] - low) * wide
+    bins = np.ascontiguousarray(m.bins[use].T)
+    sums = [v[use].astype(np.float64) for v in (m.n, g, h)]
     for j in range(d):
-        where = at + m.bins[use, j]
-        for i, v in enumerate((m.n, g, h)):       # integers below 2^53: exact in any order
-            out[:, j, :, i] = np.bincount(where, v[use], count * wide).reshape(count, wide)
+        where = at + bins[j]
+        for i, v in enumerate(sums):       # integers below 2^53: exact in any order
+            out[:, j, :, i] = np.bincount(where, v, count * wide).reshape(count, wide)
     return out
 
 
@@ -202,9 +210,9 @@ def grow_in_task(m: Matrix, spec: Spec, loss: Loss, wide: int) -> list[list[Tree
     """All rounds of one model over broadcast cells."""
     score, rounds = loss.begin(m), []
     for t in range(spec.ntrees):
-        trees = []
+        trees, share = [], loss.shares(score)
         for c in range(loss.k):
-            g, h = loss.gradients(m, score, c)
+            g, h = loss.gradients(m, share, c)
             tree, node, low, taken = Tree(), np.zeros(len(m.n), np.int64), 0, folds_of(spec, t, c)[m.fold]
             for level in range(spec.max_depth):
                 count = len(tree.feature) - low
@@ -219,8 +227,10 @@ def grow_in_task(m: Matrix, spec: Spec, loss: Loss, wide: int) -> list[list[Tree
     return rounds
 
 
-def grow_by_level(table: DataFrame, d: int, specs: Sequence[Spec], loss: Loss, wide: int, block_cells: int, checkpoint_every: int = 10) -> list[list[list[Tree]]]:
-    """All rounds of all models, a level of all trees by one aggregate over the blocks."""
+def grow_by_level(table: DataFrame, d: int, specs: Sequence[Spec], loss: Loss, wide: int, block_cells: int, many: int, checkpoint_every: int = 10) -> list[list[list[Tree]]]:
+    """All rounds of all models, a level of all trees by one aggregate over the blocks of ``many`` cells.
+
+    Cells are few bytes for the work they make, so they are dealt to every core by number: by size, Spark would put them into one task."""
     spark = table.sparkSession
     ensure_checkpoint_dir(spark)
     names = ["bins", "fold", "cls", "n", "s", "score"]
@@ -241,7 +251,8 @@ def grow_by_level(table: DataFrame, d: int, specs: Sequence[Spec], loss: Loss, w
                 m = Matrix.of(b, d)
                 yield packed(m, np.stack([loss.begin(m)] * len(specs)))
     schema = ", ".join(f"{c} binary" for c in names)
-    data = table.mapInArrow(first, schema).persist(StorageLevel.MEMORY_AND_DISK)
+    dealt = table.repartition(max(spark.sparkContext.defaultParallelism, -(-many // block_cells)), "key", "fold", "cls")
+    data, old = dealt.mapInArrow(first, schema).persist(StorageLevel.MEMORY_AND_DISK), None
     out: list[list[list[Tree]]] = [[] for _ in specs]
     for t in range(max((s.ntrees for s in specs), default=0)):
         live = [i for i, s in enumerate(specs) if t < s.ntrees]
@@ -256,14 +267,18 @@ def grow_by_level(table: DataFrame, d: int, specs: Sequence[Spec], loss: Loss, w
                 for b in batches:
                     for r in range(b.num_rows):
                         m, score = unpack(b, r)
+                        share = {i: loss.shares(score[i]) for i in {i for i, _ in todo}}
                         for (i, c), n in todo.items():
-                            hist = histogram(m, trees[i, c].leaf(m.bins, level), low[i, c], n, wide, *loss.gradients(m, score[i], c), folds_of(specs[i], t, c)[m.fold])
+                            hist = histogram(m, trees[i, c].leaf(m.bins, level), low[i, c], n, wide, *loss.gradients(m, share[i], c), folds_of(specs[i], t, c)[m.fold])
                             at = np.flatnonzero(hist[..., 0])
                             flat = hist.reshape(-1, 3)[at].astype(np.int64)
                             yield pa.RecordBatch.from_pydict({"slot": np.full(len(at), i * loss.k + c, np.int32), "at": at, "n": flat[:, 0], "g": flat[:, 1], "h": flat[:, 2]})
             # a row for each open node, feature and bin: model-sized
             got = data.mapInArrow(count, "slot int, at long, n long, g long, h long").groupBy("slot", "at") \
                 .agg(F.sum("n"), F.sum("g"), F.sum("h")).toArrow()
+            if old is not None:          # the level has stored this round's scores
+                old.unpersist()
+                old = None
             slot, at = got.column(0).to_numpy(), got.column(1).to_numpy()
             sums = np.stack([got.column(j).to_numpy() for j in (2, 3, 4)], axis=1).astype(np.float64)
             for (i, c), n in todo.items():
@@ -286,12 +301,14 @@ def grow_by_level(table: DataFrame, d: int, specs: Sequence[Spec], loss: Loss, w
             new = new.checkpoint(eager=True)
         else:
             new = new.persist(StorageLevel.MEMORY_AND_DISK)
-            new.count()
-        data.unpersist()
-        data = new
+        if old is not None:
+            old.unpersist()
+        data, old = new, data
         for i in live:
             out[i].append([trees[i, c] for c in range(loss.k)])
     data.unpersist()
+    if old is not None:
+        old.unpersist()
     return out
 
 
@@ -388,7 +405,8 @@ def fit_boosters(train: DataFrame, y: str, xs: Sequence[str], specs: Sequence[Sp
     table = cells(train, xs, target, cls, edges, scale if labels is None else 1.0).select("key", "fold", "cls", "n", "s").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         depth = max((s.max_depth for s in specs), default=0)
-        if table.count() <= few_cells:
+        many = table.count()
+        if many <= few_cells:
             # sorted: the same ensembles whatever the partitions
             sent = spark.sparkContext.broadcast(Matrix.of(table.sort("key", "fold", "cls").toArrow(), len(xs)))
             todo = list(specs)
@@ -408,7 +426,7 @@ def fit_boosters(train: DataFrame, y: str, xs: Sequence[str], specs: Sequence[Sp
             found = {r.i: Ensemble(xs, edges, loss.start, labels, scale if labels is None else 1.0, todo[r.i].max_depth, **{
                 c: np.frombuffer(r[c], k) if c != "roots" else np.frombuffer(r[c], k).reshape(-1, loss.k) for c, k in kinds.items()}) for r in rows}
             return [found[i] for i in range(len(todo))]
-        rounds = grow_by_level(table, len(xs), specs, loss, wide, block_cells)
+        rounds = grow_by_level(table, len(xs), specs, loss, wide, block_cells, many)
         return [Ensemble.of(xs, edges, loss, labels, s.max_depth, r) for s, r in zip(specs, rounds)]
     finally:
         table.unpersist()

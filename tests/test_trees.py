@@ -78,3 +78,20 @@ def test_stop_rule_by_model_number(table):
 def test_empty_training(table):
     model = fit_regression_boost(table.limit(0), "y", ["a", "b"], ntrees=2)
     assert [r.predict for r in model.transform(table.limit(3)).collect()] == [0.0] * 3
+
+
+def test_levels_run_on_every_core(spark):
+    """Few bytes of cells are much work: by size Spark would put them all into one task."""
+    sc = spark.sparkContext
+    table = spark.range(400).select((F.col("id") % 20).cast("double").alias("a"), F.floor(F.col("id") / 20).cast("double").alias("b"),
+                                    F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("k")).coalesce(1)
+    sc.setJobGroup("levels", "levels")
+    try:
+        many = trees.fit_boosters(table, "k", ["a", "b"], [trees.Spec(ntrees=3, max_depth=2)], labels=["x", "y"], few_cells=-1)
+        status = sc.statusTracker()
+        tasks = [i.numTasks for j in status.getJobIdsForGroup("levels") for k in status.getJobInfo(j).stageIds if (i := status.getStageInfo(k))]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert max(tasks) >= sc.defaultParallelism
+    few = trees.fit_boosters(table, "k", ["a", "b"], [trees.Spec(ntrees=3, max_depth=2)], labels=["x", "y"])
+    assert all((getattr(many[0], c) == getattr(few[0], c)).all() for c in ("roots", "feature", "cut", "left", "step"))
