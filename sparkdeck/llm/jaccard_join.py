@@ -230,6 +230,12 @@ def _unsettled(kept: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(mixed, "key")
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """One key of those with the same members: texts around one passage meet once, not at each of its shingles."""
+    members = rows.groupBy("key").agg(F.count("*").alias("many"), F.bit_xor(F.xxhash64("fp")).alias("x"), F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("y"))
+    return rows.join(members.groupBy("many", "x", "y").agg(F.min("key").alias("key")).select("key"), "key")
+
+
 def _with_pivot(rows: DataFrame, order) -> DataFrame:
     return rows.join(rows.groupBy("key").agg(F.min_by("fp", order).alias("pivot")), "key").select("key", "fp", "pivot")
 
@@ -256,7 +262,7 @@ def link(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str =
     # a key that only one set still holds pairs nothing
     kept = stored(spark, kept.distinct(), "rare")
     several = kept.groupBy("key").agg(F.count("*").alias("g")).where("g > 1").select("key")
-    kept = stored(spark, kept.join(several, "key"), "groups")
+    kept = stored(spark, _once(kept.join(several, "key")), "groups")
     wanted = kept.select("fp").distinct().join(meta.where("fp is not null").groupBy("fp").agg(F.min("row").alias("row")), "fp")
     wanted = stored(spark, wanted, "wanted")        # by a hash of id and text: rows without an id have one too
     small = wanted.count() <= small_ids              # 16 bytes a row
@@ -283,7 +289,7 @@ def link(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str =
     labels = components(more.where("linked").select("a", "b"), labels)
     # what is left: members of different components.  The Jaccard distance is a metric, so two sets whose
     # distances from a common pivot differ by more than a quarter cannot link, nor sets of unlike size
-    left = _unsettled(groups, labels)
+    left = _once(_unsettled(groups, labels))
     far = second.select("key", "fp", F.least("fp", "pivot").alias("a"), F.greatest("fp", "pivot").alias("b")).join(tested, ["a", "b"], "left") \
         .select("key", "fp", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("dist")).alias("d"))
     left = left.join(far, ["key", "fp"], "left")

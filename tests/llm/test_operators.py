@@ -139,6 +139,12 @@ def test_jaccard_components(docs, rows):
     assert _sorted(map(tuple, jaccard_join.link(docs).collect())) == _sorted(_components(rows))
 
 
+def test_jaccard_groups_with_the_same_members_meet_once(spark):
+    rows = [(k, f) for k, group in enumerate([(1, 2, 3), (1, 2), (3, 2, 1), (4, 5), (1, 2)]) for f in group]
+    got = jaccard_join._once(spark.createDataFrame(rows, "key long, fp long").repartition(3)).collect()
+    assert sorted(map(tuple, got)) == [(0, 1), (0, 2), (0, 3), (1, 1), (1, 2), (3, 4), (3, 5)]
+
+
 def test_jaccard_outsiders_close_to_a_group(spark):
     """Copies with ever more edits, in two groups that share a passage, near and beyond the limit."""
     rng = np.random.default_rng(8)
