@@ -15,15 +15,19 @@ parts at least M - t are shared, so a set needs only its t + 1 rarest.  Parts se
 no other set count as rarest; a document without near-duplicates has more than t of
 those and leaves at once.
 
-Sets that remain are compared exactly.  Within the group of a part, members are first
-compared with one pivot.  Where that leaves different components (short texts around
-the same passage), the sets of these groups are joined once more by their rarest single
-shingles, again with a pivot first; last, members of different components are compared
-if their distances from the pivot allow a link (the Jaccard distance obeys the triangle
-inequality) and their bit sketches do (the parities of the shingle counts of 512 parts:
-the Hamming distance of two is at most the symmetric difference).  Members of a group's
-largest component never meet one another there.  So every pair that shares a part is
-compared, known to be connected or known not to link.  Equal sets count as one throughout and are never paired.
+Sets that remain are compared exactly, where their sizes and bit sketches allow a link
+(the parities of the shingle counts of 2048 parts: the Hamming distance of two is at most
+the symmetric difference; folded to 512 parts where many rows carry them).  Within the group of a part, members are first compared with
+one pivot.  Where that leaves different components (short texts around the same passage),
+the sets of these groups are joined once more by their rarest single shingles, again with
+a pivot first; last, members of different components are compared.  There a shingle's place
+counts: all sets order their shingles alike (rare first), so before the first one that two
+share, at places i and j, all i - 1 and j - 1 differ, and a link allows 7 (i + j - 2) <= a + b.
+Copies of one text with edits of their own do not meet at all if these are too many.  Two sets
+meet at the first shingle that they share, not at those that follow: a row carries its set's
+last few shingles before, and where one of them is shared the two have met.  Members of a group's largest component never meet one another there.  So
+every pair that shares a part is compared, known to be connected or known not to link.
+Equal sets count as one throughout and are never paired.
 
 Sketch parts travel as binary rows, one for each batch and bucket, so the exchange has
 eight bytes a part; buckets are sized by the corpus.
@@ -37,6 +41,8 @@ their component (NULL if it has none); an empty table gives no row.
 from __future__ import annotations
 
 import os
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -52,13 +58,14 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _HASH: dict[int, WordHash] = {}
 #: Sets under 2^SMALL shingles use every shingle as a part of its own.
 SMALL = 6
-#: Bytes of all remaining sets up to which they are broadcast to the comparisons.
-SMALL_SETS = 32 << 20
 #: Bits of a packed entry that number the set within its batch; the rest is the part's key.
 _SLOT = 14
-#: 64-bit words of a set's bit sketch, and their columns.
-_WORDS = 8
+#: 64-bit words of a set's bit sketch, and their columns; those of the sketch folded to a quarter.
+_WORDS = 32
 _SKETCH = [f"s{i}" for i in range(_WORDS)]
+_FOLDED = _SKETCH[:_WORDS // 4]
+#: Shingles before its own that a row of the last join carries.
+_BEFORE = 8
 
 
 def shingle_set(text: bytes | None, size: int) -> np.ndarray:
@@ -185,29 +192,47 @@ def _repeated(rows: pa.Table) -> pa.Table:
                      "need": pa.array(side[at[keep], 2].astype(np.int32)), "freq": pa.array(freq[keep].astype(np.int64))})
 
 
+def _may_link(of: str, other: str, words: list[str]):
+    """Whether sizes and bit sketches of two sets (their columns end so) allow a link."""
+    apart = reduce(add, (F.bit_count(F.col(c + of).bitwiseXOR(F.col(c + other))) for c in words))
+    n, m = F.col("n" + of), F.col("n" + other)
+    return (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * apart <= n + m)
+
+
+def _folded(about: DataFrame) -> DataFrame:
+    """The sketches with the parts of equal remainders as one: parities add up."""
+    step = len(_FOLDED)
+    fold = [reduce(lambda x, y: x.bitwiseXOR(y), [F.col(c) for c in _SKETCH[i::step]]).alias(_FOLDED[i]) for i in range(step)]
+    return about.select("node", *fold)
+
+
+def _likely(pairs: DataFrame, about: DataFrame) -> DataFrame:
+    """The pairs (a, b) that may link."""
+    for side in "ab":
+        pairs = pairs.join(about.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", *_SKETCH)]), side)
+    return pairs.where(_may_link("_a", "_b", _SKETCH)).select("a", "b")
+
+
 def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, dist, linked) of the pairs, by their whole sets."""
-    size = sets.agg(F.sum(F.octet_length("h"))).first()[0] or 0
-    sets = F.broadcast(sets) if size <= SMALL_SETS else sets     # checked; beyond it both sides are shuffled
-    a = sets.select(F.col("fp").alias("a"), F.col("h").alias("ha"))
-    b = sets.select(F.col("fp").alias("b"), F.col("h").alias("hb"))
+    """(a, b, linked) of the pairs, by their whole sets."""
+    pairs = stored(sets.sparkSession, pairs, "pairs")
+    # only the sets asked for travel, by one plan at every size
+    a, b = (sets.join(pairs.select(F.col(c).alias("fp")).distinct(), "fp", "left_semi").select(F.col("fp").alias(c), F.col("h").alias("h" + c)) for c in "ab")
 
     def check(batches):
         for batch in batches:
-            dist, linked = [], []
+            linked = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                union = len(x) + len(y) - both
-                dist.append(1 - both / union)
-                linked.append(100 * both >= 75 * union)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(dist, pa.float64()), pa.array(linked, pa.bool_())],
-                                             ["a", "b", "dist", "linked"])
-    return arrow_map(pairs.join(a, "a").join(b, "b").select("a", "b", "ha", "hb"), check, "a long, b long, dist double, linked boolean")
+                linked.append(100 * both >= 75 * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
+    met = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").select("a", "b", "ha", "hb")
+    return arrow_map(met, check, "a long, b long, linked boolean")
 
 
 def _prefixes(fps: DataFrame, sets: DataFrame) -> DataFrame:
-    """(key, fp): each set's rarest shingles, as many as two linked sets must share one of.
+    """(key, fp, n, nth): each set's rarest shingles, as many as two linked sets must share one of, with their places.
 
     Of n shingles at least three quarters are in any partner, so of any n / 4 + 1 one is; taken
     in the same order (rare first) by all sets, partners share one within theirs."""
@@ -215,33 +240,52 @@ def _prefixes(fps: DataFrame, sets: DataFrame) -> DataFrame:
         for b in batches:
             for fp, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 h = np.frombuffer(h, "<i8")
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), fp)), pa.array(np.full(len(h), len(h) - -(-3 * len(h) // 4) + 1))],
-                                                 ["key", "fp", "first"])
-    rows = stored(fps.sparkSession, arrow_map(sets.join(fps, "fp").select("fp", "h"), single, "key long, fp long, first long"), "singles")
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), fp)), pa.array(np.full(len(h), len(h)))], ["key", "fp", "n"])
+    rows = stored(fps.sparkSession, arrow_map(sets.join(fps, "fp").select("fp", "h"), single, "key long, fp long, n long"), "singles")
     often = rows.groupBy("key").agg(F.count("*").alias("freq"))
     nth = F.row_number().over(Window.partitionBy("fp").orderBy("freq", "key"))
-    return rows.join(often, "key").withColumn("nth", nth).where("nth <= first and freq > 1").select("key", "fp")
+    return rows.join(often, "key").withColumn("nth", nth).where("nth <= n div 4 + 1 and freq > 1").select("key", "fp", "n", "nth")
 
 
 def _unsettled(kept: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows (key, fp, label) of the groups whose members have different components."""
-    rows = kept.select("key", "fp").join(labels, kept.fp == labels.node, "left").select("key", "fp", F.coalesce("label", "fp").alias("label"))
+    """Rows of the groups whose members have different components, with their label."""
+    rows = kept.join(labels, kept.fp == labels.node, "left").select(*kept.columns, F.coalesce("label", "fp").alias("label"))
     mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
     return rows.join(mixed, "key")
 
 
 def _once(rows: DataFrame) -> DataFrame:
-    """One key of those with the same members: texts around one passage meet once, not at each of its shingles."""
-    members = rows.groupBy("key").agg(F.count("*").alias("many"), F.bit_xor(F.xxhash64("fp")).alias("x"), F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("y"))
-    return rows.join(members.groupBy("many", "x", "y").agg(F.min("key").alias("key")).select("key"), "key")
+    """One key of those with the same members: texts around one passage meet once, not at each of its shingles.
 
+    Of shingles it is the first in the order of places, so it is the first of them in every member."""
+    place = F.sum("nth") if "nth" in rows.columns else F.lit(0)
+    members = rows.groupBy("key").agg(F.count("*").alias("many"), F.bit_xor(F.xxhash64("fp")).alias("x"), F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("y"),
+                                      place.alias("place"))
+    return rows.join(members.groupBy("many", "x", "y").agg(F.min_by("key", F.struct("place", "key")).alias("key")).select("key"), "key")
 
-def _with_pivot(rows: DataFrame, order) -> DataFrame:
-    return rows.join(rows.groupBy("key").agg(F.min_by("fp", order).alias("pivot")), "key").select("key", "fp", "pivot")
 
+def _to_pivot(rows: DataFrame, order) -> DataFrame:
+    """Pairs (a, b) of a group's members with its first by ``order``, but for members known to be connected with it."""
+    label = "label" if "label" in rows.columns else "fp"
+    pivots = rows.groupBy("key").agg(F.min_by(F.struct(F.col("fp").alias("pivot"), F.col(label).alias("known")), order).alias("p")).select("key", "p.*")
+    return rows.join(pivots, "key").where((F.col("fp") != F.col("pivot")) & (F.col(label) != F.col("known"))) \
+        .select(F.least("fp", "pivot").alias("a"), F.greatest("fp", "pivot").alias("b")).distinct()
 
-def _pairs(pivoted: DataFrame) -> DataFrame:
-    return pivoted.where("fp <> pivot").select(F.least("fp", "pivot").alias("a"), F.greatest("fp", "pivot").alias("b")).distinct()
+
+def _candidates(left: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of different components that their places, sizes and sketches allow to link.
+
+    ``left``: key, fp, label, n, nth, main (the group's largest component) and folded bit sketch.  Rows outside the largest
+    component meet the others, and it."""
+    before = Window.partitionBy("fp").orderBy("nth").rowsBetween(-_BEFORE, -1)
+    left = left.withColumn("before", F.collect_list("key").over(before))
+    one, two = (left.select("key", "main", *[F.col(c).alias(c + e) for c in ("fp", "label", "n", "nth", "before", *_FOLDED)]) for e in ("_a", "_b"))
+    one = one.where("label_a <> main").drop("main")
+    once = (F.col("label_b") == F.col("main")) | (F.col("fp_a") < F.col("fp_b"))
+    near = 7 * (F.col("nth_a") + F.col("nth_b") - 2) <= F.col("n_a") + F.col("n_b")
+    first = ~F.arrays_overlap("before_a", "before_b")
+    return one.join(two, (one.key == two.key) & (F.col("label_a") != F.col("label_b")) & once & near & _may_link("_a", "_b", _FOLDED) & first) \
+        .select(F.least("fp_a", "fp_b").alias("a"), F.greatest("fp_a", "fp_b").alias("b"))
 
 
 def link(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text", bucket_parts: int = 1_500_000,
@@ -260,7 +304,7 @@ def link(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str =
     kept = (found.withColumn("r", F.count("*").over(mine)).withColumn("nth", F.row_number().over(mine.orderBy("freq", "key")))
             .where(F.col("nth") <= F.col("r") + F.col("need")).select("key", "fp"))
     # a key that only one set still holds pairs nothing
-    kept = stored(spark, kept.distinct(), "rare")
+    kept = stored(spark, kept, "rare")
     several = kept.groupBy("key").agg(F.count("*").alias("g")).where("g > 1").select("key")
     kept = stored(spark, _once(kept.join(several, "key")), "groups")
     wanted = kept.select("fp").distinct().join(meta.where("fp is not null").groupBy("fp").agg(F.min("row").alias("row")), "fp")
@@ -273,39 +317,27 @@ def link(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str =
             sets = [shingle_set(t, size) for t in raw(b.column(1))]
             same = [i for i, h in enumerate(sets) if len(h) and _print(h) == b.column(0)[i].as_py()]
             words = np.array([bit_sketch(sets[i]) for i in same], np.int64).reshape(-1, _WORDS)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(same, pa.int64())), pa.array([sets[i].astype("<u8").tobytes() for i in same], pa.binary()),
-                                              *[pa.array(np.ascontiguousarray(w)) for w in words.T]], ["fp", "h", *_SKETCH])
-    sets = arrow_map(texts.join(ids, "row").select("fp", "text"), hashes, "fp long, h binary, " + ", ".join(f"{c} long" for c in _SKETCH))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(same, pa.int64())), pa.array([len(sets[i]) for i in same], pa.int64()),
+                                              pa.array([sets[i].astype("<u8").tobytes() for i in same], pa.binary()),
+                                              *[pa.array(np.ascontiguousarray(w)) for w in words.T]], ["fp", "n", "h", *_SKETCH])
+    sets = arrow_map(texts.join(ids, "row").select("fp", "text"), hashes, "fp long, n long, h binary, " + ", ".join(f"{c} long" for c in _SKETCH))
     sets = stored(spark, sets.dropDuplicates(["fp"]), "shingles")
-    about = sets.select(F.col("fp").alias("node"), (F.octet_length("h") / 8).alias("n"), *_SKETCH)
-    first = _with_pivot(kept, F.col("fp"))
-    tested = stored(spark, _compare(_pairs(first), sets), "compared")
+    about = sets.select(F.col("fp").alias("node"), "n", *_SKETCH)
+    tested = stored(spark, _compare(_likely(_to_pivot(kept, F.col("fp")), about), sets), "compared")
     labels = components(tested.where("linked").select("a", "b"))
     # groups whose members are connected already are settled; the sets of the others meet again by single shingles
     groups = stored(spark, _prefixes(_unsettled(kept, labels).select("fp").distinct(), sets), "prefixes")
-    second = stored(spark, _with_pivot(_unsettled(groups, labels), F.xxhash64("fp", "key")), "pivots")
-    more = stored(spark, _compare(_pairs(second).join(tested, ["a", "b"], "left_anti"), sets), "compared")
+    second = _to_pivot(_unsettled(groups, labels), F.xxhash64("fp", "key")).join(tested, ["a", "b"], "left_anti")
+    more = stored(spark, _compare(_likely(second, about), sets), "compared")
     tested = tested.union(more)
     labels = components(more.where("linked").select("a", "b"), labels)
-    # what is left: members of different components.  The Jaccard distance is a metric, so two sets whose
-    # distances from a common pivot differ by more than a quarter cannot link, nor sets of unlike size
+    # what is left: members of different components
     left = _once(_unsettled(groups, labels))
-    far = second.select("key", "fp", F.least("fp", "pivot").alias("a"), F.greatest("fp", "pivot").alias("b")).join(tested, ["a", "b"], "left") \
-        .select("key", "fp", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("dist")).alias("d"))
-    left = left.join(far, ["key", "fp"], "left")
     counts = left.groupBy("key", "label").agg(F.count("*").alias("c"))
     main = counts.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
-    left = stored(spark, left.join(main, "key").join(about, left.fp == about.node).drop("node"), "unsettled")
-    # rows outside their group's largest component meet the others, and it
-    one, two = (left.select("key", "main", *[F.col(c).alias(c + e) for c in ("fp", "label", "n", "d", *_SKETCH)]) for e in ("_a", "_b"))
-    one = one.where("label_a <> main").drop("main")
-    once = (F.col("label_b") == F.col("main")) | (F.col("fp_a") < F.col("fp_b"))
-    near = F.coalesce(F.abs(F.col("d_a") - F.col("d_b")) <= 0.25 + 1e-9, F.lit(True))
-    apart = sum((F.bit_count(F.col(c + "_a").bitwiseXOR(F.col(c + "_b"))) for c in _SKETCH[1:]), F.bit_count(F.col("s0_a").bitwiseXOR(F.col("s0_b"))))
-    pairs = one.join(two, (one.key == two.key) & (F.col("label_a") != F.col("label_b")) & once
-                     & (4 * F.least("n_a", "n_b") >= 3 * F.greatest("n_a", "n_b")) & near & (7 * apart <= F.col("n_a") + F.col("n_b"))) \
-        .select(F.least("fp_a", "fp_b").alias("a"), F.greatest("fp_a", "fp_b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    more = stored(spark, _compare(pairs, sets), "compared")
+    left = stored(spark, left.join(main, "key").join(_folded(about).withColumnRenamed("node", "fp"), "fp"), "unsettled")
+    last = _candidates(left).distinct().join(tested, ["a", "b"], "left_anti")
+    more = stored(spark, _compare(_likely(last, about), sets), "compared")
     labels = components(more.where("linked").select("a", "b"), labels)
     # the smallest document of each set, then of each component
     sets_of = meta.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("least")) \

@@ -162,6 +162,28 @@ def test_jaccard_outsiders_close_to_a_group(spark):
     assert _sorted(map(tuple, found)) == _sorted(_components(rows))
 
 
+def test_jaccard_members_and_outsiders_meet_once(spark):
+    """Copies with edits of their own: whoever may link meets, at one shingle, and whoever is too far does not meet."""
+    rng = np.random.default_rng(11)
+    base, sets = list(range(1000, 1140)), []
+    for k in range(40):
+        own = set(rng.choice(base, k, replace=False).tolist())
+        sets.append([10_000 * (k + 1) + x if x in own else x for x in base])
+    often = Counter(x for s in sets for x in s)
+    rows = []
+    for fp, held in enumerate(sets):
+        held = sorted(held, key=lambda x: (often[x], x))
+        words = jaccard_join.bit_sketch(np.array(held, np.uint64)).reshape(4, -1)
+        folded = [int(w) for w in np.bitwise_xor.reduce(words, 0)]
+        rows += [(x, fp, 0 if fp < 12 else fp, len(held), nth, 0, *folded) for nth, x in enumerate(held, 1) if nth <= len(held) // 4 + 1 and often[x] > 1]
+    left = spark.createDataFrame(rows, "key long, fp long, label long, n long, nth long, main long, " + ", ".join(f"{c} long" for c in jaccard_join._FOLDED))
+    met = Counter((r.a, r.b) for r in jaccard_join._candidates(left).collect())
+    near = {(a, b) for a in range(40) for b in range(max(a + 1, 12), 40) if 4 * len(set(sets[a]) & set(sets[b])) >= 3 * len(set(sets[a]) | set(sets[b]))}
+    far = {(a, b) for a in range(40) for b in range(a + 1, 40) if a + b > 42}
+    assert near and far and near <= set(met) and not far & set(met)
+    assert sum(met.values()) <= 1.2 * len(met)
+
+
 def _least_reached(links):
     root = {}
 
