@@ -421,8 +421,9 @@ def _tables(vocab: DataFrame, payloads: DataFrame, code: Code, parts: int, share
     return tables
 
 
-def fit(vocab: DataFrame, payloads: DataFrame, total: int, share_rows: int = 500_000, share_tokens: int = 8_000_000) -> Model:
-    """Byte code, tables, gate weights and map from (word, cls, n) and the ordered texts of all training text."""
+def fit(vocab: DataFrame, payloads: DataFrame, total: int, share_rows: int = 500_000, share_tokens: int = 8_000_000):
+    """Byte code, tables, gate weights and map from (word, cls, n) and the ordered texts of all training text, and the
+    broadcast of the tables: scoring reads the same one, since each sent lies on every executor's disk."""
     spark = vocab.sparkSession
     code = _byte_code(vocab)
     tables = spark.sparkContext.broadcast(_tables(vocab, payloads, code, pieces(vocab.count(), share_rows), pieces(total, share_tokens)))
@@ -449,9 +450,9 @@ def fit(vocab: DataFrame, payloads: DataFrame, total: int, share_rows: int = 500
     some = shares.groupBy(F.pmod(F.hash("data"), F.lit(64)).alias("g")).applyInArrow(add, "n double, data binary")
     whole = some.groupBy(F.lit(0).alias("g")).applyInArrow(add, "n double, data binary").collect()
     if not whole:
-        return Model(tables.value, code)
+        return Model(tables.value, code), tables
     data = np.frombuffer(bytes(whole[0]["data"]), "<f8")
-    return Model(tables.value, code, data[:k].reshape(GATES, -1).astype(np.float32), data[k:k + m].reshape(GATES, BUCKETS), data[k + m:].reshape(GATES, BUCKETS))
+    return Model(tables.value, code, data[:k].reshape(GATES, -1).astype(np.float32), data[k:k + m].reshape(GATES, BUCKETS), data[k + m:].reshape(GATES, BUCKETS)), tables
 
 
 def score(docs: DataFrame, held_out=None, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 32 << 20) -> DataFrame:
@@ -462,16 +463,18 @@ def score(docs: DataFrame, held_out=None, id_col: str = "doc_id", text_col: str
     rows = stored(spark, _blocks(docs.select(F.col(id_col).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text_col).alias("text")),
                                  block_bytes), "blocks")
     asked = rows.where("payload is null").select("block", "cls", "word", "idx", "n")
-    vocab = stored(spark, asked.groupBy("cls", "word").agg(F.sum("n").alias("n"))
-                   .withColumn("c", F.sum("n").over(Window.partitionBy("word"))), "vocabulary")
+    # dealt by word once: a block names a word once a class, so nothing is lost by not adding before
+    all_of_word = Window.partitionBy("word")
+    vocab = stored(spark, asked.select("cls", "word", "n").repartition("word").groupBy("cls", "word").agg(F.sum("n").alias("n"))
+                   .withColumn("c", F.sum("n").over(all_of_word)), "vocabulary")
     known = vocab.where("n > 0").select("word", "cls", "n")
     total, distinct = vocab.where("n > 0").agg(F.sum("n"), F.sum(F.col("n") / F.col("c"))).first()
     total, distinct = int(total or 0), round(distinct or 0)       # each word's classes sum to one
     payloads = rows.where("payload is not null").select("block", "payload")
-    model = fit(known, payloads, total)
-    sent = spark.sparkContext.broadcast((model.tables, model.code, model.weights, model.ones, model.seen))
+    model, tables = fit(known, payloads, total)
+    sent = spark.sparkContext.broadcast((model.code, model.weights, model.ones, model.seen))
 
-    answers = asked.select("block", "cls", "word", "idx").join(vocab.select("cls", "word", "c"), ["cls", "word"]).select("block", "idx", "c")
+    answers = asked.select("block", "idx", "word", "n").withColumn("c", F.sum("n").over(all_of_word)).select("block", "idx", "c")
 
     def bundle(batches):
         """Answers of a task, a few large rows for each block instead of one for each word."""
@@ -497,7 +500,7 @@ def score(docs: DataFrame, held_out=None, id_col: str = "doc_id", text_col: str
     base = math.log10(total + distinct + 1)
 
     def sum_up(docs_of: pa.Table, answers_of: pa.Table) -> pa.Table:
-        block, m = Block(docs_of["payload"][0].as_py()), Model(*sent.value)
+        block, m = Block(docs_of["payload"][0].as_py()), Model(tables.value, *sent.value)
         c = np.zeros(len(block.words))
         for data in answers_of["data"].to_pylist():
             k = len(data) // 12

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from sparkdeck.llm import (ann, decontam, jaccard_join, lm_score, packing, pu_quality, suffix_dedup, token_store, tokens,
                            toxicity, url_filter)
 from sparkdeck.llm.components import components
+from sparkdeck.llm.util import stored
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, n long, fp long, block long"
 
@@ -425,3 +426,11 @@ def test_second_benchmark_of_equal_size_is_not_mistaken(spark):
     for item, hit in (("alpha beta", 1), ("delta epsilon", 2), ("alpha beta", 1)):
         items = spark.createDataFrame([(7, item)], "item_id long, text string")
         assert [r.doc_id for r in decontam.decontaminate(docs, items, window=2).where("contaminated").collect()] == [hit]
+
+
+def test_lm_words_are_dealt_by_word_once(spark, docs, monkeypatch):
+    """Counts of a word in a class and over all classes come from one exchange, a block's answers from one more."""
+    plans = []
+    monkeypatch.setattr(lm_score, "stored", lambda s, df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or stored(s, df, name))
+    lm_score.score(docs, block_bytes=5000).count()
+    assert dict(plans)["vocabulary"].count("Exchange hashpartitioning") == 1
