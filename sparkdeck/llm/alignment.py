@@ -30,8 +30,8 @@ import json
 import os
 import re
 from array import array
-from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +45,8 @@ from .util import arrow_map, stored
 
 #: Pairs are ``a << B_BITS | b``.
 B_BITS = 15
+#: New segments are grouped so many characters at a time; groups of more links than SMALL_GROUP go by their distinct ids.
+LEARN_CHARS, SMALL_GROUP = 1 << 19, 32
 
 _BLANKS = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S)(?= )")
@@ -67,20 +69,14 @@ def _merger(path: str):
     return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary, spelt
 
 
-def groups_of(a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> list[tuple[list[int], list[int]]]:
-    """The tokens between offsets at which both sides end; both sides spell the same bytes."""
-    out, i, j, at_a, at_b, from_i, from_j = [], 0, 0, 0, 0, 0, 0
-    while i < len(a) or j < len(b):
-        if at_a <= at_b:
-            at_a += len(a_bytes[a[i]])
-            i += 1
-        else:
-            at_b += len(b_bytes[b[j]])
-            j += 1
-        if at_a == at_b:
-            out.append((a[from_i:i], b[from_j:j]))
-            from_i, from_j = i, j
-    return out
+def _spell(ids: np.ndarray, sizes: np.ndarray, spelt: list[bytes], segs: list[bytes]) -> np.ndarray:
+    """Whether the ids of each segment, ``sizes`` of them, spell its bytes."""
+    words = list(map(spelt.__getitem__, ids.tolist()))
+    at = np.r_[0, np.cumsum(np.array(list(map(len, words)), np.int64))][np.r_[0, np.cumsum(sizes)]]
+    if b"".join(words) == b"".join(segs) and np.array_equal(np.diff(at), list(map(len, segs))):
+        return np.ones(len(segs), bool)
+    edge = np.r_[0, np.cumsum(sizes)].tolist()
+    return np.array([b"".join(words[i:j]) == s for i, j, s in zip(edge, edge[1:], segs)])
 
 
 class Aligner:
@@ -100,6 +96,7 @@ class Aligner:
             if s and (s not in same or self.sp.is_byte(same[s])):
                 same[s] = i
         self.identity = np.array([same.get(s, -1) for s in self.a_bytes], np.int64)
+        self.a_lens, self.b_lens = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
         self.blank = self.sp.piece_to_id("▁")
         self.keep = keep
         self.clear()
@@ -116,36 +113,88 @@ class Aligner:
             return [s[1:] for s in _CUT.split(" " + text)]
         return text.split(" ")
 
+    def encoded(self, keys: list[str], lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids of all segments, one after the other, and how many each has.  Segments that end in a visible
+        character go as one text: no token reaches from there over the blank of the next."""
+        alone = np.array([not key or key[-1].isspace() for key in keys])
+        plain, sizes = np.flatnonzero(~alone), np.zeros(len(keys), np.int64)
+        ids = np.array(self.encode_a(" " + " ".join(map(keys.__getitem__, plain.tolist()))) if len(plain) else [], np.int64)
+        ends, want = np.cumsum(self.a_lens[ids]), np.cumsum(lens[plain])
+        last = np.searchsorted(ends, want)
+        if len(plain) and (last[-1] != len(ids) - 1 or (ends[last] != want).any()):
+            alone[:], plain, ids, last = True, plain[:0], ids[:0], last[:0]
+        sizes[plain] = np.diff(last, prepend=-1)
+        if not alone.any():
+            return ids, sizes
+        others = [self.encode_a(" " + keys[i]) for i in np.flatnonzero(alone).tolist()]
+        sizes[alone] = [len(x) for x in others]
+        out, mine = np.empty(int(sizes.sum()), np.int64), np.repeat(alone, sizes)
+        out[~mine], out[mine] = ids, [t for x in others for t in x]
+        return out, sizes
+
     def learn(self, keys: list[str]) -> None:
-        for key, b in zip(keys, self.sp.encode(keys, num_threads=1)):
-            seg = (" " + key).encode()
-            a = self.encode_a(" " + key)
-            b = b or [self.blank]
-            self.index[key] = len(self.digests)
-            if b"".join(map(self.a_bytes.__getitem__, a)) != seg or b"".join(map(self.b_bytes.__getitem__, b)) != seg:
-                self.numbers.extend((-1, 0, 0, 0))
-                self.digests.append(b"")
-            elif len(a) == len(b) == 1:
-                self.numbers.extend((1, 1, 1, 1))
-                self.digests.append(b"%d|%d" % (a[0], b[0]))
-                self.pairs.append(a[0] << B_BITS | b[0])
-                self.times.append(1)
-            else:
-                groups = groups_of(a, b, self.a_bytes, self.b_bytes)
-                self.numbers.extend((len(a), len(b), len(groups), sum(len(x) * len(y) for x, y in groups)))
-                self.digests.append(";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups).encode())
-                held: Counter[int] = Counter()
-                for x, y in groups:
-                    if len(x) == len(y) == 1:
-                        held[x[0] << B_BITS | y[0]] += 1
-                    else:
-                        right = Counter(y).items()
-                        for p, m in Counter(x).items():
-                            for q, n in right:
-                                held[p << B_BITS | q] += m * n
-                self.pairs.extend(held.keys())
-                self.times.extend(held.values())
-            self.ends.append(len(self.pairs))
+        part = np.cumsum([len(key) + 1 for key in keys]) // LEARN_CHARS
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(keys)]
+        for k, e in zip(edges, edges[1:]):
+            self._learn(keys[k:e])
+
+    def _learn(self, keys: list[str]) -> None:
+        """Number new segments; all their tokens and groups are found at once."""
+        segs = [(" " + key).encode() for key in keys]
+        lens = np.array(list(map(len, segs)), np.int64)
+        a, a_size = self.encoded(keys, lens)
+        found = [x or [self.blank] for x in self.sp.encode(keys, num_threads=1)]
+        b, b_size = np.array([t for x in found for t in x], np.int64), np.array(list(map(len, found)), np.int64)
+        good = _spell(a, a_size, self.a_bytes, segs) & _spell(b, b_size, self.b_bytes, segs)
+        self.index.update(zip(keys, range(len(self.digests), len(self.digests) + len(keys))))
+        a, b, n_a, n_b = a[np.repeat(good, a_size)], b[np.repeat(good, b_size)], a_size[good], b_size[good]
+        # a group ends where tokens of both sides do
+        a_end, b_end = np.cumsum(self.a_lens[a]), np.cumsum(self.b_lens[b])
+        end = np.intersect1d(a_end, b_end, assume_unique=True)
+        of_a, of_b, of_key = np.searchsorted(end, a_end), np.searchsorted(end, b_end), np.searchsorted(np.cumsum(lens[good]), end)
+        in_a, in_b = np.bincount(of_a, minlength=len(end)), np.bincount(of_b, minlength=len(end))
+        groups = np.bincount(of_key, minlength=len(n_a))
+        numbers = np.tile(np.array([-1, 0, 0, 0], np.int64), (len(keys), 1))
+        numbers[good] = np.stack([n_a, n_b, groups, np.bincount(of_key, in_a * in_b, minlength=len(n_a)).astype(np.int64)], 1)
+        self.numbers.frombytes(numbers.tobytes())
+        # digests: A's ids of a group, then B's, as decimals with a sign behind each
+        a_first, b_first = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
+        a_place, b_place = np.arange(len(a)) + b_first[of_a], np.arange(len(b)) + (a_first + in_a)[of_b]
+        token, sign = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+        token[a_place], token[b_place] = a, b
+        sign[a_place[a_first + in_a - 1]] = ord("|")
+        sign[b_place[b_first + in_b - 1]] = ord(";")
+        sign[b_place[np.cumsum(n_b) - 1]] = ord("\n")
+        shown = np.ones((len(token), 6), bool)
+        digit = np.empty((len(token), 6), np.uint8)
+        for k, power in enumerate((10000, 1000, 100, 10, 1)):
+            digit[:, k] = token // power % 10 + ord("0")
+            shown[:, k] = token >= power if power > 1 else True
+        digit[:, 5] = sign
+        said = iter(digit[shown].tobytes().split(b"\n"))
+        self.digests.extend(next(said) if g else b"" for g in good.tolist())
+        # pairs of each segment: small groups in full, large ones by their distinct ids
+        small = in_a * in_b <= SMALL_GROUP
+        left = np.flatnonzero(small[of_a])
+        n = in_b[of_a[left]]
+        right = np.repeat(b_first[of_a[left]] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        left = np.repeat(left, n)
+        pair, times = [of_key[of_a[left]] << (B_BITS + 16) | a[left] << B_BITS | b[right]], [np.ones(len(left), np.int64)]
+        for g in np.flatnonzero(~small).tolist():
+            x, xn = np.unique(a[a_first[g]:a_first[g] + in_a[g]], return_counts=True)
+            y, yn = np.unique(b[b_first[g]:b_first[g] + in_b[g]], return_counts=True)
+            pair.append((of_key[g] << (B_BITS + 16) | x[:, None] << B_BITS | y).ravel())
+            times.append((xn[:, None] * yn).ravel())
+        pair, times = np.concatenate(pair), np.concatenate(times)
+        order = np.argsort(pair)
+        pair, times = pair[order], times[order]
+        first = np.flatnonzero(np.diff(pair, prepend=-1))
+        pair, times = pair[first], np.add.reduceat(times, first) if len(first) else times
+        held = np.zeros(len(keys), np.int64)
+        held[good] = np.bincount(pair >> (B_BITS + 16), minlength=len(n_a))
+        self.ends.frombytes((len(self.pairs) + np.cumsum(held)).tobytes())
+        self.pairs.frombytes((pair & ((1 << (B_BITS + 16)) - 1)).tobytes())
+        self.times.frombytes(times.tobytes())
 
     def documents(self, texts: list[str | None]):
         """Per text its four numbers and digest input; and the (text, pair, links) triples of all texts in order."""
@@ -153,23 +202,25 @@ class Aligner:
             self.clear()
         index = self.index
         split = [self.segments(t) if t else [] for t in texts]
-        new = dict.fromkeys(s for keys in split for s in keys if s not in index)
+        keys = list(chain.from_iterable(split))
+        new = [s for s in dict.fromkeys(keys) if s not in index]
         if new:
-            self.learn(list(new))
-        ids = [list(map(index.__getitem__, keys)) for keys in split]
+            self.learn(new)
         numbers = np.frombuffer(self.numbers, np.int64).reshape(-1, 4)
-        lens = np.array(list(map(len, ids)), np.int64)
-        flat = np.fromiter((i for doc in ids for i in doc), np.int64, int(lens.sum()))
+        lens = np.array(list(map(len, split)), np.int64)
+        flat = np.fromiter(map(index.__getitem__, keys), np.int64, len(keys))
+        edges = np.r_[0, np.cumsum(lens)].tolist()
+        said = list(map(self.digests.__getitem__, flat.tolist()))
+        del split, keys
         doc = np.repeat(np.arange(len(texts)), lens)
         good = np.ones(len(texts), bool)
         good[doc[numbers[flat, 0] < 0]] = False
         flat, doc = flat[good[doc]], doc[good[doc]]
-        sums = np.zeros((len(texts), 4), np.int64)
-        for k in range(4):
-            each = np.r_[0, np.cumsum(numbers[flat, k])]
-            at = np.searchsorted(doc, np.arange(len(texts) + 1))
-            sums[:, k] = each[at[1:]] - each[at[:-1]]
-        digests = [b";".join(map(self.digests.__getitem__, keys)) if g else b"" for keys, g in zip(ids, good.tolist())]
+        at = np.searchsorted(doc, np.arange(len(texts) + 1))
+        sums = np.zeros((len(flat) + 1, 4), np.int64)
+        np.cumsum(numbers[flat], axis=0, out=sums[1:])
+        sums = sums[at[1:]] - sums[at[:-1]]
+        digests = [b";".join(said[i:j]) if g else b"" for i, j, g in zip(edges, edges[1:], good.tolist())]
         many = max(1, len(self.digests))
         both, n = np.unique(doc * many + flat, return_counts=True)
         doc, seg = both // many, both % many

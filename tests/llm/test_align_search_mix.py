@@ -91,6 +91,17 @@ def test_aligner_forgets_within_its_bound():
     assert one[0] == one[2] and len(work.index) <= 5 + 6
 
 
+def test_new_segments_are_encoded_at_once():
+    work, calls = alignment.Aligner(A, B), []
+    encode = work.encode_a
+    work.encode_a = lambda s: calls.append(s) or encode(s)
+    texts = [" ".join(f"w{i}x{i * 7919}é" for i in range(300)), "two  blanks ", " x", "a▁b plain", "漢字" * 40 + " ab" + "x" * 200]
+    want, _ = _aligned(texts)
+    sums, digests, *_ = work.documents(texts)
+    assert len(calls) < 10                   # one by one only what is empty or ends in a blank
+    assert sums.tolist() == [list(w[0:4]) for w in want]
+
+
 def _ranked(rows, items, k):
     word = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
     split = lambda t: word.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
