@@ -111,7 +111,7 @@ class Code:
 
 def prints(words: list[bytes]) -> np.ndarray:
     """Hashes of words, for the context of the word that follows."""
-    return np.array([xxhash.xxh3_64_intdigest(w) for w in words], _U)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), _U, len(words))
 
 
 def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -311,31 +311,48 @@ def _batch(block, classes, words, idx, n):
 
 
 class Block:
-    """The documents of a payload: ids, NULL ids, held-out flags, words with their classes, and for each token, in
-    order, its pair (word << 32 | word before)."""
+    """The documents of a payload: ids, NULL ids, held-out flags, words with their classes and the tokens in order.
+    What there is for each token is made when asked for and not kept: a worker holds one large array, not all."""
 
     def __init__(self, payload: bytes):
         data = zstandard.ZstdDecompressor().decompress(payload)
         n, k = (int(v) for v in np.frombuffer(data, "<i8", 2))
         self.ids, self.lens = np.frombuffer(data, "<i8", n, 16), np.frombuffer(data, "<i8", n, 16 + 8 * n)
         at, ends = 16 + 16 * n, np.cumsum(self.lens)
-        tokens = np.frombuffer(data, "<u4", int(ends[-1]), at)
-        at += 4 * len(tokens)
+        self.tokens = np.frombuffer(data, "<u4", int(ends[-1]), at).copy()
+        at += 4 * len(self.tokens)
+        self.null, self.held = np.frombuffer(data, np.uint8, n, at).astype(bool), np.frombuffer(data, np.uint8, n, at + n).astype(bool)
+        self.classes, self.words = np.frombuffer(data, np.uint8, k, at + 2 * n).astype(np.int32), data[at + 2 * n + k:].split(b"\n")
+
+    def keys(self, training: bool = False) -> np.ndarray:
+        """Each token's pair (word << 32 | word before), in order, of all or of the training documents."""
+        ends, tokens = np.cumsum(self.lens), self.tokens
         before = np.empty_like(tokens)
         before[1:] = tokens[:-1]
         before[ends - self.lens] = tokens[ends - 1]                # a text starts after its class's end token
-        self.keys = tokens.astype(_U) << _U(32) | before
-        self.null, self.held = np.frombuffer(data, np.uint8, n, at).astype(bool), np.frombuffer(data, np.uint8, n, at + n).astype(bool)
-        self.classes, self.words = np.frombuffer(data, np.uint8, k, at + 2 * n).astype(np.int32), data[at + 2 * n + k:].split(b"\n")
-        self.row = np.repeat(np.arange(n), self.lens)
+        if training:
+            kept = np.repeat(~self.held, self.lens)
+            tokens, before = tokens[kept], before[kept]
+        keys = tokens.astype(_U)
+        keys <<= _U(32)
+        keys |= before
+        return keys
+
+    def add(self, values: np.ndarray) -> np.ndarray:
+        """Sums of the tokens' values, a document."""
+        return np.bincount(np.repeat(np.arange(len(self.lens), dtype=np.int32), self.lens), values, minlength=len(self.lens))
 
     def parts(self, keys):
         """(word, hash of the word before) of pairs."""
-        return (keys >> _U(32)).astype(np.int64), prints(self.words)[(keys & _U(0xFFFFFFFF)).astype(np.int64)]
+        return (keys >> _U(32)).view(np.int64), prints(self.words)[keys.astype(np.uint32)]      # the cast keeps the low half
 
     def training(self):
         """(words, classes, word, counts, last) of the distinct pairs of the training documents."""
-        keys, n = np.unique(self.keys[~self.held[self.row]], return_counts=True)
+        keys = self.keys(training=True)
+        keys.sort()
+        first = np.flatnonzero(np.r_[np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]])
+        n, keys = np.diff(first, append=len(keys)), keys[first]
+        del first
         word, last = self.parts(keys)
         return self.words, self.classes, word, n, last
 
@@ -343,8 +360,8 @@ class Block:
 def _trained(batches):
     """The training pairs of each payload."""
     for b in batches:
-        for payload in b.column(1).to_pylist():
-            yield Block(payload).training()
+        for payload in b.column(1):
+            yield Block(payload.as_py()).training()
 
 
 def _byte_code(vocab: DataFrame) -> Code:
@@ -388,6 +405,7 @@ def _tables(vocab: DataFrame, payloads: DataFrame, code: Code, parts: int, share
                 if page.any():
                     yield pa.RecordBatch.from_pydict({"tab": [t], "page": [p], "data": [z.compress(_planes(page))]},
                                                      schema=pa.schema([("tab", pa.int32()), ("page", pa.int32()), ("data", pa.binary())]))
+            del sums[t]
 
     def cells_of_words(batches):
         for b in batches:
@@ -399,10 +417,11 @@ def _tables(vocab: DataFrame, payloads: DataFrame, code: Code, parts: int, share
 
     def cells_of_pairs(batches):
         for words, classes, word, counts, last in _trained(batches):
-            for a, b, c, d in _batches(word, words, 1 << 16):
+            for a, b, c, d in _batches(word, words, 1 << 15):
                 s = Spelled(words[c:d], classes[c:d], code)
                 slot, at, bits = s.after(word[a:b] - c, last[a:b])
                 yield INSIDE, slot.astype(np.int64) * 2 + s.bit[at], np.repeat(counts[a:b].astype(np.float32), bits)
+            del words, classes, word, counts, last      # before the next block is read
 
     def add(rows: pa.Table) -> pa.Table:
         z, total = zstandard.ZstdDecompressor(), np.zeros(2 * PAGE)
@@ -505,11 +524,14 @@ def score(docs: DataFrame, held_out=None, id_col: str = "doc_id", text_col: str
         for data in answers_of["data"].to_pylist():
             k = len(data) // 12
             c[np.frombuffer(data, "<u4", k)] = np.frombuffer(data, "<i8", k, 4 * k)
-        keys, pair = np.unique(block.keys, return_inverse=True)
+        keys, pair = np.unique(block.keys(), return_inverse=True)
         word, last = block.parts(keys)
+        del keys
         p, size, n = m.log10(block.words, block.classes, last, word), np.array([len(w) for w in block.words]), len(block.ids)
-        add = lambda v: np.bincount(block.row, v[word][pair], minlength=n)
-        tokens, nbytes, value = block.lens, add(size + 1) - 1, np.bincount(block.row, p[pair], minlength=n) - math.log10(CLASSES)
+        value = block.add(p[pair]) - math.log10(CLASSES)
+        del p, pair, word, last
+        add = lambda v: block.add(v[block.tokens])
+        tokens, nbytes = block.lens, add(size + 1) - 1
         return pa.table({"doc_id": pa.array(block.ids, pa.int64(), mask=block.null), "held_out": pa.array(block.held),
                          "n_tokens": pa.array(tokens.astype(np.int64)), "n_known": pa.array(add((c > 0).astype(float)).astype(np.int64)),
                          "train_tokens": pa.array(np.full(n, total, np.int64)),

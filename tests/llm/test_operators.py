@@ -3,12 +3,14 @@
 import hashlib
 import re
 import struct
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from math import log10
 
 import numpy as np
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -428,6 +430,27 @@ def test_second_benchmark_of_equal_size_is_not_mistaken(spark):
         assert [r.doc_id for r in decontam.decontaminate(docs, items, window=2).where("contaminated").collect()] == [hit]
 
 
+def test_lm_training_pairs_take_little_memory():
+    n, k = 400_000, 1000
+    rng, words = np.random.default_rng(5), [b"w%d" % i for i in range(k)]
+    lens, token = np.array([n // 4 - 5, 5, n // 2, n // 4], "<i8"), rng.integers(0, k, n).astype("<u4")
+    held = np.array([False, True, False, False])
+    payload = zstandard.ZstdCompressor().compress(b"".join([np.array([4, k], "<i8").tobytes(), np.arange(4, dtype="<i8").tobytes(), lens.tobytes(), token.tobytes(),
+                                                            bytes(4), held.tobytes(), bytes(k), b"\n".join(words)]))
+    want, start = Counter(), 0
+    for m, h in zip(lens.tolist(), held.tolist()):
+        doc = token[start:start + m].tolist()
+        start += m
+        want.update(() if h else zip(doc, [doc[-1], *doc[:-1]]))
+    tracemalloc.start()
+    _, _, word, counts, last = lm_score.Block(payload).training()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    name = {int(h): i for i, h in enumerate(lm_score.prints(words))}
+    assert dict(zip(zip(word.tolist(), (name[int(x)] for x in last)), counts.tolist())) == dict(want)
+    assert peak < 46 * n                       # bytes a token
+
+
 def test_lm_words_are_dealt_by_word_once(spark, docs, monkeypatch):
     """Counts of a word in a class and over all classes come from one exchange, a block's answers from one more."""
     plans = []
