@@ -34,7 +34,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays."""
     rows = _keyed(docs)
-    groups = jaccard_join.link(rows, size=5, id_col="row").select(F.col("doc_id").alias("row"), "component_id").distinct()
+    groups = jaccard_join.link(rows, size=5, id_col="row").select(F.col("doc_id").alias("row"), "component_id")
     ids = rows.select("doc_id", "row").distinct().join(groups, "row")
     first = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), "row")
     kept = ids.groupBy("component_id").agg(F.min(first).alias("first")).select(F.col("first.row").alias("row"))

@@ -4,7 +4,8 @@ Each round hooks every node to its smallest neighbour, follows the hooks to thei
 pointer jumps, and replaces the links by those between roots.  Links inside a component
 vanish as soon as their ends share a root, so later rounds read only what is not yet
 connected.  Labels found earlier are the start of a later call: only the new links, taken
-between known labels, are then worked on.
+between known labels, are then worked on.  What a round leaves is counted while it is
+written: every job costs the driver threads and memory, however small its table.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .util import pieces, stored
+from .util import pieces, stored, stored_with
 
 #: Rows of a label table in one file.
 FILE_ROWS = 1_000_000
@@ -39,10 +40,10 @@ def _followed(labels: DataFrame, hooks: DataFrame) -> DataFrame:
 def _roots(hooks: DataFrame, files: int, rounds: int) -> DataFrame:
     """Every node's root: hooks lead to smaller nodes only, so each jump halves the way."""
     for _ in range(rounds):
-        hooks = stored(hooks.sparkSession, _followed(hooks, hooks).coalesce(files), "labels")
-        if hooks.where("label <> old").limit(1).count() == 0:
-            return hooks.select("node", "label")
+        hooks, moved = stored_with(hooks.sparkSession, _followed(hooks, hooks).coalesce(files), "labels", F.count_if(F.col("label") != F.col("old")))
         hooks = hooks.select("node", "label")
+        if not moved:
+            return hooks
     raise RuntimeError("labels did not settle")
 
 
@@ -51,10 +52,9 @@ def components(links: DataFrame, known: DataFrame | None = None, rounds: int = 6
 
     ``known`` is an earlier result whose links count as well; its nodes stay in the result."""
     spark = links.sparkSession
-    edges = stored(spark, _ordered(links) if known is None else _relabelled(links, known), "edges")
+    edges, left = stored_with(spark, _ordered(links) if known is None else _relabelled(links, known), "edges", F.count("*"))
     labels = None
     for _ in range(rounds):
-        left = edges.count()
         if not left:
             break
         files = pieces(2 * left, FILE_ROWS)
@@ -62,7 +62,7 @@ def components(links: DataFrame, known: DataFrame | None = None, rounds: int = 6
         hooks = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label"))
         hooks = _roots(stored(spark, hooks.coalesce(files), "labels"), files, rounds)
         labels = hooks if labels is None else stored(spark, _followed(labels, hooks).select("node", "label"), "labels")
-        edges = stored(spark, _relabelled(edges, hooks).coalesce(files), "edges")
+        edges, left = stored_with(spark, _relabelled(edges, hooks).coalesce(files), "edges", F.count("*"))
     else:
         raise RuntimeError("labels did not settle")
     if known is None:

@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .hashing import WordHash, mix, runs
-from .util import arrow_map, bounded_batches, pieces, raw, stored
+from .util import arrow_map, bounded_batches, pieces, raw, stored, stored_with, tidy
 
 _U = np.uint64
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -213,9 +213,11 @@ def _likely(pairs: DataFrame, about: DataFrame) -> DataFrame:
     return pairs.where(_may_link("_a", "_b", _SKETCH)).select("a", "b")
 
 
-def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, linked) of the pairs, by their whole sets."""
-    pairs = stored(sets.sparkSession, pairs, "pairs")
+def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame | None:
+    """(a, b, linked) of the pairs, by their whole sets; None without pairs."""
+    pairs, rows = stored_with(sets.sparkSession, pairs, "pairs", F.count("*"))
+    if not rows:
+        return None
     # only the sets asked for travel, by one plan at every size
     a, b = (sets.join(pairs.select(F.col(c).alias("fp")).distinct(), "fp", "left_semi").select(F.col("fp").alias(c), F.col("h").alias("h" + c)) for c in "ab")
 
@@ -228,7 +230,7 @@ def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 linked.append(100 * both >= 75 * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
     met = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").select("a", "b", "ha", "hb")
-    return arrow_map(met, check, "a long, b long, linked boolean")
+    return stored(sets.sparkSession, arrow_map(met, check, "a long, b long, linked boolean"), "compared")
 
 
 def _prefixes(fps: DataFrame, sets: DataFrame) -> DataFrame:
@@ -247,20 +249,28 @@ def _prefixes(fps: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.join(often, "key").withColumn("nth", nth).where("nth <= n div 4 + 1 and freq > 1").select("key", "fp", "n", "nth")
 
 
-def _unsettled(kept: DataFrame, labels: DataFrame) -> DataFrame:
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Rows with the label of their set's component; a set without one is its own."""
+    if labels is None:
+        return rows.withColumn("label", F.col("fp"))
+    return rows.join(labels, rows.fp == labels.node, "left").select(*rows.columns, F.coalesce("label", "fp").alias("label"))
+
+
+def _unsettled(kept: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Rows of the groups whose members have different components, with their label."""
-    rows = kept.join(labels, kept.fp == labels.node, "left").select(*kept.columns, F.coalesce("label", "fp").alias("label"))
+    rows = _labelled(kept, labels)
     mixed = rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
     return rows.join(mixed, "key")
 
 
 def _once(rows: DataFrame) -> DataFrame:
     """One key of those with the same members: texts around one passage meet once, not at each of its shingles.
+    A key that only one set holds pairs nothing and goes.
 
     Of shingles it is the first in the order of places, so it is the first of them in every member."""
     place = F.sum("nth") if "nth" in rows.columns else F.lit(0)
     members = rows.groupBy("key").agg(F.count("*").alias("many"), F.bit_xor(F.xxhash64("fp")).alias("x"), F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("y"),
-                                      place.alias("place"))
+                                      place.alias("place")).where("many > 1")
     return rows.join(members.groupBy("many", "x", "y").agg(F.min_by("key", F.struct("place", "key")).alias("key")).select("key"), "key")
 
 
@@ -293,8 +303,7 @@ def link(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str =
     """One row a document: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
     spark = docs.sparkSession
     texts = _texts(docs, id_col, text_col)
-    meta = stored(spark, _measure(texts, size), "sets")
-    total = int(meta.agg(F.sum("n")).first()[0] or 0)
+    meta, total = stored_with(spark, _measure(texts, size), "sets", F.sum("n"))
     buckets, seed = pieces(total, bucket_parts), 1
     bounded_batches(spark)
     found = (_deal(texts, size, buckets, seed).repartition(buckets, "bucket").groupBy("bucket")
@@ -303,14 +312,10 @@ def link(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str =
     mine = Window.partitionBy("fp", "band")
     kept = (found.withColumn("r", F.count("*").over(mine)).withColumn("nth", F.row_number().over(mine.orderBy("freq", "key")))
             .where(F.col("nth") <= F.col("r") + F.col("need")).select("key", "fp"))
-    # a key that only one set still holds pairs nothing
-    kept = stored(spark, kept, "rare")
-    several = kept.groupBy("key").agg(F.count("*").alias("g")).where("g > 1").select("key")
-    kept = stored(spark, _once(kept.join(several, "key")), "groups")
+    kept = stored(spark, _once(stored(spark, kept, "rare")), "groups")
     wanted = kept.select("fp").distinct().join(meta.where("fp is not null").groupBy("fp").agg(F.min("row").alias("row")), "fp")
-    wanted = stored(spark, wanted, "wanted")        # by a hash of id and text: rows without an id have one too
-    small = wanted.count() <= small_ids              # 16 bytes a row
-    ids = F.broadcast(wanted) if small else wanted
+    wanted, many = stored_with(spark, wanted, "wanted", F.count("*"))        # by a hash of id and text: rows without an id have one too
+    ids = F.broadcast(wanted) if many <= small_ids else wanted                # 16 bytes a row
 
     def hashes(batches):
         for b in batches:
@@ -322,26 +327,32 @@ def link(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str =
                                               *[pa.array(np.ascontiguousarray(w)) for w in words.T]], ["fp", "n", "h", *_SKETCH])
     sets = arrow_map(texts.join(ids, "row").select("fp", "text"), hashes, "fp long, n long, h binary, " + ", ".join(f"{c} long" for c in _SKETCH))
     sets = stored(spark, sets.dropDuplicates(["fp"]), "shingles")
+    tidy(spark)
     about = sets.select(F.col("fp").alias("node"), "n", *_SKETCH)
-    tested = stored(spark, _compare(_likely(_to_pivot(kept, F.col("fp")), about), sets), "compared")
-    labels = components(tested.where("linked").select("a", "b"))
+    tested = labels = None
+
+    def settle(pairs):
+        """Compares the pairs that were not compared before."""
+        nonlocal tested, labels
+        more = _compare(_likely(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), about), sets)
+        if more is not None:                         # else ten jobs would find nothing
+            tested = more if tested is None else tested.union(more)
+            labels = components(more.where("linked").select("a", "b"), labels)
+        tidy(spark)
+    settle(_to_pivot(kept, F.col("fp")))
     # groups whose members are connected already are settled; the sets of the others meet again by single shingles
     groups = stored(spark, _prefixes(_unsettled(kept, labels).select("fp").distinct(), sets), "prefixes")
-    second = _to_pivot(_unsettled(groups, labels), F.xxhash64("fp", "key")).join(tested, ["a", "b"], "left_anti")
-    more = stored(spark, _compare(_likely(second, about), sets), "compared")
-    tested = tested.union(more)
-    labels = components(more.where("linked").select("a", "b"), labels)
+    tidy(spark)
+    settle(_to_pivot(_unsettled(groups, labels), F.xxhash64("fp", "key")))
     # what is left: members of different components
     left = _once(_unsettled(groups, labels))
     counts = left.groupBy("key", "label").agg(F.count("*").alias("c"))
     main = counts.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
     left = stored(spark, left.join(main, "key").join(_folded(about).withColumnRenamed("node", "fp"), "fp"), "unsettled")
-    last = _candidates(left).distinct().join(tested, ["a", "b"], "left_anti")
-    more = stored(spark, _compare(_likely(last, about), sets), "compared")
-    labels = components(more.where("linked").select("a", "b"), labels)
+    tidy(spark)
+    settle(_candidates(left).distinct())
     # the smallest document of each set, then of each component
-    sets_of = meta.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("least")) \
-        .join(labels, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("label", "fp").alias("label"), "least")
+    sets_of = _labelled(meta.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("least")), labels)
     least = sets_of.groupBy("label").agg(F.min("least").alias("component"))
     component = sets_of.join(least, "label").select("fp", "component")
     return meta.join(component, "fp", "left").select(

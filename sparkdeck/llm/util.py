@@ -8,11 +8,12 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import delete_path, ensure_checkpoint_dir
@@ -43,6 +44,20 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_with(spark: SparkSession, df: DataFrame, name: str, figure: Column) -> tuple[DataFrame, int]:
+    """``stored``, and an aggregate of the rows (0 for none) taken while they are written: no job reads them for it."""
+    seen = Observation()
+    table = stored(spark, df.observe(seen, figure.alias("figure")), name)
+    return table, int(seen.get["figure"] or 0)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Collect the driver's garbage after a phase of many small jobs.  Plans and broadcasts of finished jobs go then, and with
+    them their blocks and shuffle files: Spark's cleaner follows the driver's collector, which else waits until its heap is full."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def release(spark: SparkSession) -> None:
     """Delete the scratch tables made so far; frames that still read them become invalid."""
     for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):

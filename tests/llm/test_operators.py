@@ -148,6 +148,19 @@ def test_jaccard_groups_with_the_same_members_meet_once(spark):
     assert sorted(map(tuple, got)) == [(0, 1), (0, 2), (0, 3), (1, 1), (1, 2), (3, 4), (3, 5)]
 
 
+def test_jaccard_without_near_copies_takes_few_jobs(spark):
+    """Counts are taken while tables are written, and steps without a pair are left out: every job costs the driver memory."""
+    rows = [(i, " ".join("w%d" % (17 * i + j) for j in range(30))) for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    spark.sparkContext.setJobGroup("few-jobs", "")
+    try:
+        found = jaccard_join.link(frame)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-jobs")) < 60
+    assert _sorted(map(tuple, found.collect())) == _sorted(_components(rows))
+
+
 def test_jaccard_outsiders_close_to_a_group(spark):
     """Copies with ever more edits, in two groups that share a passage, near and beyond the limit."""
     rng = np.random.default_rng(8)
