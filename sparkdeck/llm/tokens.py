@@ -1,29 +1,34 @@
 """Exact, cached encoding with a public tokenizers file.
 
 The tokenizers library encodes about a megabyte a second; natural text repeats its
-words, so ids are kept per whitespace-bounded chunk in a bounded two-generation cache
-and only new chunks are encoded, many at a time.  That is exact because neither
+words, so a batch's texts are cut into whitespace-bounded chunks and each distinct one is
+encoded once, in arrays.  That is exact because neither
 vocabulary lets a token cross a single blank between two non-blanks: the word
 vocabulary drops white space, the byte vocabulary glues one blank to the next word.
 Texts where this does not hold (two white-space characters in a row, letters whose
 lower case depends on their neighbours, text that is not NFC) go to the library whole,
 and so do chunks that are more than a run of letters with closing marks.
 
-New runs of letters are merged by tiktoken over the vocabulary of the same file (the
-ids are the merge order, so both libraries make the same merges; six times faster).
+Runs of letters are merged by tiktoken over the vocabulary of the same file (the
+ids are the merge order, so both libraries make the same merges; six times faster), those of
+ASCII letters anew for each batch, which costs less than to look them up.  Other chunks are
+kept in a bounded two-generation cache.
 ``tests/llm/test_tokens.py`` compares the ids with the library's.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-_TWO_BLANKS = re.compile(r"[\s\x1c-\x1f\x85]{2}")
+#: Two characters that Python takes for white space.
+_TWO_BLANKS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]{2}"
 _TAIL = ".,;:!?|*$%&#"
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 _SHARED: dict[tuple, "Encoder"] = {}
 
 
@@ -56,7 +61,7 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True       # their strings in a text are ordinary text
-        self.keep, self.new, self.old = keep, _Cache(), {}
+        self.keep, self.new, self.old, self.marks = keep, _Cache(), {}, {}
         vocab = self.tok.get_vocab(with_added_tokens=False)
         self.word_ends = self.tok.model.end_of_word_suffix == "</w>"
         special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
@@ -75,23 +80,29 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def chunks(self, text: str) -> list[str] | None:
-        """Chunks that can be encoded one by one, or None where the text must be encoded whole.
+    def prepared(self, texts: list[str | None]) -> list[str | None]:
+        """Each text as chunks with one blank between; None where it is empty or must be encoded whole.
 
         Byte vocabulary: a chunk stands for itself behind one blank, unless it begins with "\\n"."""
         if self.word_ends:
-            if not text.isascii():
-                if "Σ" in text or "İ" in text or not unicodedata.is_normalized("NFC", text):
-                    return None
-            return text.lower().replace("\n", " ").split(" ")
-        if _TWO_BLANKS.search(text) or text[:1] in ("", " "):
-            return None
-        return ("\0" + text).replace("\n", " \n").split(" ") if "\0" not in text else None
+            return [t.lower().replace("\n", " ") if t and (t.isascii() or not ("Σ" in t or "İ" in t) and unicodedata.is_normalized("NFC", t)) else None
+                    for t in texts]
+        two = pc.match_substring_regex(pa.array(texts, pa.large_string()), _TWO_BLANKS).to_pylist()
+        return [None if not t or b or t[0] == " " or "\0" in t else ("\0" + t).replace("\n", " \n") for t, b in zip(texts, two)]
 
     def _source(self, chunk: str) -> str:
         """The text that a chunk of the byte vocabulary stands for."""
         return chunk[1:] if chunk[0] == "\0" else chunk if chunk[0] == "\n" else " " + chunk
 
+    def _merged(self, letters: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of runs of letters, one after the other, and their bounds."""
+        joined = "\n".join(letters) + "\n" if self.word_ends else " " + " ".join(letters)
+        ids = np.asarray(self.merge.encode_ordinary(joined), "<u4")
+        at = np.flatnonzero(self.mark[ids])
+        if len(at) != len(letters):
+            raise ValueError("the vocabulary has no mark for word bounds")
+        return ids, np.concatenate([[0], at + 1]) if self.word_ends else np.concatenate([at, [len(ids)]])
+
     def learn(self, missing: set[str]) -> None:
         new, old = self.new, self.old
         letters, tails, odd = [], [], []
@@ -120,12 +131,7 @@ class Encoder:
                 if "\0tail" + tail not in new:
                     new["\0tail" + tail] = self.whole([tail])[0]
         if letters:
-            joined = "\n".join(letters) + "\n" if self.word_ends else " " + " ".join(letters)
-            ids = np.asarray(self.merge.encode_ordinary(joined), "<u4")
-            at = np.flatnonzero(self.mark[ids])
-            cut = np.concatenate([[0], at + 1]) if self.word_ends else np.concatenate([at, [len(ids)]])
-            if len(at) != len(letters):
-                raise ValueError("the vocabulary has no mark for word bounds")
+            ids, cut = self._merged(letters)
             data, cut = ids.tobytes(), (cut * 4).tolist()
             for c, a, b in zip(letters, cut, cut[1:]):
                 new[c] = data[a:b]
@@ -134,21 +140,75 @@ class Encoder:
         for c, head, tail in tails:
             new[c] = new[head] + new["\0tail" + tail]
 
-    def ids(self, texts: list[str | None], group: int = 64) -> list[bytes]:
+    def _plain(self, words: pa.Array):
+        """Of words that are a run of ASCII letters with closing marks (a mask): the ids of the distinct runs and marks, one after
+        the other, and each such word's two ranges in them, (start, size) of the run and of its marks."""
+        heads = pc.utf8_rtrim(words, _TAIL)
+        plain = pc.ascii_is_alpha(heads)
+        heads = heads.filter(plain).dictionary_encode()
+        tails = pc.utf8_ltrim(words.filter(plain), _LETTERS).dictionary_encode()
+        runs, marks = heads.dictionary.to_pylist(), tails.dictionary.to_pylist()
+        ids, sizes = np.empty(0, "<u4"), np.empty(0, np.int64)
+        if runs:
+            ids, cut = self._merged(runs)
+            sizes = np.diff(cut)
+        if len(self.marks) > self.keep:
+            self.marks = {}
+        missing = [m for m in marks if m not in self.marks]
+        self.marks |= zip(missing, self.whole(missing))
+        closing = [self.marks[m] for m in marks]
+        pool = np.concatenate([ids, np.frombuffer(b"".join(closing), "<u4")])
+        sizes = np.r_[sizes, np.array([len(c) // 4 for c in closing], np.int64)].astype(np.int64)
+        starts = np.cumsum(sizes) - sizes
+        at = np.stack([heads.indices.to_numpy(), tails.indices.to_numpy().astype(np.int64) + len(runs)], 1)
+        return plain.to_numpy(zero_copy_only=False), pool, starts[at], sizes[at]
+
+    def ids(self, texts: list[str | None], group: int = 4000, chars: int = 2 << 20) -> list[bytes]:
         out: list[bytes] = []
-        for k in range(0, len(texts), group):
-            if len(self.new) > self.keep:
-                self.old, self.new = self.new, _Cache()
-            new, part = self.new, texts[k:k + group]
-            split = [self.chunks(t) if t else [] for t in part]
-            found = [None if s is None else list(map(new.__getitem__, s)) for s in split]
-            if new.missing:
-                missing, new.missing = new.missing, set()
-                self.learn(missing)
-                found = [list(map(new.__getitem__, s)) if f is not None and None in f else f for s, f in zip(split, found)]
-            whole = iter(self.whole([t for t, s in zip(part, split) if s is None]))
-            out += [next(whole) if f is None else b"".join(f) for f in found]
-        return out
+        part, size = [], 0
+        for t in texts:
+            part.append(t)
+            size += len(t or "")
+            if len(part) == group or size >= chars:
+                out += self._ids(part)
+                part, size = [], 0
+        return out + self._ids(part) if part else out
+
+    def _ids(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each distinct chunk of the texts are made once, and copied to its occurrences in arrays."""
+        if len(self.new) > self.keep:
+            self.old, self.new = self.new, _Cache()
+        ready, new = self.prepared(texts), self.new
+        whole = iter(self.whole([t for t, r in zip(texts, ready) if t and r is None]))
+        split = pc.split_pattern(pa.array([r for r in ready if r is not None], pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        plain, pool, starts, sizes = self._plain(coded.dictionary)
+        odd = coded.dictionary.filter(pa.array(~plain)).to_pylist()
+        found = list(map(new.__getitem__, odd))
+        if new.missing:
+            missing, new.missing = new.missing, set()
+            self.learn(missing)
+            found = list(map(new.__getitem__, odd))
+        # two ranges of the pool for each distinct chunk, the second empty but for closing marks
+        start, size = np.zeros((len(plain), 2), np.int64), np.zeros((len(plain), 2), np.int64)
+        start[plain], size[plain] = starts, sizes
+        own = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        start[~plain, 0], size[~plain, 0] = len(pool) + np.cumsum(own) - own, own
+        pool = np.concatenate([pool, np.frombuffer(b"".join(found), "<u4")])
+        pool, size = pool[_ranges(start.ravel(), size.ravel())], size.sum(1)
+        code = coded.indices.to_numpy()
+        ends = np.r_[0, np.cumsum(size[code])]
+        data = pool[_ranges((np.cumsum(size) - size)[code], size[code])].tobytes()
+        bound = (ends[split.offsets.to_numpy()] * 4).tolist()
+        cut = iter([data[x:y] for x, y in zip(bound, bound[1:])])
+        return [b"" if not t else next(whole) if r is None else next(cut) for t, r in zip(texts, ready)]
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    out = np.repeat(start - (np.cumsum(size) - size), size)
+    out += np.arange(len(out))
+    return out
 
 
 def encoder(path: str) -> Encoder:

@@ -306,6 +306,20 @@ def test_planes_round_trip(planes):
         assert (token_store.unpack_ids(token_store.pack_ids(ids, planes, block_ids=1000)) == ids).all()
 
 
+def test_plain_words_are_encoded_at_once():
+    """Runs of letters with closing marks are merged in arrays, not learnt one by one, beside chunks of every other kind."""
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdefgXYZ"), int(n))) + str(rng.choice(["", "", ",", "...", "?!"])) for n in rng.integers(1, 12, 400)]
+    odd = ["", None, " lead", "trail ", "x  y", "a\u2003\u2003b", "a\nb, c\n", "don't 12,5 co-op", "été, naïve", ",", ".,;", "nul\0 in", "\n", "Σας İ", "e\u0301 x", "word\n"]
+    texts = [" ".join(rng.choice(words, 60)) + t for t in ("", ".", "\n", " ") for _ in range(5)] + odd
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        enc = tokens.Encoder(tokens.public_path(name))
+        learnt, learn = set(), enc.learn
+        enc.learn = lambda missing: learnt.update(missing) or learn(missing)  # noqa: B023
+        assert enc.ids(texts, chars=2000) == enc.whole([t or "" for t in texts])
+        assert not learnt & {w.lower() for w in words} and not learnt & set(words)
+
+
 def test_token_store(docs, rows):
     store = token_store.write_store(docs, tokens.public_path("word_bpe_49k.json"), end_id=2, chunk_ids=300, shard_bytes=4000)
     got = sorted(token_store.read_store(store).collect(), key=lambda r: r.start)
